@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("filters", "reading", "buckets")
+MODULES = ("filters", "reading", "buckets", "children", "places")
 
 
 def registry() -> dict:
