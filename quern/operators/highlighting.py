@@ -26,7 +26,7 @@ _WORD = rf"(?:{_LETTER}|{_DIGIT}|_)"
 
 def fragment_pattern(size: int = FRAGMENT_SIZE) -> str:
     """Cuts a text into sentences, long ones at blanks, so that fragments stay near ``size`` characters."""
-    return rf"[^.!?。！？\n]{{0,{size - 1}}}[.!?。！？\n]+\s*|[^\n]{{1,{size}}}(?:\s+|$)|\S+\s*"
+    return rf"[^.!?。！？\n]{{0,{size - 1}}}[.!?。！？\n]+\s*|[^\n]{{1,{size}}}(?:\s+|\z)|\S+\s*"
 
 
 def _term_pattern(terms: Sequence[tuple[str, bool]]) -> str:

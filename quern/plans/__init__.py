@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("filters", "reading", "buckets", "children", "places")
+MODULES = ("filters", "reading", "buckets", "children", "places", "fulltext")
 
 
 def registry() -> dict:
