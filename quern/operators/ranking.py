@@ -46,7 +46,7 @@ def rank(
     matched = df.filter(P.all_of(combine(*[q.condition for q in queries]), condition))
 
     corpus = _Corpus(df, queries)
-    scored = corpus.measured(matched).withColumn(
+    scored = corpus.with_totals(corpus.measured(matched)).withColumn(
         score, reduce(lambda a, b: a + b, [F.lit(q.boost) * corpus.score(q) for q in queries])
     )
     out = scored.select(*df.columns, score).orderBy(F.desc(score), key.col.asc())
@@ -66,6 +66,7 @@ class _Corpus:
                     for unit in self._wanted(query):
                         self._units.setdefault((field.name, unit), f"__n{len(self._units)}")
         totals = []
+        self._totals = None
         for name in self._fields:
             length = F.col(self._length(name))
             totals += [F.count(length).alias(f"rows_{self._index(name)}"), F.avg(length).alias(f"mean_{self._index(name)}")]
@@ -73,6 +74,10 @@ class _Corpus:
         if totals:
             self._totals = self.measured(df).agg(*totals).select(F.struct("*")).scalar()
 
+    def with_totals(self, df: DataFrame) -> DataFrame:
+        """Add the totals as one struct column, so that they are planned and computed once."""
+        return df if self._totals is None else df.withColumn("__totals", self._totals)
+
     @staticmethod
     def _wanted(query: TextQuery) -> list[str]:
         """What to count: the tokens, and for phrases the phrase as a whole. Blanks mark the ends."""
@@ -104,13 +109,13 @@ class _Corpus:
         return next(self._index(name) for (name, _), c in self._units.items() if c == measure)
 
     def _idf(self, field: Field, unit: str) -> Column:
-        rows = self._totals.getField(f"rows_{self._index(field.name)}")
-        having = self._totals.getField(self._units[field.name, unit])
+        rows = F.col("__totals").getField(f"rows_{self._index(field.name)}")
+        having = F.col("__totals").getField(self._units[field.name, unit])
         return F.ln(F.lit(1.0) + (rows - having + 0.5) / (having + 0.5))
 
     def _frequency(self, field: Field, unit: str) -> Column:
         n = F.coalesce(F.col(self._units[field.name, unit]), F.lit(0))
-        mean = self._totals.getField(f"mean_{self._index(field.name)}")
+        mean = F.col("__totals").getField(f"mean_{self._index(field.name)}")
         length = F.col(self._length(field.name))
         return F.when(n > 0, n * F.lit(K1 + 1) / (n + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * length / mean))).otherwise(
             0.0

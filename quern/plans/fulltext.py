@@ -107,6 +107,29 @@ SELECT doc_id, round(s, 6) AS score FROM scored WHERE {having}{tail}"""
     )
 
 
+def fields_rank_sql(words: list[str], combine: str) -> str:
+    """BM25 over the fields text and lang. ``combine``: max or sum over fields of the sum over words, or
+    "cross" for the sum over words of the max over fields."""
+    listed = ", ".join(f"'{w}'" for w in words)
+    inner, outer = ("w", "max") if combine == "cross" else ("field", "sum")
+    last = "sum" if combine == "cross" else combine
+    return (
+        TOKENS
+        + f""", pair AS (SELECT doc_id, 'text' AS field, t FROM tokens
+         UNION ALL SELECT doc_id, 'lang' AS field, [lang] AS t FROM documents),
+size AS (SELECT doc_id, field, len(t) AS len FROM pair),
+totals AS (SELECT field, count(*) AS n, avg(len) AS mean FROM size GROUP BY 1),
+tf AS (SELECT doc_id, field, w, count(*) AS tf FROM (SELECT doc_id, field, unnest(t) AS w FROM pair)
+       WHERE w IN ({listed}) GROUP BY 1, 2, 3),
+df AS (SELECT field, w, count(*) AS df FROM tf GROUP BY 1, 2),
+parts AS (SELECT doc_id, field, w, ln(1 + (n - df + 0.5) / (df + 0.5))
+                 * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean)) AS s
+          FROM tf JOIN df USING (field, w) JOIN size USING (doc_id, field) JOIN totals USING (field)),
+grouped AS (SELECT doc_id, {outer}(s) AS s FROM parts GROUP BY doc_id, {inner})
+SELECT doc_id, round({last}(s), 6) AS score FROM grouped GROUP BY doc_id"""
+    )
+
+
 def phrase_rank_sql(words: list[str], limit: int) -> str:
     phrase = "  ".join(words)
     weights = " + ".join(
@@ -195,13 +218,17 @@ QUERIES = {
         matching(lambda f: X.multi_match([f["text"], f["source"]], "src3")),
         PICK + _has("src3") + " OR source = 'src3'",
     ),
-    "TXT5_most_fields_rank": (
-        ranked(
-            lambda f: [X.text_query([f["text"], f["source"]], "src3", "most_fields")],
-            limit=None,
-        ),
-        "SELECT doc_id, 1.0::DOUBLE AS score FROM documents WHERE source = 'src3'",
-    ),
+    **{
+        f"TXT5_{kind}_rank": (
+            ranked(
+                lambda f, kind=kind: [X.text_query([f["text"], f["lang"]], "de es erst", kind)],
+                limit=None,
+                text=("text", "lang"),
+            ),
+            fields_rank_sql(["de", "es", "erst"], combine),
+        )
+        for kind, combine in (("best_fields", "max"), ("most_fields", "sum"), ("cross_fields", "cross"))
+    },
     "TXT5_cross_fields_and": (
         across(lambda f: X.multi_match([f["text"], f["lang"]], "es que", "cross_fields", operator="and")),
         PICK + "(" + _has("es") + " OR lang = 'es') AND (" + _has("que") + " OR lang = 'que')",
