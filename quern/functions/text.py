@@ -41,6 +41,53 @@ _PY_TOKEN = regex.compile(TOKEN, regex.V1)
 TYPES = ("best_fields", "most_fields", "cross_fields", "phrase", "phrase_prefix")
 
 
+_WORD = rf"(?:{_LETTER}|{_DIGIT}|_)"
+_GAP = rf"(?:(?!{_WORD})[^{_LONE}{_KANA}])*+"
+
+
+def occurrence_pattern(words: Sequence[str], open_end: bool = False) -> str:
+    """Finds the words as whole tokens side by side, without splitting the text into tokens.
+
+    Whether a place in the text is the edge of a token shows in the two characters on each side. The
+    words come first and their edges are tested after them, so that the search is one for plain text.
+    ``open_end`` lets the last word be the start of a longer token.
+    """
+    parts = []
+    for i, word in enumerate(words):
+        literal = regex.escape(word, special_only=True)
+        start = _no_token_before(word[0], literal) if i == 0 else ""
+        end = "" if open_end and i == len(words) - 1 else _no_token_after(word[-1])
+        parts.append(literal + start + end)
+    return _GAP.join(parts)
+
+
+def _kind(char: str) -> tuple[str, str] | None:
+    """(characters a token goes on with next to ``char``, regex for a join beyond them)."""
+    if regex.match(r"[\p{Han}\p{Hiragana}]", char):
+        return None
+    if regex.match(r"[\p{Katakana}ー]", char):
+        return f"[{_KANA}]", ""
+    if char == "_":
+        return _WORD, ""
+    return _WORD, _DIGIT if char.isdecimal() else _LETTER
+
+
+def _no_token_before(char: str, literal: str) -> str:
+    if (kind := _kind(char)) is None:
+        return ""
+    same, joined = kind
+    joins = BETWEEN_DIGITS if joined == _DIGIT else BETWEEN_LETTERS
+    return rf"(?<!{same}{literal})" + (rf"(?<!{joined}[{joins}]{literal})" if joined else "")
+
+
+def _no_token_after(char: str) -> str:
+    if (kind := _kind(char)) is None:
+        return ""
+    same, joined = kind
+    joins = BETWEEN_DIGITS if joined == _DIGIT else BETWEEN_LETTERS
+    return rf"(?!{same})" + (rf"(?![{joins}]{joined})" if joined else "")
+
+
 def _check_analyzer(field: Field) -> None:
     if field.analyzer not in (None, "standard"):
         raise QueryError(f"analyzer {field.analyzer!r} of {field.name} is not available, only 'standard'")
@@ -77,26 +124,71 @@ def analyze(df: DataFrame, names: Iterable[str], text: Iterable[str] = ()) -> Da
     return df
 
 
-# ---- conditions over one field's tokens ----
+# ---- conditions over one field ----
 
 
-def _spaced(token_array: Column) -> Column:
-    """Tokens joined by single spaces, with one at each end. Tokens hold no spaces, so word order shows."""
-    return F.concat(F.lit(" "), F.array_join(token_array, " "), F.lit(" "))
+def holds(field: Field, words: Sequence[str], open_end: bool = False) -> Column:
+    """The words occur as tokens side by side."""
+    if field.tokens is not None:
+        if len(words) == 1 and not open_end:
+            return F.array_contains(field.tokens, words[0])
+        return F.contains(_spaced(field.tokens), F.lit(" " + " ".join(words) + ("" if open_end else " ")))
+    text = F.lower(field.col)
+    # Every word is a substring of the text: a cheap test that leaves few rows to the pattern.
+    present = reduce(lambda a, b: a & b, [F.contains(text, F.lit(w)) for w in dict.fromkeys(words)])
+    return present & F.rlike(text, F.lit(occurrence_pattern(words, open_end)))
+
+
+def occurrences(field: Field, words: Sequence[str], open_end: bool = False) -> Column:
+    """How often they do."""
+    if field.tokens is None:
+        return F.regexp_count(F.lower(field.col), F.lit(occurrence_pattern(words, open_end)))
+    if len(words) == 1:
+        word = F.lit(words[0])
+        return F.size(F.filter(field.tokens, (lambda t: t.startswith(word)) if open_end else (lambda t: t == word)))
+    phrase = " " + "  ".join(words) + ("" if open_end else " ")
+    joined = _spaced(field.tokens, "  ")
+    return F.floor((F.length(joined) - F.length(F.replace(joined, F.lit(phrase), F.lit("")))) / len(phrase))
+
+
+def length(field: Field) -> Column:
+    """Number of tokens."""
+    if field.tokens is not None:
+        return F.size(field.tokens)
+    return F.regexp_count(F.lower(field.col), F.lit(TOKEN))
+
+
+def _spaced(token_array: Column, blank: str = " ") -> Column:
+    """Tokens joined by blanks, with one at each end. Tokens hold no blanks, so neighbours show."""
+    return F.concat(F.lit(" "), F.array_join(token_array, blank), F.lit(" "))
 
 
 def required_matches(minimum: str | int | None, n: int) -> int:
-    """How many of ``n`` terms must match: a count or a percentage, negative meaning how many may miss."""
+    """How many of ``n`` terms must match, one at least.
+
+    A count or a percentage (rounded down), negative for how many may miss; or steps such as
+    ``"2<75% 9<-3"``: up to 2 terms all of them, up to 9 terms 75%, beyond that all but 3.
+    """
     if minimum is None:
         return 1
     text = str(minimum).strip()
-    found = regex.fullmatch(r"(-?)(\d+)(%?)", text)
-    if not found:
+    if "<" in text:
+        need = n
+        for step in text.split():
+            most, _, rule = step.partition("<")
+            if n <= _whole(most, minimum):
+                break
+            need = required_matches(rule, n)
+        return need
+    amount = _whole(text.removesuffix("%"), minimum)
+    size = n * abs(amount) // 100 if text.endswith("%") else abs(amount)
+    return max(n - size if amount < 0 or text.startswith("-") else size, 1)
+
+
+def _whole(text: str, minimum) -> int:
+    if not regex.fullmatch(r"-?\d+", text):
         raise QueryError(f"cannot read minimum_should_match {minimum!r}")
-    amount = int(found.group(2))
-    if found.group(3):
-        amount = n * amount // 100
-    return max(min(n - amount if found.group(1) else amount, n + 1), 0)
+    return int(text)
 
 
 @dataclass(frozen=True, eq=False)
@@ -121,72 +213,39 @@ class TextQuery:
     @property
     def condition(self) -> Column:
         if self.type == "cross_fields":
-            return self._across()
-        return reduce(lambda a, b: a | b, [self._one(f) for f in self.fields])
-
-    def _one(self, field: Field) -> Column:
+            # Term by term: each may be found in any of the fields.
+            return self._enough(
+                [reduce(_either, [F.coalesce(self._term_in(f, t), F.lit(False)) for f in self.fields]) for t in self.terms]
+            )
+        return reduce(_either, [self.condition_in(f) for f in self.fields])
+
+    def condition_in(self, field: Field) -> Column:
+        """The condition as far as it concerns one field."""
         if not field.is_text:
             if self.type == "phrase_prefix" and isinstance(field.dtype, T.StringType):
                 return field.col.startswith(self.query)
             return field.col == F.lit(self.query)
-        terms = self.terms
-        if not terms:
-            return F.lit(False)
-        toks = tokens(field)
-        if self.type in ("phrase", "phrase_prefix"):
-            open_end = self.type == "phrase_prefix"
-            words = " " + " ".join(terms) + ("" if open_end else " ")
-            return _may_hold(field, terms, len(terms)) & F.contains(_spaced(toks), F.lit(words))
-        need = len(terms) if self.operator == "and" else required_matches(self.minimum_should_match, len(terms))
-        return _may_hold(field, terms, need) & _at_least([F.array_contains(toks, t) for t in terms], toks, terms, need)
-
-    def _across(self) -> Column:
-        """Term by term: each may be found in any of the fields."""
-        terms = self.terms
-        if not terms:
-            return F.lit(False)
-        need = len(terms) if self.operator == "and" else required_matches(self.minimum_should_match, len(terms))
-        found = [
-            reduce(lambda a, b: a | b, [F.coalesce(_holds_term(f, t, self.query), F.lit(False)) for f in self.fields])
-            for t in terms
-        ]
-        return _at_least(found, None, terms, need)
-
+        if self.type in ("phrase", "phrase_prefix") and self.terms:
+            return holds(field, self.terms, open_end=self.type == "phrase_prefix")
+        return self._enough([holds(field, (t,)) for t in self.terms])
 
-def _holds_term(field: Field, term: str, query: str) -> Column:
-    if not field.is_text:
-        return field.col == F.lit(query)
-    return _may_hold(field, (term,), 1) & F.array_contains(tokens(field), term)
-
-
-def _at_least(found: list[Column], toks: Column | None, terms: Sequence[str], need: int) -> Column:
-    if need > len(found):
-        return F.lit(False)
-    if need == len(found):
-        return reduce(lambda a, b: a & b, found)
-    if need == 1:
-        if toks is not None:
-            return F.arrays_overlap(toks, F.array(*[F.lit(t) for t in dict.fromkeys(terms)]))
-        return reduce(lambda a, b: a | b, found)
-    if need <= 0:
-        return toks.isNotNull() if toks is not None else F.lit(True)
-    return reduce(lambda a, b: a + b, [f.cast("int") for f in found]) >= need
+    def _term_in(self, field: Field, term: str) -> Column:
+        return holds(field, (term,)) if field.is_text else field.col == F.lit(self.query)
 
+    def _enough(self, found: list[Column]) -> Column:
+        """As many of the terms as the operator or minimum_should_match asks for."""
+        need = len(found) if self.operator == "and" else required_matches(self.minimum_should_match, len(found))
+        if not found or need > len(found):
+            return F.lit(False)
+        if need == len(found):
+            return reduce(lambda a, b: a & b, found)
+        if need == 1:
+            return reduce(_either, found)
+        return reduce(lambda a, b: a + b, [f.cast("int") for f in found]) >= need
 
-def _may_hold(field: Field, terms: Sequence[str], need: int) -> Column:
-    """A cheap test that every matching row passes: a token is always a substring of the text.
 
-    Rows that fail it are never split into tokens. With stored tokens there is nothing to save.
-    """
-    if field.tokens is not None:
-        return F.lit(True)
-    lowered = F.lower(field.col)
-    present = [F.contains(lowered, F.lit(t)) for t in dict.fromkeys(terms)]
-    if need >= len(terms):
-        return reduce(lambda a, b: a & b, present)
-    if need >= 1:
-        return reduce(lambda a, b: a | b, present)
-    return F.lit(True)
+def _either(a: Column, b: Column) -> Column:
+    return a | b
 
 
 # ---- what users call ----

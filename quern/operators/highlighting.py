@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.errors import QueryError
 from quern.functions import predicates as P
 from quern.functions.fields import Field
-from quern.functions.text import _DIGIT, _KANA, _LETTER, _LONE, BETWEEN_DIGITS, BETWEEN_LETTERS, TextQuery
+from quern.functions.text import TextQuery, occurrence_pattern
 from quern.operators.reads import check_cap, search
 from quern.operators.sorting import Sort
 
@@ -21,36 +20,15 @@ POST_TAG = "</em>"
 FRAGMENT_SIZE = 100
 FRAGMENTS = 5
 
-_WORD = rf"(?:{_LETTER}|{_DIGIT}|_)"
-
-
 def fragment_pattern(size: int = FRAGMENT_SIZE) -> str:
     """Cuts a text into sentences, long ones at blanks, so that fragments stay near ``size`` characters."""
     return rf"[^.!?。！？\n]{{0,{size - 1}}}[.!?。！？\n]+\s*|[^\n]{{1,{size}}}(?:\s+|\z)|\S+\s*"
 
 
-def _term_pattern(terms: Sequence[tuple[str, bool]]) -> str:
-    """(words, open end) as whole tokens. Several words stand side by side; an open end starts a token."""
-    parts = []
-    for term, open_end in sorted(set(terms), key=lambda t: (-len(t[0]), t)):
-        words = term.split(" ")
-        gap = rf"(?:(?!{_WORD}|[{_LONE}{_KANA}]).)*" if len(words) > 1 else ""
-        body = gap.join(regex.escape(w, special_only=True) for w in words)
-        end = "" if open_end else _edge(words[-1][-1], before=False)
-        parts.append(_edge(words[0][0], before=True) + body + end)
-    return "(?ius)(?:" + "|".join(parts) + ")"
-
-
-def _edge(char: str, before: bool) -> str:
-    """What must not stand next to ``char`` for it to be the edge of a token."""
-    if regex.match(r"[\p{Han}\p{Hiragana}]", char):
-        return ""
-    if regex.match(r"[\p{Katakana}ー]", char):
-        return rf"(?<![{_KANA}])" if before else rf"(?![{_KANA}])"
-    kind, joins = (_DIGIT, BETWEEN_DIGITS) if char.isdigit() else (_LETTER, BETWEEN_LETTERS)
-    if before:
-        return rf"(?<!{_WORD})" + (rf"(?<!{kind}[{joins}])" if char != "_" else "")
-    return rf"(?!{_WORD})" + (rf"(?![{joins}]{kind})" if char != "_" else "")
+def _marks_pattern(marks: Sequence[tuple[tuple[str, ...], bool]]) -> str:
+    """Any of the (words, open end), longest first, in any case."""
+    ordered = sorted(set(marks), key=lambda m: (-len(" ".join(m[0])), m))
+    return "(?iu)(?:" + "|".join(occurrence_pattern(*m) for m in ordered) + ")"
 
 
 def fragments(
@@ -62,15 +40,15 @@ def fragments(
     count: int | None = FRAGMENTS,
 ) -> Column:
     """array<string>: the first ``count`` (None: all) fragments of ``field`` with a hit, hits tagged."""
-    terms = [t for q in queries if any(f.name == field.name for f in q.fields) for t in _marked(q, field)]
-    if not terms:
+    marks = [m for q in queries if any(f.name == field.name for f in q.fields) for m in _marked(q, field)]
+    if not marks:
         return F.array().cast("array<string>")
     text = field.col.cast("string")
     if not field.is_text:
-        return F.when(text.isin([t for t, _ in terms]), F.array(F.concat(F.lit(pre_tag), text, F.lit(post_tag)))).otherwise(
+        return F.when(text.isin([words[0] for words, _ in marks]), F.array(F.concat(F.lit(pre_tag), text, F.lit(post_tag)))).otherwise(
             F.array().cast("array<string>")
         )
-    pattern = F.lit(_term_pattern(terms))
+    pattern = F.lit(_marks_pattern(marks))
     replacement = F.lit(_literal(pre_tag) + "$0" + _literal(post_tag))
     pieces = F.regexp_extract_all(text, F.lit(fragment_pattern(size)), F.lit(0))
     hit = F.filter(pieces, lambda p: F.regexp_like(p, pattern))
@@ -79,10 +57,10 @@ def fragments(
     return F.transform(hit, lambda p: F.regexp_replace(p, pattern, replacement))
 
 
-def _marked(query: TextQuery, field: Field) -> list[tuple[str, bool]]:
+def _marked(query: TextQuery, field: Field) -> list[tuple[tuple[str, ...], bool]]:
     if field.is_text and query.type in ("phrase", "phrase_prefix"):
-        return [(" ".join(query.terms), query.type == "phrase_prefix")] if query.terms else []
-    return [(t, False) for t in query.terms_for(field)]
+        return [(query.terms, query.type == "phrase_prefix")] if query.terms else []
+    return [((t,), False) for t in query.terms_for(field)]
 
 
 def _literal(tag: str) -> str:

@@ -1,7 +1,7 @@
 """Relevance ranking (BM25).
 
 One pass over the text gathers the corpus numbers (rows, mean length, rows per query term) with a
-map-side combined aggregate; a second scores the matching rows, each from its own tokens alone. Only
+map-side combined aggregate; a second scores the matching rows, each from its own text alone. Only
 the single row of corpus numbers is exchanged, so nothing is shuffled by term or by document.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quern.errors import QueryError
 from quern.functions import predicates as P
 from quern.functions.fields import Field
-from quern.functions.text import TextQuery, tokens
+from quern.functions.text import TextQuery, holds, length, occurrences
 from quern.operators.reads import check_limit
 
 # The usual BM25 parameters.
@@ -32,10 +32,13 @@ def rank(
     require: str = "any",
     limit: int | None = None,
     score: str = "score",
+    ordered: bool = True,
 ) -> DataFrame:
     """Rows that match any (or ``require="all"``) of the queries, best score first, ties by key.
 
-    ``condition`` filters without scoring. Clause scores add up, each times its boost.
+    ``condition`` filters without scoring. Clause scores add up, each times its boost. Sorting all
+    matches without a limit makes Spark sample, and so score, them once more: ``ordered=False`` where
+    the order is not needed.
     """
     if not queries:
         raise QueryError("rank needs at least one text query")
@@ -46,10 +49,10 @@ def rank(
     matched = df.filter(P.all_of(combine(*[q.condition for q in queries]), condition))
 
     corpus = _Corpus(df, queries)
-    scored = corpus.with_totals(corpus.measured(matched)).withColumn(
-        score, reduce(lambda a, b: a + b, [F.lit(q.boost) * corpus.score(q) for q in queries])
-    )
-    out = scored.select(*df.columns, score).orderBy(F.desc(score), key.col.asc())
+    total = _plus([F.lit(q.boost) * corpus.score(q) for q in queries])
+    out = corpus.measured(matched).withColumn(score, total).select(*df.columns, score)
+    if ordered or limit is not None:
+        out = out.orderBy(F.desc(score), key.col.asc())
     return out if limit is None else out.limit(limit)
 
 
@@ -58,113 +61,90 @@ class _Corpus:
 
     def __init__(self, df: DataFrame, queries: Sequence[TextQuery]):
         self._fields: dict[str, Field] = {}
-        self._units: dict[tuple[str, str], str] = {}
+        # (field name, words, open end) -> column with their number of occurrences
+        self._counts: dict[tuple[str, tuple[str, ...], bool], str] = {}
         for query in queries:
             for field in query.fields:
                 if field.is_text:
                     self._fields[field.name] = field
-                    for unit in self._wanted(query):
-                        self._units.setdefault((field.name, unit), f"__n{len(self._units)}")
+                    for words, open_end in _counted(query):
+                        self._counts.setdefault((field.name, words, open_end), f"__n{len(self._counts)}")
         totals = []
-        self._totals = None
-        for name in self._fields:
-            length = F.col(self._length(name))
-            totals += [F.count(length).alias(f"rows_{self._index(name)}"), F.avg(length).alias(f"mean_{self._index(name)}")]
-        totals += [F.count_if(F.col(c) > 0).alias(c) for c in self._units.values()]
-        if totals:
-            self._totals = self.measured(df).agg(*totals).select(F.struct("*")).scalar()
-
-    def with_totals(self, df: DataFrame) -> DataFrame:
-        """Add the totals as one struct column, so that they are planned and computed once."""
-        return df if self._totals is None else df.withColumn("__totals", self._totals)
-
-    @staticmethod
-    def _wanted(query: TextQuery) -> list[str]:
-        """What to count: the tokens, and for phrases the phrase as a whole. Blanks mark the ends."""
-        units = [f" {t} " for t in dict.fromkeys(query.terms)]
-        if query.type == "phrase":
-            units.append(f" {' '.join(query.terms)} ")
-        elif query.type == "phrase_prefix" and query.terms:
-            units += [f" {query.terms[-1]}", f" {' '.join(query.terms)}"]
-        return units
-
-    def _index(self, name: str) -> int:
-        return list(self._fields).index(name)
-
-    def _length(self, name: str) -> str:
-        return f"__len{self._index(name)}"
+        for name, field in self._fields.items():
+            rows, mean = self._total_names(name)
+            totals += [F.count(field.col).alias(rows), F.avg(length(field)).alias(mean)]
+        totals += [F.count_if(holds(self._fields[n], words, end)).alias(c) for (n, words, end), c in self._counts.items()]
+        self._totals = df.agg(*totals).select(F.struct("*")).scalar() if totals else None
+
+    def _total_names(self, name: str) -> tuple[str, str]:
+        index = list(self._fields).index(name)
+        return f"__rows{index}", f"__mean{index}"
+
+    def _length_name(self, name: str) -> str:
+        return f"__len{list(self._fields).index(name)}"
 
     def measured(self, df: DataFrame) -> DataFrame:
-        """Add token count per field and occurrences per (field, unit)."""
-        split = {f"__tok{i}": tokens(f) for i, f in enumerate(self._fields.values())}
-        df = df.withColumns(split)
-        measures = {self._length(n): F.size(f"__tok{self._index(n)}") for n in self._fields}
-        for (name, unit), column in self._units.items():
-            measures[column] = _occurrences(F.col(f"__tok{self._index(name)}"), unit)
-        return df.withColumns({k: F.when(F.col(f"__tok{self._of(k)}").isNotNull(), v) for k, v in measures.items()})
-
-    def _of(self, measure: str) -> int:
-        if measure.startswith("__len"):
-            return int(measure[5:])
-        return next(self._index(name) for (name, _), c in self._units.items() if c == measure)
-
-    def _idf(self, field: Field, unit: str) -> Column:
-        rows = F.col("__totals").getField(f"rows_{self._index(field.name)}")
-        having = F.col("__totals").getField(self._units[field.name, unit])
+        """Add the totals, the token count per field, and the occurrences per (field, words)."""
+        if self._totals is None:
+            return df
+        measures = {self._length_name(n): length(f) for n, f in self._fields.items()}
+        for (name, words, open_end), column in self._counts.items():
+            measures[column] = F.coalesce(occurrences(self._fields[name], words, open_end), F.lit(0))
+        return df.withColumns(measures | {"__totals": self._totals})
+
+    def _idf(self, field: Field, words: tuple[str, ...], open_end: bool = False) -> Column:
+        rows = F.col("__totals")[self._total_names(field.name)[0]]
+        having = F.col("__totals")[self._counts[field.name, words, open_end]]
         return F.ln(F.lit(1.0) + (rows - having + 0.5) / (having + 0.5))
 
-    def _frequency(self, field: Field, unit: str) -> Column:
-        n = F.coalesce(F.col(self._units[field.name, unit]), F.lit(0))
-        mean = F.col("__totals").getField(f"mean_{self._index(field.name)}")
-        length = F.col(self._length(field.name))
-        return F.when(n > 0, n * F.lit(K1 + 1) / (n + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * length / mean))).otherwise(
-            0.0
-        )
+    def _saturated(self, field: Field, words: tuple[str, ...], open_end: bool = False) -> Column:
+        n = F.col(self._counts[field.name, words, open_end])
+        mean = F.col("__totals")[self._total_names(field.name)[1]]
+        relative = F.lit(1 - B) + F.lit(B) * F.col(self._length_name(field.name)) / mean
+        return F.when(n > 0, n * F.lit(K1 + 1) / (n + F.lit(K1) * relative)).otherwise(0.0)
+
+    def _term(self, field: Field, term: str) -> Column:
+        return self._idf(field, (term,)) * self._saturated(field, (term,))
 
     def score(self, query: TextQuery) -> Column:
         if query.type == "cross_fields":
             text = [f for f in query.fields if f.is_text]
-            per_term = [
-                _best([self._idf(f, f" {t} ") * self._frequency(f, f" {t} ") for f in text])
-                for t in query.terms
-                if text
-            ]
-            total = reduce(lambda a, b: a + b, per_term, F.lit(0.0))
-            return F.when(F.coalesce(query.condition, F.lit(False)), total).otherwise(0.0)
+            total = _plus([_best([self._term(f, t) for f in text]) for t in query.terms if text])
+            return _if(query.condition, total)
         parts = [self._field_score(query, f) for f in query.fields]
-        return reduce(lambda a, b: a + b, parts) if query.type == "most_fields" else _best(parts)
+        return _plus(parts) if query.type == "most_fields" else _best(parts)
 
     def _field_score(self, query: TextQuery, field: Field) -> Column:
         if not field.is_text:
-            return F.when(F.coalesce(query._one(field), F.lit(False)), 1.0).otherwise(0.0)
+            return _if(query.condition_in(field), F.lit(1.0))
         if not query.terms:
             return F.lit(0.0)
-        units = self._wanted(query)
         if query.type in ("phrase", "phrase_prefix"):
-            words = [f" {t} " for t in query.terms]
-            if query.type == "phrase_prefix":
-                words[-1] = words[-1].rstrip()
-            weight = reduce(lambda a, b: a + b, [self._idf(field, w) for w in words])
-            return weight * self._frequency(field, units[-1])
-        total = reduce(
-            lambda a, b: a + b, [self._idf(field, f" {t} ") * self._frequency(field, f" {t} ") for t in query.terms]
-        )
+            *parts, whole = _counted(query)
+            return _plus([self._idf(field, *p) for p in parts]) * self._saturated(field, *whole)
+        total = _plus([self._term(field, t) for t in query.terms])
         if query.operator == "or" and query.minimum_should_match is None:
             return total
-        return F.when(F.coalesce(query._one(field), F.lit(False)), total).otherwise(0.0)
+        return _if(query.condition_in(field), total)
+
+
+def _counted(query: TextQuery) -> list[tuple[tuple[str, ...], bool]]:
+    """The (words, open end) whose occurrences a query counts: its terms; a phrase as a whole comes last."""
+    terms, open_end = query.terms, query.type == "phrase_prefix"
+    counted = [((t,), False) for t in terms]
+    if query.type in ("phrase", "phrase_prefix") and terms:
+        counted[-1] = ((terms[-1],), open_end)
+        counted.append((terms, open_end))
+    return counted
+
+
+def _plus(parts: list[Column]) -> Column:
+    return reduce(lambda a, b: a + b, parts) if parts else F.lit(0.0)
 
 
 def _best(parts: list[Column]) -> Column:
     return parts[0] if len(parts) == 1 else F.greatest(*parts)
 
 
-def _occurrences(toks: Column, unit: str) -> Column:
-    """How often a token, or tokens side by side, occur. An open end matches the start of a token."""
-    words, open_end = unit.split(), not unit.endswith(" ")
-    if len(words) == 1:
-        word = F.lit(words[0])
-        return F.size(F.filter(toks, (lambda t: t.startswith(word)) if open_end else (lambda t: t == word)))
-    # Doubled blanks keep neighbouring phrases from sharing one.
-    joined = F.concat(F.lit(" "), F.array_join(toks, "  "), F.lit(" "))
-    phrase = " " + "  ".join(words) + ("" if open_end else " ")
-    return ((F.length(joined) - F.length(F.replace(joined, F.lit(phrase), F.lit("")))) / len(phrase)).cast("int")
+def _if(condition: Column, score: Column) -> Column:
+    return F.when(F.coalesce(condition, F.lit(False)), score).otherwise(0.0)

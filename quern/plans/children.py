@@ -17,8 +17,8 @@ from quern.operators.sorting import by_nested
 from quern.plans.tables import round_to, table
 
 
-def documents(spark: SparkSession, directory: str) -> DataFrame:
-    """doc_id, lang, source, lines: array of (line_no, body, n_chars, words: array of (word, n_chars))."""
+def documents(spark: SparkSession, directory: str, with_words: bool = False) -> DataFrame:
+    """doc_id, lang, source, lines: array of (line_no, body, n_chars[, words: array of (word, n_chars)])."""
 
     def words(line):
         return F.transform(
@@ -28,7 +28,10 @@ def documents(spark: SparkSession, directory: str) -> DataFrame:
     lines = F.transform(
         F.split("text", "\n", -1),
         lambda line, i: F.struct(
-            (i + 1).alias("line_no"), line.alias("body"), F.length(line).alias("n_chars"), words(line).alias("words")
+            (i + 1).alias("line_no"),
+            line.alias("body"),
+            F.length(line).alias("n_chars"),
+            *([words(line).alias("words")] if with_words else []),
         ),
     )
     return table(spark, directory, "documents").select("doc_id", "lang", "source", lines.alias("lines"))
@@ -51,7 +54,7 @@ def same_child(spark: SparkSession, directory: str) -> DataFrame:
 
 def two_levels(spark: SparkSession, directory: str) -> DataFrame:
     """A line after the third that has a word of 12 or more characters starting with "th"."""
-    docs = documents(spark, directory)
+    docs = documents(spark, directory, with_words=True)
     f = fields(docs)
     found = P.nested(
         f["lines"],
@@ -92,7 +95,7 @@ def sort_by_longest(spark: SparkSession, directory: str) -> DataFrame:
 
 def sort_by_word(spark: SparkSession, directory: str) -> DataFrame:
     """By the longest word two levels down."""
-    docs = documents(spark, directory)
+    docs = documents(spark, directory, with_words=True)
     f = fields(docs)
     order = [by_nested(f["lines"], "words", "n_chars", descending=True)]
     return R.search(docs, None, order, limit=100, key=f["doc_id"]).select("doc_id", "lang")
@@ -122,7 +125,7 @@ def line_metrics_per_language(spark: SparkSession, directory: str) -> DataFrame:
 
 def common_words(spark: SparkSession, directory: str) -> DataFrame:
     """The ten most frequent words per language, two levels of children down."""
-    docs = documents(spark, directory)
+    docs = documents(spark, directory, with_words=True)
     words = A.nested("words", A.terms("word", name="word", size=10), name="words")
     tree = A.terms("lang", A.nested("lines", words, name="lines"), name="lang")
     return A.aggregate(docs, None, tree).buckets("lang", "lines", "words", "word")

@@ -72,7 +72,7 @@ def ranked(queries, require: str = "any", limit: int | None = 100, text=("text",
     def query(spark: SparkSession, directory: str) -> DataFrame:
         docs = table(spark, directory, "documents")
         f = fields(docs, text=text)
-        found = rank(docs, queries(f), f["doc_id"], require=require, limit=limit)
+        found = rank(docs, queries(f), f["doc_id"], require=require, limit=limit, ordered=limit is not None)
         return found.select("doc_id", round_to("score", 6).alias("score"))
 
     return query
