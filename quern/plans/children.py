@@ -14,7 +14,7 @@ from quern.functions.fields import fields
 from quern.operators import aggregations as A
 from quern.operators import reads as R
 from quern.operators.sorting import by_nested
-from quern.plans.tables import round_to, table
+from quern.plans.tables import round_to, spread, table
 
 
 def documents(spark: SparkSession, directory: str, with_words: bool = False) -> DataFrame:
@@ -34,7 +34,9 @@ def documents(spark: SparkSession, directory: str, with_words: bool = False) ->
             *([words(line).alias("words")] if with_words else []),
         ),
     )
-    return table(spark, directory, "documents").select("doc_id", "lang", "source", lines.alias("lines"))
+    docs = table(spark, directory, "documents")
+    docs = spread(docs) if with_words else docs
+    return docs.select("doc_id", "lang", "source", lines.alias("lines"))
 
 
 LINES = """

@@ -10,7 +10,7 @@ from quern.functions import text as X
 from quern.functions.fields import fields
 from quern.operators.highlighting import highlighted
 from quern.operators.ranking import rank
-from quern.plans.tables import round_to, table
+from quern.plans.tables import round_to, spread, table
 
 # The token rule in RE2. Characters that are tokens of their own get blanks around them beforehand.
 L, N = r"[\p{L}\p{M}\p{Nl}]", r"\p{Nd}"
@@ -35,7 +35,7 @@ def documents(spark: SparkSession, directory: str):
 
 def analyzed(spark: SparkSession, directory: str) -> DataFrame:
     docs, f = documents(spark, directory)
-    toks = X.tokens(f["text"])
+    docs, toks = spread(docs), X.tokens(f["text"])
     return docs.select("doc_id", toks.alias("t")).select(
         "doc_id", F.size("t").cast("bigint").alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("digest")
     )
@@ -70,7 +70,7 @@ def across(condition):
 
 def ranked(queries, require: str = "any", limit: int | None = 100, text=("text",)):
     def query(spark: SparkSession, directory: str) -> DataFrame:
-        docs = table(spark, directory, "documents")
+        docs = spread(table(spark, directory, "documents"))
         f = fields(docs, text=text)
         found = rank(docs, queries(f), f["doc_id"], require=require, limit=limit, ordered=limit is not None)
         return found.select("doc_id", round_to("score", 6).alias("score"))
@@ -153,7 +153,7 @@ def marked(queries, count):
     def query(spark: SparkSession, directory: str) -> DataFrame:
         docs, f = documents(spark, directory)
         found = highlighted(
-            docs, queries(f), [f["text"]], P.eq(f["lang"], "en"), pre_tag="<b>", post_tag="</b>", count=count
+            spread(docs), queries(f), [f["text"]], P.eq(f["lang"], "en"), pre_tag="<b>", post_tag="</b>", count=count
         )
         return found.select("doc_id", F.posexplode(F.col("highlights")["text"]).alias("pos", "fragment")).select(
             "doc_id", F.col("pos").cast("bigint").alias("pos"), "fragment"

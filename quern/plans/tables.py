@@ -28,5 +28,15 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{directory}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small table out over the cores before heavy work per row.
+
+    One row group is read by one task, which leaves a small file on one core. A table that already
+    has a partition per core is returned as it is, so that large ones are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def round_to(col: Column | str, digits: int) -> Column:
     return F.round(col, digits)
