@@ -189,12 +189,11 @@ def with_script(df: DataFrame, name: str, source: str, params: Mapping[str, Any]
     """
     if not source or not source.strip():
         raise QueryError("script source is blank")
-    F.expr(source)  # refuses anything that is not one expression
     escaped = source.replace("{", "{{").replace("}", "}}")
     quoted = "`" + name.replace("`", "``").replace("{", "{{").replace("}", "}}") + "`"
     out = df.sparkSession.sql(f"SELECT *, ({escaped}\n) AS {quoted} FROM {{df}}", args=dict(params or {}), df=df)
-    if not isinstance(out.schema[name].dataType, T.BooleanType):
-        raise QueryError("script source must be a condition")
+    if out.columns != [*df.columns, name] or not isinstance(out.schema[name].dataType, T.BooleanType):
+        raise QueryError("script source must be one condition")
     return out
 
 
