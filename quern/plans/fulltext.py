@@ -172,7 +172,9 @@ def marked_sql(words: list[str], count: int | None) -> str:
     def tag(value: str) -> str:
         return rf"regexp_replace({value}, '{pattern}', '\1' || chr(57344) || '\2' || chr(57345) || '\3', 'g')"
 
-    piece = r"[^.!?。！？\n]{0,99}[.!?。！？\n]+\s*|[^\n]{1,100}(?:\s+|\z)|\S+\s*"
+    inside = r"(?:[^.!?。！？\n]|[.!?]+[^\s.!?。！？])"
+    stop = r"(?:[.!?。！？]+(?:\s+|\z)|[.!?]*[。！？]+|\n+\s*)"
+    piece = rf"{inside}{{0,99}}{stop}|[^\n]{{1,100}}(?:\s+|\z)|\S+\s*"
     keep = f" WHERE pos < {count}" if count else ""
     return f"""
 WITH pieces AS (SELECT doc_id, unnest(p) AS piece, unnest(range(1, len(p) + 1)) AS i
