@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from quern.errors import QueryError
 from quern.functions import predicates as P
 from quern.functions.fields import Field, Fields, fields
-from quern.operators.topn import top_per_group
+from quern.operators.topn import own_shuffle, top_per_group
 
 # Buckets of a terms level by default; calendar units with their shortest length in ms.
 DEFAULT_TERMS = 100
@@ -34,7 +34,7 @@ UNIT_MS = {
 }
 # Gap filling refuses longer histograms than this (per parent bucket).
 MAX_HISTOGRAM = 65_536
-# Kept buckets up to this many are broadcast; their number is bounded by the terms sizes.
+# Kept buckets up to this many (a number the terms sizes prove) are broadcast; more are joined by shuffle.
 MAX_BROADCAST_BUCKETS = 100_000
 
 BUCKETS = ("terms", "date_histogram", "range")
@@ -296,8 +296,8 @@ def _add_bucket(scope: _Scope, agg: Agg, result: AggResult) -> None:
     if any(a.kind not in METRICS for a in agg.children):
         if cut:
             kept = frame.select(*below.key_columns)
-            if bound is not None and bound <= MAX_BROADCAST_BUCKETS:
-                kept = F.broadcast(kept)
+            small = bound is not None and bound <= MAX_BROADCAST_BUCKETS
+            kept = F.broadcast(kept) if small else own_shuffle(kept)
             below = replace(below, rows=keyed.join(kept, below.key_columns, "left_semi"))
         _descend(below, agg.children, result)
 

@@ -72,7 +72,8 @@ class _Corpus:
         totals = []
         for name, field in self._fields.items():
             rows, mean = self._total_names(name)
-            totals += [F.count(field.col).alias(rows), F.avg(length(field)).alias(mean)]
+            filled = F.nullif(length(field), F.lit(0))  # rows without a token do not count
+            totals += [F.count(filled).alias(rows), F.avg(filled).alias(mean)]
         totals += [F.count_if(holds(self._fields[n], words, end)).alias(c) for (n, words, end), c in self._counts.items()]
         self._totals = df.agg(*totals).select(F.struct("*")).scalar() if totals else None
 

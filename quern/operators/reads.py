@@ -17,7 +17,7 @@ from quern.errors import QueryError
 from quern.functions import predicates as P
 from quern.functions.fields import Field, Fields, fields
 from quern.operators.sorting import Sort, asc, columns
-from quern.operators.topn import top_per_group
+from quern.operators.topn import key_set, top_per_group
 
 # Rows a list may return without an explicit limit; reach of limit, page and batch.
 LIST_CAP = 1000
@@ -74,7 +74,7 @@ def with_ids(df: DataFrame, key: Field, ids: DataFrame | Iterable[Any]) -> DataF
         if len(ids) <= MAX_LITERAL_IDS:
             return df.filter(P.is_in(key, ids))
         ids = id_frame(df, key, ids)
-    wanted = ids.select(F.col(ids.columns[0]).alias("__id")).distinct()
+    wanted = key_set(ids, ids.columns[0], "__id")
     return df.join(wanted, key.col == F.col("__id"), "left_semi")
 
 

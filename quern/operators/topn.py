@@ -1,4 +1,4 @@
-"""The best n rows of each group, safe for groups of any size."""
+"""Building blocks that stay safe when one key holds a large share of all rows."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # ranked in SALTS parts, so that no single task receives n rows from every map task.
 ONE_STEP_N = 10
 SALTS = 64
+# A key set holds each key at most this many times.
+KEY_COPIES = 8
 
 
 def top_per_group(
@@ -30,3 +32,19 @@ def top_per_group(
 def _ranked(df: DataFrame, keys, order, n: int, name: str) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
+
+
+def key_set(df: DataFrame, column: str, name: str) -> DataFrame:
+    """The keys to look up in a semi or anti join, repeats removed but for KEY_COPIES of each.
+
+    Repeats are combined before the shuffle. A plain ``distinct`` would do that too, but the join would
+    then build on its partitioning, and Spark splits skewed join partitions only when both sides come
+    straight from a shuffle.
+    """
+    copy = F.pmod(F.spark_partition_id(), F.lit(KEY_COPIES)).alias("__copy")
+    return df.groupBy(F.col(column).alias(name), copy).agg(F.lit(1).alias("__one")).select(name)
+
+
+def own_shuffle(df: DataFrame) -> DataFrame:
+    """Detach a small aggregated table from its partitioning, for the same reason."""
+    return df.repartition(KEY_COPIES)

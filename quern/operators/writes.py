@@ -17,7 +17,7 @@ from quern.errors import QueryError
 from quern.functions import predicates as P
 from quern.functions.fields import Fields, fields
 from quern.operators.reads import MAX_LITERAL_IDS, id_frame, with_ids
-from quern.operators.topn import top_per_group
+from quern.operators.topn import key_set, top_per_group
 
 
 @dataclass(frozen=True)
@@ -82,7 +82,7 @@ def delete_by_ids(current: DataFrame, key: str, ids: DataFrame | Iterable[Any])
             gone = P.is_in(field, ids)
             return Change(current.filter(~F.coalesce(gone, F.lit(False))), _count(current.filter(gone)))
         ids = id_frame(current, field, ids)
-    wanted = ids.select(F.col(ids.columns[0]).alias("__id")).distinct()
+    wanted = key_set(ids, ids.columns[0], "__id")
     rows = current.join(wanted, field.col == F.col("__id"), "left_anti")
     return Change(rows, _count(with_ids(current, field, ids)))
 

@@ -97,7 +97,7 @@ def bm25_sql(weights: dict[str, float], limit: int | None = 100, having: str = "
         TOKENS
         + f""", q(w, boost) AS (VALUES {values}),
 size AS (SELECT doc_id, len(t) AS len FROM tokens),
-totals AS (SELECT count(*) AS n, avg(len) AS mean FROM size),
+totals AS (SELECT count(*) AS n, avg(len) AS mean FROM size WHERE len > 0),
 tf AS (SELECT doc_id, w, count(*) AS tf FROM words WHERE w IN (SELECT w FROM q) GROUP BY 1, 2),
 df AS (SELECT w, count(*) AS df FROM tf GROUP BY 1),
 scored AS (SELECT tf.doc_id, sum(boost * ln(1 + (n - df + 0.5) / (df + 0.5))
@@ -118,7 +118,7 @@ def fields_rank_sql(words: list[str], combine: str) -> str:
         + f""", pair AS (SELECT doc_id, 'text' AS field, t FROM tokens
          UNION ALL SELECT doc_id, 'lang' AS field, [lang] AS t FROM documents),
 size AS (SELECT doc_id, field, len(t) AS len FROM pair),
-totals AS (SELECT field, count(*) AS n, avg(len) AS mean FROM size GROUP BY 1),
+totals AS (SELECT field, count(*) AS n, avg(len) AS mean FROM size WHERE len > 0 GROUP BY 1),
 tf AS (SELECT doc_id, field, w, count(*) AS tf FROM (SELECT doc_id, field, unnest(t) AS w FROM pair)
        WHERE w IN ({listed}) GROUP BY 1, 2, 3),
 df AS (SELECT field, w, count(*) AS df FROM tf GROUP BY 1, 2),
@@ -139,7 +139,7 @@ def phrase_rank_sql(words: list[str], limit: int) -> str:
     )
     return (
         TOKENS
-        + f""", totals AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM tokens),
+        + f""", totals AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM tokens WHERE len(t) > 0),
 joined AS (SELECT doc_id, len(t) AS len, ' ' || array_to_string(t, '  ') || ' ' AS j FROM tokens),
 tf AS (SELECT doc_id, len, (length(j) - length(replace(j, ' {phrase} ', ''))) // length(' {phrase} ') AS tf FROM joined)
 SELECT doc_id, round(({weights}) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean)), 6) AS score

@@ -94,3 +94,45 @@ def test_large_changes_do_not_force_a_broadcast(spark):
 def test_ne_is_pushed(spark):
     orders = table(spark, TESTDATA, "orders")
     assert "Not(EqualNullSafe(o_orderstatus,F))" in plan(orders.filter(P.ne(fields(orders)["o_orderstatus"], "F")))
+
+
+def test_hot_keys_can_be_split_in_id_joins(spark):
+    """One id holds a third of the rows on both sides; with small thresholds the join splits it."""
+    from quern.operators.reads import with_ids
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))
+        rows = spark.range(0, 600_000, numPartitions=8).select(hot.alias("k"), F.col("id").alias("v"))
+        ids = spark.range(0, 600_000, 3, numPartitions=8).select(
+            F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id")).alias("i")
+        )
+        found = with_ids(rows, fields(rows)["k"], ids).agg(F.sum("v").alias("s"), F.count("v").alias("n"))
+        row = found.collect()[0]
+        assert (row["n"], row["s"]) == (200_001, sum(range(0, 600_000, 3)) + 7)
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_many_kept_buckets_are_joined_not_broadcast(spark):
+    from quern.operators import aggregations as A
+
+    orders = table(spark, TESTDATA, "orders")
+    tree = A.terms("o_custkey", A.top_hits(1, "o_totalprice", name="best"), size=A.MAX_BROADCAST_BUCKETS + 1)
+    many = A.aggregate(orders, None, tree, key="o_orderkey").hits("o_custkey", "best")
+    tree = A.terms("o_custkey", A.top_hits(1, "o_totalprice", name="best"), size=A.MAX_BROADCAST_BUCKETS)
+    few = A.aggregate(orders, None, tree, key="o_orderkey").hits("o_custkey", "best")
+    assert "ResolvedHint" not in plan(many) and "strategy=broadcast" not in many._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" in few._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(str, many.collect())) == sorted(map(str, few.collect()))
