@@ -346,7 +346,7 @@ def _histogram(scope: _Scope, agg: Agg, found: Field, column: str, metrics):
         raise QueryError(f"date_histogram needs a date, not {found.name}")
     unit, least = agg.options["interval"], agg.options["min_doc_count"]
     start = F.date_trunc(unit, found.col.cast("timestamp"))
-    keyed = scope.rows.filter(found.col.isNotNull()).withColumn(column, start)
+    keyed = scope.rows.withColumn(column, start).filter(F.col(column).isNotNull())
     frame = _grouped(keyed, scope, column, metrics)
     if least > 0:
         frame = frame.filter(F.col("doc_count") >= least)
@@ -358,13 +358,18 @@ def _histogram(scope: _Scope, agg: Agg, found: Field, column: str, metrics):
 def _fill_gaps(frame: DataFrame, parents: list[str], column: str, unit: str, metrics) -> DataFrame:
     """Add the empty buckets between the first and last one of each parent.
 
-    The span comes from the buckets, not from the rows, and each parent lays out its own.
+    The span comes from the buckets, not from the rows, and each parent lays out its own. First and
+    last bucket are taken as whole rows: with every column in use, this side needs the same shuffled
+    buckets as the join below, and Spark computes them once for both.
     """
+    whole = F.struct(column, *[c for c in frame.columns if c != column])
     count = (F.unix_millis("__last") - F.unix_millis("__first")) / F.lit(UNIT_MS[unit])
     step = F.expr("INTERVAL 3 MONTH" if unit == "quarter" else f"INTERVAL 1 {unit}")
     too_long = F.raise_error(F.lit(f"date_histogram by {unit} would have more than {MAX_HISTOGRAM} buckets"))
     layout = F.when(count < MAX_HISTOGRAM, F.sequence("__first", "__last", step)).otherwise(too_long)
-    spans = frame.groupBy(*parents).agg(F.min(column).alias("__first"), F.max(column).alias("__last"))
+    spans = frame.groupBy(*parents).agg(
+        F.min(whole)[column].alias("__first"), F.max(whole)[column].alias("__last")
+    )
     every = spans.filter(F.col("__first").isNotNull()).select(*parents, F.explode(layout).alias(column))
     filled = every.join(frame, [*parents, column], "left")
     fills = {"doc_count": 0} | {n: fill for n, _, fill in metrics if fill is not None}

@@ -136,3 +136,11 @@ def test_many_kept_buckets_are_joined_not_broadcast(spark):
     assert "ResolvedHint" not in plan(many) and "strategy=broadcast" not in many._jdf.queryExecution().analyzed().toString()
     assert "strategy=broadcast" in few._jdf.queryExecution().analyzed().toString()
     assert sorted(map(str, many.collect())) == sorted(map(str, few.collect()))
+
+
+@pytest.mark.parametrize("name, scans", [("AGG10_date_histogram_month", 1), ("AGG10_date_histogram_per_parent", 2)])
+def test_gap_filling_shares_the_buckets(spark, name, scans):
+    df = QUERIES[name](spark, TESTDATA)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == scans
