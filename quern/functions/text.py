@@ -26,7 +26,7 @@ BETWEEN_DIGITS = ".,;'’"
 _LONE = r"\p{IsHan}\p{IsHiragana}"
 _KANA = r"\p{IsKatakana}ー"
 # The plain Latin letters come first: they decide most characters without a Unicode lookup.
-_LETTER = rf"[a-zà-öø-ÿ[\p{{L}}\p{{M}}\p{{Nl}}&&[^{_LONE}{_KANA}]]]"
+_LETTER = rf"[a-zA-ZÀ-ÖØ-öø-ÿ[\p{{L}}\p{{M}}\p{{Nl}}&&[^{_LONE}{_KANA}]]]"
 _DIGIT = r"\p{Nd}"
 # Possessive quantifiers: a token never needs backtracking, and long runs need no deep recursion.
 TOKEN = (
@@ -36,7 +36,7 @@ TOKEN = (
     rf"|[{_LONE}]|[{_KANA}]++"
 )
 # For counting only: most words are plain and end in a blank, which is then taken with them.
-_COUNTED = r"[a-zà-öø-ÿ]++[ \n\t,;!?()]|" + TOKEN
+_COUNTED = r"[a-zA-ZÀ-ÖØ-öø-ÿ]++[ \n\t,;!?()]|" + TOKEN
 # The same for the few words of a query, which are split on the driver.
 _PY_TOKEN = regex.compile(TOKEN, regex.V1)
 
@@ -157,7 +157,7 @@ def length(field: Field) -> Column:
     """Number of tokens."""
     if field.tokens is not None:
         return F.size(field.tokens)
-    return F.regexp_count(F.lower(field.col), F.lit(_COUNTED))
+    return F.regexp_count(field.col, F.lit(_COUNTED))  # lower-casing changes no number of tokens
 
 
 def _spaced(token_array: Column, blank: str = " ") -> Column:
