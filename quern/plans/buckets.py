@@ -12,7 +12,7 @@ from quern.plans.filters import NULLABLE_ORDERS, nullable_orders
 from quern.plans.tables import round_to, table
 
 STATUS_BY_PRICE = (
-    "SELECT o_orderstatus AS status, count(*) AS doc_count, round(avg(o_totalprice), 4) AS avg_price FROM orders"
+    "SELECT o_orderstatus AS status, count(*) AS doc_count, round(avg(o_totalprice), 6) AS avg_price FROM orders"
     " WHERE o_totalprice BETWEEN 50000 AND 300000 GROUP BY 1"
 )
 
@@ -23,7 +23,7 @@ def flagship(spark: SparkSession, directory: str) -> DataFrame:
     f = fields(orders)
     tree = A.terms("o_orderstatus", A.avg("o_totalprice", name="avg_price"), name="status", order_by="avg_price")
     found = A.aggregate(orders, P.between(f["o_totalprice"], 50000.0, 300000.0), tree)
-    return found.buckets("status").withColumn("avg_price", round_to("avg_price", 4))
+    return found.buckets("status").withColumn("avg_price", round_to("avg_price", 6))
 
 
 def terms(spark: SparkSession, directory: str) -> DataFrame:
@@ -65,7 +65,7 @@ def metrics(spark: SparkSession, directory: str) -> DataFrame:
         A.min("l_discount", name="min_discount"),
         A.sum("l_quantity", name="sum_quantity"),
     ).metrics()
-    return found.withColumns({c: round_to(c, 4) for c in ("avg_price", "sum_quantity")})
+    return found.withColumns({c: round_to(c, 6) for c in ("avg_price", "sum_quantity")})
 
 
 def no_rows(spark: SparkSession, directory: str) -> DataFrame:
@@ -81,7 +81,7 @@ def stats(spark: SparkSession, directory: str) -> DataFrame:
     lines = table(spark, directory, "lineitem")
     tree = A.terms("l_returnflag", A.stats("l_extendedprice", name="price"), name="flag")
     found = A.aggregate(lines, None, tree).buckets("flag")
-    return found.withColumns({"price_avg": round_to("price_avg", 4), "price_sum": round_to("price_sum", 2)})
+    return found.withColumns({"price_avg": round_to("price_avg", 6), "price_sum": round_to("price_sum", 2)})
 
 
 def cardinality(spark: SparkSession, directory: str) -> DataFrame:
@@ -130,7 +130,7 @@ def histogram_per_parent(spark: SparkSession, directory: str) -> DataFrame:
     events = table(spark, directory, "events")
     tree = A.terms("event_type", A.date_histogram("ts", "hour", A.avg("value"), name="hour"), name="type")
     found = A.aggregate(events, P.ge(fields(events)["value"], 30.0), tree).buckets("type", "hour")
-    return found.withColumn("value", round_to("value", 4))
+    return found.withColumn("value", round_to("value", 9))
 
 
 def histogram_min_count(spark: SparkSession, directory: str) -> DataFrame:
@@ -189,7 +189,7 @@ def drill_down(spark: SparkSession, directory: str) -> DataFrame:
         name="status",
     )
     found = A.aggregate(orders, None, tree).buckets("status", "year", "priority")
-    return found.withColumn("avg_price", round_to("avg_price", 4))
+    return found.withColumn("avg_price", round_to("avg_price", 6))
 
 
 def drill_down_parents(spark: SparkSession, directory: str) -> DataFrame:
@@ -243,8 +243,8 @@ SELECT status, customer, doc_count FROM
     ),
     "AGG4_AGG7_metrics": (
         metrics,
-        "SELECT round(avg(l_extendedprice), 4) AS avg_price, max(l_shipdate) AS last_ship, min(l_discount) AS min_discount,"
-        " round(sum(l_quantity), 4) AS sum_quantity FROM lineitem WHERE l_returnflag = 'R'",
+        "SELECT round(avg(l_extendedprice), 6) AS avg_price, max(l_shipdate) AS last_ship, min(l_discount) AS min_discount,"
+        " round(sum(l_quantity), 6) AS sum_quantity FROM lineitem WHERE l_returnflag = 'R'",
     ),
     "AGG7_no_rows": (
         no_rows,
@@ -256,7 +256,7 @@ SELECT status, customer, doc_count FROM
         stats,
         "SELECT l_returnflag AS flag, count(*) AS doc_count, count(l_extendedprice) AS price_count,"
         " min(l_extendedprice) AS price_min, max(l_extendedprice) AS price_max,"
-        " round(avg(l_extendedprice), 4) AS price_avg, round(sum(l_extendedprice), 2) AS price_sum FROM lineitem GROUP BY 1",
+        " round(avg(l_extendedprice), 6) AS price_avg, round(sum(l_extendedprice), 2) AS price_sum FROM lineitem GROUP BY 1",
     ),
     "AGG9_cardinality": (
         cardinality,
@@ -276,7 +276,7 @@ SELECT status, customer, doc_count FROM
         """
 WITH rows AS (SELECT event_type, date_trunc('hour', ts)::TIMESTAMP AS b, value FROM events WHERE value >= 30),
 every AS (SELECT event_type, unnest(generate_series(min(b), max(b), INTERVAL '1 hour')) AS b FROM rows GROUP BY event_type)
-SELECT every.event_type AS type, epoch_ms(every.b) AS hour, count(rows.b) AS doc_count, round(avg(value), 4) AS value
+SELECT every.event_type AS type, epoch_ms(every.b) AS hour, count(rows.b) AS doc_count, round(avg(value), 9) AS value
 FROM every LEFT JOIN rows ON rows.b = every.b AND rows.event_type = every.event_type GROUP BY every.event_type, every.b""",
     ),
     "AGG11_AGG12_format_min_doc_count": (
@@ -321,7 +321,7 @@ SELECT customer, hit_rank, o_orderkey, o_orderdate FROM
         """
 WITH n AS (SELECT o_orderstatus AS status, epoch_ms(date_trunc('year', o_orderdate)::TIMESTAMP) AS year, o_orderpriority AS priority,
                   count(*) AS doc_count, avg(o_totalprice) AS a FROM orders GROUP BY 1, 2, 3)
-SELECT status, year, priority, doc_count, round(a, 4) AS avg_price FROM
+SELECT status, year, priority, doc_count, round(a, 6) AS avg_price FROM
 (SELECT *, row_number() OVER (PARTITION BY status, year ORDER BY a DESC, priority) AS r FROM n) WHERE r <= 2""",
     ),
     "AGG16_sub_terms_of_ordered_parents": (
