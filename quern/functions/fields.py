@@ -44,6 +44,17 @@ class Field:
             raise QueryError(f"{self.name} is not a nested field")
         return Fields(self.dtype.elementType, child.getField, prefix=self.name + ".")
 
+    def only_child_field(self, condition: Callable[[Fields], Column]) -> str | None:
+        """The one child field that a condition on the children looks at, if it is just one."""
+        used: set[str] = set()
+
+        def note(name: str) -> Column:
+            used.add(name)
+            return F.col(name)
+
+        condition(Fields(self.dtype.elementType, note, prefix=self.name + "."))
+        return used.pop() if len(used) == 1 else None
+
 
 class Fields(Mapping[str, Field]):
     """Name -> Field. An unknown name raises."""

@@ -164,6 +164,11 @@ def nested(field: Field, condition: Callable[[Fields], Column]) -> Column:
     """Some single child meets the whole condition. Children may be nested further."""
     if not field.is_nested:
         raise QueryError(f"{field.name} is not a nested field")
+    only = field.only_child_field(condition)
+    if only is not None:
+        # The array of just that child field: the scan then reads no other.
+        inside = field.dtype.elementType
+        return F.exists(field.col[only], lambda v: condition(Fields(inside, lambda _: v, prefix=field.name + ".")))
     return F.exists(field.col, lambda child: condition(field.children_of(child)))
 
 

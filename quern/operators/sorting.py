@@ -58,6 +58,9 @@ def _values(field: Field, path: tuple[str, ...], where: Callable[[Fields], Colum
     if not field.is_nested:
         raise QueryError(f"{field.name} is not a nested field")
     children = field.col
+    if where is None and len(path) == 1:
+        field.children_of(children)[path[0]]  # raises on unknown names
+        return children[path[0]]  # the scan reads only this child field
     if where is not None:
         children = F.filter(children, lambda c: where(field.children_of(c)))
     if len(path) == 1:

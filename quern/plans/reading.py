@@ -35,9 +35,8 @@ def by_ids(spark: SparkSession, directory: str) -> DataFrame:
 def count(spark: SparkSession, directory: str) -> DataFrame:
     orders = nullable_orders(spark, directory)
     some = P.gt(fields(orders)["o_totalprice"], 250000.0)
-    return orders.agg(
-        F.count(F.lit(1)).alias("every"), F.count_if(some).alias("expensive")
-    )
+    counts = (R.select_count(orders), R.select_count(orders, some))
+    return spark.createDataFrame([counts], "every bigint, expensive bigint")
 
 
 def top(spark: SparkSession, directory: str) -> DataFrame:

@@ -144,3 +144,18 @@ def test_gap_filling_shares_the_buckets(spark, name, scans):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("FileScan") == scans
+
+
+def test_conditions_on_one_child_field_read_only_it(spark, products, tmp_path):
+    from quern.operators.reads import search
+    from quern.operators.sorting import by_nested
+
+    products.write.parquet(f"{tmp_path}/p")
+    stored = spark.read.parquet(f"{tmp_path}/p")
+    f = fields(stored)
+    found = stored.filter(P.nested(f["skus"], lambda s: P.eq(s["spec"], "4K") | P.is_null(s["spec"]))).select("id")
+    assert "skus:array<struct<spec:string>>" in plan(found)
+    assert [r["id"] for r in found.collect()] == [90003]
+    ordered = search(stored, None, [by_nested(f["skus"], "quantity", descending=True)], limit=2, key=f["id"]).select("id")
+    assert "skus:array<struct<quantity:int>>" in plan(ordered)
+    assert [r["id"] for r in ordered.collect()] == [90002, 90001]
