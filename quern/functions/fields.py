@@ -44,8 +44,8 @@ class Field:
             raise QueryError(f"{self.name} is not a nested field")
         return Fields(self.dtype.elementType, child.getField, prefix=self.name + ".")
 
-    def only_child_field(self, condition: Callable[[Fields], Column]) -> str | None:
-        """The one child field that a condition on the children looks at, if it is just one."""
+    def child_fields_used(self, condition: Callable[[Fields], Column]) -> list[str]:
+        """The child fields that a condition on the children looks at, in their declared order."""
         used: set[str] = set()
 
         def note(name: str) -> Column:
@@ -53,7 +53,7 @@ class Field:
             return F.col(name)
 
         condition(Fields(self.dtype.elementType, note, prefix=self.name + "."))
-        return used.pop() if len(used) == 1 else None
+        return [n for n in self.dtype.elementType.fieldNames() if n in used]
 
 
 class Fields(Mapping[str, Field]):

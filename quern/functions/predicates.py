@@ -164,11 +164,14 @@ def nested(field: Field, condition: Callable[[Fields], Column]) -> Column:
     """Some single child meets the whole condition. Children may be nested further."""
     if not field.is_nested:
         raise QueryError(f"{field.name} is not a nested field")
-    only = field.only_child_field(condition)
-    if only is not None:
-        # The array of just that child field: the scan then reads no other.
-        inside = field.dtype.elementType
-        return F.exists(field.col[only], lambda v: condition(Fields(inside, lambda _: v, prefix=field.name + ".")))
+    used, inside, prefix = field.child_fields_used(condition), field.dtype.elementType, field.name + "."
+    # An array of just the fields in use lets the scan leave out the others. One field is an array by
+    # itself; several are zipped, which pays when they are the smaller part of a child.
+    if len(used) == 1:
+        return F.exists(field.col[used[0]], lambda value: condition(Fields(inside, lambda _: value, prefix=prefix)))
+    if 2 * len(used) <= len(inside):
+        zipped = F.arrays_zip(*[field.col[n] for n in used])  # keeps the names
+        return F.exists(zipped, lambda child: condition(Fields(inside, child.getField, prefix=prefix)))
     return F.exists(field.col, lambda child: condition(field.children_of(child)))
 
 

@@ -159,3 +159,17 @@ def test_conditions_on_one_child_field_read_only_it(spark, products, tmp_path):
     ordered = search(stored, None, [by_nested(f["skus"], "quantity", descending=True)], limit=2, key=f["id"]).select("id")
     assert "skus:array<struct<quantity:int>>" in plan(ordered)
     assert [r["id"] for r in ordered.collect()] == [90002, 90001]
+
+
+def test_conditions_on_few_child_fields_leave_out_the_others(spark, tmp_path):
+    child = F.struct(*[(F.col("id") * n % 7).alias(f"f{n}") for n in range(1, 6)])
+    df = spark.range(40).select("id", F.when(F.col("id") > 0, F.array(child, child)).alias("kids"))
+    df.write.parquet(f"{tmp_path}/k")
+    stored = spark.read.parquet(f"{tmp_path}/k")
+
+    def both(c):
+        return P.gt(c["f2"], 3) & P.eq(c["f4"], 3)
+
+    found = stored.filter(P.nested(fields(stored)["kids"], both)).select("id")
+    assert "kids:array<struct<f2:bigint,f4:bigint>>" in plan(found)
+    assert {r["id"] for r in found.collect()} == {i for i in range(1, 40) if i * 2 % 7 > 3 and i * 4 % 7 == 3}

@@ -208,3 +208,23 @@ def test_fragments_keep_the_whole_text(spark):
     assert len(df.select(fragments(f["t"], [X.text_query(f["t"], "needle")], count=2).alias("h")).first()["h"]) == 2
     everything = df.select(fragments(f["t"], query, "", "", count=None).alias("h")).first()["h"]
     assert all(len(p) <= 110 for p in everything if " " in p.strip() or "." in p)
+
+
+def test_match_inside_children(spark):
+    from pyspark.sql import types as T
+
+    from quern.functions import predicates as P
+
+    child = T.StructType(
+        [T.StructField("body", T.StringType(), True, {"analyzer": "standard"}), T.StructField("n", T.IntegerType())]
+    )
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("kids", T.ArrayType(child))])
+    df = spark.createDataFrame(
+        [(1, [("A red apple", 1), ("pie", 2)]), (2, [("apples", 1), ("red", 2)]), (3, None), (4, [(None, 2)])], schema
+    )
+    kids = fields(df)["kids"]
+    assert matching(df, P.nested(kids, lambda c: X.match(c["body"], "APPLE pie"))) == {1}
+    assert matching(df, P.nested(kids, lambda c: X.match(c["body"], "red") & P.eq(c["n"], 2))) == {2}
+    assert matching(df, P.nested(kids, lambda c: X.multi_match([c["body"]], "red apple", "phrase"))) == {1}
+    with pytest.raises(QueryError):
+        P.nested(kids, lambda c: P.eq(c["body"], "pie"))
