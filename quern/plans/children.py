@@ -22,7 +22,7 @@ def documents(spark: SparkSession, directory: str, with_words: bool = False) ->
 
     def words(line):
         return F.transform(
-            F.split(line, " ", -1), lambda w: F.struct(w.alias("word"), F.length(w).alias("n_chars"))
+            F.split(line, " ", -1), lambda w: F.struct(w.alias("word"), F.length(w).cast("bigint").alias("n_chars"))
         )
 
     lines = F.transform(
@@ -30,7 +30,7 @@ def documents(spark: SparkSession, directory: str, with_words: bool = False) ->
         lambda line, i: F.struct(
             (i + 1).alias("line_no"),
             line.alias("body"),
-            F.length(line).alias("n_chars"),
+            F.length(line).cast("bigint").alias("n_chars"),
             *([words(line).alias("words")] if with_words else []),
         ),
     )
@@ -189,7 +189,7 @@ QUERIES = {
         line_metrics_per_language,
         LINES
         + "SELECT lang, count(*) AS doc_count, count(*) AS chars_count, min(length(body)) AS chars_min,"
-        " max(length(body)) AS chars_max, round(avg(length(body)), 6) AS chars_avg, sum(length(body)) AS chars_sum"
+        " max(length(body)) AS chars_max, round(avg(length(body)), 6) AS chars_avg, sum(length(body))::BIGINT AS chars_sum"
         " FROM lines GROUP BY 1",
     ),
     "AGG15_AGG2_terms_in_nested_in_nested": (
