@@ -216,8 +216,9 @@ class TextQuery:
     def condition(self) -> Column:
         if self.type == "cross_fields":
             # Term by term: each may be found in any of the fields.
+            never = F.lit(False)
             return self._enough(
-                [reduce(_either, [F.coalesce(self._term_in(f, t), F.lit(False)) for f in self.fields]) for t in self.terms]
+                [reduce(_either, [F.coalesce(self._term_in(f, t), never) for f in self.fields]) for t in self.terms]
             )
         return reduce(_either, [self.condition_in(f) for f in self.fields])
 

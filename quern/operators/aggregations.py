@@ -291,7 +291,8 @@ def _add_bucket(scope: _Scope, agg: Agg, result: AggResult) -> None:
     build = {"terms": _terms, "date_histogram": _histogram, "range": _ranges}[agg.kind]
     keyed, frame, bound, cut = build(scope, agg, found, column, metrics)
 
-    below = replace(scope, rows=keyed, keys=scope.keys + (_Key(column, agg.name, _shown(agg, column)),), bound=bound, path=path)
+    keys = scope.keys + (_Key(column, agg.name, _shown(agg, column)),)
+    below = replace(scope, rows=keyed, keys=keys, bound=bound, path=path)
     result.put(path, agg.kind, _named(frame, agg, below, metrics), agg.children)
     if any(a.kind not in METRICS for a in agg.children):
         if cut:
@@ -312,7 +313,9 @@ def _shown(agg: Agg, column: str) -> Column:
 
 
 def _check_names(scope: _Scope, agg: Agg, metrics) -> None:
-    names = [k.name for k in scope.keys] + ([] if agg.kind == "nested" else [agg.name]) + [n for n, _, _ in metrics] + ["doc_count"]
+    names = [k.name for k in scope.keys] + [n for n, _, _ in metrics] + ["doc_count"]
+    if agg.kind != "nested":
+        names.append(agg.name)
     if agg.kind == "date_histogram" and agg.options["format"]:
         names.append(f"{agg.name}_text")
     repeated = {n for n in names if names.count(n) > 1}

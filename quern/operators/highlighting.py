@@ -48,13 +48,13 @@ def fragments(
 ) -> Column:
     """array<string>: the first ``count`` (None: all) fragments of ``field`` with a hit, hits tagged."""
     marks = [m for q in queries if any(f.name == field.name for f in q.fields) for m in _marked(q, field)]
+    nothing = F.array().cast("array<string>")
     if not marks:
-        return F.array().cast("array<string>")
+        return nothing
     text = field.col.cast("string")
     if not field.is_text:
-        return F.when(text.isin([words[0] for words, _ in marks]), F.array(F.concat(F.lit(pre_tag), text, F.lit(post_tag)))).otherwise(
-            F.array().cast("array<string>")
-        )
+        tagged = F.array(F.concat(F.lit(pre_tag), text, F.lit(post_tag)))
+        return F.when(text.isin([words[0] for words, _ in marks]), tagged).otherwise(nothing)
     pattern = F.lit(_marks_pattern(marks))
     replacement = F.lit(_literal(pre_tag) + "$0" + _literal(post_tag))
     pieces = F.regexp_extract_all(text, F.lit(fragment_pattern(size)), F.lit(0))

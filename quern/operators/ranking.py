@@ -74,7 +74,8 @@ class _Corpus:
             rows, mean = self._total_names(name)
             filled = F.nullif(length(field), F.lit(0))  # rows without a token do not count
             totals += [F.count(filled).alias(rows), F.avg(filled).alias(mean)]
-        totals += [F.count_if(holds(self._fields[n], words, end)).alias(c) for (n, words, end), c in self._counts.items()]
+        for (name, words, open_end), column in self._counts.items():
+            totals.append(F.count_if(holds(self._fields[name], words, open_end)).alias(column))
         self._totals = df.agg(*totals).select(F.struct("*")).scalar() if totals else None
 
     def _total_names(self, name: str) -> tuple[str, str]:

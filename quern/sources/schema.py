@@ -141,9 +141,10 @@ def stored_schema(schema: T.StructType) -> T.StructType:
 
 def to_stored(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Property names -> stored names, children included. Columns not declared are left out."""
-    return df.select(
-        *[_renamed(F.col(f.name), f, write=True).alias(stored_name(f), metadata=f.metadata or {}) for f in schema.fields]
-    )
+    out = []
+    for f in schema.fields:
+        out.append(_renamed(F.col(f.name), f, write=True).alias(stored_name(f), metadata=f.metadata or {}))
+    return df.select(*out)
 
 
 def from_stored(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -202,16 +203,14 @@ def check(df: DataFrame, declared: T.StructType, policy: str = "warn") -> DataFr
 
 def conform(df: DataFrame, declared: T.StructType) -> DataFrame:
     """Cast to the declared schema by name, children included; absent columns become null."""
-    return df.select(
-        *[
-            _cast(F.col(f.name) if f.name in df.columns else None, df.schema[f.name].dataType, f.dataType).alias(
-                f.name, metadata=f.metadata or {}
-            )
-            if f.name in df.columns
-            else F.lit(None).cast(f.dataType).alias(f.name, metadata=f.metadata or {})
-            for f in declared.fields
-        ]
-    )
+    out = []
+    for f in declared.fields:
+        if f.name in df.columns:
+            col = _cast(F.col(f.name), df.schema[f.name].dataType, f.dataType)
+        else:
+            col = F.lit(None).cast(f.dataType)
+        out.append(col.alias(f.name, metadata=f.metadata or {}))
+    return df.select(*out)
 
 
 def _cast(col: Column, have: T.DataType, want: T.DataType) -> Column:
