@@ -112,45 +112,51 @@ def fuzzy(field: Field, value: str, edits: int | None = None) -> Column:
         return field.col == F.lit(value)
     col = field.col
     close = F.levenshtein(col, F.lit(value), edits) >= 0
-    swapped = _swaps(value)
+    swapped = [
+        (value[:i], value[i + 1] + value[i], value[i + 2 :])
+        for i in range(len(value) - 1)
+        if value[i] != value[i + 1]
+    ]
     if not swapped:
         return close
-    # A swap costs one edit, which plain Levenshtein counts as two. So the values reached by a swap
-    # and nothing else are listed, and with two edits the rest of the value may take one more edit.
+    # A swap costs one edit, which plain Levenshtein counts as two. With one edit only the swapped values
+    # themselves are added; with two the part before or after the swap may take one more edit.
     if edits == 1:
-        near = col.isin(sorted({left + pair + right for left, pair, right in swapped}))
+        near = col.isin([before + pair + after for before, pair, after in swapped])
     else:
-        twice = {l + p + r for left, pair, right in swapped for l, p, r in _swaps(right, left + pair)}
-        once = {left + pair + right for left, pair, right in swapped}
-        near = col.isin(sorted(once | twice))
-        for left, pair, right in swapped:
-            tail, head = pair + right, left + pair
-            near = (
-                near
-                | (
-                    col.endswith(tail)
-                    & (F.levenshtein(F.lit(left), _cut_end(col, tail), 1) >= 0)
-                )
-                | (
-                    col.startswith(head)
-                    & (F.levenshtein(F.lit(right), F.substring(col, len(head) + 1, 2**31 - 1), 1) >= 0)
+        cases = F.array(
+            *[
+                F.struct(
+                    F.lit(before).alias("before"),
+                    F.lit(pair + after).alias("ending"),
+                    F.lit(before + pair).alias("beginning"),
+                    F.lit(after).alias("after"),
                 )
-            )
+                for before, pair, after in swapped
+            ]
+        )
+        near = F.exists(cases, lambda case: _one_more_edit(col, case))
     in_reach = F.length(col).between(len(value) - edits, len(value) + edits)
     return in_reach & (close | near)
 
 
-def _swaps(text: str, before: str = "") -> list[tuple[str, str, str]]:
-    """Every way to swap two different neighbours: (left part, swapped pair, right part)."""
-    return [
-        (before + text[:i], text[i + 1] + text[i], text[i + 2 :])
-        for i in range(len(text) - 1)
-        if text[i] != text[i + 1]
-    ]
-
-
-def _cut_end(col: Column, tail: str) -> Column:
-    return F.substring(col, F.lit(1), F.length(col) - F.lit(len(tail)))
+def _one_more_edit(col: Column, case: Column) -> Column:
+    before, after, beginning, ending = (case[n] for n in ("before", "after", "beginning", "ending"))
+    start = F.substring(col, F.lit(1), F.length(col) - F.length(ending))
+    rest = F.substring(col, F.length(beginning) + 1, F.length(col))
+    swap_in_rest = F.exists(
+        F.sequence(F.lit(1), F.greatest(F.length(after) - 1, F.lit(1))),
+        lambda i: rest
+        == F.concat(
+            F.substring(after, F.lit(1), i - 1),
+            F.substring(after, i + 1, F.lit(1)),
+            F.substring(after, i, F.lit(1)),
+            F.substring(after, i + 2, F.length(after)),
+        ),
+    )
+    return (col.endswith(ending) & (F.levenshtein(before, start, 1) >= 0)) | (
+        col.startswith(beginning) & ((F.levenshtein(after, rest, 1) >= 0) | swap_in_rest)
+    )
 
 
 def is_null(field: Field) -> Column:

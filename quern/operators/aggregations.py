@@ -110,6 +110,8 @@ def date_histogram(
 ) -> Agg:
     """One bucket per calendar unit, keyed by epoch milliseconds, empty ones in between included.
 
+    Units begin in the session's time zone; keep that at UTC, as ``quern.session.SETTINGS`` does.
+
     ``min_doc_count`` drops buckets with fewer rows; ``format`` adds the key as text.
     """
     if interval not in UNIT_MS:

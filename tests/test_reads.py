@@ -37,6 +37,22 @@ def test_fuzzy_equals_brute_force(spark):
             assert got == {x for x in words if edit_distance(value, x) <= edits}, (value, edits)
 
 
+def test_fuzzy_with_a_long_value(spark):
+    value = "".join(random.Random(1).choice("abcdefgh") for _ in range(300))
+
+    def swap(text, i):
+        return text[:i] + text[i + 1] + text[i] + text[i + 2 :]
+
+    def changes(text):
+        return (text, swap(text, 10), swap(swap(text, 10), 250), "z" + swap(text, 100), swap(text, 100)[:-1])
+
+    rows = [*changes(value), swap(swap(swap(value, 10), 100), 250), value[1:-2], ""]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, w string")
+    for edits in (1, 2):
+        got = {r["i"] for r in df.filter(P.fuzzy(fields(df)["w"], value, edits)).collect()}
+        assert got == {i for i, r in enumerate(rows) if edit_distance(value, r) <= edits}
+
+
 def test_automatic_edits():
     assert [P.auto_edits("x" * n) for n in (0, 2, 3, 5, 6, 20)] == [0, 0, 1, 1, 2, 2]
 
