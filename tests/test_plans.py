@@ -173,3 +173,26 @@ def test_conditions_on_few_child_fields_leave_out_the_others(spark, tmp_path):
     found = stored.filter(P.nested(fields(stored)["kids"], both)).select("id")
     assert "kids:array<struct<f2:bigint,f4:bigint>>" in plan(found)
     assert {r["id"] for r in found.collect()} == {i for i in range(1, 40) if i * 2 % 7 > 3 and i * 4 % 7 == 3}
+
+
+def test_keyset_cursor_reaches_the_scan(spark):
+    from quern.operators.reads import after
+    from quern.operators.sorting import asc, desc
+
+    orders = table(spark, TESTDATA, "orders")
+    f = fields(orders)
+    later = after(orders, [desc(f["o_orderdate"]), asc(f["o_orderkey"])], ("1998-01-01 00:00:00", "7"))
+    shown = plan(orders.filter(later))
+    assert "PushedFilters: [Or(Or(LessThan(o_orderdate,1998-01-01T00:00),IsNull(o_orderdate))" in shown
+    assert "GreaterThan(o_orderkey,7)" in shown
+
+
+def test_distance_box_reaches_the_scan(spark, products, tmp_path):
+    from quern.functions import geo
+
+    products.write.parquet(f"{tmp_path}/p")
+    stored = spark.read.parquet(f"{tmp_path}/p")
+    near = stored.filter(geo.geo_distance(fields(stored)["location"], "1500km", geo.Point(39.9, 116.4))).select("id")
+    shown = plan(near)
+    assert "GreaterThanOrEqual(location.lat," in shown and "LessThanOrEqual(location.lon," in shown
+    assert {r["id"] for r in near.collect()} == {90001, 90002}
