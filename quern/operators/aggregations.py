@@ -32,6 +32,8 @@ UNIT_MS = {
     "quarter": 7_776_000_000,
     "year": 31_536_000_000,
 }
+DAY_MS = UNIT_MS["day"]
+MONTHS = {"month": 1, "quarter": 3, "year": 12}
 # Gap filling refuses longer histograms than this (per parent bucket).
 MAX_HISTOGRAM = 65_536
 # Kept buckets up to this many (a number the terms sizes prove) are broadcast; more are joined by shuffle.
@@ -110,7 +112,7 @@ def date_histogram(
 ) -> Agg:
     """One bucket per calendar unit, keyed by epoch milliseconds, empty ones in between included.
 
-    Units begin in the session's time zone; keep that at UTC, as ``quern.session.SETTINGS`` does.
+    Units begin in UTC whatever the session's time zone is; weeks begin on Monday.
 
     ``min_doc_count`` drops buckets with fewer rows; ``format`` adds the key as text.
     """
@@ -306,9 +308,7 @@ def _add_bucket(scope: _Scope, agg: Agg, result: AggResult) -> None:
 
 
 def _shown(agg: Agg, column: str) -> Column:
-    """Date histogram keys are shown as epoch milliseconds, ranges by their labels."""
-    if agg.kind == "date_histogram":
-        return F.unix_millis(column)
+    """Ranges are shown by their labels."""
     if agg.kind == "range":
         return F.get(F.array(*[F.lit(r.label) for r in agg.options["ranges"]]), F.col(column))
     return F.col(column)
@@ -350,8 +350,7 @@ def _histogram(scope: _Scope, agg: Agg, found: Field, column: str, metrics):
     if not isinstance(found.dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         raise QueryError(f"date_histogram needs a date, not {found.name}")
     unit, least = agg.options["interval"], agg.options["min_doc_count"]
-    start = F.date_trunc(unit, found.col.cast("timestamp"))
-    keyed = scope.rows.withColumn(column, start).filter(F.col(column).isNotNull())
+    keyed = scope.rows.withColumn(column, _unit_start(found, unit)).filter(F.col(column).isNotNull())
     frame = _grouped(keyed, scope, column, metrics)
     if least > 0:
         frame = frame.filter(F.col("doc_count") >= least)
@@ -360,6 +359,45 @@ def _histogram(scope: _Scope, agg: Agg, found: Field, column: str, metrics):
     return keyed, frame, None, least > 1
 
 
+def _unit_start(found: Field, unit: str) -> Column:
+    """Epoch milliseconds of the start of the calendar unit, in UTC. No step depends on the session's zone."""
+    if isinstance(found.dtype, T.TimestampType):
+        ms = F.unix_millis(found.col)
+    else:
+        ms = F.unix_date(found.col.cast("date")).cast("bigint") * DAY_MS
+        if isinstance(found.dtype, T.TimestampNTZType):
+            seconds = F.hour(found.col) * 3600 + F.minute(found.col) * 60 + F.second(found.col)
+            ms = ms + seconds.cast("bigint") * 1000
+    if unit in MONTHS:
+        return _date_ms(F.trunc(_date(ms), unit))
+    first_monday = 4 * DAY_MS if unit == "week" else 0
+    return ms - F.pmod(ms - F.lit(first_monday), F.lit(UNIT_MS[unit]))
+
+
+def _starts(unit: str) -> Column:
+    """All unit starts from __first to __last."""
+    if unit not in MONTHS:
+        return F.sequence("__first", "__last", F.lit(UNIT_MS[unit]).cast("bigint"))
+    first, last = (F.year(d) * 12 + F.month(d) - 1 for d in (_date(F.col("__first")), _date(F.col("__last"))))
+    return F.transform(
+        F.sequence(first, last, F.lit(MONTHS[unit])),
+        lambda m: _date_ms(F.make_date((m / 12).cast("int"), m % 12 + 1, F.lit(1))),
+    )
+
+
+def _date(ms: Column) -> Column:
+    return F.date_from_unix_date(F.floor(ms / F.lit(DAY_MS)).cast("int"))
+
+
+def _date_ms(date: Column) -> Column:
+    return F.unix_date(date).cast("bigint") * DAY_MS
+
+
+def _key_text(ms: Column, pattern: str) -> Column:
+    moment = _date(ms).cast("timestamp_ntz") + F.make_dt_interval(secs=F.pmod(ms, F.lit(DAY_MS)) / 1000)
+    return F.date_format(moment, pattern)
+
+
 def _fill_gaps(frame: DataFrame, parents: list[str], column: str, unit: str, metrics) -> DataFrame:
     """Add the empty buckets between the first and last one of each parent.
 
@@ -368,10 +406,9 @@ def _fill_gaps(frame: DataFrame, parents: list[str], column: str, unit: str, met
     buckets as the join below, and Spark computes them once for both.
     """
     whole = F.struct(column, *[c for c in frame.columns if c != column])
-    count = (F.unix_millis("__last") - F.unix_millis("__first")) / F.lit(UNIT_MS[unit])
-    step = F.expr("INTERVAL 3 MONTH" if unit == "quarter" else f"INTERVAL 1 {unit}")
+    count = (F.col("__last") - F.col("__first")) / F.lit(UNIT_MS[unit])
     too_long = F.raise_error(F.lit(f"date_histogram by {unit} would have more than {MAX_HISTOGRAM} buckets"))
-    layout = F.when(count < MAX_HISTOGRAM, F.sequence("__first", "__last", step)).otherwise(too_long)
+    layout = F.when(count < MAX_HISTOGRAM, _starts(unit)).otherwise(too_long)
     spans = frame.groupBy(*parents).agg(
         F.min(whole)[column].alias("__first"), F.max(whole)[column].alias("__last")
     )
@@ -446,7 +483,7 @@ def _named(frame: DataFrame, agg: Agg, scope: _Scope, metrics) -> DataFrame:
         # At the top the limit has sorted them already.
         order = order[:-1] + ["__rank"] if len(order) > 1 else []
     elif agg.kind == "date_histogram" and agg.options["format"]:
-        columns.append(F.date_format(order[-1], agg.options["format"]).alias(f"{agg.name}_text"))
+        columns.append(_key_text(F.col(order[-1]), agg.options["format"]).alias(f"{agg.name}_text"))
     if order:
         frame = frame.orderBy(*order)
     return frame.select(*columns, "doc_count", *[n for n, _, _ in metrics])
