@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm.chat import format_turns, read_back
-from quern.llm.common import whole
 from quern.llm.exact_dedup import exact_groups
+from quern.llm.language import held_out, identify, train
 from quern.llm.packing import pack
+from quern.llm.piecewise import edited_pairs
 from quern.llm.warc import archived
 from quern.plans.tables import table
 
@@ -66,6 +67,18 @@ SELECT doc_id, keep_id, group_size, keep_id = doc_id AS kept, sha256(n) AS text_
 """
 
 
+def op7_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return edited_pairs(table(spark, directory, "documents"))
+
+
+def op8_language(spark: SparkSession, directory: str) -> DataFrame:
+    """Languages of all documents, learned from those that are not held out."""
+    docs = table(spark, directory, "documents")
+    model = train(docs.where(~held_out()))
+    return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op10_chat(spark: SparkSession, directory: str) -> DataFrame:
     """All conversations and one full of control strings, formatted and read back."""
     turns = table(spark, directory, "conversations").select("conv_id", "turn", "role", "text")
@@ -94,5 +107,7 @@ QUERIES = {
     "op1_warc": (op1_warc, OP1_SQL),
     "op5_packing": (op5_packing, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
+    "op7_fingerprints": (op7_fingerprints, None),
+    "op8_language": (op8_language, None),
     "op10_chat": (op10_chat, OP10_SQL),
 }
