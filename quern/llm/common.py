@@ -65,3 +65,38 @@ def map_columns(
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return df.mapInArrow(run, schema)
+
+
+def bit_of(values: list[Column], bits: int) -> Column:
+    """A position from 1 to ``bits`` for these values."""
+    return F.pmod(F.xxhash64(*values), F.lit(bits)) + 1
+
+
+def bitmap(df: DataFrame, values: list[Column], bits: int) -> DataFrame:
+    """bucket, bitmap: the bits of all rows set, in at most ``bits`` / 32768 rows of 4 KB whatever the table's size."""
+    bit = bit_of(values, bits)
+    return df.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bitmap")
+    )
+
+
+def with_bit(df: DataFrame, values: list[Column], bitmaps: DataFrame, bits: int, name: str) -> DataFrame:
+    """``df`` with whether the bit of its values is set. Always true for values that the bitmap was built from."""
+    bit = bit_of(values, bits)
+    position = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring(F.col("bitmap"), (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, (position % 8).cast("int")) == 1
+    return (
+        df.join(F.broadcast(bitmaps), F.bitmap_bucket_number(bit) == F.col("bucket"), "left")
+        .withColumn(name, F.coalesce(is_set, F.lit(False)))
+        .drop("bucket", "bitmap")
+    )
+
+
+def may_contain(df: DataFrame, column: str, among: DataFrame, bits: int = 1 << 25) -> DataFrame:
+    """Rows of ``df`` whose value may be in ``among`` (one column): none of those is missing, a few others are left.
+
+    ``df`` is not shuffled. The filter that is broadcast has at most ``bits`` / 8 bytes.
+    """
+    bitmaps = bitmap(among, [F.col(among.columns[0])], bits)
+    return with_bit(df, [F.col(column)], bitmaps, bits, "_in").where("_in").drop("_in")

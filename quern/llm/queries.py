@@ -13,6 +13,7 @@ from quern.llm.exact_dedup import exact_groups
 from quern.llm.language import held_out, identify, train
 from quern.llm.packing import pack
 from quern.llm.piecewise import edited_pairs
+from quern.llm.shingle_join import linked_components
 from quern.llm.warc import archived
 from quern.plans.tables import table
 
@@ -79,6 +80,29 @@ def op8_language(spark: SparkSession, directory: str) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op9_shingle_join(spark: SparkSession, directory: str) -> DataFrame:
+    """Components of all documents under links of 0.8 Jaccard similarity of five-word shingles."""
+    return linked_components(table(spark, directory, "documents")).withColumnRenamed("component", "component_id")
+
+
+OP9_SQL = """
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5
+    THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS set FROM w),
+t AS (SELECT doc_id, unnest(set) AS shingle FROM s),
+l AS (SELECT a.doc_id AS x, b.doc_id AS y FROM t a JOIN t b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN s p ON p.doc_id = a.doc_id JOIN s q ON q.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, len(p.set), len(q.set)
+  HAVING 100 * count(*) >= 80 * (len(p.set) + len(q.set) - count(*))),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.reached = l.x)
+SELECT s.doc_id, CAST(len(set) AS BIGINT) AS n_shingles, min(reached) AS component_id
+FROM s JOIN r ON s.doc_id = r.doc_id GROUP BY s.doc_id, len(set)
+"""
+
+
 def op10_chat(spark: SparkSession, directory: str) -> DataFrame:
     """All conversations and one full of control strings, formatted and read back."""
     turns = table(spark, directory, "conversations").select("conv_id", "turn", "role", "text")
@@ -109,5 +133,6 @@ QUERIES = {
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op7_fingerprints": (op7_fingerprints, None),
     "op8_language": (op8_language, None),
+    "op9_shingle_join": (op9_shingle_join, OP9_SQL),
     "op10_chat": (op10_chat, OP10_SQL),
 }
