@@ -19,18 +19,10 @@ Defined results:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import whole, without_blanks, written
-
-BITMAP_BYTES = 4096  # fixed value: bitmap_construct_agg gives 32,768 bits per bucket
-
-
-def _bit(parts: list[Column], bits: int) -> Column:
-    """A position from 1 to ``bits`` for these values."""
-    return F.pmod(F.xxhash64(*parts), F.lit(bits)) + 1
-
+from quern.llm.common import bitmap, whole, with_bit, without_blanks, written
 
 def exact_groups(
     docs: DataFrame,
@@ -53,26 +45,15 @@ def exact_groups(
         F.length(whole(text)).cast("bigint").alias("points"),
         stripped.alias("stripped"),
     )
-    pairs = read.groupBy("n", "p").agg(F.count("*").alias("rows"))
+    pairs = written(read.groupBy("n", "p").agg(F.count("*").alias("rows")), "exact-pairs")
     lengths = pairs.groupBy("n").agg(F.sum("rows").alias("rows"), F.max("rows").alias("most"))
     # A length that occurs once needs no look at prefixes; one whose pairs are all single has no copy either.
     shared = lengths.where((F.col("rows") > 1) & (F.col("most") > 1)).select("n")
     alike = pairs.where("rows > 1").join(shared, "n", "left_semi").select("n", "p")
-    bit = _bit([F.col("n"), F.col("p")], bits)
-    bitmaps = alike.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bitmap")
-    )
-
-    placed = read.withColumn("bit", bit)
-    # At most bits / 32768 rows of 4 KB, whatever the table's size.
-    marked = placed.join(F.broadcast(bitmaps), F.bitmap_bucket_number("bit") == F.col("bucket"), "left")
-    position = F.bitmap_bit_position("bit")
-    byte = F.expr("cast(conv(hex(substring(bitmap, cast(at div 8 as int) + 1, 1)), 16, 10) as int)")
-    survives = F.coalesce(F.getbit(byte, F.expr("cast(at % 8 as int)")) == 1, F.lit(False))
+    pair = [F.col("n"), F.col("p")]
+    marked = with_bit(read, pair, bitmap(alike, pair, bits), bits, "survives")
     hashed = written(
-        marked.withColumn("at", position)
-        .withColumn("survives", survives)
-        .select(
+        marked.select(
             "k",
             "points",
             "survives",
