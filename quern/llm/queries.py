@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quern.llm.chat import format_turns, read_back
 from quern.llm.exact_dedup import exact_groups
+from quern.llm.host_paths import main_text
 from quern.llm.language import held_out, identify, train
 from quern.llm.packing import pack
 from quern.llm.piecewise import edited_pairs
@@ -49,6 +50,11 @@ FROM f
 """
 
 
+def op3_main_text(spark: SparkSession, directory: str) -> DataFrame:
+    """The main text of all pages."""
+    return main_text(table(spark, directory, "pages"))
+
+
 def op5_packing(spark: SparkSession, directory: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return pack(spark, table(spark, directory, "documents")).withColumnRenamed("doc", "doc_id")
@@ -129,6 +135,7 @@ FROM e GROUP BY conv_id
 
 QUERIES = {
     "op1_warc": (op1_warc, OP1_SQL),
+    "op3_main_text": (op3_main_text, None),
     "op5_packing": (op5_packing, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op7_fingerprints": (op7_fingerprints, None),
