@@ -12,8 +12,9 @@ How it runs.
 2. The prefixes under the first order are dealt by shingle and sorted by Spark; tasks stream over them and keep
    shingles of more than one node. The node that sorts first stands for the shingle, and every other node of
    the shingle is a candidate with that one only: no group is expanded into all its pairs.
-3. Texts of nodes that are left are read again, through a filter of fixed size. Candidates must share prefix
-   shingles under the second and third order as well; what remains is verified on whole sets.
+3. Texts of nodes in a candidate pair are read again, through a filter of fixed size, for their prefixes under
+   the second and third order; a pair must share a shingle in each. Only the texts of pairs that pass are
+   moved, and the pairs verified on whole sets.
 4. Nodes that link are joined to components. Only shingles that still span several components can hide a link:
    their pairs across components go through the same filters and verification, and the components are joined anew.
    Pairs inside a component need no look, since they cannot change it.
@@ -224,16 +225,23 @@ def _shared(batches: Iterator[list]) -> Iterator[list]:
 # ---- step 3: filters and verification
 
 
-def _sets(levels: Broadcast, batches: Iterator[list]) -> Iterator[list]:
-    """node, text and the prefixes under the other orders, shortened to 32 bits: equal shingles stay equal."""
+def _other_prefixes(levels: Broadcast, batches: Iterator[list]) -> Iterator[list]:
+    """node and the prefixes under the other orders, shortened to 32 bits: equal shingles stay equal."""
     for (texts,) in batches:
         nodes, others = [], [[] for _ in range(1, ORDERS)]
         for text in texts:
             found = shingles(text.as_py())
-            nodes.append(node_of(found) if len(found) else None)
-            for order, out in enumerate(others, 1):
-                out.append(prefix(found, order, levels.value).astype(np.int32) if len(found) else None)
-        yield [nodes, texts, *[pa.array(o, pa.list_(pa.int32())) for o in others]]
+            if len(found):
+                nodes.append(node_of(found))
+                for order, out in enumerate(others, 1):
+                    out.append(prefix(found, order, levels.value).astype(np.int32))
+        yield [nodes, *[pa.array(o, pa.list_(pa.int32())) for o in others]]
+
+
+def _with_node(batches: Iterator[list]) -> Iterator[list]:
+    for (texts,) in batches:
+        found = [shingles(t.as_py()) for t in texts]
+        yield [[node_of(f) if len(f) else None for f in found], texts]
 
 
 def _verify(batches: Iterator[list]) -> Iterator[list]:
@@ -255,17 +263,39 @@ def _sizes_fit(a: str, b: str) -> Column:
     return (5 * F.col(a) >= 4 * F.col(b)) & (5 * F.col(b) >= 4 * F.col(a))
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of candidate pairs (a, b) under the first order, those that pass the other orders and link."""
+def _links(pairs: DataFrame, rows: DataFrame, documents: DataFrame, levels: Broadcast) -> DataFrame:
+    """Of candidate pairs (a, b) of nodes under the first order, those that pass the other orders and link.
+
+    Only texts of nodes in a pair are read again for their prefixes, and only those of pairs that pass for
+    verification.
+    """
+
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("of")).union(pairs.select("b")).distinct()
+        # One document stands for each node.
+        chosen = documents.join(nodes, F.col("node") == F.col("of"), "left_semi").groupBy("node").agg(
+            F.min_by("doc", F.struct(F.col("doc").isNull(), "doc")).alias("doc")
+        )
+        return may_contain(rows, "doc", chosen.select("doc")).select("text")
+
+    prefixes = written(
+        map_columns(
+            texts_of(pairs), partial(_other_prefixes, levels), "node bigint, p1 array<int>, p2 array<int>"
+        ).dropDuplicates(["node"]),
+        "shingle-prefixes",
+    )
     for end in ("a", "b"):
-        own = sets.select(F.col("node").alias("of"), *[F.col(f"p{i}").alias(f"{end}{i}") for i in range(1, ORDERS)])
+        own = prefixes.select(F.col("node").alias("of"), *[F.col(f"p{i}").alias(f"{end}{i}") for i in range(1, ORDERS)])
         pairs = pairs.join(own, F.col(end) == F.col("of")).drop("of")
     passed = F.lit(True)
     for i in range(1, ORDERS):
         passed &= F.arrays_overlap(f"a{i}", f"b{i}")
     left = written(pairs.where(passed).select("a", "b"), "shingle-candidates")
+    texts = written(
+        map_columns(texts_of(left), _with_node, "node bigint, text string").dropDuplicates(["node"]), "shingle-texts"
+    )
     for end in ("b", "a"):
-        own = sets.select(F.col("node").alias("of"), F.col("text").alias(f"text_{end}"))
+        own = texts.select(F.col("node").alias("of"), F.col("text").alias(f"text_{end}"))
         left = left.join(own, F.col(end) == F.col("of")).drop("of")
     return map_columns(left.select("a", "b", "text_a", "text_b"), _verify, "a bigint, b bigint")
 
@@ -294,27 +324,13 @@ def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         ),
         "shingle-shared",
     )
-    first = (
+    first = written(
         shared.where((F.col("node") != F.col("pivot")) & _sizes_fit("n", "pivot_n"))
         .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        .distinct()
+        .distinct(),
+        "shingle-pairs",
     )
-
-    # One document stands for each node that is left; only their texts are read again.
-    wanted = written(
-        documents.where("node is not null")
-        .groupBy("node")
-        .agg(F.min_by("doc", F.struct(F.col("doc").isNull(), "doc")).alias("doc"), F.count("*").alias("rows"))
-        .join(shared.select("node").distinct(), "node", "left_semi"),
-        "shingle-wanted",
-    )
-    read_again = may_contain(rows, "doc", wanted.select("doc"))
-    found = map_columns(
-        read_again.select("text"), partial(_sets, levels), "node bigint, text string, p1 array<int>, p2 array<int>"
-    )
-    sets = written(found.dropDuplicates(["node"]), "shingle-sets")
-
-    links = written(_links(first, sets), "shingle-links")
+    links = written(_links(first, rows, documents, levels), "shingle-links")
     parts = written(components(links, "a", "b"), "shingle-parts")
 
     # Shingles that still span several components.
@@ -333,14 +349,15 @@ def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     )
     open_rows = written(placed.join(spanning, F.col("token") == F.col("of"), "left_semi"), "shingle-open")
     x, y = open_rows.alias("x"), open_rows.alias("y")
-    across = (
+    across = written(
         x.join(y, F.col("x.token") == F.col("y.token"))
         .where("x.part < y.part and x.node <> x.pivot and y.node <> y.pivot")
         .where(_sizes_fit("x.n", "y.n"))
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .distinct()
+        .distinct(),
+        "shingle-across",
     )
-    more = written(_links(across, sets), "shingle-more")
+    more = written(_links(across, rows, documents, levels), "shingle-more")
     everything = links.union(more)
 
     # From nodes to documents: a component is named by its smallest document.
