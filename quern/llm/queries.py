@@ -15,6 +15,7 @@ from quern.llm.language import held_out, identify, train
 from quern.llm.packing import pack
 from quern.llm.piecewise import edited_pairs
 from quern.llm.shingle_join import linked_components
+from quern.llm.transducer import digests
 from quern.llm.warc import archived
 from quern.plans.tables import table
 
@@ -55,6 +56,11 @@ def op3_main_text(spark: SparkSession, directory: str) -> DataFrame:
     return main_text(table(spark, directory, "pages"))
 
 
+def op4_pieces(spark: SparkSession, directory: str) -> DataFrame:
+    """All documents encoded into SentencePiece ids and decoded again."""
+    return digests(table(spark, directory, "documents"))
+
+
 def op5_packing(spark: SparkSession, directory: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return pack(spark, table(spark, directory, "documents")).withColumnRenamed("doc", "doc_id")
@@ -136,6 +142,7 @@ FROM e GROUP BY conv_id
 QUERIES = {
     "op1_warc": (op1_warc, OP1_SQL),
     "op3_main_text": (op3_main_text, None),
+    "op4_pieces": (op4_pieces, None),
     "op5_packing": (op5_packing, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op7_fingerprints": (op7_fingerprints, None),
