@@ -12,6 +12,7 @@ from quern.llm.chat import format_turns, read_back
 from quern.llm.exact_dedup import exact_groups
 from quern.llm.host_paths import main_text
 from quern.llm.language import held_out, identify, train
+from quern.llm.licenses import scan, scan_sql
 from quern.llm.packing import pack
 from quern.llm.piecewise import edited_pairs
 from quern.llm.shingle_join import linked_components
@@ -51,6 +52,26 @@ FROM f
 """
 
 
+def op2_licenses(spark: SparkSession, directory: str) -> DataFrame:
+    """Licences of all documents as files: source, then two directories by id; every fifth is named LICENSE."""
+    number = F.col("doc_id").cast("string")
+    path = F.concat_ws(
+        "/",
+        F.coalesce("source", F.lit("none")),
+        F.concat(F.lit("a"), (F.col("doc_id") % 7).cast("string")),
+        F.concat(F.lit("b"), (F.col("doc_id") % 11).cast("string")),
+        F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("LICENSE."), number)).otherwise(F.concat(number, F.lit(".txt"))),
+    )
+    docs = table(spark, directory, "documents")
+    return scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
+OP2_SQL = scan_sql("""
+SELECT concat_ws('/', coalesce(source, 'none'), 'a' || doc_id % 7, 'b' || doc_id % 11,
+  CASE WHEN doc_id % 5 = 0 THEN 'LICENSE.' || doc_id ELSE doc_id || '.txt' END) AS path, doc_id, coalesce(text, '') AS text
+FROM documents""")
+
+
 def op3_main_text(spark: SparkSession, directory: str) -> DataFrame:
     """The main text of all pages."""
     return main_text(table(spark, directory, "pages"))
@@ -141,6 +162,7 @@ FROM e GROUP BY conv_id
 
 QUERIES = {
     "op1_warc": (op1_warc, OP1_SQL),
+    "op2_licenses": (op2_licenses, OP2_SQL),
     "op3_main_text": (op3_main_text, None),
     "op4_pieces": (op4_pieces, None),
     "op5_packing": (op5_packing, None),
