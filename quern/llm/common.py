@@ -73,10 +73,10 @@ def bit_of(values: list[Column], bits: int) -> Column:
 
 
 def bitmap(df: DataFrame, values: list[Column], bits: int) -> DataFrame:
-    """bucket, bitmap: the bits of all rows set, in at most ``bits`` / 32768 rows of 4 KB whatever the table's size."""
+    """The bits of all rows set, in at most ``bits`` / 32768 rows of 4 KB whatever the table's size."""
     bit = bit_of(values, bits)
-    return df.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bitmap")
+    return df.groupBy(F.bitmap_bucket_number(bit).alias("_bit_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_bit_map")
     )
 
 
@@ -84,12 +84,12 @@ def with_bit(df: DataFrame, values: list[Column], bitmaps: DataFrame, bits: int,
     """``df`` with whether the bit of its values is set. Always true for values that the bitmap was built from."""
     bit = bit_of(values, bits)
     position = F.bitmap_bit_position(bit)
-    byte = F.conv(F.hex(F.substring(F.col("bitmap"), (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_bit_map"), (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     is_set = F.getbit(byte, (position % 8).cast("int")) == 1
     return (
-        df.join(F.broadcast(bitmaps), F.bitmap_bucket_number(bit) == F.col("bucket"), "left")
+        df.join(F.broadcast(bitmaps), F.bitmap_bucket_number(bit) == F.col("_bit_bucket"), "left")
         .withColumn(name, F.coalesce(is_set, F.lit(False)))
-        .drop("bucket", "bitmap")
+        .drop("_bit_bucket", "_bit_map")
     )
 
 
@@ -99,4 +99,15 @@ def may_contain(df: DataFrame, column: str, among: DataFrame, bits: int = 1 << 2
     ``df`` is not shuffled. The filter that is broadcast has at most ``bits`` / 8 bytes.
     """
     bitmaps = bitmap(among, [F.col(among.columns[0])], bits)
-    return with_bit(df, [F.col(column)], bitmaps, bits, "_in").where("_in").drop("_in")
+    return with_bit(df, [F.col(column)], bitmaps, bits, "_bit_set").where("_bit_set").drop("_bit_set")
+
+
+def without(df: DataFrame, column: str, dropped: DataFrame, bits: int = 1 << 25) -> DataFrame:
+    """Rows of ``df`` whose value is not in ``dropped`` (one column); nulls equal nulls.
+
+    Only rows whose value may be among the dropped ones are joined; the others stay where they are.
+    """
+    flagged = with_bit(df, [F.col(column)], bitmap(dropped, [F.col(dropped.columns[0])], bits), bits, "_bit_set")
+    gone = dropped.select(F.col(dropped.columns[0]).alias("_dropped"))
+    asked = flagged.where("_bit_set").join(gone, F.col(column).eqNullSafe(F.col("_dropped")), "left_anti")
+    return flagged.where("not _bit_set").union(asked).drop("_bit_set")

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import bitmap, whole, with_bit, without_blanks, written
+from quern.llm.common import bitmap, whole, with_bit, without, without_blanks, written
 
 def exact_groups(
     docs: DataFrame,
@@ -82,4 +82,4 @@ def exact_groups(
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows that do not stay, all columns as they are."""
     dropped = written(exact_groups(docs, key, text).where("not kept").select(F.col(key).alias("dropped")), "exact-dropped")
-    return docs.join(dropped, docs[key].eqNullSafe(dropped["dropped"]), "left_anti")
+    return without(docs, key, dropped)

@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -185,11 +186,15 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     )
 
 
-def _identify_batches(name: str, shared: Broadcast, batches: Iterator[list]) -> Iterator[list]:
+def _scorer(name: str, shared: Broadcast) -> Scorer:
     if name not in _SCORERS:
         _SCORERS.clear()
         _SCORERS[name] = Scorer(shared.value)
-    scorer = _SCORERS[name]
+    return _SCORERS[name]
+
+
+def _identify_batches(name: str, shared: Broadcast, batches: Iterator[list]) -> Iterator[list]:
+    scorer = _scorer(name, shared)
     for keys, texts in batches:
         found = [scorer.predict(t.as_py()) for t in texts]
         yield [keys, [f[0] for f in found], [f[1] for f in found]]
@@ -201,10 +206,16 @@ def held_out(key: str = "doc_id"):
 
 
 def keep_identified(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text has no identifiable language (``und``)."""
-    model = train(labelled.where(~held_out(key)), text=text, key=key)
-    rejected = written(
-        identify(docs, model, key, text).where(F.col("lang_pred") == UNDETERMINED).select(F.col(key).alias("rejected")),
-        "language-rejected",
-    )
-    return docs.join(rejected, docs[key].eqNullSafe(rejected["rejected"]), "left_anti")
+    """``docs`` without the rows whose text has no identifiable language (``und``), all columns as they are.
+
+    Nothing is joined: rows are predicted and dropped where they are read.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(train(labelled, text=text, key=key))
+    return docs.mapInArrow(partial(_keep_batches, uuid.uuid4().hex, shared, text), docs.schema)
+
+
+def _keep_batches(name: str, shared: Broadcast, text: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    scorer = _scorer(name, shared)
+    for batch in batches:
+        keep = [scorer.predict(t.as_py())[0] != UNDETERMINED for t in batch.column(text)]
+        yield batch.filter(pa.array(keep, pa.bool_()))

@@ -40,7 +40,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import map_columns, may_contain, whole, written
+from quern.llm.common import map_columns, may_contain, whole, without, written
 from quern.llm.components import components
 
 WORDS = 5
@@ -388,4 +388,4 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         .select(F.col(key).alias("dropped")),
         "shingle-dropped",
     )
-    return docs.join(dropped, docs[key].eqNullSafe(dropped["dropped"]), "left_anti")
+    return without(docs, key, dropped)
