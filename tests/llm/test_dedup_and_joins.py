@@ -1,0 +1,186 @@
+"""Exact dedup, the shingle join, components and the pipeline against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from quern.llm.common import may_contain, without
+from quern.llm.components import components
+from quern.llm.exact_dedup import drop_copies, exact_groups
+from quern.llm.packing import byte_bpe_ids
+from quern.llm.shingle_join import linked_components, one_of_each, shingles
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, k string, bucket int, node int"
+
+
+def documents(spark, rows):
+    """Rows of (id, text, lang), with columns whose names the operators use inside."""
+    return spark.createDataFrame([(i, t, lang, "src", len(t or ""), "k", 1, 2) for i, t, lang in rows], SCHEMA)
+
+
+def words(seed, n):
+    rng = random.Random(seed)
+    return " ".join(rng.choice("red green blue apple pear plum stone river hill cloud".split()) + str(rng.randrange(50)) for _ in range(n))
+
+
+LONG = words(1, 400)
+ROWS = [
+    (1, "a b c", "en"),
+    (2, "abc", "en"),
+    (3, "a\tb\n c ", "en"),
+    (4, None, None),
+    (5, "", "en"),
+    (6, " \r\n", "en"),
+    (7, LONG, "en"),
+    (8, LONG.replace("red", "RED"), "en"),
+    (9, LONG + " tail", "en"),
+    (9, LONG + " tail", "en"),
+    (None, LONG + " tail", "en"),
+    (11, words(2, 300), "de"),
+    (12, words(3, 4), "de"),
+    (13, words(3, 4).upper(), "de"),
+    (14, words(5, 30_000), "fr"),
+    (15, " ".join(words(5, 30_000).split()[:-9]) + " x y", "fr"),
+    (16, " ", None),
+]
+
+
+def stripped(text):
+    return re.sub("[\x20\x09-\x0d]", "", text or "")
+
+
+def shingle_set(text):
+    low = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    found = [w for w in re.split("[\x20\x09-\x0d]+", low) if w]
+    if not found:
+        return frozenset()
+    return frozenset([tuple(found)]) if len(found) < 5 else frozenset(tuple(found[i : i + 5]) for i in range(len(found) - 4))
+
+
+def brute_components(rows):
+    sets = [(i, shingle_set(t)) for i, t, *_ in rows]
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for x in range(len(sets)):
+        for y in range(x):
+            a, b = sets[x][1], sets[y][1]
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                parent[find(x)] = find(y)
+    smallest = {}
+    for x, (i, s) in enumerate(sets):
+        if i is not None:
+            smallest[find(x)] = min(smallest.get(find(x), i), i)
+    return sorted(((i, len(s), smallest.get(find(x)) if s else i) for x, (i, s) in enumerate(sets)), key=str)
+
+
+@pytest.mark.parametrize("hash_all", [False, True])
+def test_exact_groups(spark, hash_all):
+    got = exact_groups(documents(spark, ROWS), hash_all=hash_all).collect()
+    groups = {}
+    for i, t, _ in ROWS:
+        groups.setdefault(stripped(t), []).append((-len(t or ""), -1 if i is None else i))
+    want = []
+    for i, t, _ in ROWS:
+        members = groups[stripped(t)]
+        keep = min(members)[1]
+        want.append((i, None if keep == -1 else keep, len(members), (-1 if i is None else i) == keep))
+    assert sorted(((r[0], r[1], r[2], r[3]) for r in got), key=str) == sorted(want, key=str)
+    digests = {(r["doc_id"], r["text_sha256"]) for r in got}
+    for i, t, _ in ROWS:
+        if hash_all or len(groups[stripped(t)]) > 1:
+            assert (i, hashlib.sha256(stripped(t).encode()).hexdigest()) in digests
+    assert exact_groups(documents(spark, [])).count() == 0
+
+
+def test_drop_copies_keeps_columns_and_clean_rows(spark):
+    left = drop_copies(documents(spark, ROWS))
+    assert left.columns == [c.split()[0] for c in SCHEMA.split(", ")]
+    # 3 has the longest original of "abc"; 6 that of the empty texts.
+    assert sorted((r["doc_id"] or 0) for r in left.collect()) == [0, 3, 6, 7, 8, 11, 12, 13, 14, 15, 16]
+
+
+def test_linked_components(spark):
+    got = sorted((tuple(r) for r in linked_components(documents(spark, ROWS)).collect()), key=str)
+    assert got == brute_components(ROWS)
+    assert linked_components(documents(spark, [])).count() == 0
+
+
+def test_links_through_chains_and_hot_passages(spark):
+    """Near copies in a chain whose ends do not link, and a passage that many documents share."""
+    rng = random.Random(5)
+    rows = []
+    base = words(7, 120).split()
+    for step in range(12):
+        rows.append((100 - step, " ".join(base), "en"))
+        base = base[3:] + [f"new{step}a", f"new{step}b", f"new{step}c"]
+    passage = words(9, 60)
+    for i in range(60):
+        rows.append((200 + i, f"{words(1000 + i, rng.randrange(1, 40))} {passage}", "en"))
+    for i in range(40):
+        changed = words(11, 90).split()
+        changed[rng.randrange(90)] = f"x{i}"
+        rows.append((300 + i, " ".join(changed), "en"))
+    got = sorted((tuple(r) for r in linked_components(documents(spark, rows)).collect()), key=str)
+    assert got == brute_components(rows)
+    assert sorted(r["doc_id"] for r in one_of_each(documents(spark, rows)).collect()) == sorted(
+        {c for _, _, c in brute_components(rows)}
+    )
+
+
+def test_shingles_are_distinct_sets():
+    assert len(shingles(None)) == len(shingles(" \n")) == 0
+    assert len(shingles("A b C")) == 1 and shingles("A b C").tolist() == shingles("a B\tc").tolist()
+    assert shingles("a b").tolist() != shingles("a b c").tolist()
+    assert len(shingles("a b c d e " * 50)) == 5
+    assert shingles("Ä b").tolist() != shingles("ä b").tolist()  # only A-Z are lower-cased
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    links = [(i, i + 1) for i in range(1, 60)] + [(500, 500), (None, 3), (70, 69), (69, 70)]
+    links += [(1000, 1000 + rng.randrange(1, 300)) for _ in range(400)]
+    found = dict(components(spark.createDataFrame(links, "a bigint, b bigint"), "a", "b").collect())
+    assert {found[i] for i in range(1, 61)} == {1}
+    assert found[70] == found[69] == 69 and 500 not in found
+    assert {c for m, c in found.items() if m >= 1000} == {1000}
+    assert components(spark.createDataFrame([], "a bigint, b bigint"), "a", "b").count() == 0
+
+
+def test_filters_lose_nothing(spark):
+    rows = spark.range(1000).withColumn("_x", F.lit(1)).union(spark.createDataFrame([(None, 1)], "id bigint, _x int"))
+    few = spark.createDataFrame([(3,), (999,), (None,), (5000,)], "v bigint")
+    assert {r["id"] for r in may_contain(rows, "id", few, bits=1 << 16).collect()} >= {3, 999, None}
+    for bits in (1 << 15, 1 << 20):
+        left = without(rows, "id", few, bits=bits)
+        assert left.columns == ["id", "_x"]
+        assert sorted(r["id"] for r in left.collect()) == [i for i in range(1000) if i not in (3, 999)]
+
+
+def test_pipeline_equals_plain_python(spark, tmp_path):
+    rows = [(i, t, lang) for i, t, lang in ROWS if i is not None and i != 9] + [(9, LONG + " tail", "en")]
+    documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    kept = [r for r in rows if any(c.isalpha() for c in r[1] or "")]
+    best = {}
+    for i, t, _ in kept:
+        best[stripped(t)] = min(best.get(stripped(t), (0, 1 << 60)), (-len(t), i))
+    kept = [r for r in kept if best[stripped(r[1])][1] == r[0]]
+    kept = {i: t for i, t, _ in kept if i in {c for _, _, c in brute_components(kept)}}
+    assert {r["doc_id"] for r in pieces} == set(kept)
+    for i, t in kept.items():
+        own = sorted((r["start"], r["length"]) for r in pieces if r["doc_id"] == i)
+        assert sum(n for _, n in own) == len(byte_bpe_ids(t)) + 1
+        assert [s for s, _ in own] == [sum(n for _, n in own[:j]) for j in range(len(own))]
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language ID", "exact dedup", "n-gram Jaccard join", "packing"]
