@@ -3,6 +3,10 @@
 Each bucket path of the tree is one ``groupBy`` that computes all its metrics at once, and its result
 is a DataFrame: one column per key on the path, ``doc_count``, one column per metric. Buckets that a
 ``terms`` size cuts off are removed by a semi join before anything below them is computed.
+
+A chain of terms and date histograms whose metrics can be merged (all but cardinality, on other fields than
+decimals) reads its rows once: they are grouped by all keys of the chain, and every level is rolled up from
+those groups. Rows without a value for a lower key stay in the groups of the upper ones.
 """
 
 from __future__ import annotations
@@ -34,12 +38,11 @@ UNIT_MS = {
 }
 DAY_MS = UNIT_MS["day"]
 MONTHS = {"month": 1, "quarter": 3, "year": 12}
-# Gap filling refuses longer histograms than this (per parent bucket).
-MAX_HISTOGRAM = 65_536
-# Kept buckets up to this many (a number the terms sizes prove) are broadcast; more are joined by shuffle.
-MAX_BROADCAST_BUCKETS = 100_000
+# Gaps are filled by blocks of this many buckets, so that no array and no task holds a long span.
+BLOCK = 4096
 
 BUCKETS = ("terms", "date_histogram", "range")
+DATES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 METRICS = ("avg", "max", "min", "sum", "stats", "cardinality")
 STATS = ("count", "min", "max", "avg", "sum")
 
@@ -52,6 +55,12 @@ class Range:
     high: float | None = None
     key: str | None = None
 
+    def __post_init__(self):
+        if self.low is None and self.high is None:
+            raise QueryError("a range needs at least one end")
+        if self.low is not None and self.high is not None and not self.low < self.high:
+            raise QueryError(f"a range from {self.low} to {self.high} holds nothing")
+
     @property
     def label(self) -> str:
         ends = ["*" if end is None else str(float(end)) for end in (self.low, self.high)]
@@ -88,16 +97,20 @@ def terms(
 ) -> Agg:
     """One bucket per value, the ``size`` first of them (100) by count, or by ``order_by``.
 
-    ``order_by`` is ``_count``, ``_key``, or the name of a metric below this bucket. Ties go by key.
+    ``order_by`` is ``_count``, ``_key``, or the name of a metric below this bucket (of stats: with ``.avg``
+    and so on behind it). Ties go by key.
     """
     if size is not None and size <= 0:
         raise QueryError("terms size must be positive")
     if order_by not in (None, "_count", "_key"):
-        below = {a.name: a for a in aggs}
-        head, _, part = order_by.partition(".")
-        metric = below.get(order_by) or (below.get(head) if part in STATS else None)
-        if metric is None or metric.kind not in METRICS or (metric.kind == "stats") != bool(part):
-            raise QueryError(f"terms cannot be ordered by {order_by!r}; metrics below it: {sorted(below)}")
+        below = {a.name: a for a in aggs if a.kind in METRICS}
+        if order_by in below and below[order_by].kind != "stats":
+            order_by = ("metric", order_by)
+        else:
+            head, _, part = order_by.rpartition(".")
+            if part not in STATS or head not in below or below[head].kind != "stats":
+                raise QueryError(f"terms cannot be ordered by {order_by!r}; metrics below it: {sorted(below)}")
+            order_by = ("metric", f"{head}_{part}")
     options = {"size": size or DEFAULT_TERMS, "order_by": order_by or "_count", "descending": descending}
     return _bucket("terms", field, aggs, name, options)
 
@@ -159,6 +172,7 @@ def _unique(aggs: Sequence[Agg]) -> None:
 
 
 def avg(field: str, name: str | None = None) -> Agg:
+    """Over dates, avg, sum and stats are of epoch milliseconds; max and min give dates."""
     return Agg("avg", field, name or field)
 
 
@@ -204,7 +218,8 @@ class _Scope:
     row: Column  # a whole row of this scope, as a struct
     present: Column | None  # which rows are real (nested keeps a placeholder for childless parents)
     keys: tuple[_Key, ...] = ()
-    bound: int | None = 1  # proven largest number of buckets on the path
+    # Where rows are groups of a chain already: their states by (field, what), and all their columns.
+    states: dict[tuple[str, str], str] | None = None
     tiebreak: Column | None = None
     path: tuple[str, ...] = ()
 
@@ -271,6 +286,8 @@ def _metrics(
         if agg.kind != "cardinality" and isinstance(found.dtype, (T.StringType, T.BooleanType)):
             raise QueryError(f"{agg.kind} needs numbers or dates, not {found.name}")
         col = found.col if only is None else F.when(only, found.col)
+        if agg.kind in ("avg", "sum", "stats") and isinstance(found.dtype, DATES):
+            col = _millis(found).cast("double") if only is None else F.when(only, _millis(found).cast("double"))
         if agg.kind == "stats":
             parts = [F.count(col), F.min(col), F.max(col), F.avg(col), F.coalesce(F.sum(col), F.lit(0))]
             fills = [0, None, None, None, 0]
@@ -289,24 +306,113 @@ def _add_bucket(scope: _Scope, agg: Agg, result: AggResult) -> None:
     found = _field(scope.fields, agg)
     column = f"__k{len(scope.keys)}"
     path = scope.path + (agg.name,)
-    metrics = _metrics(agg.children, scope.fields)
+    if scope.states is None and (chain := _chain(agg, scope.fields)):
+        scope = _grouped_once(scope, chain)
+    metrics = _metrics(agg.children, scope.fields) if scope.states is None else _merged(agg.children, scope)
     _check_names(scope, agg, metrics)
 
-    build = {"terms": _terms, "date_histogram": _histogram, "range": _ranges}[agg.kind]
-    keyed, frame, bound, cut = build(scope, agg, found, column, metrics)
+    if agg.kind == "range":
+        keyed, frame, cut = _ranges(scope, agg, found, column, metrics)
+    else:
+        if scope.states is None:
+            keyed = scope.rows.withColumn(column, _value(agg, found)).filter(F.col(column).isNotNull())
+        else:
+            # Phrased so that the optimizer leaves it above the groups: all levels are to share those.
+            keyed = scope.rows.filter(F.when(F.col(column).isNotNull(), F.col("__n")) > 0)
+        frame = _grouped(keyed, scope, column, metrics)
+        frame, cut = (_terms if agg.kind == "terms" else _histogram)(scope, agg, frame, column, metrics)
 
     keys = scope.keys + (_Key(column, agg.name, _shown(agg, column)),)
-    below = replace(scope, rows=keyed, keys=keys, bound=bound, path=path)
+    below = replace(scope, rows=keyed, keys=keys, path=path)
     result.put(path, agg.kind, _named(frame, agg, below, metrics), agg.children)
     if any(a.kind not in METRICS for a in agg.children):
         if cut:
-            kept = frame.select(*below.key_columns)
-            small = bound is not None and bound <= MAX_BROADCAST_BUCKETS
-            kept = F.broadcast(kept) if small else own_shuffle(kept)
-            below = replace(below, rows=keyed.join(kept, below.key_columns, "left_semi"))
+            kept = own_shuffle(frame.select(*below.key_columns))
+            below = replace(below, rows=_only(keyed, kept, below.key_columns, scope.states is not None))
         _descend(below, agg.children, result)
 
 
+def _only(rows: DataFrame, kept: DataFrame, keys: list[str], grouped: bool) -> DataFrame:
+    """Rows in one of the kept buckets.
+
+    A semi join of groups would be moved below the grouping, and every level would read the rows again. An
+    inner join on null-safe keys, which are unique, stays where it is.
+    """
+    if not grouped:
+        return rows.join(kept, keys, "left_semi")
+    renamed = kept.select(*[F.col(k).alias(f"{k}_kept") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"{k}_kept")) for k in keys]
+    return rows.join(renamed, same).select(*rows.columns)
+
+
+def _chain(agg: Agg, known: Fields) -> list[Agg]:
+    """The buckets from here down if they are a chain of at least two whose metrics can be merged, else none."""
+    chain = [agg]
+    while below := [a for a in chain[-1].children if a.kind not in METRICS]:
+        if len(below) > 1:
+            return []
+        chain += below
+    if len(chain) < 2 or not all(a.kind in ("terms", "date_histogram") for a in chain):
+        return []
+    mergeable = all(
+        m.kind not in METRICS or (m.kind != "cardinality" and not isinstance(_field(known, m).dtype, T.DecimalType))
+        for a in chain
+        for m in a.children
+    )
+    return chain if mergeable else []
+
+
+def _grouped_once(scope: _Scope, chain: Sequence[Agg]) -> _Scope:
+    """The scope with its rows grouped by all keys of the chain, holding states of all metrics in it."""
+    names = [f"__k{len(scope.keys) + i}" for i in range(len(chain))]
+    rows = scope.rows.withColumns({n: _value(a, _field(scope.fields, a)) for n, a in zip(names, chain)})
+    # A row without the first key is in no bucket of the chain.
+    rows = rows.filter(F.col(names[0]).isNotNull())
+    states, columns = {}, [F.count(F.lit(1)).alias("__n")]
+    parts = {"avg": ("count", "sum"), "stats": ("count", "sum", "min", "max")}
+    for metric in (m for a in chain for m in a.children if m.kind in METRICS):
+        _metrics([metric], scope.fields)  # raises for fields it cannot be taken over
+        found = _field(scope.fields, metric)
+        as_number = metric.kind in ("avg", "sum", "stats") and isinstance(found.dtype, DATES)
+        col = _millis(found).cast("double") if as_number else found.col
+        for part in parts.get(metric.kind, (metric.kind,)):
+            state = (metric.field, f"{part} of ms" if as_number else part)
+            if state not in states:
+                states[state] = f"__s{len(states)}"
+                value = F.sum(col.cast("double")) if part == "sum" and metric.kind == "avg" else getattr(F, part)(col)
+                columns.append(value.alias(states[state]))
+    grouped = rows.groupBy(*scope.key_columns, *names).agg(*columns)
+    return replace(scope, rows=grouped, states=states)
+
+
+def _merged(aggs: Sequence[Agg], scope: _Scope) -> list[tuple[str, Column, object]]:
+    """What ``_metrics`` gives, from the states of groups."""
+    out = []
+    for agg in aggs:
+        if agg.kind not in METRICS:
+            continue
+        found = _field(scope.fields, agg)
+        of_ms = " of ms" if agg.kind in ("avg", "sum", "stats") and isinstance(found.dtype, DATES) else ""
+
+        def state(part: str) -> Column:
+            return F.col(scope.states[agg.field, part + of_ms])
+
+        def average() -> Column:
+            return F.try_divide(F.sum(state("sum")).cast("double"), F.sum(state("count")))
+
+        if agg.kind == "stats":
+            low, high, total = F.min(state("min")), F.max(state("max")), F.coalesce(F.sum(state("sum")), F.lit(0))
+            parts = [F.coalesce(F.sum(state("count")), F.lit(0)), low, high, average(), total]
+            out += [(f"{agg.name}_{s}", p, f) for s, p, f in zip(STATS, parts, [0, None, None, None, 0])]
+        elif agg.kind == "avg":
+            out.append((agg.name, average(), None))
+        elif agg.kind == "sum":
+            out.append((agg.name, F.coalesce(F.sum(state("sum")), F.lit(0)), 0))
+        else:
+            out.append((agg.name, getattr(F, agg.kind)(state(agg.kind)), None))
+    return out
+
+
 def _shown(agg: Agg, column: str) -> Column:
     """Ranges are shown by their labels."""
     if agg.kind == "range":
@@ -326,63 +432,79 @@ def _check_names(scope: _Scope, agg: Agg, metrics) -> None:
 
 
 def _grouped(keyed: DataFrame, scope: _Scope, column: str, metrics) -> DataFrame:
-    return keyed.groupBy(*scope.key_columns, column).agg(
-        F.count(F.lit(1)).alias("doc_count"), *[c.alias(n) for n, c, _ in metrics]
-    )
+    values = [c.alias(n) for n, c, _ in metrics]
+    if scope.states is None:
+        return keyed.groupBy(*scope.key_columns, column).agg(F.count(F.lit(1)).alias("doc_count"), *values)
+    # With every column of the groups in use at every level, all levels need the same shuffled groups, and
+    # Spark computes them once.
+    whole = F.max(F.struct(*keyed.columns)).alias("__whole")
+    rolled = keyed.groupBy(*scope.key_columns, column).agg(F.sum("__n").alias("doc_count"), *values, whole)
+    return rolled.filter(F.col("__whole").isNotNull()).drop("__whole")
+
+
+def _value(agg: Agg, found: Field) -> Column:
+    """A row's key, null where it is in no bucket."""
+    if agg.kind == "terms":
+        return found.col.cast("bigint") if isinstance(found.dtype, T.BooleanType) else found.col
+    if not isinstance(found.dtype, DATES):
+        raise QueryError(f"date_histogram needs a date, not {found.name}")
+    return _unit_start(found, agg.options["interval"])
+
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-def _terms(scope: _Scope, agg: Agg, found: Field, column: str, metrics):
-    value = found.col.cast("bigint") if isinstance(found.dtype, T.BooleanType) else found.col
-    keyed = scope.rows.filter(found.col.isNotNull()).withColumn(column, value)
-    frame = _grouped(keyed, scope, column, metrics)
+
+def _terms(scope: _Scope, agg: Agg, frame: DataFrame, column: str, metrics) -> tuple[DataFrame, bool]:
     by, size = agg.options["order_by"], agg.options["size"]
-    by = {"_count": "doc_count", "_key": column}.get(by, by.replace(".", "_"))
-    order = [F.desc_nulls_last(by) if agg.options["descending"] else F.asc_nulls_last(by), F.asc(column)]
+    by = F.col(_quoted(by[1]) if isinstance(by, tuple) else {"_count": "doc_count", "_key": column}[by])
+    order = [by.desc_nulls_last() if agg.options["descending"] else by.asc_nulls_last(), F.asc(column)]
     if scope.keys:
-        frame = top_per_group(frame, scope.key_columns, order, size, rank="__rank")
-    else:
-        frame = frame.orderBy(*order).limit(size)
-    bound = None if scope.bound is None else scope.bound * size
-    return keyed, frame, bound, True
+        return top_per_group(frame, scope.key_columns, order, size, rank="__rank"), True
+    return frame.orderBy(*order).limit(size), True
 
 
-def _histogram(scope: _Scope, agg: Agg, found: Field, column: str, metrics):
-    if not isinstance(found.dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        raise QueryError(f"date_histogram needs a date, not {found.name}")
+def _histogram(scope: _Scope, agg: Agg, frame: DataFrame, column: str, metrics) -> tuple[DataFrame, bool]:
     unit, least = agg.options["interval"], agg.options["min_doc_count"]
-    keyed = scope.rows.withColumn(column, _unit_start(found, unit)).filter(F.col(column).isNotNull())
-    frame = _grouped(keyed, scope, column, metrics)
     if least > 0:
-        frame = frame.filter(F.col("doc_count") >= least)
-    else:
-        frame = _fill_gaps(frame, scope.key_columns, column, unit, metrics)
-    return keyed, frame, None, least > 1
+        return frame.filter(F.col("doc_count") >= least), least > 1
+    return _fill_gaps(frame, scope.key_columns, column, unit, metrics), False
+
+
+def _millis(found: Field) -> Column:
+    """Epoch milliseconds of a date, whatever the session's zone."""
+    if isinstance(found.dtype, T.TimestampType):
+        return F.unix_millis(found.col)
+    ms = F.unix_date(found.col.cast("date")).cast("bigint") * DAY_MS
+    if isinstance(found.dtype, T.TimestampNTZType):
+        # The fraction of the second comes from date_part, which has six digits.
+        seconds = F.hour(found.col) * 3600 + F.minute(found.col) * 60
+        ms = ms + seconds.cast("bigint") * 1000 + F.floor(F.date_part(F.lit("SECOND"), found.col) * 1000).cast("bigint")
+    return ms
 
 
 def _unit_start(found: Field, unit: str) -> Column:
     """Epoch milliseconds of the start of the calendar unit, in UTC. No step depends on the session's zone."""
-    if isinstance(found.dtype, T.TimestampType):
-        ms = F.unix_millis(found.col)
-    else:
-        ms = F.unix_date(found.col.cast("date")).cast("bigint") * DAY_MS
-        if isinstance(found.dtype, T.TimestampNTZType):
-            seconds = F.hour(found.col) * 3600 + F.minute(found.col) * 60 + F.second(found.col)
-            ms = ms + seconds.cast("bigint") * 1000
+    ms = _millis(found)
     if unit in MONTHS:
         return _date_ms(F.trunc(_date(ms), unit))
     first_monday = 4 * DAY_MS if unit == "week" else 0
     return ms - F.pmod(ms - F.lit(first_monday), F.lit(UNIT_MS[unit]))
 
 
-def _starts(unit: str) -> Column:
-    """All unit starts from __first to __last."""
-    if unit not in MONTHS:
-        return F.sequence("__first", "__last", F.lit(UNIT_MS[unit]).cast("bigint"))
-    first, last = (F.year(d) * 12 + F.month(d) - 1 for d in (_date(F.col("__first")), _date(F.col("__last"))))
-    return F.transform(
-        F.sequence(first, last, F.lit(MONTHS[unit])),
-        lambda m: _date_ms(F.make_date((m / 12).cast("int"), m % 12 + 1, F.lit(1))),
-    )
+def _number(ms: Column, unit: str) -> Column:
+    """Consecutive numbers of consecutive unit starts."""
+    if unit in MONTHS:
+        return ((F.year(_date(ms)) * 12 + F.month(_date(ms)) - 1) / MONTHS[unit]).cast("bigint")
+    return F.floor((ms - F.lit(4 * DAY_MS if unit == "week" else 0)) / F.lit(UNIT_MS[unit]))
+
+
+def _start(number: Column, unit: str) -> Column:
+    """The unit start with this number."""
+    if unit in MONTHS:
+        month = number * MONTHS[unit]
+        return _date_ms(F.make_date(F.floor(month / 12).cast("int"), (F.pmod(month, F.lit(12)) + 1).cast("int"), F.lit(1)))
+    return number * F.lit(UNIT_MS[unit]).cast("bigint") + F.lit(4 * DAY_MS if unit == "week" else 0)
 
 
 def _date(ms: Column) -> Column:
@@ -405,17 +527,20 @@ def _fill_gaps(frame: DataFrame, parents: list[str], column: str, unit: str, met
     last bucket are taken as whole rows: with every column in use, this side needs the same shuffled
     buckets as the join below, and Spark computes them once for both.
     """
-    whole = F.struct(column, *[c for c in frame.columns if c != column])
-    count = (F.col("__last") - F.col("__first")) / F.lit(UNIT_MS[unit])
-    too_long = F.raise_error(F.lit(f"date_histogram by {unit} would have more than {MAX_HISTOGRAM} buckets"))
-    layout = F.when(count < MAX_HISTOGRAM, _starts(unit)).otherwise(too_long)
+    whole = F.struct(column, *[_quoted(c) for c in frame.columns if c != column])
     spans = frame.groupBy(*parents).agg(
-        F.min(whole)[column].alias("__first"), F.max(whole)[column].alias("__last")
+        _number(F.min(whole)[column], unit).alias("__first"), _number(F.max(whole)[column], unit).alias("__last")
+    )
+    blocks = spans.filter(F.col("__first").isNotNull()).select(
+        *parents, "__last", F.explode(F.sequence("__first", "__last", F.lit(BLOCK).cast("bigint"))).alias("__block")
     )
-    every = spans.filter(F.col("__first").isNotNull()).select(*parents, F.explode(layout).alias(column))
+    # The blocks of a long span are dealt out before they are laid out.
+    laid_out = F.sequence("__block", F.least(F.col("__last"), F.col("__block") + BLOCK - 1))
+    numbers = blocks.hint("rebalance").select(*parents, F.explode(laid_out).alias("__number"))
+    every = numbers.select(*parents, _start(F.col("__number"), unit).alias(column))
     filled = every.join(frame, [*parents, column], "left")
     fills = {"doc_count": 0} | {n: fill for n, _, fill in metrics if fill is not None}
-    return filled.withColumns({n: F.coalesce(F.col(n), F.lit(v)) for n, v in fills.items()})
+    return filled.withColumns({n: F.coalesce(F.col(_quoted(n)), F.lit(v)) for n, v in fills.items()})
 
 
 def _ranges(scope: _Scope, agg: Agg, found: Field, column: str, metrics):
@@ -435,7 +560,7 @@ def _ranges(scope: _Scope, agg: Agg, found: Field, column: str, metrics):
     # Rows for what lies below: one copy per range that holds the row.
     inside = F.array_compact(F.array(*[F.when(b.holds(found.col), F.lit(i)) for i, b in enumerate(bounds)]))
     keyed = scope.rows.withColumn(column, F.explode(inside))
-    return keyed, frame, None if scope.bound is None else scope.bound * len(bounds), False
+    return keyed, frame, False
 
 
 def _add_nested(scope: _Scope, agg: Agg, result: AggResult) -> None:
@@ -486,7 +611,7 @@ def _named(frame: DataFrame, agg: Agg, scope: _Scope, metrics) -> DataFrame:
         columns.append(_key_text(F.col(order[-1]), agg.options["format"]).alias(f"{agg.name}_text"))
     if order:
         frame = frame.orderBy(*order)
-    return frame.select(*columns, "doc_count", *[n for n, _, _ in metrics])
+    return frame.select(*columns, "doc_count", *[_quoted(n) for n, _, _ in metrics])
 
 
 class AggResult:

@@ -11,7 +11,8 @@ from quern.errors import QueryError
 from quern.functions import predicates as P
 from quern.functions.fields import Field
 from quern.functions.text import TextQuery, occurrence_pattern
-from quern.operators.reads import check_cap, search
+from quern.operators.ranking import rank
+from quern.operators.reads import check_cap, check_limit, search
 from quern.operators.sorting import Sort
 
 # Default tags, fragment length in characters and fragments per field.
@@ -87,17 +88,31 @@ def highlighted(
     size: int = FRAGMENT_SIZE,
     count: int | None = FRAGMENTS,
     column: str = "highlights",
+    ranked: bool = False,
+    score: str = "score",
 ) -> DataFrame:
-    """Matching rows plus a map from field name to fragments; fields without a hit are absent."""
+    """Matching rows plus a map from field name to fragments; fields without a hit are absent.
+
+    ``ranked``: best score first, ties by ``key``, with the score as a column; ``limit`` then takes the top.
+    A limit needs ``ranked``, a sort or a key, else which rows it takes would be open.
+    """
     if not over:
         raise QueryError("highlighting needs at least one field")
-    found = search(df, _matching(queries, condition), sort, limit, key=key)
+    if ranked:
+        if sort or key is None:
+            raise QueryError("ranked highlighting takes a key and no sort")
+        found = rank(df, queries, key, condition, limit=limit, score=score)
+    elif limit is not None and not sort and key is None:
+        raise QueryError("a limit needs a sort, a key or ranked=True")
+    else:
+        found = search(df, _matching(queries, condition), sort, limit, key=key)
     entries = [F.struct(F.lit(f.name), fragments(f, queries, pre_tag, post_tag, size, count)) for f in over]
     return found.withColumn(column, F.map_filter(F.map_from_entries(F.array(*entries)), lambda _, v: F.size(v) > 0))
 
 
 def select_highlighted(df: DataFrame, queries: Sequence[TextQuery], over: Sequence[Field], **options) -> DataFrame:
     """``highlighted`` behind the list cap: raises when no limit is set and too many rows match."""
+    check_limit(options.get("limit"))
     out = highlighted(df, queries, over, **options)
     check_cap(P.where(df, _matching(queries, options.get("condition"))), options.get("limit"))
     return out

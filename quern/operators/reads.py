@@ -1,17 +1,20 @@
 """Reads: by key, lists, pages, keyset batches, collapse, inner hits.
 
-Functions named ``select_*`` follow the document API: they run a job to check a limit or return
-values. ``search`` is the plain lazy form, without a cap.
+Functions named ``select_*`` follow the document API: they check limits, and run a job to check a cap or
+return values. ``search`` is the plain lazy form, without a cap and with any limit.
 """
 
 from __future__ import annotations
 
+import datetime
+import decimal
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.errors import QueryError
 from quern.functions import predicates as P
@@ -22,7 +25,7 @@ from quern.operators.topn import key_set, top_per_group
 # Rows a list may return without an explicit limit; reach of limit, page and batch.
 LIST_CAP = 1000
 WINDOW = 10000
-# Up to this many ids are sent as literals, which reach the scan; more become a join.
+# Up to this many ids are sent as literals, which reach the scan; more become a join with the same outcome.
 MAX_LITERAL_IDS = 1000
 
 
@@ -46,7 +49,6 @@ def search(
     key: Field | None = None,
 ) -> DataFrame:
     """Filter, collapse, sort, limit. ``key`` breaks ties, which makes the outcome repeatable."""
-    check_limit(limit)
     out = P.where(df, condition)
     order = columns(_total(sort, key))
     if collapse is not None:
@@ -68,16 +70,47 @@ def select_by_id(df: DataFrame, key: Field, value: Any) -> Row | None:
 
 
 def with_ids(df: DataFrame, key: Field, ids: DataFrame | Iterable[Any]) -> DataFrame:
-    """Rows whose key is among ``ids``: a collection, or a one-column DataFrame of any size."""
+    """Rows whose key is among ``ids``: a collection, or a one-column DataFrame of any size.
+
+    Ids are taken as values of the key's type; a null id matches nothing.
+    """
     if not isinstance(ids, DataFrame):
-        ids = list(ids)
+        ids = as_keys(key, ids)
         if len(ids) <= MAX_LITERAL_IDS:
             return df.filter(P.is_in(key, ids))
         ids = id_frame(df, key, ids)
+    elif key.is_text:
+        raise QueryError(f"text field {key.name} cannot be compared as a whole")
     wanted = key_set(ids, ids.columns[0], "__id")
     return df.join(wanted, key.col == F.col("__id"), "left_semi")
 
 
+def as_keys(key: Field, ids: Iterable[Any]) -> list[Any]:
+    """Ids as values of the key's type, without nulls."""
+    if key.is_text:
+        raise QueryError(f"text field {key.name} cannot be compared as a whole")
+    try:
+        return [_as_key(key.dtype, i) for i in ids if i is not None]
+    except (ValueError, ArithmeticError) as error:
+        raise QueryError(f"an id is no {key.dtype.simpleString()}: {error}") from error
+
+
+def _as_key(dtype: T.DataType, value: Any) -> Any:
+    if not isinstance(value, str):
+        return str(value) if isinstance(dtype, T.StringType) else value
+    if isinstance(dtype, T.IntegralType):
+        return int(value)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return float(value)
+    if isinstance(dtype, T.DecimalType):
+        return decimal.Decimal(value)
+    if isinstance(dtype, T.DateType):
+        return datetime.date.fromisoformat(value)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return datetime.datetime.fromisoformat(value)
+    return value
+
+
 def id_frame(df: DataFrame, key: Field, ids: Iterable[Any]) -> DataFrame:
     rows = [(i,) for i in ids]
     return df.sparkSession.createDataFrame(rows, f"__id {key.dtype.simpleString()}")
@@ -129,14 +162,19 @@ def select_page(
     key: Field | None = None,
     with_total: bool = True,
 ) -> Page:
-    """1-based page. The total is a job of its own; leave it out when not needed."""
+    """1-based page. The total is a job of its own; leave it out when not needed.
+
+    Without a sort or a key no order holds pages apart, so one of them is needed.
+    """
+    if not sort and key is None:
+        raise QueryError("a page needs a sort or a key")
     if current < 1 or size < 1:
         raise QueryError("page number and size start at 1")
     if current * size > WINDOW:
         raise QueryError(f"page reaches beyond row {WINDOW}; use select_after")
     matched = P.where(df, condition)
     order = columns(_total(sort, key))
-    rows = (matched.orderBy(*order) if order else matched).offset((current - 1) * size).limit(size)
+    rows = matched.orderBy(*order).offset((current - 1) * size).limit(size)
     return Page(current, size, rows, matched.count() if with_total else None)
 
 
@@ -147,20 +185,29 @@ class Batch:
     total: int | None
 
 
+def _types(df: DataFrame, order: Sequence[Sort]) -> list[T.DataType]:
+    return [f.dataType for f in df.select(*[s.expr.alias(f"k{i}") for i, s in enumerate(order)]).schema.fields]
+
+
+def _mark(expr: Column, dtype: T.DataType) -> Column:
+    """A sort value as it stands in a cursor."""
+    return (F.unix_micros(expr) if isinstance(dtype, T.TimestampType) else expr).cast("string")
+
+
 def after(df: DataFrame, order: Sequence[Sort], cursor: Sequence[str | None]) -> Column:
     """Rows that come after ``cursor`` (one value per sort key, as text) in the given order.
 
-    Missing values sort last, so after a value come the missing ones, and after a missing one nothing.
+    Timestamps are epoch microseconds in a cursor, so that no session zone and no change of clocks matters. Missing values sort last, so after a value come the missing ones, and after a missing one nothing.
     """
     if len(cursor) != len(order):
         raise QueryError(f"cursor has {len(cursor)} values for {len(order)} sort keys")
-    types = [f.dataType for f in df.select(*[s.expr.alias(f"k{i}") for i, s in enumerate(order)]).schema.fields]
+    types = _types(df, order)
     found: Column | None = None
     for sort, text, dtype in reversed(list(zip(order, cursor, types))):
         if text is None:
             found = sort.expr.isNull() & (F.lit(False) if found is None else found)
             continue
-        value = F.lit(text).cast(dtype)
+        value = F.timestamp_micros(F.lit(int(text))) if isinstance(dtype, T.TimestampType) else F.lit(text).cast(dtype)
         beyond = (sort.expr < value) if sort.descending else (sort.expr > value)
         later = beyond | sort.expr.isNull()
         found = later if found is None else later | ((sort.expr == value) & found)
@@ -187,12 +234,15 @@ def select_after(
     matched = P.where(df, condition)
     order = _total(sort, key)
     rest = matched if cursor is None else matched.filter(after(df, order, cursor))
-    ordered = rest.orderBy(*columns(order))
-    marks = [s.expr.cast("string").alias(f"k{i}") for i, s in enumerate(order)]
-    # Only the sort keys of the last row and of the one behind it come to the driver.
-    edge = ordered.select(*marks).offset(size - 1).limit(2).collect()
-    following = tuple(edge[0]) if len(edge) == 2 else None
-    return Batch(ordered.limit(size), following, matched.count() if with_total else None)
+    marks = [_mark(s.expr, t).alias(f"__mark{i}") for i, (s, t) in enumerate(zip(order, _types(df, order)))]
+    # One job: the batch, at most WINDOW rows, and the row behind it.
+    found = rest.select("*", *marks).orderBy(*columns(order)).limit(size + 1).toArrow()
+    batch = found.slice(0, size)
+    following = None
+    if found.num_rows > size:
+        following = tuple(batch.column(f"__mark{i}")[-1].as_py() for i in range(len(order)))
+    rows = df.sparkSession.createDataFrame(batch.drop_columns([f"__mark{i}" for i in range(len(order))]), df.schema)
+    return Batch(rows, following, matched.count() if with_total else None)
 
 
 def with_inner_hits(
@@ -227,6 +277,7 @@ def select_list_with_inner_hits(
     key: Field | None = None,
 ) -> DataFrame:
     """``with_inner_hits`` behind the same cap as ``select_list``."""
+    check_limit(limit)
     out = with_inner_hits(df, field, child_condition, size, condition, sort, limit, key)
     check_cap(P.where(df, P.all_of(P.nested(field, child_condition), condition)), limit)
     return out

@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this n, one ranked shuffle is enough: Spark keeps the best n per group in every map task
-# (WindowGroupLimit), so even the largest group sends a few rows per task. Beyond it the group is first
-# ranked in SALTS parts, so that no single task receives n rows from every map task.
+# Spark keeps the best n per group in every map task (WindowGroupLimit) up to the n that the session's
+# windowGroupLimitThreshold allows, so even the largest group sends a few rows per task. Beyond this n the
+# group is ranked per input partition first, so that no task ever receives a whole group.
 ONE_STEP_N = 10
-SALTS = 64
 # A key set holds each key at most this many times.
 KEY_COPIES = 8
 
@@ -22,8 +21,7 @@ def top_per_group(
     """``order`` should be total, else which of several equal rows is kept is open."""
     name = rank or "__rank"
     if n > ONE_STEP_N:
-        part = F.pmod(F.spark_partition_id(), F.lit(SALTS))
-        df = df.withColumn("__part", part)
+        df = df.withColumn("__part", F.spark_partition_id())
         df = _ranked(df, [*keys, "__part"], order, n, "__rank").drop("__part", "__rank")
     out = _ranked(df, keys, order, n, name)
     return out if rank else out.drop(name)
@@ -46,5 +44,5 @@ def key_set(df: DataFrame, column: str, name: str) -> DataFrame:
 
 
 def own_shuffle(df: DataFrame) -> DataFrame:
-    """Detach a small aggregated table from its partitioning, for the same reason."""
-    return df.repartition(KEY_COPIES)
+    """Detach an aggregated table from its partitioning, for the same reason; its size decides the partitions."""
+    return df.hint("rebalance")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quern.errors import QueryError
 from quern.functions import predicates as P
 from quern.functions.fields import Fields, fields
-from quern.operators.reads import MAX_LITERAL_IDS, id_frame, with_ids
+from quern.operators.reads import MAX_LITERAL_IDS, as_keys, id_frame, with_ids
 from quern.operators.topn import key_set, top_per_group
 
 
@@ -77,7 +77,7 @@ def delete_by_ids(current: DataFrame, key: str, ids: DataFrame | Iterable[Any])
     """Remove rows by key. ``ids`` is a collection or a one-column DataFrame of any size."""
     field = _known(current, [key])[key]
     if not isinstance(ids, DataFrame):
-        ids = [i for i in ids if i is not None]
+        ids = as_keys(field, ids)
         if len(ids) <= MAX_LITERAL_IDS:
             gone = P.is_in(field, ids)
             return Change(current.filter(~F.coalesce(gone, F.lit(False))), _count(current.filter(gone)))

@@ -125,17 +125,44 @@ def test_hot_keys_can_be_split_in_id_joins(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_many_kept_buckets_are_joined_not_broadcast(spark):
+def scans(df):
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return final.count("FileScan parquet")
+
+
+def test_trees_read_their_rows_once(spark):
+    from quern.operators import aggregations as A
+    from quern.plans.buckets import drill_down, terms_size_per_parent
+
+    orders = table(spark, TESTDATA, "orders")
+    assert scans(drill_down(spark, TESTDATA)) == 1
+    assert scans(terms_size_per_parent(spark, TESTDATA)) == 1
+    tree = A.terms(
+        "o_orderstatus",
+        A.terms("o_orderpriority", A.date_histogram("o_orderdate", "year", A.terms("o_custkey", A.stats("o_totalprice"), size=2)), size=3),
+        A.avg("o_totalprice", "mean"),
+    )
+    found = A.aggregate(orders, None, tree)
+    assert scans(found.buckets("o_orderstatus", "o_orderpriority", "o_orderdate", "o_custkey")) == 1
+
+
+def test_kept_buckets_force_no_broadcast(spark):
+    from quern.operators import aggregations as A
+
+    orders = table(spark, TESTDATA, "orders")
+    tree = A.terms("o_custkey", A.top_hits(1, "o_totalprice", name="best"), size=1000)
+    found = A.aggregate(orders, None, tree, key="o_orderkey").hits("o_custkey", "best")
+    assert "strategy=broadcast" not in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_large_top_hits_are_cut_before_the_shuffle(spark):
     from quern.operators import aggregations as A
 
     orders = table(spark, TESTDATA, "orders")
-    tree = A.terms("o_custkey", A.top_hits(1, "o_totalprice", name="best"), size=A.MAX_BROADCAST_BUCKETS + 1)
-    many = A.aggregate(orders, None, tree, key="o_orderkey").hits("o_custkey", "best")
-    tree = A.terms("o_custkey", A.top_hits(1, "o_totalprice", name="best"), size=A.MAX_BROADCAST_BUCKETS)
-    few = A.aggregate(orders, None, tree, key="o_orderkey").hits("o_custkey", "best")
-    assert "ResolvedHint" not in plan(many) and "strategy=broadcast" not in many._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" in few._jdf.queryExecution().analyzed().toString()
-    assert sorted(map(str, many.collect())) == sorted(map(str, few.collect()))
+    tree = A.terms("o_orderstatus", A.top_hits(2000, "o_totalprice", name="best"))
+    found = A.aggregate(orders, None, tree, key="o_orderkey").hits("o_orderstatus", "best")
+    assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("name, scans", [("AGG10_date_histogram_month", 1), ("AGG10_date_histogram_per_parent", 2)])

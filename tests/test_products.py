@@ -184,7 +184,9 @@ def test_pages(products, f):
     second = R.select_page(products, 2, 2, None, [asc(f["price"])], f["id"])
     assert (ids(first.rows), ids(second.rows)) == ([90002, 90001], [90003])
     assert (first.total, first.pages) == (3, 2)
-    assert R.select_page(products, 1, 2, with_total=False).total is None
+    assert R.select_page(products, 1, 2, key=f["id"], with_total=False).total is None
+    with pytest.raises(QueryError):
+        R.select_page(products, 1, 2)
     for current, size in ((2, 9000), (0, 5), (1, 0)):
         with pytest.raises(QueryError):
             R.select_page(products, current, size)
@@ -269,7 +271,7 @@ def test_highlight(products, f):
     row = hits.collect()[0]
     assert row["id"] == 90002 and list(row["highlights"]) == ["description"]
     assert row["highlights"]["description"] == ["静音<b>无</b><b>线</b>鼠标 办公首选"]
-    plain = select_highlighted(products, [query], [f["description"]], limit=1).collect()[0]
+    plain = select_highlighted(products, [query], [f["description"]], limit=1, key=f["id"]).collect()[0]
     assert "<em>无</em>" in plain["highlights"]["description"][0]
     with pytest.raises(QueryError):
         select_highlighted(products, [query], [])
@@ -353,13 +355,51 @@ def test_date_histogram(products):
     ]
 
 
-def test_absurd_histograms_are_refused(spark):
-    df = spark.sql("SELECT explode(array(timestamp'1970-01-01', timestamp'2020-01-01')) AS t")
-    with pytest.raises(Exception, match="buckets"):
-        A.aggregate(df, None, A.date_histogram("t", "second")).buckets("t").collect()
+def test_long_histograms_have_all_buckets(spark):
+    df = spark.sql("SELECT explode(array(timestamp'2020-01-01 00:00:07', timestamp'2020-01-04 00:00:05')) AS t")
+    found = A.aggregate(df, None, A.date_histogram("t", "second")).buckets("t")
+    n, least, most, rows, distinct = found.selectExpr("count(*)", "min(t)", "max(t)", "sum(doc_count)", "count(distinct t)").first()
+    assert n == distinct == 3 * 86400 - 1 and most - least == (n - 1) * 1000 and rows == 2
     assert A.aggregate(df, None, A.date_histogram("t", "second", min_doc_count=1)).buckets("t").count() == 2
 
 
+@pytest.mark.parametrize("low,high", [(None, None), (2.0, 1.0), (1.0, 1.0)])
+def test_ranges_of_nothing_are_refused(low, high):
+    with pytest.raises(QueryError):
+        A.Range(low, high)
+
+
+def test_metrics_over_dates(products):
+    day = 86_400_000
+    dates = [20468, 20513, 20624]  # launch days since 1970
+    found = A.aggregate(products, None, A.stats("launchDate", "d"), A.avg("launchDate", "a"), A.sum("launchDate", "s"))
+    row = found.metrics().first()
+    assert (row["d_count"], row["d_min"], row["d_max"], row["s"]) == (3, dates[0] * day, dates[2] * day, sum(dates) * day)
+    assert row["a"] == row["d_avg"] == sum(dates) * day / 3
+    tree = A.terms("onSale", A.avg("launchDate", "a"), A.terms("stock", A.max("launchDate", "last"), name="stock"), name="sale")
+    assert dict(A.aggregate(products, None, tree).buckets("sale").select("sale", "a").collect()) == {
+        1: (dates[0] + dates[1]) * day / 2,
+        0: dates[2] * day,
+    }
+
+
+def test_dotted_metric_names(products):
+    tree = A.terms("onSale", A.avg("price", "price.usd"), name="sale", order_by="price.usd")
+    assert [r["price.usd"] for r in A.aggregate(products, None, tree).buckets("sale").collect()] == [2899.0, 264.25]
+    tree = A.terms("onSale", A.stats("price", "p.x"), A.date_histogram("launchDate", "month", A.sum("stock", "s.t")), name="sale", order_by="p.x.min")
+    found = A.aggregate(products, None, tree)
+    assert [r["p.x_min"] for r in found.buckets("sale").collect()] == [2899.0, 129.5]
+    assert found.buckets("sale", "launchDate").selectExpr("sum(`s.t`)").first()[0] == 160
+
+
+def test_rolled_up_levels_keep_rows_without_lower_keys(spark):
+    rows = spark.createDataFrame([("a", None, 1.0), ("a", "x", 3.0), ("b", None, None), (None, "x", 9.0)], "k string, l string, v double")
+    tree = A.terms("k", A.avg("v", "m"), A.stats("v", "s"), A.terms("l", A.sum("v", "t"), name="l"), name="k")
+    found = A.aggregate(rows, None, tree)
+    assert [tuple(r) for r in found.buckets("k").collect()] == [("a", 2, 2.0, 2, 1.0, 3.0, 2.0, 4.0), ("b", 1, None, 0, None, None, None, 0.0)]
+    assert [tuple(r) for r in found.buckets("k", "l").collect()] == [("a", "x", 1, 3.0)]
+
+
 def test_histogram_of_nothing(products, f):
     none = A.aggregate(products, P.gt(f["price"], 1e9), A.date_histogram("launchDate", "day"))
     assert none.buckets("launchDate").count() == 0
