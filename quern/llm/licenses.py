@@ -70,6 +70,11 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+# Words of any English text. A unit is not looked at for these alone.
+FUNCTION_WORDS = set(
+    "a all an and any are as at be by can for form free from has in is it may no not of on or that the this to under use"
+    " was with without work you your".split()
+)
 TERM = r"[a-z]+|[0-9]+(?:\.[0-9]+)*"
 THRESHOLD = 0.65
 LICENSE_FILE = r"(?i)^(licen[cs]e|copying|notice|unlicense)([.\-_].*)?$"
@@ -92,11 +97,11 @@ class Weights:
 
     def anchors(self, threshold: float) -> list[str]:
         """Terms of which a unit must hold one to reach the threshold: per template, as few of the rarest as leave
-        a rest that is too short."""
+        a rest that is too short; function words only where the others do not suffice."""
         out: set[str] = set()
         for vector in self.vectors:
             rest = 1.0
-            for term in sorted(vector, key=lambda t: (-self.idf[t], t)):
+            for term in sorted(vector, key=lambda t: (t in FUNCTION_WORDS, -self.idf[t], t)):
                 if rest < (threshold - 1e-9) ** 2:
                     break
                 out.add(term)

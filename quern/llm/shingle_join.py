@@ -7,17 +7,18 @@ similarity of 0.8. Then, under any one order of all shingles, they share one of
 
 How it runs.
 1. Every text is read once to fingerprint its set, so that equal sets are one node, and to count shingles in
-   a table of fixed size. The orders put shingles whose counter is far above the mean last, by size class, and
-   are random otherwise, so that common lines and passages hardly ever fall into a prefix.
+   a table of fixed size. The orders put shingles whose counter is beyond what chance explains last, by size
+   class, and are random otherwise, so that common lines and passages hardly ever fall into a prefix.
 2. The prefixes under the first order are dealt by shingle and sorted by Spark; tasks stream over them and keep
    shingles of more than one node. The node that sorts first stands for the shingle, and every other node of
    the shingle is a candidate with that one only: no group is expanded into all its pairs.
 3. Texts of nodes in a candidate pair are read again, through a filter of fixed size, for their prefixes under
    the second and third order; a pair must share a shingle in each. Only the texts of pairs that pass are
    moved, and the pairs verified on whole sets.
-4. Nodes that link are joined to components. Only shingles that still span several components can hide a link:
-   their pairs across components go through the same filters and verification, and the components are joined anew.
-   Pairs inside a component need no look, since they cannot change it.
+4. Nodes that link are joined to components. Only shingles that still span several components can hide a link,
+   between nodes of one pivot: these are compared across components in blocks, by the same filters and
+   verification on matrices of shared shingles, and the components are joined anew. Pairs inside a component need
+   no look, since they cannot change it.
 
 Every link between different components is found: two sets that link share a shingle of their prefixes, so
 that they meet in step 2 or 4. Shingles and sets are compared by 64-bit hashes.
@@ -45,7 +46,7 @@ from quern.llm.components import components
 
 WORDS = 5
 ORDERS = 3
-COUNTERS = 1 << 22  # fixed size of the table of counts
+COUNTERS = 1 << 23  # fixed size of the table of counts
 CHUNK = 1 << 16  # counters per row of that table
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
@@ -166,12 +167,14 @@ def _add_up(batches: Iterator[list]) -> Iterator[list]:
 
 
 def _levels(counted: DataFrame) -> np.ndarray:
-    """Size classes by counter: 0 up to three times the mean, then one more for every doubling."""
+    """Size classes by counter: 0 for what chance makes of single shingles, then one more for every doubling."""
     totals = np.zeros(COUNTERS, np.float64)
-    for row in counted.collect():  # COUNTERS / CHUNK rows, 16 MB together
+    for row in counted.collect():  # COUNTERS / CHUNK rows, 32 MB together
         totals[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["counts"], "<u4")
-    least = 3 * totals.mean() + 8
-    return np.floor(np.log2(np.maximum(totals / least, 0.5)) + 1).astype(np.uint8)
+    # The median is what a counter holds that no common shingle falls on; six deviations are beyond chance.
+    usual = np.median(totals)
+    extra = (totals - usual) / (6 * np.sqrt(usual) + 4)
+    return np.where(extra < 1, 0, np.floor(np.log2(np.maximum(extra, 1))) + 1).astype(np.uint8)
 
 
 # ---- step 2: shingles of more than one node
@@ -263,6 +266,17 @@ def _sizes_fit(a: str, b: str) -> Column:
     return (5 * F.col(a) >= 4 * F.col(b)) & (5 * F.col(b) >= 4 * F.col(a))
 
 
+def _read_again(nodes: DataFrame, rows: DataFrame, documents: DataFrame, function, columns: str) -> DataFrame:
+    """node and what ``function`` makes of its text, one row for each of these nodes."""
+    # One document stands for each node.
+    asked = nodes.select(F.col("node").alias("asked"))
+    chosen = documents.join(asked, F.col("node") == F.col("asked"), "left_semi").groupBy("node").agg(
+        F.min_by("doc", F.struct(F.col("doc").isNull(), "doc")).alias("doc")
+    )
+    read = may_contain(rows, "doc", chosen.select("doc")).select("text")
+    return written(map_columns(read, function, f"node bigint, {columns}").dropDuplicates(["node"]), "shingle-read")
+
+
 def _links(pairs: DataFrame, rows: DataFrame, documents: DataFrame, levels: Broadcast) -> DataFrame:
     """Of candidate pairs (a, b) of nodes under the first order, those that pass the other orders and link.
 
@@ -270,19 +284,11 @@ def _links(pairs: DataFrame, rows: DataFrame, documents: DataFrame, levels: Broa
     verification.
     """
 
-    def texts_of(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.col("a").alias("of")).union(pairs.select("b")).distinct()
-        # One document stands for each node.
-        chosen = documents.join(nodes, F.col("node") == F.col("of"), "left_semi").groupBy("node").agg(
-            F.min_by("doc", F.struct(F.col("doc").isNull(), "doc")).alias("doc")
-        )
-        return may_contain(rows, "doc", chosen.select("doc")).select("text")
+    def nodes(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
-    prefixes = written(
-        map_columns(
-            texts_of(pairs), partial(_other_prefixes, levels), "node bigint, p1 array<int>, p2 array<int>"
-        ).dropDuplicates(["node"]),
-        "shingle-prefixes",
+    prefixes = _read_again(
+        nodes(pairs), rows, documents, partial(_other_prefixes, levels), "p1 array<int>, p2 array<int>"
     )
     for end in ("a", "b"):
         own = prefixes.select(F.col("node").alias("of"), *[F.col(f"p{i}").alias(f"{end}{i}") for i in range(1, ORDERS)])
@@ -291,15 +297,145 @@ def _links(pairs: DataFrame, rows: DataFrame, documents: DataFrame, levels: Broa
     for i in range(1, ORDERS):
         passed &= F.arrays_overlap(f"a{i}", f"b{i}")
     left = written(pairs.where(passed).select("a", "b"), "shingle-candidates")
-    texts = written(
-        map_columns(texts_of(left), _with_node, "node bigint, text string").dropDuplicates(["node"]), "shingle-texts"
-    )
+    texts = _read_again(nodes(left), rows, documents, _with_node, "text string")
     for end in ("b", "a"):
         own = texts.select(F.col("node").alias("of"), F.col("text").alias(f"text_{end}"))
         left = left.join(own, F.col(end) == F.col("of")).drop("of")
     return map_columns(left.select("a", "b", "text_a", "text_b"), _verify, "a bigint, b bigint")
 
 
+# ---- step 4: links across components
+
+
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements every two of the sets share."""
+    n = len(sets)
+    total = np.zeros((n, n), np.float32)
+    values, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    several = counts > 1
+    number = np.cumsum(several) - 1  # of the elements that more than one set has
+    kept = several[at]
+    owner, column = owner[kept], number[at][kept]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for start in range(0, int(several.sum()), 4096):
+        lo, hi = np.searchsorted(column, [start, start + 4096])
+        has = np.zeros((n, 4096), np.float32)
+        has[owner[lo:hi], column[lo:hi] - start] = 1
+        total += has @ has.T
+    return total
+
+
+def _comparable(rows: list[tuple]) -> np.ndarray:
+    """Which two rows (.., part, n, ..) are of different components and of fitting sizes."""
+    part, n = np.array([r[5] for r in rows]), np.array([r[6] for r in rows])
+    return (part[:, None] != part) & (5 * n[:, None] >= 4 * n) & (5 * n >= 4 * n[:, None])
+
+
+def _by_group(batches: Iterator[list]) -> Iterator[list[tuple]]:
+    """Rows that agree in their first four columns, which they are sorted by."""
+    rows: list[tuple] = []
+    for columns in batches:
+        for row in zip(*(c.to_pylist() for c in columns), strict=True):
+            if rows and rows[0][:4] != row[:4]:
+                yield rows
+                rows = []
+            rows.append(row)
+    if rows:
+        yield rows
+
+
+def _survivors(batches: Iterator[list]) -> Iterator[list]:
+    """Rows of a group that share a shingle with a comparable one under every other order."""
+    for rows in _by_group(batches):
+        candidates = np.triu(_comparable(rows))
+        for order in range(7, 6 + ORDERS):
+            if candidates.any():
+                candidates &= _overlaps([np.array(r[order], np.int32) for r in rows]) > 0
+        left = np.nonzero(candidates.any(axis=0) | candidates.any(axis=1))[0]
+        if len(left):
+            yield list(zip(*(rows[i][:7] for i in left), strict=True))
+
+
+def _forest(batches: Iterator[list]) -> Iterator[list]:
+    """Links between the components of a group, as few as join what is joined."""
+    for rows in _by_group(batches):
+        sets = [shingles(r[7]) for r in rows]
+        shared = _overlaps(sets)
+        n = np.array([r[6] for r in rows])
+        linked = np.triu(_comparable(rows) & (100 * shared >= 80 * (n[:, None] + n - shared)))
+        parent = {r[5]: r[5] for r in rows}
+        found = []
+        for x, y in np.argwhere(linked):
+            ends = []
+            for end in (rows[x][5], rows[y][5]):
+                while parent[end] != end:
+                    parent[end] = parent[parent[end]]
+                    end = parent[end]
+                ends.append(end)
+            if ends[0] != ends[1]:
+                parent[ends[0]] = ends[1]
+                found.append((rows[x][4], rows[y][4]))
+        if found:
+            yield list(zip(*found, strict=True))
+
+
+def _links_across(
+    shared: DataFrame, parts: DataFrame, rows: DataFrame, documents: DataFrame, levels: Broadcast, block: int = 512
+) -> DataFrame:
+    """Links between components that step 3 could not see: those of two nodes that are no pivots.
+
+    Such nodes share a shingle and so its pivot. A group has the nodes of one pivot and two neighbouring
+    classes of size; groups of a single component are left out. Larger groups are cut into blocks, and every two
+    blocks compared in a task of their own, so that a task holds two blocks of texts at most and gives only
+    links that join components, never the pairs it looks at.
+    """
+    key = ["pivot", "band", "one", "other"]
+    placed = (
+        shared.where("node <> pivot")
+        .select("pivot", "node", "n")
+        .distinct()
+        .join(parts, F.col("node") == F.col("member"), "left")
+        .withColumn("part", F.coalesce("component", "node"))
+        .withColumn("class", F.floor(F.log(1.25, "n")).cast("int"))
+        .select("pivot", "node", "n", "part", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("band"))
+    )
+    placed = written(placed, "shingle-placed")
+    spanning = written(
+        placed.groupBy(F.col("pivot").alias("p"), F.col("band").alias("b"))
+        .agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size"))
+        .where("low < high")
+        .select("p", "b", F.ceil(F.col("size") / block).cast("int").alias("blocks")),
+        "shingle-spanning",
+    )
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    pairs_of_blocks = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda i: F.struct(F.least(own, i).alias("one"), F.greatest(own, i).alias("other")),
+    )
+    members = written(
+        placed.join(spanning, (F.col("pivot") == F.col("p")) & (F.col("band") == F.col("b"))).select(
+            "pivot", "band", F.inline(pairs_of_blocks), "node", "part", "n"
+        ),
+        "shingle-members",
+    )
+
+    def with_columns(members: DataFrame, table: DataFrame) -> DataFrame:
+        joined = members.join(table, F.col("node") == F.col("of")).drop("of")
+        return joined.repartition(*key).sortWithinPartitions(*key)
+
+    nodes = members.select("node").distinct()
+    prefixes = _read_again(nodes, rows, documents, partial(_other_prefixes, levels), "p1 array<int>, p2 array<int>")
+    schema = "pivot bigint, band int, one int, other int, node bigint, part bigint, n int"
+    left = written(
+        map_columns(with_columns(members, prefixes.withColumnRenamed("node", "of")), _survivors, schema),
+        "shingle-survivors",
+    )
+    texts = _read_again(left.select("node").distinct(), rows, documents, _with_node, "text string")
+    return map_columns(with_columns(left, texts.withColumnRenamed("node", "of")), _forest, "a bigint, b bigint")
+
+
 def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles, component: the smallest key reachable by links, per row of ``docs``."""
     spark = docs.sparkSession
@@ -333,31 +469,7 @@ def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     links = written(_links(first, rows, documents, levels), "shingle-links")
     parts = written(components(links, "a", "b"), "shingle-parts")
 
-    # Shingles that still span several components.
-    placed = written(
-        shared.join(parts, F.col("node") == F.col("member"), "left").select(
-            "token", "node", "n", "pivot", F.coalesce("component", "node").alias("part")
-        ),
-        "shingle-placed",
-    )
-    spanning = written(
-        placed.groupBy(F.col("token").alias("of"))
-        .agg(F.min("part").alias("low"), F.max("part").alias("high"))
-        .where("low < high")
-        .select("of"),
-        "shingle-spanning",
-    )
-    open_rows = written(placed.join(spanning, F.col("token") == F.col("of"), "left_semi"), "shingle-open")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    across = written(
-        x.join(y, F.col("x.token") == F.col("y.token"))
-        .where("x.part < y.part and x.node <> x.pivot and y.node <> y.pivot")
-        .where(_sizes_fit("x.n", "y.n"))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .distinct(),
-        "shingle-across",
-    )
-    more = written(_links(across, rows, documents, levels), "shingle-more")
+    more = written(_links_across(shared, parts, rows, documents, levels), "shingle-more")
     everything = links.union(more)
 
     # From nodes to documents: a component is named by its smallest document.
