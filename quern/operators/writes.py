@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,7 @@ from quern.errors import QueryError
 from quern.functions import predicates as P
 from quern.functions.fields import Fields, fields
 from quern.operators.reads import MAX_LITERAL_IDS, as_keys, id_frame, with_ids
-from quern.operators.topn import key_set, top_per_group
+from quern.operators.topn import key_set
 
 
 @dataclass(frozen=True)
@@ -40,7 +41,9 @@ def _known(df: DataFrame, names: Iterable[str]) -> Fields:
 
 def _with_key(batch: DataFrame, key: str) -> DataFrame:
     missing = F.raise_error(F.lit(f"a row of the batch has no {key}")).cast(batch.schema[key].dataType)
-    return batch.withColumn(key, F.coalesce(F.col(key), missing))
+    # The condition, which raising makes true, is what joins by the key add anyway: with it here, all uses of the
+    # batch have the same plan up to its shuffle.
+    return batch.withColumn(key, F.coalesce(F.col(key), missing)).filter(F.col(key).isNotNull())
 
 
 def upsert(current: DataFrame, batch: DataFrame, key: str, ordinal: str | None = None) -> Change:
@@ -53,19 +56,26 @@ def upsert(current: DataFrame, batch: DataFrame, key: str, ordinal: str | None =
     known = _known(current, [key, *given])
     batch = _with_key(batch, key)
     if ordinal is not None:
-        batch = top_per_group(batch, [key], [F.desc(ordinal)], 1).drop(ordinal)
+        order = F.struct(F.col(ordinal).isNotNull(), F.col(ordinal))
+        row = F.struct(*[c for c in batch.columns if c != ordinal])
+        kept = batch.groupBy(key).agg(F.max_by(row, order).alias("__row"))
     else:
         repeated = F.raise_error(F.concat(F.lit(f"{key} repeats in the batch: "), F.col(key).cast("string")))
         kept = batch.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct("*")).alias("__row"))
-        batch = kept.filter(F.when(F.col("__n") == 1, True).otherwise(repeated.cast("boolean"))).select("__row.*")
+        kept = kept.filter(F.when(F.col("__n") == 1, True).otherwise(repeated.cast("boolean")))
+    # Rows and keys come from the same shuffled groups, which Spark computes once: the condition, true for
+    # every group, keeps their rows in use where only the keys are asked for.
+    kept = kept.filter(F.col("__row").isNotNull())
+    keys = kept.select(key)
+    batch = kept.select("__row.*")
     full = [
         (F.col(n) if n in given else F.lit(None)).cast(known[n].dtype).alias(n) for n in current.columns
     ]
     batch = batch.select(*full)
-    rows = current.join(batch.select(key), key, "left_anti").unionByName(batch)
+    rows = current.join(keys, key, "left_anti").unionByName(batch)
     present = current.select(key).withColumn("__hit", F.lit(1))
     counts = (
-        batch.select(key)
+        keys
         .join(present, key, "left")
         .agg(F.count(F.lit(1)).alias("affected"), F.count("__hit").alias("updated"))
         .select("affected", (F.col("affected") - F.col("updated")).alias("created"), "updated")
@@ -94,12 +104,18 @@ def delete_where(current: DataFrame, condition: Column | None) -> Change:
 
 
 def update_by_id(current: DataFrame, key: str, value: Any, patch: Mapping[str, Any]) -> Change:
-    """Overlay the given values on the row with this key. No such row changes nothing."""
+    """Overlay the given values on the row with this key. No such row changes nothing.
+
+    A row that has these values already does not count as affected.
+    """
     if value is None:
         raise QueryError("update needs a key value")
     found = F.col(key) == F.lit(value)
-    rest = {n: v for n, v in patch.items() if n != key}
-    return Change(_overlay(current, found, rest), _count(current.filter(found)))
+    rest = {n: v for n, v in patch.items() if n != key and v is not None}
+    _known(current, rest)
+    changed = [~F.col(n).eqNullSafe(F.lit(v).cast(current.schema[n].dataType)) for n, v in rest.items()]
+    differs = reduce(lambda a, b: a | b, changed, F.lit(False))
+    return Change(_overlay(current, found, rest), _count(current.filter(found & differs)))
 
 
 def update_where(current: DataFrame, condition: Column | None, patch: Mapping[str, Any]) -> Change:

@@ -96,35 +96,80 @@ def cardinality_all(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def cardinality_approximate(spark: SparkSession, directory: str) -> DataFrame:
-    """Whether the approximate count is within ten percent of the exact one, per flag."""
+    """The exact count per flag, and whether the approximate one is within ten percent of it."""
     lines = table(spark, directory, "lineitem")
     tree = A.terms(
         "l_returnflag", A.cardinality("l_orderkey", name="about"), A.cardinality("l_orderkey", "exact", True), name="flag"
     )
     found = A.aggregate(lines, None, tree).buckets("flag")
-    return found.select("flag", (F.abs(F.col("about") - F.col("exact")) <= 0.1 * F.col("exact")).alias("close"))
+    return found.select("flag", "exact", (F.abs(F.col("about") - F.col("exact")) <= 0.1 * F.col("exact")).alias("close"))
 
 
-def histogram(unit: str):
+def histogram(unit: str, years: tuple[int, ...] = ()):
+    """All orders, or those of some years, which leaves gaps to fill."""
+
     def query(spark: SparkSession, directory: str) -> DataFrame:
         orders = table(spark, directory, "orders")
+        of_years = P.any_of(*[F.year("o_orderdate") == y for y in years]) if years else None
         tree = A.date_histogram("o_orderdate", unit, A.sum("o_totalprice", name="total"), name="start")
-        found = A.aggregate(orders, P.gt(fields(orders)["o_totalprice"], 490000.0), tree).buckets("start")
-        return found.withColumn("total", round_to("total", 2))
+        return A.aggregate(orders, of_years, tree).buckets("start").withColumn("total", round_to("total", 2))
 
     return query
 
 
-def histogram_sql(unit: str) -> str:
+def histogram_sql(unit: str, years: tuple[int, ...] = ()) -> str:
     step = "3 months" if unit == "quarter" else f"1 {unit}"
+    where = f" WHERE year(o_orderdate) IN ({', '.join(map(str, years))})" if years else ""
     return f"""
-WITH rows AS (SELECT date_trunc('{unit}', o_orderdate)::TIMESTAMP AS b, o_totalprice FROM orders WHERE o_totalprice > 490000),
+WITH rows AS (SELECT date_trunc('{unit}', o_orderdate)::TIMESTAMP AS b, o_totalprice FROM orders{where}),
 span AS (SELECT min(b) AS lo, max(b) AS hi FROM rows),
 every AS (SELECT unnest(generate_series(lo, hi, INTERVAL '{step}')) AS b FROM span)
 SELECT epoch_ms(every.b) AS start, count(rows.b) AS doc_count, round(coalesce(sum(o_totalprice), 0), 2) AS total
 FROM every LEFT JOIN rows ON rows.b = every.b GROUP BY every.b"""
 
 
+def long_histogram(name: str, column: str, unit: str):
+    """Millions of buckets with gaps filled, told by what they add up to."""
+
+    def query(spark: SparkSession, directory: str) -> DataFrame:
+        found = A.aggregate(table(spark, directory, name), None, A.date_histogram(column, unit, name="start")).buckets("start")
+        return found.agg(
+            F.count("*").alias("buckets"),
+            F.count_if(F.col("doc_count") == 0).alias("empty"),
+            F.sum("doc_count").alias("rows"),
+            F.min("start").alias("first"),
+            F.max("start").alias("last"),
+            F.sum(F.col("start") % 1_000_003).alias("starts"),
+        )
+
+    return query
+
+
+def long_histogram_sql(name: str, column: str, unit: str) -> str:
+    return f"""
+WITH counted AS (SELECT date_trunc('{unit}', {column})::TIMESTAMP AS b, count(*) AS n FROM {name} GROUP BY 1),
+every AS (SELECT unnest(generate_series(min(b), max(b), INTERVAL '1 {unit}')) AS b FROM counted)
+SELECT count(*) AS buckets, count(*) FILTER (n IS NULL) AS empty, CAST(sum(n) AS BIGINT) AS rows,
+  epoch_ms(min(every.b)) AS first, epoch_ms(max(every.b)) AS last, CAST(sum(epoch_ms(every.b) % 1000003) AS BIGINT) AS starts
+FROM every LEFT JOIN counted ON counted.b = every.b"""
+
+
+def stats_dates(spark: SparkSession, directory: str) -> DataFrame:
+    """Epoch milliseconds of order dates, per priority."""
+    orders = table(spark, directory, "orders")
+    tree = A.terms("o_orderpriority", A.stats("o_orderdate", name="at"), name="priority")
+    found = A.aggregate(orders, None, tree).buckets("priority")
+    return found.withColumns({"at_avg": round_to("at_avg", 2)})
+
+
+def top_hits_many(spark: SparkSession, directory: str) -> DataFrame:
+    """The 1500 dearest orders of each status."""
+    orders = table(spark, directory, "orders")
+    tree = A.terms("o_orderstatus", A.top_hits(1500, "o_totalprice", name="dearest"), name="status")
+    found = A.aggregate(orders, None, tree, key="o_orderkey").hits("status", "dearest")
+    return found.select("status", F.col("hit_rank").cast("bigint").alias("hit_rank"), "hit.o_orderkey", "hit.o_totalprice")
+
+
 def histogram_per_parent(spark: SparkSession, directory: str) -> DataFrame:
     """Hours per event type; each type's gaps are filled within its own span."""
     events = table(spark, directory, "events")
@@ -265,12 +310,30 @@ SELECT status, customer, doc_count FROM
     "AGG9_cardinality_all": (cardinality_all, "SELECT count(DISTINCT user_id) AS users FROM events"),
     "AGG9_cardinality_approximate": (
         cardinality_approximate,
-        "SELECT l_returnflag AS flag, true AS close FROM lineitem GROUP BY 1",
+        "SELECT l_returnflag AS flag, count(DISTINCT l_orderkey) AS exact, true AS close FROM lineitem GROUP BY 1",
     ),
     **{
         f"AGG10_date_histogram_{unit}": (histogram(unit), histogram_sql(unit))
         for unit in ("day", "week", "month", "quarter", "year")
     },
+    "AGG10_date_histogram_gaps": (histogram("month", (1995, 1998, 2001)), histogram_sql("month", (1995, 1998, 2001))),
+    "AGG10_date_histogram_second": (long_histogram("events", "ts", "second"), long_histogram_sql("events", "ts", "second")),
+    "AGG10_date_histogram_minute": (
+        long_histogram("orders", "o_orderdate", "minute"),
+        long_histogram_sql("orders", "o_orderdate", "minute"),
+    ),
+    "AGG8_stats_dates": (
+        stats_dates,
+        "SELECT o_orderpriority AS priority, count(*) AS doc_count, count(o_orderdate) AS at_count,"
+        " min(epoch_ms(o_orderdate))::DOUBLE AS at_min, max(epoch_ms(o_orderdate))::DOUBLE AS at_max,"
+        " round(avg(epoch_ms(o_orderdate)), 2) AS at_avg, sum(epoch_ms(o_orderdate))::DOUBLE AS at_sum"
+        " FROM orders GROUP BY 1",
+    ),
+    "AGG14_top_hits_many": (
+        top_hits_many,
+        "SELECT status, r AS hit_rank, o_orderkey, o_totalprice FROM (SELECT o_orderstatus AS status, o_orderkey, o_totalprice,"
+        " row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r <= 1500",
+    ),
     "AGG10_date_histogram_per_parent": (
         histogram_per_parent,
         """

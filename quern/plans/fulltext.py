@@ -147,13 +147,13 @@ FROM tf, totals WHERE tf > 0 ORDER BY ({weights}) * tf * 2.2 / (tf + 1.2 * (0.25
     )
 
 
-def marked(queries, count):
-    """One row per fragment of the matching documents."""
+def marked(queries, count, lang=None):
+    """One row per fragment of the matching documents, of one language or of all."""
 
     def query(spark: SparkSession, directory: str) -> DataFrame:
         docs, f = documents(spark, directory)
         found = highlighted(
-            spread(docs), queries(f), [f["text"]], P.eq(f["lang"], "en"), pre_tag="<b>", post_tag="</b>", count=count
+            spread(docs), queries(f), [f["text"]], P.eq(f["lang"], lang) if lang else None, pre_tag="<b>", post_tag="</b>", count=count
         )
         return found.select("doc_id", F.posexplode(F.col("highlights")["text"]).alias("pos", "fragment")).select(
             "doc_id", F.col("pos").cast("bigint").alias("pos"), "fragment"
@@ -162,7 +162,7 @@ def marked(queries, count):
     return query
 
 
-def marked_sql(words: list[str], count: int | None) -> str:
+def marked_sql(words: list[str], count: int | None, lang: str | None = None) -> str:
     # RE2 has no lookaround: neighbours are captured, and a second pass tags hits that share one.
     word, join = r"\p{L}\p{M}\p{Nl}\p{Nd}_", ".:·''’"
     left = rf"(^|[^{word}{join}\x{{E000}}]|(?:^|[^\p{{L}}\p{{M}}\p{{Nl}}])[{join}])"
@@ -178,7 +178,7 @@ def marked_sql(words: list[str], count: int | None) -> str:
     keep = f" WHERE pos < {count}" if count else ""
     return f"""
 WITH pieces AS (SELECT doc_id, unnest(p) AS piece, unnest(range(1, len(p) + 1)) AS i
-                FROM (SELECT doc_id, regexp_extract_all(text, '{piece}') AS p FROM documents WHERE lang = 'en')),
+                FROM (SELECT doc_id, regexp_extract_all(text, '{piece}') AS p FROM documents{f" WHERE lang = '{lang}'" if lang else ""})),
 tagged AS (SELECT doc_id, i, {tag(tag('piece'))} AS m FROM pieces),
 hits AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS pos,
                 replace(replace(m, chr(57344), '<b>'), chr(57345), '</b>') AS fragment
@@ -264,8 +264,8 @@ QUERIES = {
         PICK + "len(list_intersect(t, ['thth', 'erer', 'thon'])) >= 2",
     ),
     "TXT8_highlight": (
-        marked(lambda f: [X.text_query(f["text"], "with from")], 5),
-        marked_sql(["with", "from"], 5),
+        marked(lambda f: [X.text_query(f["text"], "with from")], 5, "en"),
+        marked_sql(["with", "from"], 5, "en"),
     ),
     "TXT8_highlight_all_fragments": (
         marked(lambda f: [X.text_query(f["text"], "thth")], None),

@@ -91,6 +91,17 @@ def rest(spark: SparkSession, directory: str) -> DataFrame:
     return orders.filter(R.after(orders, order, ("3-MEDIUM", "250000.0", "0"))).select(*ORDER_COLUMNS)
 
 
+def after_timestamp(spark: SparkSession, directory: str) -> DataFrame:
+    """The third batch of 400 events in time, as instants, which cursors hold as epoch microseconds."""
+    events = table(spark, directory, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    f = fields(events)
+    cursor = None
+    for _ in range(2):
+        cursor = R.select_after(events, 400, cursor, sort=[desc(f["at"])], key=f["event_id"], with_total=False).next
+    found = R.select_after(events, 400, cursor, sort=[desc(f["at"])], key=f["event_id"], with_total=False)
+    return found.rows.select("event_id", F.unix_micros("at").alias("micros"))
+
+
 def collapsed(spark: SparkSession, directory: str) -> DataFrame:
     """The dearest order per customer."""
     orders = nullable_orders(spark, directory)
@@ -158,6 +169,10 @@ QUERIES = {
         f"SELECT {COLUMNS} FROM {NULLABLE_ORDERS} WHERE o_priority > '3-MEDIUM' OR o_priority IS NULL"
         " OR (o_priority = '3-MEDIUM' AND (o_totalprice < 250000 OR (o_totalprice = 250000 AND o_orderkey > 0)))",
     ),
+    "RD7_after_timestamp": (
+        after_timestamp,
+        "SELECT event_id, epoch_us(ts) AS micros FROM events ORDER BY ts DESC, event_id LIMIT 400 OFFSET 800",
+    ),
     "RD9_collapse": (
         collapsed,
         f"SELECT o_custkey, {COLUMNS} FROM (SELECT *, row_number() OVER"

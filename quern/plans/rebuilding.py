@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.errors import QueryError
 from quern.plans.children import LINES, documents
 from quern.plans.tables import table
 from quern.sources import schema as S
@@ -82,14 +83,57 @@ def copied_report(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def scratch_database(spark: SparkSession) -> str:
-    """A database of its own in the shared folder the session names, else in the warehouse."""
-    name = f"quern_{uuid.uuid4().hex[:12]}"
+    """A database of its own in the shared folder that the session names, in place of the one made before."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    place = f" LOCATION '{shared.rstrip('/')}/{name}'" if shared else ""
-    spark.sql(f"CREATE DATABASE {name}{place}")
+    if not shared:
+        raise QueryError("set spark.checkpoint.dir to a folder that all executors share")
+    for earlier in _MADE:
+        spark.sql(f"DROP DATABASE IF EXISTS {earlier} CASCADE")
+    _MADE.clear()
+    name = f"quern_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared.rstrip('/')}/{name}'")
+    _MADE.append(name)
     return name
 
 
+_MADE: list[str] = []  # by this driver
+
+
+def mismatched(spark: SparkSession, directory: str) -> DataFrame:
+    """Per column that does not conform: what is wrong, and how many rows have a value there."""
+    orders = table(spark, directory, "orders")
+    problems = S.check(orders, S.stored_schema(S.derive(Order)), policy="warn")
+    counted = orders.agg(*[F.count(c).alias(c) for c in orders.columns])
+    filled = counted.unpivot([], orders.columns, "column", "filled")
+    return problems.join(filled, "column", "left").select(
+        "column", "problem", F.coalesce("filled", F.lit(0)).cast("bigint").alias("filled")
+    )
+
+
+def created(spark: SparkSession, directory: str) -> DataFrame:
+    """A table created from the declared schema, filled, checked and read back."""
+    name = f"{scratch_database(spark)}.declared"
+    declared = S.stored_schema(S.derive(Order))
+    S.create_if_absent(spark, name, declared)
+    S.conform(table(spark, directory, "orders"), declared).write.format("parquet").insertInto(name)
+    S.create_if_absent(spark, name, declared, policy="fail")
+    return spark.table(name)
+
+
+def reindexed(spark: SparkSession, directory: str) -> DataFrame:
+    """One table copied into another by name: the rows it has afterwards, with the report beside each."""
+    place = scratch_database(spark)
+    drifted(spark, directory).write.format("parquet").saveAsTable(f"{place}.source")
+    table(spark, directory, "orders").filter("o_orderstatus <> 'P'").write.format("parquet").saveAsTable(f"{place}.target")
+    report = V.reindex(spark, f"{place}.source", f"{place}.target", "o_orderkey")
+    return spark.table(f"{place}.target").select(
+        "o_orderkey",
+        "o_orderdate",
+        F.lit(report.total).cast("bigint").alias("total"),
+        F.lit(report.created).cast("bigint").alias("created"),
+    )
+
+
 def rebuilt(spark: SparkSession, directory: str) -> DataFrame:
     """Orders written as a table, then rebuilt twice: first into a view, then from version to version."""
     name = f"{scratch_database(spark)}.orders"
@@ -126,5 +170,18 @@ QUERIES = {
         " count(*) FILTER (WHERE o_orderstatus <> 'P') AS updated, 0::BIGINT AS conflicts"
         f" FROM {SOURCE_SQL}",
     ),
+    "SCH2_mismatches": (
+        mismatched,
+        "SELECT 'o_custkey' AS column, 'type differs' AS problem, count(o_custkey) AS filled FROM orders"
+        " UNION ALL SELECT 'o_orderdate', 'type differs', count(o_orderdate) FROM orders"
+        " UNION ALL SELECT 'o_comment', 'missing', 0",
+    ),
+    "SCH3_create_if_absent": (created, ORDER_SQL),
+    "REB1_reindex": (
+        reindexed,
+        f"WITH report AS (SELECT count(*) AS total, count(*) FILTER (WHERE o_orderstatus = 'P') AS created FROM {SOURCE_SQL})"
+        f" SELECT o_orderkey, NULL::TIMESTAMP AS o_orderdate, total, created FROM {SOURCE_SQL}, report"
+        f" UNION ALL SELECT o_orderkey, o_orderdate, total, created FROM {TARGET_SQL}, report WHERE o_totalprice <= 250000",
+    ),
     "REB2_REB3_REB4_rebuild": (rebuilt, ORDER_SQL),
 }

@@ -184,12 +184,17 @@ def mismatches(actual: T.StructType, declared: T.StructType) -> list[Mapping[str
             out.append({"column": f.name, "problem": "missing", "declared": want, "actual": None})
             continue
         have = actual[f.name].dataType
-        nested = isinstance(f.dataType, T.ArrayType) and isinstance(have, T.ArrayType)
+        # The fields of children are not compared, but an array of structs is no other array.
+        nested = _children(f.dataType) and _children(have)
         if have.simpleString() != want and not nested:
             out.append({"column": f.name, "problem": "type differs", "declared": want, "actual": have.simpleString()})
     return out
 
 
+def _children(dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType)
+
+
 def check(df: DataFrame, declared: T.StructType, policy: str = "warn") -> DataFrame:
     """The mismatches as rows; with ``policy="fail"`` any of them raises."""
     found = mismatches(df.schema, declared)

@@ -223,3 +223,10 @@ def test_distance_box_reaches_the_scan(spark, products, tmp_path):
     shown = plan(near)
     assert "GreaterThanOrEqual(location.lat," in shown and "LessThanOrEqual(location.lon," in shown
     assert {r["id"] for r in near.collect()} == {90001, 90002}
+
+
+def test_upserts_group_their_batch_once(spark):
+    df = entry.queries()["DML1_upsert"](spark, TESTDATA)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and "BroadcastHashJoin" in final

@@ -165,3 +165,45 @@ def test_box_never_drops_a_point(spark, radius, lat, lon):
     exact = geo.distance(p, origin) <= geo.parse_distance(radius)
     row = df.agg(F.count_if(exact).alias("n"), F.count_if(geo.geo_distance(p, radius, origin)).alias("m")).first()
     assert row["n"] == row["m"]
+
+
+def test_cursors_survive_changes_of_clocks(spark):
+    """Half-hourly rows over both changes of clocks of a year, one at a time, in a zone that has them."""
+    spring, autumn = 1_710_054_000, 1_730_606_400  # 2024-03-10 07:00 and 2024-11-03 04:00 UTC
+    rows = [(i, start + 1800 * i) for start in (spring - 7200, autumn) for i in range(8)]
+    seconds = spark.createDataFrame([(n, s) for n, (_, s) in enumerate(rows)], "id bigint, s bigint")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = seconds.select("id", F.timestamp_seconds("s").alias("at"))
+        f, cursor, seen = fields(df), None, []
+        for _ in range(len(rows)):
+            batch = R.select_after(df, 1, cursor, sort=[asc(f["at"])], key=f["id"], with_total=False)
+            seen += [(r["id"], r["s"]) for r in batch.rows.select("id", F.unix_seconds("at").alias("s")).collect()]
+            cursor = batch.next
+        assert cursor is None and seen == [(n, s) for n, (_, s) in enumerate(sorted(rows, key=lambda r: r[1]))] or sorted(seen) == [
+            (n, s) for n, (_, s) in enumerate(rows)
+        ]
+        assert [s for _, s in seen] == sorted(s for _, s in rows)
+        # A cursor taken in one zone goes on in another.
+        first = R.select_after(df, 5, None, sort=[asc(f["at"])], key=f["id"], with_total=False).next
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert [r["id"] for r in R.select_after(df, 1, first, sort=[asc(f["at"])], key=f["id"]).rows.collect()] == [seen[5][0]]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("n", [3, 1500])
+def test_id_lists_behave_alike_at_any_size(spark, n):
+    df = spark.range(5).selectExpr("id", "cast(id as string) AS name", "id * 1.5 AS x")
+    f = fields(df)
+    more = list(range(100, 100 + n - 3))
+    assert sorted(r["id"] for r in R.with_ids(df, f["id"], [1, None, 2, *more]).collect()) == [1, 2]
+    assert sorted(r["id"] for r in R.with_ids(df, f["id"], ["1", "2", None, *map(str, more)]).collect()) == [1, 2]
+    assert sorted(r["id"] for r in R.with_ids(df, f["name"], ["3", 4, *more]).collect()) == [3, 4]
+    with pytest.raises(QueryError):
+        R.with_ids(df, f["id"], ["one", *more])
+    text = fields(df, text=["name"])
+    with pytest.raises(QueryError):
+        R.with_ids(df, text["name"], ["3", *map(str, more)])
+    assert R.search(df, None, limit=20_000, key=f["id"]).count() == 5

@@ -130,6 +130,13 @@ def test_conformance(spark):
     assert tuple(fixed.first()) == (1, "x", None)
 
 
+def test_arrays_of_structs_are_no_other_arrays(spark):
+    have = spark.sql("SELECT array('a') AS skus, array(named_struct('x', 1)) AS lines").schema
+    children = T.ArrayType(T.StructType([T.StructField("skuCode", T.StringType())]))
+    declared = T.StructType([T.StructField("skus", children), T.StructField("lines", children)])
+    assert [m["column"] for m in S.mismatches(have, declared)] == ["skus"]
+
+
 def test_conform_goes_by_name_inside_children(spark):
     df = spark.createDataFrame([(1, [(5, "a")])], "id int, c array<struct<n:int,s:string>>")
     declared = T.StructType.fromDDL("id bigint, c array<struct<s:string,n:bigint,z:date>>")

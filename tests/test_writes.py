@@ -69,6 +69,8 @@ def test_update_by_id(stock):
     change = W.update_by_id(stock, "id", 2, {"id": 2, "name": None, "n": 5})
     assert tuple(by_id(change.rows)[2]) == (2, "b", 5) and change.affected() == 1
     assert W.update_by_id(stock, "id", 99, {"n": 5}).affected() == 0
+    # What changes nothing does not count.
+    assert W.update_by_id(stock, "id", 1, {}).affected() == W.update_by_id(stock, "id", 1, {"name": "a", "n": 10}).affected() == 0
     with pytest.raises(QueryError):
         W.update_by_id(stock, "id", 2, {"colour": 1})
     with pytest.raises(QueryError):
