@@ -293,7 +293,10 @@ def merge_index(index: DataFrame, batch: int = 4096) -> DataFrame:
 
 
 def archived(spark: SparkSession, captures: DataFrame, **options) -> DataFrame:
-    """Write ``captures`` into archives in the shared folder, read them back and give the merged index."""
+    """Write ``captures`` into archives in the shared folder, read them back and give the merged index.
+
+    The sorted runs are stored, so that dealing them out by ranges, which samples, reads no archive again.
+    """
     path = shared_folder(spark, "warc")
     write_archives(captures, path, **options)
-    return merge_index(read_archives(spark, path))
+    return merge_index(written(read_archives(spark, path), "warc-runs"))
