@@ -11,8 +11,9 @@ pairs of pieces: a pair has a finite weight only where the merges, applied to th
 them apart. A path all of whose pairs are finite is the one the merges give, so that the shortest path is
 exactly the library's encoding.
 
-No piece reaches across a space mark that follows another character (checked when compiling), so the path is
-found for stretches between those, which repeat and are kept in a table of bounded size per Python worker.
+No piece reaches across a space mark that follows another character (checked when compiling), nor between two
+characters that no piece has side by side, so the path is found for the parts in between. These repeat and
+begin alike, and are kept in tables of bounded size per Python worker.
 
 Defined results:
 - A null text is empty and has no pieces. Repeated rows are encoded alike.
@@ -36,7 +37,7 @@ from quern.llm.common import map_columns
 
 MARK = "▁"
 FALLBACK = 1e6  # the weight of a character's bytes, above that of any piece
-KEPT = 500_000  # stretches whose encoding a worker keeps
+KEPT = 1_000_000  # stretches, and beginnings of stretches, whose encoding a worker keeps
 LONGEST_KEPT = 64  # characters of such a stretch
 
 
@@ -58,6 +59,7 @@ class Transducer:
         self._rewrites = re.compile("|".join(re.escape(r) for r in sorted(self.rules, key=len, reverse=True)))
         # The pieces are the transducer's arcs over spans of the text; none is longer than this.
         self.longest = max(map(len, pieces), default=1)
+        self.inside = {text[i : i + 2] for text in pieces for i in range(len(text) - 1)}
         self.alphabet = {c for text in pieces for c in text}
         crossing = any(MARK in text.lstrip(MARK) for text in pieces)
         apart = "".join(re.escape(c) for c in "\n\r\t" if c not in self.alphabet)
@@ -69,16 +71,18 @@ class Transducer:
         self.output.setdefault(unknown, " ⁇ ".encode())
         self._pairs: dict[tuple[str, str], bool] = {}
         self._known: dict[str, bytes] = {}
+        self._ends: dict[str, str] = {}
+        self._splits: dict[str, tuple[str, str] | None] = {}
 
     def normalise(self, text: str) -> str:
         if not text:
             return ""
         return (MARK if self.dummy_prefix else "") + self._rewrites.sub(lambda m: self.rules[m.group()], text)
 
-    def merged(self, text: str) -> list[str]:
+    def merged(self, text: str, leave: int = 1) -> list[str]:
         """What the merges leave of a text: the best-scored neighbours are joined first, the leftmost of equals."""
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > leave:
             best = max(
                 ((self.pieces[p][1], -i) for i in range(len(parts) - 1) if (p := parts[i] + parts[i + 1]) in self.pieces),
                 default=None,
@@ -89,70 +93,132 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def _split(self, piece: str) -> tuple[str, str] | None:
+        """The two pieces whose merge makes this one, or None where merges never make it; a character is its own."""
+        found = self._splits.get(piece, "")
+        if found == "":
+            found = (piece, piece)
+            if len(piece) > 1:
+                parts = self.merged(piece, leave=2)
+                found = tuple(parts) if len(parts) == 2 and self.merged(piece) == [piece] else None
+            self._splits[piece] = found
+        return found
+
     def _apart(self, left: str, right: str) -> bool:
-        """Whether the arc for this pair has a finite weight."""
+        """Whether the arc for this pair has a finite weight: no merge across the border comes before those that make the two."""
         pair = (left, right)
         found = self._pairs.get(pair)
         if found is None:
-            if len(self._pairs) > 2_000_000:
+            if len(self._pairs) > KEPT:
                 self._pairs.clear()
-            # Merges of a pair can only differ from the pair where some characters across the border merge.
-            found = self._pairs[pair] = self.merged(left + right) == [left, right]
+            found = self._pairs[pair] = self._stay_apart(left, right)
         return found
 
+    def _stay_apart(self, left: str, right: str) -> bool:
+        if self._split(left) is None or self._split(right) is None:
+            return False
+        pieces, limit = self.pieces, float("inf")
+        while True:
+            joined = pieces.get(left + right)
+            if joined is not None and -joined[1] < limit:
+                return False
+            made_left = -pieces[left][1] if len(left) > 1 else -1.0
+            made_right = -pieces[right][1] if len(right) > 1 else -1.0
+            if made_left > made_right:  # what stood at the border before the later of the two was made
+                limit, left = made_left, self._split(left)[1]
+            elif len(right) > 1:  # of merges that rank alike the leftmost comes first, which is the one across
+                limit, right = made_right + 0.5, self._split(right)[0]
+            else:
+                return True
+
     def shortest_path(self, text: str) -> list[int]:
-        """The ids on the least-weight path of this text's lattice.
+        """The ids on the least-weight path of this text's lattice."""
+        return self._merge_path(text) if self.merges else self._least_path(text)
 
-        Positions are settled from left to right by the arcs that end there, the longest piece first. Under
-        merges all finite paths to a position agree on their last piece, so that the first finite arc settles it.
-        """
-        pieces, merges, longest, pairs = self.pieces, self.merges, self.longest, self._pairs
-        weight, ids = [0.0], [[]]
-        last = [""]  # the piece on the best path's last arc; none at the start and after bytes
-        back = [-1]
+    def _fallback(self, character: str) -> list[int]:
+        return [self.byte_ids[b] for b in character.encode()] if self.byte_ids else [self.unknown]
+
+    def _least_path(self, text: str) -> list[int]:
+        """Positions are settled from left to right by the arcs that end there."""
+        weight, back = [0.0], [(-1, [])]
         for end in range(1, len(text) + 1):
             best = None
-            for start in range(max(0, end - longest), end):
-                piece = text[start:end]
-                arc = pieces.get(piece)
-                if arc is None:
-                    continue
-                if merges:
-                    before = last[start]
-                    if before and not (pairs.get((before, piece)) or self._apart(before, piece)):
-                        continue
-                    best = start, weight[start], [arc[0]], piece
-                    break
-                total = weight[start] - arc[1]
-                if best is None or total < best[1]:
-                    best = start, total, [arc[0]], piece
-            if best is None:  # byte fallback
-                character = text[end - 1]
-                fallback = [self.byte_ids[b] for b in character.encode()] if self.byte_ids else [self.unknown]
-                best = end - 1, weight[end - 1] + FALLBACK, fallback, ""
-            back.append(best[0])
-            weight.append(best[1])
-            ids.append(best[2])
-            last.append(best[3])
-        out: list[list[int]] = []
-        at = len(text)
+            for start in range(max(0, end - self.longest), end):
+                arc = self.pieces.get(text[start:end])
+                if arc is not None and (best is None or weight[start] - arc[1] < best[0]):
+                    best = weight[start] - arc[1], start, [arc[0]]
+            if best is None:
+                best = weight[end - 1] + FALLBACK, end - 1, self._fallback(text[end - 1])
+            weight.append(best[0])
+            back.append(best[1:])
+        out, at = [], len(text)
+        while at > 0:
+            at, ids = back[at]
+            out.append(ids)
+        return [i for ids in reversed(out) for i in ids]
+
+    def _merge_path(self, text: str) -> list[int]:
+        """The same where arcs weigh nothing or cannot be taken.
+
+        All finite paths to a position agree on their last piece, so that the first finite arc settles it, the
+        longest piece first. What settles a position depends on the text before it alone, so that texts which
+        begin alike share it.
+        """
+        pieces, ends = self.pieces, self._ends
+        kept = len(text) <= LONGEST_KEPT
+        last = [""]  # the piece on the path's last arc; none at the start and after bytes
+        for end in range(1, len(text) + 1):
+            found = ends.get(text[:end]) if kept else None
+            if found is None:
+                found = ""
+                for start in range(max(0, end - self.longest), end):
+                    piece = text[start:end]
+                    if piece in pieces:
+                        before = last[start]
+                        if self._apart(before, piece) if before else self._split(piece) is not None:
+                            found = piece
+                            break
+                if kept:
+                    if len(ends) >= KEPT:
+                        ends.clear()
+                    ends[text[:end]] = found
+            last.append(found)
+        out, at = [], len(text)
         while at > 0:
-            out.append(ids[at])
-            at = back[at]
-        return [i for found in reversed(out) for i in found]
+            piece = last[at]
+            out.append([pieces[piece][0]] if piece else self._fallback(text[at - 1]))
+            at -= len(piece) or 1
+        return [i for ids in reversed(out) for i in ids]
+
+    def _parts(self, stretch: str) -> list[str]:
+        """A stretch cut between characters that no piece has side by side: paths go through all of these points."""
+        inside, out, start = self.inside, [], 0
+        for at in range(1, len(stretch)):
+            if stretch[at - 1 : at + 1] not in inside:
+                out.append(stretch[start:at])
+                start = at
+        out.append(stretch[start:])
+        return out
+
+    def _ids(self, part: str) -> bytes:
+        known = self._known
+        ids = known.get(part)
+        if ids is None:
+            ids = np.array(self.shortest_path(part), "<u4").tobytes()
+            if len(part) <= LONGEST_KEPT:
+                if len(known) >= KEPT:
+                    known.clear()
+                known[part] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit numbers."""
         known, out = self._known, []
-        stretches = self._stretch.findall(self.normalise(text))
-        for stretch in stretches:
+        for stretch in self._stretch.findall(self.normalise(text)):
             ids = known.get(stretch)
             if ids is None:
-                ids = np.array(self.shortest_path(stretch), "<u4").tobytes()
-                if len(stretch) <= LONGEST_KEPT:
-                    if len(known) >= KEPT:
-                        known.clear()
-                    known[stretch] = ids
+                parts = self._parts(stretch)
+                ids = self._ids(stretch) if len(parts) == 1 else b"".join(map(self._ids, parts))
             out.append(ids)
         return b"".join(out)
 
