@@ -228,10 +228,10 @@ def _shared(batches: Iterator[list]) -> Iterator[list]:
 # ---- step 3: filters and verification
 
 
-def _other_prefixes(levels: Broadcast, batches: Iterator[list]) -> Iterator[list]:
-    """node and the prefixes under the other orders, shortened to 32 bits: equal shingles stay equal."""
+def _other_prefixes(levels: Broadcast, orders: int, batches: Iterator[list]) -> Iterator[list]:
+    """node and its prefixes under the second to the ``orders``-th order, in 32 bits each: equal shingles stay equal."""
     for (texts,) in batches:
-        nodes, others = [], [[] for _ in range(1, ORDERS)]
+        nodes, others = [], [[] for _ in range(1, orders)]
         for text in texts:
             found = shingles(text.as_py())
             if len(found):
@@ -288,7 +288,7 @@ def _links(pairs: DataFrame, rows: DataFrame, documents: DataFrame, levels: Broa
         return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
     prefixes = _read_again(
-        nodes(pairs), rows, documents, partial(_other_prefixes, levels), "p1 array<int>, p2 array<int>"
+        nodes(pairs), rows, documents, partial(_other_prefixes, levels, ORDERS), "p1 array<int>, p2 array<int>"
     )
     for end in ("a", "b"):
         own = prefixes.select(F.col("node").alias("of"), *[F.col(f"p{i}").alias(f"{end}{i}") for i in range(1, ORDERS)])
@@ -328,9 +328,10 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _comparable(rows: list[tuple]) -> np.ndarray:
-    """Which two rows (.., part, n, ..) are of different components and of fitting sizes."""
-    part, n = np.array([r[5] for r in rows]), np.array([r[6] for r in rows])
-    return (part[:, None] != part) & (5 * n[:, None] >= 4 * n) & (5 * n >= 4 * n[:, None])
+    """Which two rows (.., part, n, home, ..) are of different components and of fitting sizes, one at home in the band."""
+    part, n, home = (np.array([r[i] for r in rows]) for i in (5, 6, 7))
+    fit = (5 * n[:, None] >= 4 * n) & (5 * n >= 4 * n[:, None])
+    return (part[:, None] != part) & fit & (home[:, None] | home)
 
 
 def _by_group(batches: Iterator[list]) -> Iterator[list[tuple]]:
@@ -347,24 +348,32 @@ def _by_group(batches: Iterator[list]) -> Iterator[list[tuple]]:
 
 
 def _survivors(batches: Iterator[list]) -> Iterator[list]:
-    """Rows of a group that share a shingle with a comparable one under every other order."""
+    """Rows of a group that share a shingle with a comparable one under the second order."""
     for rows in _by_group(batches):
         candidates = np.triu(_comparable(rows))
-        for order in range(7, 6 + ORDERS):
-            if candidates.any():
-                candidates &= _overlaps([np.array(r[order], np.int32) for r in rows]) > 0
+        if candidates.any():
+            candidates &= _overlaps([np.array(r[8], np.int32) for r in rows]) > 0
         left = np.nonzero(candidates.any(axis=0) | candidates.any(axis=1))[0]
         if len(left):
-            yield list(zip(*(rows[i][:7] for i in left), strict=True))
+            yield list(zip(*(rows[i][:8] for i in left), strict=True))
+
 
+def _forest(levels: Broadcast, batches: Iterator[list]) -> Iterator[list]:
+    """Links between the components of a group, as few as join what is joined.
 
-def _forest(batches: Iterator[list]) -> Iterator[list]:
-    """Links between the components of a group, as few as join what is joined."""
+    Candidates must share a shingle under every order; their whole sets decide.
+    """
     for rows in _by_group(batches):
-        sets = [shingles(r[7]) for r in rows]
+        sets = [shingles(r[8]) for r in rows]
+        candidates = np.triu(_comparable(rows))
+        for order in range(1, ORDERS):
+            if candidates.any():
+                candidates &= _overlaps([prefix(s, order, levels.value) for s in sets]) > 0
+        if not candidates.any():
+            continue
         shared = _overlaps(sets)
         n = np.array([r[6] for r in rows])
-        linked = np.triu(_comparable(rows) & (100 * shared >= 80 * (n[:, None] + n - shared)))
+        linked = candidates & (100 * shared >= 80 * (n[:, None] + n - shared))
         parent = {r[5]: r[5] for r in rows}
         found = []
         for x, y in np.argwhere(linked):
@@ -382,12 +391,13 @@ def _forest(batches: Iterator[list]) -> Iterator[list]:
 
 
 def _links_across(
-    shared: DataFrame, parts: DataFrame, rows: DataFrame, documents: DataFrame, levels: Broadcast, block: int = 512
+    shared: DataFrame, parts: DataFrame, rows: DataFrame, documents: DataFrame, levels: Broadcast, block: int
 ) -> DataFrame:
     """Links between components that step 3 could not see: those of two nodes that are no pivots.
 
-    Such nodes share a shingle and so its pivot. A group has the nodes of one pivot and two neighbouring
-    classes of size; groups of a single component are left out. Larger groups are cut into blocks, and every two
+    Such nodes share a shingle and so its pivot. A group, one pivot's and one band's, has the nodes of a class of
+    size and those of the next; one of two that are compared is of the first, at home in the band. Groups of a
+    single component, or with nobody at home, are left out. Larger groups are cut into blocks, and every two
     blocks compared in a task of their own, so that a task holds two blocks of texts at most and gives only
     links that join components, never the pairs it looks at.
     """
@@ -399,13 +409,14 @@ def _links_across(
         .join(parts, F.col("node") == F.col("member"), "left")
         .withColumn("part", F.coalesce("component", "node"))
         .withColumn("class", F.floor(F.log(1.25, "n")).cast("int"))
-        .select("pivot", "node", "n", "part", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("band"))
+        .select("pivot", "node", "n", "part", "class", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("band"))
+        .select("pivot", "node", "n", "part", "band", (F.col("class") == F.col("band")).alias("home"))
     )
     placed = written(placed, "shingle-placed")
     spanning = written(
         placed.groupBy(F.col("pivot").alias("p"), F.col("band").alias("b"))
-        .agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size"))
-        .where("low < high")
+        .agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size"), F.count_if("home").alias("homes"))
+        .where("low < high and homes > 0")
         .select("p", "b", F.ceil(F.col("size") / block).cast("int").alias("blocks")),
         "shingle-spanning",
     )
@@ -416,7 +427,7 @@ def _links_across(
     )
     members = written(
         placed.join(spanning, (F.col("pivot") == F.col("p")) & (F.col("band") == F.col("b"))).select(
-            "pivot", "band", F.inline(pairs_of_blocks), "node", "part", "n"
+            "pivot", "band", F.inline(pairs_of_blocks), "node", "part", "n", "home"
         ),
         "shingle-members",
     )
@@ -426,18 +437,23 @@ def _links_across(
         return joined.repartition(*key).sortWithinPartitions(*key)
 
     nodes = members.select("node").distinct()
-    prefixes = _read_again(nodes, rows, documents, partial(_other_prefixes, levels), "p1 array<int>, p2 array<int>")
-    schema = "pivot bigint, band int, one int, other int, node bigint, part bigint, n int"
+    prefixes = _read_again(nodes, rows, documents, partial(_other_prefixes, levels, 2), "p1 array<int>")
+    schema = "pivot bigint, band int, one int, other int, node bigint, part bigint, n int, home boolean"
     left = written(
         map_columns(with_columns(members, prefixes.withColumnRenamed("node", "of")), _survivors, schema),
         "shingle-survivors",
     )
     texts = _read_again(left.select("node").distinct(), rows, documents, _with_node, "text string")
-    return map_columns(with_columns(left, texts.withColumnRenamed("node", "of")), _forest, "a bigint, b bigint")
+    return map_columns(
+        with_columns(left, texts.withColumnRenamed("node", "of")), partial(_forest, levels), "a bigint, b bigint"
+    )
 
 
-def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_shingles, component: the smallest key reachable by links, per row of ``docs``."""
+def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = 1024) -> DataFrame:
+    """key, n_shingles, component: the smallest key reachable by links, per row of ``docs``.
+
+    ``block``: how many nodes of a group are compared with as many others by one task at once.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("bigint").alias("doc"), whole(text).alias("text"))
     survey = written(
@@ -469,7 +485,7 @@ def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     links = written(_links(first, rows, documents, levels), "shingle-links")
     parts = written(components(links, "a", "b"), "shingle-parts")
 
-    more = written(_links_across(shared, parts, rows, documents, levels), "shingle-more")
+    more = written(_links_across(shared, parts, rows, documents, levels, block), "shingle-more")
     everything = links.union(more)
 
     # From nodes to documents: a component is named by its smallest document.

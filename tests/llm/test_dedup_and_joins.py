@@ -131,8 +131,9 @@ def test_links_through_chains_and_hot_passages(spark):
         changed = words(11, 90).split()
         changed[rng.randrange(90)] = f"x{i}"
         rows.append((300 + i, " ".join(changed), "en"))
-    got = sorted((tuple(r) for r in linked_components(documents(spark, rows)).collect()), key=str)
-    assert got == brute_components(rows)
+    for block in (1024, 5):
+        got = sorted((tuple(r) for r in linked_components(documents(spark, rows), block=block).collect()), key=str)
+        assert got == brute_components(rows)
     assert sorted(r["doc_id"] for r in one_of_each(documents(spark, rows)).collect()) == sorted(
         {c for _, _, c in brute_components(rows)}
     )
