@@ -17,6 +17,7 @@ from quern.errors import QueryError
 from quern.functions import predicates as P
 from quern.functions.fields import Field
 from quern.functions.text import TextQuery, holds, length, occurrences
+from quern.operators.reads import check_positive
 
 # The usual BM25 parameters.
 K1 = 1.2
@@ -43,6 +44,7 @@ def rank(
         raise QueryError("rank needs at least one text query")
     if require not in ("any", "all"):
         raise QueryError(f"require is 'any' or 'all', not {require!r}")
+    check_positive(limit)
     combine = P.any_of if require == "any" else P.all_of
     matched = df.filter(P.all_of(combine(*[q.condition for q in queries]), condition))
 

@@ -34,6 +34,11 @@ def check_limit(limit: int | None) -> None:
         raise QueryError(f"limit must be 1 to {WINDOW}, not {limit}")
 
 
+def check_positive(limit: int | None) -> None:
+    if limit is not None and limit < 1:
+        raise QueryError(f"limit must be at least 1, not {limit}")
+
+
 def check_cap(matched: DataFrame, limit: int | None) -> None:
     """Refuse, rather than cut, a list of more than LIST_CAP rows when no limit was set."""
     if limit is None and matched.select(F.lit(1)).limit(LIST_CAP + 1).count() > LIST_CAP:
@@ -49,6 +54,7 @@ def search(
     key: Field | None = None,
 ) -> DataFrame:
     """Filter, collapse, sort, limit. ``key`` breaks ties, which makes the outcome repeatable."""
+    check_positive(limit)
     out = P.where(df, condition)
     order = columns(_total(sort, key))
     if collapse is not None:

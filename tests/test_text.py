@@ -177,6 +177,20 @@ def test_rank_filters_and_options(spark):
             wrong()
 
 
+def test_ranked_highlights_take_the_best(spark):
+    df = spark.createDataFrame([(1, "cat and dog and more words"), (2, "cat cat"), (3, "dog"), (4, "cat")], "id int, t string")
+    f = fields(df, text=["t"])
+    cat = X.text_query(f["t"], "cat")
+    rows = highlighted(df, [cat], [f["t"]], ranked=True, key=f["id"], limit=2).collect()
+    best = rank(df, [cat], f["id"], limit=2).collect()
+    assert [(r["id"], r["score"]) for r in rows] == [(r["id"], r["score"]) for r in best]
+    assert all("<em>cat</em>" in r["highlights"]["t"][0] for r in rows)
+    assert rank(df, [cat], f["id"], limit=20_000).count() == 3
+    for options in ({"limit": 2}, {"ranked": True}):
+        with pytest.raises(QueryError):
+            highlighted(df, [cat], [f["t"]], **options)
+
+
 def test_highlights_mark_whole_tokens(spark):
     df = spark.createDataFrame(
         [(1, "The cat. A cat's cat, concat; cat.alog CAT_1 \"Cat\""), (2, "in the end of the line"), (3, "no hit")],
