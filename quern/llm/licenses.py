@@ -70,7 +70,7 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
-# Words of any English text. A unit is not looked at for these alone.
+# Stop words: words of any English text, which say nothing on licences and count in no vector.
 FUNCTION_WORDS = set(
     "a all an and any are as at be by can for form free from has in is it may no not of on or that the this to under use"
     " was with without work you your".split()
@@ -85,7 +85,7 @@ class Weights:
 
     def __init__(self, templates: tuple[tuple[str, str], ...]):
         self.names = [name for name, _ in templates]
-        counts = [Counter(re.findall(TERM, text.lower())) for _, text in templates]
+        counts = [Counter(t for t in re.findall(TERM, text.lower()) if t not in FUNCTION_WORDS) for _, text in templates]
         appears = Counter(term for c in counts for term in c)
         self.outside = math.log(1 + len(templates)) + 1
         self.idf = {term: math.log((1 + len(templates)) / (1 + n)) + 1 for term, n in appears.items()}
@@ -97,11 +97,11 @@ class Weights:
 
     def anchors(self, threshold: float) -> list[str]:
         """Terms of which a unit must hold one to reach the threshold: per template, as few of the rarest as leave
-        a rest that is too short; function words only where the others do not suffice."""
+        a rest that is too short."""
         out: set[str] = set()
         for vector in self.vectors:
             rest = 1.0
-            for term in sorted(vector, key=lambda t: (t in FUNCTION_WORDS, -self.idf[t], t)):
+            for term in sorted(vector, key=lambda t: (-self.idf[t], t)):
                 if rest < (threshold - 1e-9) ** 2:
                     break
                 out.add(term)
@@ -131,6 +131,7 @@ def unit_licenses(
         .where(F.col("line").rlike(held))
     )
     terms = units.select("place", "unit", F.explode(F.expr(f"regexp_extract_all(lower(line), r'({TERM})', 1)")).alias("term"))
+    terms = terms.where(~F.col("term").isin(*sorted(FUNCTION_WORDS)))
     counted = terms.groupBy("place", "unit", "term").agg(F.count("*").alias("n"))
     # As many rows as the templates have terms.
     width = range(len(templates))
@@ -225,6 +226,7 @@ def scan_sql(files: str, templates: tuple[tuple[str, str], ...] = TEMPLATES, thr
         f"({i}, '{weights.names[i]}', '{term}', {w!r})" for i, v in enumerate(weights.vectors) for term, w in v.items()
     )
     idfs = ", ".join(f"('{term}', {idf!r})" for term, idf in weights.idf.items())
+    stops = ", ".join(f"'{w}'" for w in sorted(FUNCTION_WORDS))
     name_pattern = LICENSE_FILE.removeprefix("(?i)")
     return f"""
 WITH files AS ({files}),
@@ -235,7 +237,8 @@ lines AS (SELECT path, unnest(list_distinct(list_concat(string_split(text, chr(1
 u AS (SELECT path, line, row_number() OVER () AS unit FROM lines
   WHERE regexp_matches(line, '(?i)licen[sc]|copyright|permi|redistribut|software|mozilla|gnu|waived|unencumbered|cc')),
 t AS (SELECT path, unit, term, count(*) AS n FROM (
-  SELECT path, unit, unnest(regexp_extract_all(lower(line), '{TERM}')) AS term FROM u) GROUP BY ALL),
+  SELECT path, unit, unnest(regexp_extract_all(lower(line), '{TERM}')) AS term FROM u)
+  WHERE term NOT IN ({stops}) GROUP BY ALL),
 x AS (SELECT path, unit, t.term, n * coalesce(idf, {weights.outside!r}) AS tfidf FROM t LEFT JOIN idf USING (term)),
 norms AS (SELECT path, unit, sqrt(sum(tfidf * tfidf)) AS norm FROM x GROUP BY ALL),
 dots AS (SELECT path, unit, template, name, sum(tfidf * w) AS dot FROM x JOIN v USING (term) GROUP BY ALL),
