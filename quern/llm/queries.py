@@ -122,17 +122,18 @@ OP9_SQL = """
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
-s AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5
+s AS MATERIALIZED (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5
     THEN [array_to_string(words, ' ')]
     ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS set FROM w),
-t AS (SELECT doc_id, unnest(set) AS shingle FROM s),
-l AS (SELECT a.doc_id AS x, b.doc_id AS y FROM t a JOIN t b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
-  JOIN s p ON p.doc_id = a.doc_id JOIN s q ON q.doc_id = b.doc_id
-  GROUP BY a.doc_id, b.doc_id, len(p.set), len(q.set)
-  HAVING 100 * count(*) >= 80 * (len(p.set) + len(q.set) - count(*))),
-r(doc_id, reached) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.reached = l.x)
-SELECT s.doc_id, CAST(len(set) AS BIGINT) AS n_shingles, min(reached) AS component_id
-FROM s JOIN r ON s.doc_id = r.doc_id GROUP BY s.doc_id, len(set)
+t AS MATERIALIZED (SELECT doc_id, unnest(set) AS shingle FROM s),
+z AS MATERIALIZED (SELECT doc_id, len(set) AS n FROM s),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM t a JOIN t b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+l AS MATERIALIZED (SELECT x, y FROM c JOIN z p ON p.doc_id = x JOIN z q ON q.doc_id = y
+  WHERE 100 * k >= 80 * (p.n + q.n - k)),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM z UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.reached = l.x)
+SELECT z.doc_id, CAST(n AS BIGINT) AS n_shingles, min(reached) AS component_id
+FROM z JOIN r ON z.doc_id = r.doc_id GROUP BY z.doc_id, n
 """
 
 
