@@ -8,8 +8,9 @@ is licensed.
 
 How it runs. Native expressions only. A unit that holds none of a template's heaviest terms cannot reach the
 threshold (the rest of the template's vector is too short, by Cauchy-Schwarz), so one pattern over the text
-finds the units to look at, without loss; only their terms are exploded and joined with the table of template
-terms, whose size is fixed. Inheritance joins distinct directories with their ancestors, not files, so that a
+finds the units to look at, without loss. Their terms are counted in place, in sorted arrays; a unit whose other
+terms outweigh those of the templates cannot reach the threshold either. What is left is joined with the table of
+template terms, whose size is fixed, and summed per unit before anything is shuffled. Inheritance joins distinct directories with their ancestors, not files, so that a
 directory with a third of all files is one row until the last join; that one is against a written table.
 
 Defined results:
@@ -24,6 +25,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,11 +72,13 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
-# Stop words: words of any English text, which say nothing on licences and count in no vector.
+# Words of any English text. They count in every vector, but a unit is not looked at for these alone where others suffice.
 FUNCTION_WORDS = set(
     "a all an and any are as at be by can for form free from has in is it may no not of on or that the this to under use"
     " was with without work you your".split()
 )
+# The most frequent words of any text, the commonest last: they are anchors only where all others do not suffice.
+COMMON_LAST = "mit or this from at are by with as be for it that is a in to and of the".split()
 TERM = r"[a-z]+|[0-9]+(?:\.[0-9]+)*"
 THRESHOLD = 0.65
 LICENSE_FILE = r"(?i)^(licen[cs]e|copying|notice|unlicense)([.\-_].*)?$"
@@ -85,7 +89,7 @@ class Weights:
 
     def __init__(self, templates: tuple[tuple[str, str], ...]):
         self.names = [name for name, _ in templates]
-        counts = [Counter(t for t in re.findall(TERM, text.lower()) if t not in FUNCTION_WORDS) for _, text in templates]
+        counts = [Counter(re.findall(TERM, text.lower())) for _, text in templates]
         appears = Counter(term for c in counts for term in c)
         self.outside = math.log(1 + len(templates)) + 1
         self.idf = {term: math.log((1 + len(templates)) / (1 + n)) + 1 for term, n in appears.items()}
@@ -97,11 +101,12 @@ class Weights:
 
     def anchors(self, threshold: float) -> list[str]:
         """Terms of which a unit must hold one to reach the threshold: per template, as few of the rarest as leave
-        a rest that is too short."""
+        a rest that is too short; function words only where the others do not suffice."""
+        common = {t: i for i, t in enumerate(COMMON_LAST)}
         out: set[str] = set()
         for vector in self.vectors:
             rest = 1.0
-            for term in sorted(vector, key=lambda t: (-self.idf[t], t)):
+            for term in sorted(vector, key=lambda t: (common.get(t, -1), t in FUNCTION_WORDS, -self.idf[t], t)):
                 if rest < (threshold - 1e-9) ** 2:
                     break
                 out.add(term)
@@ -114,6 +119,15 @@ def _units(text: Column) -> Column:
     return F.array_distinct(F.concat(F.split(text, r"\n"), F.split(text, r"\n[ \t\r]*\n")))
 
 
+def _among(terms: Iterable[str]) -> Callable[[Column], Column]:
+    return lambda run: run["term"].isin(*terms)
+
+
+def _squares(runs: str, which: Callable[[Column], Column]) -> Column:
+    """The sum of the squared counts of these runs."""
+    return F.aggregate(F.filter(runs, which), F.lit(0.0), lambda total, r: total + r["n"] * r["n"])
+
+
 def unit_licenses(
     files: DataFrame,
     path: str = "path",
@@ -125,23 +139,57 @@ def unit_licenses(
     spark, weights = files.sparkSession, Weights(templates)
     held = r"(?i)(?<![a-z0-9])(?:" + "|".join(map(re.escape, weights.anchors(threshold))) + r")(?![a-z])"
     units = (
-        files.select(F.col(path).alias("place"), whole(text).alias("t"))
+        files.select(F.monotonically_increasing_id().alias("row"), F.col(path).alias("place"), whole(text).alias("t"))
         .where(F.col("t").rlike(held))
-        .select("place", F.posexplode(_units(F.col("t"))).alias("unit", "line"))
+        .select("row", "place", F.posexplode(_units(F.col("t"))).alias("unit", "line"))
         .where(F.col("line").rlike(held))
     )
-    terms = units.select("place", "unit", F.explode(F.expr(f"regexp_extract_all(lower(line), r'({TERM})', 1)")).alias("term"))
-    terms = terms.where(~F.col("term").isin(*sorted(FUNCTION_WORDS)))
-    counted = terms.groupBy("place", "unit", "term").agg(F.count("*").alias("n"))
+    # Exploded from one element each: the optimizer would put the whole array's expression into every step of the next.
+    kept = ["row", "place", "unit"]
+    terms = F.expr(f"array_sort(regexp_extract_all(lower(line), r'({TERM})', 1))")
+    units = units.select(*kept, F.explode(F.array(terms)).alias("all")).where(F.size("all") > 0)
+    # Where the runs of equal terms end in the sorted array; a term's count is the distance to the end before.
+    ends = F.filter(F.sequence(F.lit(1), F.size("all")), lambda i: ~F.get("all", i).eqNullSafe(F.get("all", i - 1)))
+    units = units.select(*kept, "all", F.explode(F.array(ends)).alias("ends"))
+    runs = F.transform(
+        "ends",
+        lambda end, i: F.struct(
+            F.element_at("all", end).alias("term"), (end - F.coalesce(F.get("ends", i - 1), F.lit(0))).cast("double").alias("n")
+        ),
+    )
+    units = units.select(*kept, F.explode(F.array(runs)).alias("runs"))
+    # Squared lengths: of the terms outside the templates exactly, of the others at most.
+    common = sorted(weights.idf.keys() & FUNCTION_WORDS)
+    telling = sorted(weights.idf.keys() - FUNCTION_WORDS)
+    units = units.select(
+        *kept,
+        F.filter("runs", _among(weights.idf)).alias("known"),
+        (_squares("runs", lambda r: ~_among(weights.idf)(r)) * weights.outside**2).alias("rest"),
+    )
+    most = sum(
+        (
+            _squares("known", _among(terms)) * max(weights.idf[t] for t in terms) ** 2
+            for terms in (common, telling)
+            if terms
+        ),
+        F.lit(0.0),
+    )
+    # The cosine is at most the share of the known terms in the unit's length.
+    reaches = most * (1 - (threshold - 1e-6) ** 2) >= F.col("rest") * (threshold - 1e-6) ** 2
+    counted = units.where((F.size("known") > 0) & reaches).select(*kept, "rest", F.inline("known"))
     # As many rows as the templates have terms.
     width = range(len(templates))
     rows = [(term, idf, *[v.get(term, 0.0) for v in weights.vectors]) for term, idf in weights.idf.items()]
     table = spark.createDataFrame(rows, "known string, idf double, " + ", ".join(f"w{i} double" for i in width))
-    weight = F.col("n") * F.coalesce("idf", F.lit(weights.outside))
+    weight = F.col("n") * F.col("idf")
+    # All terms of a unit are in one task, so that one row per unit is shuffled.
     summed = (
-        counted.join(F.broadcast(table), F.col("term") == F.col("known"), "left")
-        .groupBy("place", "unit")
-        .agg(F.sqrt(F.sum(weight * weight)).alias("norm"), *[F.sum(weight * F.coalesce(f"w{i}", F.lit(0.0))).alias(f"d{i}") for i in width])
+        counted.join(F.broadcast(table), F.col("term") == F.col("known"))
+        .groupBy("row", "place", "unit")
+        .agg(
+            F.sqrt(F.max("rest") + F.sum(weight * weight)).alias("norm"),
+            *[F.sum(weight * F.col(f"w{i}")).alias(f"d{i}") for i in width],
+        )
     )
     # Rounded, so that the order in which terms were added cannot decide.
     scored = [
@@ -226,7 +274,6 @@ def scan_sql(files: str, templates: tuple[tuple[str, str], ...] = TEMPLATES, thr
         f"({i}, '{weights.names[i]}', '{term}', {w!r})" for i, v in enumerate(weights.vectors) for term, w in v.items()
     )
     idfs = ", ".join(f"('{term}', {idf!r})" for term, idf in weights.idf.items())
-    stops = ", ".join(f"'{w}'" for w in sorted(FUNCTION_WORDS))
     name_pattern = LICENSE_FILE.removeprefix("(?i)")
     return f"""
 WITH files AS ({files}),
@@ -237,8 +284,7 @@ lines AS (SELECT path, unnest(list_distinct(list_concat(string_split(text, chr(1
 u AS (SELECT path, line, row_number() OVER () AS unit FROM lines
   WHERE regexp_matches(line, '(?i)licen[sc]|copyright|permi|redistribut|software|mozilla|gnu|waived|unencumbered|cc')),
 t AS (SELECT path, unit, term, count(*) AS n FROM (
-  SELECT path, unit, unnest(regexp_extract_all(lower(line), '{TERM}')) AS term FROM u)
-  WHERE term NOT IN ({stops}) GROUP BY ALL),
+  SELECT path, unit, unnest(regexp_extract_all(lower(line), '{TERM}')) AS term FROM u) GROUP BY ALL),
 x AS (SELECT path, unit, t.term, n * coalesce(idf, {weights.outside!r}) AS tfidf FROM t LEFT JOIN idf USING (term)),
 norms AS (SELECT path, unit, sqrt(sum(tfidf * tfidf)) AS norm FROM x GROUP BY ALL),
 dots AS (SELECT path, unit, template, name, sum(tfidf * w) AS dot FROM x JOIN v USING (term) GROUP BY ALL),

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,6 +128,68 @@ def test_anchors_lose_no_unit():
         assert sum(w * w for term, w in vector.items() if term not in anchors) < licenses.THRESHOLD**2
 
 
+BSD3 = """BSD 3-Clause License
+
+Copyright (c) 2020, Some Body
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def brute_scores(text):
+    """Per unit that reaches the threshold: the best name and score, by plain comparison with every template."""
+    weights, found = licenses.Weights(licenses.TEMPLATES), set()
+    for unit in dict.fromkeys(text.split("\n") + re.split(r"\n[ \t\r]*\n", text)):
+        n = Counter(re.findall(licenses.TERM, unit.lower()))
+        vector = {t: k * weights.idf.get(t, weights.outside) for t, k in n.items()}
+        norm = math.sqrt(sum(w * w for w in vector.values())) or 1
+        scores = [
+            (-round(sum(w * v.get(t, 0) for t, w in vector.items()) / norm, 6), name)
+            for name, v in zip(weights.names, weights.vectors, strict=True)
+        ]
+        if -min(scores)[0] >= licenses.THRESHOLD:
+            found.add((min(scores)[1], -min(scores)[0]))
+    return found
+
+
+def test_licence_file_of_bsd_is_found(spark):
+    """Function words count in the vectors: without them no unit of the usual file reaches the threshold."""
+    rows = [(1, "p/LICENSE", BSD3), (2, "p/x.txt", "plain")]
+    files = spark.createDataFrame(rows, "doc_id bigint, path string, text string")
+    assert {r["doc_id"]: r["license"] for r in licenses.scan(files).collect()} == {1: "BSD-3-Clause", 2: "BSD-3-Clause"}
+
+
+def test_unit_scores_are_those_of_plain_comparison(spark):
+    rng = random.Random(3)
+    common = [t for t in licenses.Weights(licenses.TEMPLATES).idf if t in licenses.FUNCTION_WORDS]
+    texts = [BSD3, "the of and the the of to or", "", "\n\n", "MIT mit", "... ---"]
+    for _, template in licenses.TEMPLATES:
+        texts += [template, template.replace(" ", "\n * "), template + " und mehr Wörter hier"]
+        words = template.split() + rng.choices(common, k=12) + [f"w{i}" for i in range(rng.randrange(6))]
+        texts.append(" ".join(rng.sample(words, len(words))))
+    # The same path twice: units of two rows are not added up.
+    rows = [(str(i), t) for i, t in enumerate(texts)] + [("0", "Released under"), ("0", "the MIT License.")]
+    got = {}
+    for r in licenses.unit_licenses(spark.createDataFrame(rows, "path string, text string")).collect():
+        got.setdefault(r["place"], set()).add((r["name"], round(r["score"], 5)))
+    want = {}
+    for place, text in rows:
+        want.setdefault(place, set()).update((name, round(score, 5)) for name, score in brute_scores(text))
+    assert got == {k: v for k, v in want.items() if v}
+
+
 # ---- HTML
 
 
