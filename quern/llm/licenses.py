@@ -71,6 +71,129 @@ TEMPLATES = (
     ),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero"
+        " General Public License as published by the Free Software Foundation, either version 3 of the License, or (at"
+        " your option) any later version.",
+    ),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    (
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+        " the following conditions are met: redistributions of source code must retain the above copyright notice, this"
+        " list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above"
+        " copyright notice, this list of conditions and the following disclaimer in the documentation and/or other"
+        " materials provided with the distribution.",
+    ),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+        " the following conditions are met: redistributions of source code must retain the above copyright notice, this"
+        " list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above"
+        " copyright notice, this list of conditions and the following disclaimer in the documentation and/or other"
+        " materials provided with the distribution."
+        " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+        " products derived from this software without specific prior written permission.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+        " products derived from this software without specific prior written permission.",
+    ),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    (
+        "CC-BY-NC-ND-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    (
+        "CC-BY-NC-SA-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("CC0-1.0", "Creative Commons CC0 1.0 Universal"),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License"
+        " v. 2.0 which is available at http://www.eclipse.org/legal/epl-2.0",
+    ),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General"
+        " Public License as published by the Free Software Foundation; either version 2 of the License, or (at your"
+        " option) any later version.",
+    ),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General"
+        " Public License version 2 as published by the Free Software Foundation.",
+    ),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation; either version 2.1 of the License, or"
+        " (at your option) any later version.",
+    ),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    (
+        "LGPL-3.0",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation; either version 3 of the License, or"
+        " (at your option) any later version.",
+    ),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be"
+        " held liable for any damages arising from the use of this software.",
+    ),
+)
+# The identifiers of SPDX tags, by the licence they name. The words of the tag count twice in these templates: an
+# identifier that is not listed is then of no licence, and an identifier alone ("mit" in German) is no tag.
+TAGS = {
+    "AGPL-3.0": "AGPL-3.0 AGPL-3.0-only AGPL-3.0-or-later",
+    "Apache-2.0": "Apache-2.0",
+    "BSD-2-Clause": "BSD-2-Clause",
+    "BSD-3-Clause": "BSD-3-Clause",
+    "BSL-1.0": "BSL-1.0",
+    "CC-BY-4.0": "CC-BY-4.0",
+    "CC-BY-NC-4.0": "CC-BY-NC-4.0",
+    "CC-BY-NC-ND-4.0": "CC-BY-NC-ND-4.0",
+    "CC-BY-NC-SA-4.0": "CC-BY-NC-SA-4.0",
+    "CC-BY-ND-4.0": "CC-BY-ND-4.0",
+    "CC-BY-SA-4.0": "CC-BY-SA-4.0",
+    "CC0-1.0": "CC0-1.0",
+    "EPL-2.0": "EPL-2.0",
+    "GPL-2.0": "GPL-2.0 GPL-2.0-only GPL-2.0-or-later",
+    "GPL-3.0": "GPL-3.0 GPL-3.0-only GPL-3.0-or-later",
+    "ISC": "ISC",
+    "LGPL-2.1": "LGPL-2.1 LGPL-2.1-only LGPL-2.1-or-later",
+    "LGPL-3.0": "LGPL-3.0 LGPL-3.0-only LGPL-3.0-or-later",
+    "MIT": "MIT",
+    "MPL-2.0": "MPL-2.0",
+    "Unlicense": "Unlicense",
+    "Zlib": "Zlib",
+}
+TEMPLATES += tuple(
+    (name, f"SPDX-License-Identifier: SPDX-License-Identifier: {tag}") for name, tags in TAGS.items() for tag in tags.split()
 )
 # Words of any English text. They count in every vector, but a unit is not looked at for these alone where others suffice.
 FUNCTION_WORDS = set(

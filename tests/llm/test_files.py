@@ -171,6 +171,62 @@ def test_licence_file_of_bsd_is_found(spark):
     assert {r["doc_id"]: r["license"] for r in licenses.scan(files).collect()} == {1: "BSD-3-Clause", 2: "BSD-3-Clause"}
 
 
+def gnu(kind, version, what="program", later=True):
+    ends = f"either version {version} of the License, or\n * (at your option) any later version."
+    return (
+        f"/*\n * This {what} is free software; you can redistribute it and/or modify\n * it under the terms of the GNU {kind}"
+        f"General Public License as published by\n * the Free Software Foundation; {ends}\n */\n\nint main;"
+    )
+
+
+CREATIVE = "This work is licensed under a Creative Commons {} 4.0 International License."
+DISCLAIMED = BSD3.partition("3. Neither")[0].partition("Copyright")[2]
+
+
+@pytest.mark.parametrize(
+    "text,name",
+    [
+        (gnu("", "2"), "GPL-2.0"),
+        (gnu("", "3"), "GPL-3.0"),
+        (gnu("Lesser ", "2.1", "library"), "LGPL-2.1"),
+        (gnu("Lesser ", "3", "library"), "LGPL-3.0"),
+        (gnu("Affero ", "3"), "AGPL-3.0"),
+        (CREATIVE.format("Attribution"), "CC-BY-4.0"),
+        (CREATIVE.format("Attribution-NonCommercial"), "CC-BY-NC-4.0"),
+        (CREATIVE.format("Attribution-ShareAlike"), "CC-BY-SA-4.0"),
+        (CREATIVE.format("Attribution-NoDerivatives"), "CC-BY-ND-4.0"),
+        (CREATIVE.format("Attribution-NonCommercial-ShareAlike"), "CC-BY-NC-SA-4.0"),
+        (CREATIVE.format("Attribution-NonCommercial-NoDerivatives"), "CC-BY-NC-ND-4.0"),
+        ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright", "GPL-2.0"),
+        ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright", "GPL-3.0"),
+        ("  GNU LESSER GENERAL PUBLIC LICENSE\n   Version 2.1, February 1999\n\n Copyright", "LGPL-2.1"),
+        ("   Apache License\n  Version 2.0, January 2004\n  http://www.apache.org/licenses/\n\n  TERMS", "Apache-2.0"),
+        (BSD3, "BSD-3-Clause"),
+        (BSD3.partition("Copyright")[2], "BSD-3-Clause"),
+        (BSD3.partition("3. Neither")[0].replace("3-Clause", "2-Clause"), "BSD-2-Clause"),
+        (DISCLAIMED, "BSD-2-Clause"),
+        (BSD3.partition("Copyright")[2].replace("\n\n", "\n"), "BSD-3-Clause"),
+        (
+            "MIT License\n\nCopyright (c) 2020 X\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n"
+            'of this software and associated documentation files (the "Software"), to deal',
+            "MIT",
+        ),
+        ("// SPDX-License-Identifier: MIT\nint x;", "MIT"),
+        ("# SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+        ("/* SPDX-License-Identifier: GPL-2.0-only */", "GPL-2.0"),
+        ("/* SPDX-License-Identifier: LGPL-2.1-or-later */", "LGPL-2.1"),
+        ("# SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+        ("# SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause"),
+        ("# SPDX-License-Identifier: Artistic", None),
+        ("mit", None),
+        ("mit der mit", None),
+    ],
+)
+def test_usual_notices_get_their_own_name(text, name):
+    found = brute_scores(text)
+    assert (max(found, key=lambda f: f[1])[0] if found else None) == name
+
+
 def test_unit_scores_are_those_of_plain_comparison(spark):
     rng = random.Random(3)
     common = [t for t in licenses.Weights(licenses.TEMPLATES).idf if t in licenses.FUNCTION_WORDS]
