@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -48,7 +50,7 @@ def byte_bpe_encoder(ranks_path: str, pattern: str) -> Callable[[str], np.ndarra
 
 
 def byte_bpe_ids(text: str) -> np.ndarray:
-    """Ids of ``byte_bpe_50k.json``, from the rank file of the same vocabulary, which encodes four times as fast."""
+    """Ids of text without added tokens by ``byte_bpe_50k.json``, from the rank file of the same vocabulary, which encodes four times as fast."""
     import public_tokenizers
 
     encode = byte_bpe_encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -56,9 +58,32 @@ def byte_bpe_ids(text: str) -> np.ndarray:
     return np.array(encode(text), "<u4")
 
 
+@functools.cache
+def added_tokens(json_path: str) -> dict[str, int]:
+    """The tokens that the vocabulary's file adds to the merges; the library recognises them anywhere in a text."""
+    with open(json_path, encoding="utf-8") as file:
+        tokens = json.load(file).get("added_tokens", [])
+    for token in tokens:
+        if any(token.get(flag) for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added token {token['content']!r} is not matched as it stands")
+    return {token["content"]: token["id"] for token in tokens}
+
+
+def vocabulary_ids(text: str) -> np.ndarray:
+    """Ids of ``byte_bpe_50k.json`` with ``add_special_tokens=False``: added tokens by their own ids, the parts between by ranks."""
+    import public_tokenizers
+
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    if not any(token in text for token in added):
+        return byte_bpe_ids(text)
+    longest_first = "|".join(map(re.escape, sorted(added, key=len, reverse=True)))
+    parts = re.split(f"({longest_first})", text)
+    return np.concatenate([np.array([added[p]], "<u4") if i % 2 else byte_bpe_ids(p) for i, p in enumerate(parts)])
+
+
 def cut(
     docs: DataFrame,
-    encode: Callable[[str], np.ndarray] = byte_bpe_ids,
+    encode: Callable[[str], np.ndarray] = vocabulary_ids,
     window: int = 1024,
     separator: int = 0,
     key: str = "doc_id",
@@ -188,7 +213,7 @@ def slots(patterns: list[tuple[tuple[int, ...], int]], window: int) -> dict[int,
 def pack(
     spark: SparkSession,
     docs: DataFrame,
-    encode: Callable[[str], np.ndarray] = byte_bpe_ids,
+    encode: Callable[[str], np.ndarray] = vocabulary_ids,
     window: int = 1024,
     separator: int = 0,
     key: str = "doc_id",

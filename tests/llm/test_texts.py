@@ -181,6 +181,24 @@ def test_ids_are_those_of_the_vocabulary():
         assert packing.byte_bpe_ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_recognised_in_texts(spark):
+    """As the library does by default, without ``encode_special_tokens``."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = ["", "a b", f"a {mark} b", mark, mark * 3, f"{mark} a\n\n{mark}  x", f"<|{mark}|>", "<|endoftext|", f"é{mark}漢 " * 500]
+
+    def encode(text):
+        return library.encode(text, add_special_tokens=False).ids
+
+    for text in texts:
+        assert packing.vocabulary_ids(text).tolist() == encode(text)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    check_packed(list(enumerate(texts)), encode, packing.pack(spark, docs).collect(), 1024)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 32), max_size=200))
 def test_plan_uses_every_piece_once(lengths):
