@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The characters that separate words: \x20 and \x09 to \x0D.
@@ -111,3 +111,35 @@ def without(df: DataFrame, column: str, dropped: DataFrame, bits: int = 1 << 25)
     gone = dropped.select(F.col(dropped.columns[0]).alias("_dropped"))
     asked = flagged.where("_bit_set").join(gone, F.col(column).eqNullSafe(F.col("_dropped")), "left_anti")
     return flagged.where("not _bit_set").union(asked).drop("_bit_set")
+
+
+def one_row_each(
+    df: DataFrame,
+    value: Column,
+    told: DataFrame,
+    with_digest: Callable[[DataFrame], DataFrame],
+    first: list[Column],
+    bits: int = 1 << 25,
+) -> DataFrame:
+    """``df`` without rows that ``told`` (value, digest, stays) says go; of several rows of one pair that stays, the first.
+
+    Rows are told apart by their value and the digest that ``with_digest`` adds as ``_digest``; nulls equal nulls.
+    Only rows whose value may be in question get a digest and are joined; the others stay where they are.
+    """
+    gone = told.where("not stays").select(F.col("value").alias("_value"), F.col("digest").alias("_of"))
+    repeats = written(
+        told.where("stays").groupBy("value", "digest").agg(F.count("*").alias("rows")).where("rows > 1").select("value", "digest"),
+        "rows-repeated",
+    ).select(F.col("value").alias("_value"), F.col("digest").alias("_of"))
+    asked_for = gone.union(repeats).select("_value")
+    flagged = with_bit(df, [value], bitmap(asked_for, [F.col("_value")], bits), bits, "_bit_set")
+    same = value.eqNullSafe(F.col("_value")) & (F.col("_digest") == F.col("_of"))
+    asked = with_digest(flagged.where("_bit_set").drop("_bit_set"))
+    left = asked.join(gone.union(repeats), same, "left_anti").drop("_digest")
+    left = flagged.where("not _bit_set").drop("_bit_set").union(left)
+    if repeats.isEmpty():
+        return left
+    ranked = asked.join(repeats, same).withColumn(
+        "_rank", F.row_number().over(Window.partitionBy("_value", "_of").orderBy(*first))
+    )
+    return left.union(ranked.where("_rank = 1").drop("_rank", "_value", "_of", "_digest"))

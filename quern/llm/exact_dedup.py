@@ -13,7 +13,7 @@ Defined results:
 - Of equal texts the row with the most code points in its original text stays, then the smallest key; a null
   key is smaller than any other.
 - Rows that repeat a key are rows like all others; when they are in one group and their key stays, all of
-  them are marked as kept.
+  them are marked as kept. ``drop_copies`` leaves one of them, the one with the longest original.
 - An empty table gives an empty result. Other columns are never read, whatever their names.
 """
 
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import bitmap, whole, with_bit, without, without_blanks, written
+from quern.llm.common import bitmap, one_row_each, whole, with_bit, without_blanks, written
 
 def exact_groups(
     docs: DataFrame,
@@ -80,6 +80,12 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows that do not stay, all columns as they are."""
-    dropped = written(exact_groups(docs, key, text).where("not kept").select(F.col(key).alias("dropped")), "exact-dropped")
-    return without(docs, key, dropped)
+    """One row of ``docs`` for each group of equal texts, all columns as they are; rows, not keys, are dropped."""
+    copies = exact_groups(docs, key, text).where("group_size > 1")
+    told = written(
+        copies.select(F.col(key).alias("value"), F.col("text_sha256").alias("digest"), F.col("kept").alias("stays")),
+        "exact-told",
+    )
+    digest = F.sha2(without_blanks(whole(text)).cast("binary"), 256)
+    first = [F.length(whole(text)).desc(), F.xxhash64(text)]
+    return one_row_each(docs, F.col(key), told, lambda rows: rows.withColumn("_digest", digest), first)

@@ -40,8 +40,9 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from quern.llm.common import map_columns, may_contain, whole, without, written
+from quern.llm.common import map_columns, may_contain, one_row_each, whole, written
 from quern.llm.components import components
 
 WORDS = 5
@@ -449,11 +450,8 @@ def _links_across(
     )
 
 
-def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = 1024) -> DataFrame:
-    """key, n_shingles, component: the smallest key reachable by links, per row of ``docs``.
-
-    ``block``: how many nodes of a group are compared with as many others by one task at once.
-    """
+def _parts(docs: DataFrame, key: str, text: str, block: int) -> tuple[DataFrame, DataFrame]:
+    """(doc, node, n) per row of ``docs``, and (node, part, doc): each node's component and smallest document."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("bigint").alias("doc"), whole(text).alias("text"))
     survey = written(
@@ -495,7 +493,15 @@ def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         by_node.join(joined, F.col("node") == F.col("member"), "left")
         .select("node", F.coalesce("component", "node").alias("part"), "doc")
     )
-    named = written(named, "shingle-named")
+    return documents, written(named, "shingle-named")
+
+
+def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = 1024) -> DataFrame:
+    """key, n_shingles, component: the smallest key reachable by links, per row of ``docs``.
+
+    ``block``: how many nodes of a group are compared with as many others by one task at once.
+    """
+    documents, named = _parts(docs, key, text, block)
     smallest = written(named.groupBy(F.col("part").alias("of")).agg(F.min("doc").alias("component")), "shingle-smallest")
     of_node = written(
         named.join(smallest, F.col("part") == F.col("of")).select(F.col("node").alias("of"), "component"),
@@ -509,11 +515,35 @@ def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id."""
-    dropped = written(
-        linked_components(docs, key, text)
-        .where(~F.col(key).eqNullSafe(F.col("component")))
-        .select(F.col(key).alias("dropped")),
-        "shingle-dropped",
+    """``docs`` with one row of each component: one with the smallest id, a null id last. Rows, not ids, are dropped;
+    rows without a shingle stay."""
+    documents, named = _parts(docs, key, text, 1024)
+    least = F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "node"))
+    best = written(named.groupBy(F.col("part").alias("of")).agg(least.alias("best")), "shingle-best")
+    keeps = written(
+        named.join(best, F.col("part") == F.col("of")).select(
+            F.col("node").alias("of"), F.col("best.doc").alias("best_doc"), F.col("best.node").alias("best_node")
+        ),
+        "shingle-keeps",
+    )
+    stays = F.col("doc").eqNullSafe(F.col("best_doc")) & (F.col("node") == F.col("best_node"))
+    told = written(
+        documents.join(keeps, F.col("node") == F.col("of")).select(
+            F.col("doc").alias("value"), F.col("node").alias("digest"), stays.alias("stays")
+        ),
+        "shingle-told",
     )
-    return without(docs, key, dropped)
+
+    def with_node(rows: DataFrame) -> DataFrame:
+        schema = StructType([*rows.schema.fields, StructField("_digest", LongType())])
+        return rows.mapInArrow(partial(_rows_with_node, text), schema)
+
+    first = [F.length(whole(text)).desc(), F.xxhash64(text)]
+    return one_row_each(docs, F.col(key).cast("bigint"), told, with_node, first)
+
+
+def _rows_with_node(text: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [shingles(t.as_py()) for t in batch.column(text)]
+        nodes = pa.array([node_of(f) if len(f) else None for f in found], pa.int64())
+        yield pa.RecordBatch.from_arrays([*batch.columns, nodes], [*batch.schema.names, "_digest"])

@@ -168,6 +168,47 @@ def test_filters_lose_nothing(spark):
         assert sorted(r["id"] for r in left.collect()) == [i for i in range(1000) if i not in (3, 999)]
 
 
+MIXED = [
+    (None, LONG, "en"),
+    (None, words(21, 200), "en"),
+    (None, words(22, 3), None),
+    (1, LONG + "\n", "en"),
+    (2, LONG + " tail", "en"),
+    (3, words(23, 100), "en"),
+    (3, LONG + " tail", "en"),
+    (3, words(24, 100), "en"),
+    (4, words(25, 100), "de"),
+    (4, words(25, 100), "de"),
+    (4, words(25, 100) + " ", "de"),
+    (5, words(25, 100).replace(" ", "  "), "de"),
+    (6, words(26, 90), "de"),
+    (6, words(26, 90) + " end", "de"),
+    (None, words(27, 80), "fr"),
+    (None, words(27, 80), "fr"),
+    (None, words(27, 80) + " end", "fr"),
+]
+
+
+def test_null_and_repeated_ids_are_told_apart_by_row(spark, tmp_path):
+    """Clean texts stay beside copies with the same id, or none; of every group one row stays."""
+    docs = documents(spark, MIXED)
+    exact = [r["text"] for r in drop_copies(docs).collect()]
+    assert sorted(map(stripped, exact)) == sorted({stripped(t) for _, t, _ in MIXED})
+    near = one_of_each(drop_copies(docs))
+    assert near.columns == docs.columns
+    left = sorted((r["doc_id"] or 0, shingle_set(r["text"])) for r in near.collect())
+    clean = [(0, words(21, 200)), (0, words(22, 3)), (3, words(23, 100)), (3, words(24, 100)), (5, words(25, 100))]
+    for want in clean:
+        assert (want[0], shingle_set(want[1])) in left
+    assert len(left) == len(clean) + 3 and [i for i, _ in left] == [0, 0, 0, 1, 3, 3, 5, 6]
+    assert len(one_of_each(docs).collect()) == len(left)  # the shingle join alone, with exact copies among the rows
+
+    docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    tokens = sum(len(byte_bpe_ids(r["text"])) + 1 for r in near.collect())
+    assert sum(p["length"] for p in pieces) == tokens
+
+
 def test_pipeline_equals_plain_python(spark, tmp_path):
     rows = [(i, t, lang) for i, t, lang in ROWS if i is not None and i != 9] + [(9, LONG + " tail", "en")]
     documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
