@@ -13,8 +13,11 @@ from quern.llm.exact_dedup import exact_groups
 from quern.llm.host_paths import main_text
 from quern.llm.language import held_out, identify, train
 from quern.llm.licenses import scan, scan_sql
+from quern.llm.max_score import top_k
 from quern.llm.packing import pack
 from quern.llm.piecewise import edited_pairs
+from quern.llm.residues import hard_negatives
+from quern.llm.reversed_search import search
 from quern.llm.shingle_join import linked_components
 from quern.llm.transducer import digests
 from quern.llm.warc import archived
@@ -161,6 +164,77 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+
+def op11_reversed_search(spark: SparkSession, directory: str) -> DataFrame:
+    """The ten best of all documents per benchmark item."""
+    items = spark.read.schema("item_id bigint, text string").parquet(f"{directory}/benchmark.parquet")
+    return search(table(spark, directory, "documents"), items)
+
+
+OP11_SQL = """
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+i AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+q AS (SELECT item, item_id, term, count(*) AS repeats FROM (SELECT item, item_id, unnest(terms) AS term FROM i) GROUP BY ALL),
+c AS MATERIALIZED (SELECT row, doc_id, n, term, count(*) AS tf
+  FROM (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY ALL),
+z AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM d WHERE len(terms) > 0),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM c, z GROUP BY term),
+s AS (SELECT item, item_id, row, doc_id, CAST(sum(repeats * weight
+    * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // total)))) AS BIGINT) AS score
+  FROM q JOIN c USING (term) JOIN w USING (term), z GROUP BY item, item_id, row, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS place FROM s WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM r WHERE place <= 10
+"""
+
+
+def _embeddings(spark: SparkSession, directory: str) -> DataFrame:
+    return spark.read.schema("vec_id bigint, embedding array<float>, label int").parquet(f"{directory}/embeddings.parquet")
+
+
+def op12_max_score(spark: SparkSession, directory: str) -> DataFrame:
+    """The twenty nearest of all embeddings for every twentieth."""
+    return top_k(_embeddings(spark, directory), F.col("vec_id") % 20 == 0)
+
+
+_FINITE_SQL = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+OP12_SQL = f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS c
+  FROM embeddings WHERE {_FINITE_SQL}),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.c, v.c) AS BIGINT) AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 20
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, directory: str) -> DataFrame:
+    """Ten negatives for each of the five positives of every hundredth embedding, every seventh label moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_embeddings(spark, directory), F.col("vec_id") % 100 == 0, moved)
+
+
+OP13_SQL = f"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c
+  FROM embeddings WHERE label IS NOT NULL AND {_FINITE_SQL}),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+    CAST(list_inner_product(a.c, v.c) AS BIGINT) AS score
+  FROM v a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS place
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  WHERE 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE place <= 10
+"""
+
 QUERIES = {
     "op1_warc": (op1_warc, OP1_SQL),
     "op2_licenses": (op2_licenses, OP2_SQL),
@@ -172,4 +246,7 @@ QUERIES = {
     "op8_language": (op8_language, None),
     "op9_shingle_join": (op9_shingle_join, OP9_SQL),
     "op10_chat": (op10_chat, OP10_SQL),
+    "op11_reversed_search": (op11_reversed_search, OP11_SQL),
+    "op12_max_score": (op12_max_score, OP12_SQL),
+    "op13_hard_negatives": (op13_hard_negatives, OP13_SQL),
 }
