@@ -23,22 +23,27 @@ FAN_IN = 64
 def blocks(df: DataFrame, cost: Column, most: int) -> Iterator[DataFrame]:
     """``df`` in parts whose costs (bytes, as a rule) sum to at most ``most``; a dearer row is a part of its own.
 
-    The rows are written once, with as few to a file as the dearest row calls for; a part is some of those files.
+    The rows are written once, those of like cost with as many to a file as fit in any case; a part is some of the files.
     """
-    dearest = df.agg(F.max(cost)).first()[0]
-    if dearest is None:
-        return
     path = shared_folder(df.sparkSession, "blocks")
-    df.write.option("maxRecordsPerFile", max(1, most // max(1, int(dearest)))).parquet(path)
+    size = F.greatest(cost, F.lit(1)).cast("bigint")
+    # Costs up to 16, 256, 4096 and so on: one dear row does not give the cheap ones a file each.
+    alike = F.length(F.hex(size - 1))
+    found = [r[0] for r in df.select(alike).distinct().collect()]
+    if not found:
+        return
+    for digits in found:
+        few = df.where(alike == digits).write.option("maxRecordsPerFile", max(1, most // 16**digits))
+        few.mode("append").parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     file = F.col("_metadata.file_name")
     names, total = [], 0
-    for name, size in stored.groupBy(file.alias("name")).agg(F.sum(cost)).toLocalIterator():
-        if names and total + size > most:
+    for name, of_file in stored.groupBy(file.alias("name")).agg(F.sum(size)).toLocalIterator():
+        if names and total + of_file > most:
             yield stored.where(file.isin(names))
             names, total = [], 0
         names.append(name)
-        total += size
+        total += of_file
     if names:
         yield stored.where(file.isin(names))
 
@@ -83,7 +88,7 @@ def whole_components(column: pa.Array, dims: int, scale: int, kind: type) -> np.
     if kind is object:
         flat = np.array([int(x) for x in flat], object)
     if len(lengths) and (lengths == dims).all():
-        return flat.reshape(-1, dims).astype(kind)
+        return flat.reshape(len(lengths), dims).astype(kind)
     out = np.zeros((len(lengths), dims), kind)
     out[np.arange(dims) < lengths[:, None]] = flat
     return out

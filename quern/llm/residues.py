@@ -113,7 +113,7 @@ def hard_negatives(
     )
     rows = rows.where("label is not null")
     dims, most = extent(rows, "vector", scale)
-    primes = primes_beyond(dims * most * most)
+    primes = primes_beyond(max(1, dims * most * most))
     how = (dims, scale, np.int64 if most < 1 << 53 else object, primes)
     anchors = rows.where("asks").drop("asks")
     found = per_block(

@@ -1,0 +1,307 @@
+"""Reversed search, MaxScore and hard negatives against plain Python."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quern.llm import blocks as shared
+from quern.llm import max_score, residues
+from quern.llm.blocks import blocks
+from quern.llm.max_score import top_k
+from quern.llm.residues import hard_negatives
+from quern.llm.reversed_search import search, terms
+
+TERM = "[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"
+
+
+def plain_terms(text):
+    return re.findall(TERM, (text or "").translate({c: c + 32 for c in range(65, 91)}))
+
+
+def test_terms_are_maximal_runs():
+    rng = random.Random(1)
+    letters = [chr(c) for c in range(128)] + list("éßЖ漢İİ  😀")
+    for _ in range(2000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randrange(30)))
+        assert [t.decode() for t in terms(text.encode())] == plain_terms(text)
+
+
+# ---- reversed search ----
+
+DOCS = "doc_id bigint, text string, item_id bigint, rank int, score string, doc int, n int"
+ITEMS = "item_id bigint, text string, doc_id bigint, id int"
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(i, t, 1, 2, "s", 3, 4) for i, t in rows], DOCS)
+
+
+def items_of(spark, rows):
+    return spark.createDataFrame([(i, t, 1, 2) for i, t in rows], ITEMS)
+
+
+def brute_search(docs, items, k=10):
+    split = [(i, plain_terms(t)) for i, t in docs]
+    held = [Counter(t) for _, t in split]
+    total, n = sum(len(t) for _, t in split), sum(1 for _, t in split if t)
+    out = []
+    for item, text in items:
+        found = []
+        for (doc, words), counts in zip(split, held):
+            score = 0
+            for term in plain_terms(text):
+                if counts[term]:
+                    df = sum(1 for h in held if term in h)
+                    weight = math.floor(1000 * math.log((2 * n + 2) / (2 * df + 1)))
+                    m = 25 + 75 * len(words) * n // total
+                    score += weight * (10**9 * counts[term] // (1000 * counts[term] + 8 * m))
+            if score > 0:
+                found.append((-score, doc is None, doc))
+        found.sort(key=lambda f: (f[0], f[1], f[2] or 0))
+        out += [(item, rank, doc, -score) for rank, (score, _, doc) in enumerate(found[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def sorted_rows(df):
+    return sorted([tuple(r) for r in df.collect()], key=repr)
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(["The", "the", "red", "café", "x1", "漢字", "plum", "stone", "a"]) + rng.choice(["", ".", "-x", "'s"]) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(2)
+    rows = [(i, prose(rng, rng.randrange(1, 40))) for i in range(120)]
+    rows += [(None, rows[5][1]), (None, "plum"), (7, "plum stone"), (7, "plum stone"), (900, None), (901, ""), (902, " .,\x00\n")]
+    # Ties over many documents, and one very long text.
+    rows += [(1000 + i, "tied words here") for i in range(30)] + [(-5, "tied words here"), (2000, prose(rng, 60_000))]
+    return rows
+
+
+QUERIES = [(1, "plum stone plum"), (2, None), (3, ""), (4, "nowhere"), (5, "TIED words"), (5, "café X1 the the"), (None, "漢字 plum"), (6, "here")]
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+def test_search_equals_brute_force(spark, corpus, block_bytes):
+    docs, items = documents(spark, corpus).repartition(7), items_of(spark, QUERIES)
+    found = search(docs, items, block_bytes=block_bytes)
+    assert found.columns == ["item_id", "rank", "doc_id", "score"]
+    assert sorted_rows(found) == brute_search(corpus, QUERIES)
+
+
+def test_search_merges_heaps_in_two_steps(spark, corpus, monkeypatch):
+    monkeypatch.setattr(shared, "FAN_IN", 2)
+    found = search(documents(spark, corpus).repartition(9), items_of(spark, QUERIES[:1] + QUERIES[4:5]), k=3)
+    assert sorted_rows(found) == brute_search(corpus, QUERIES[:1] + QUERIES[4:5], 3)
+
+
+def test_search_without_rows(spark, corpus):
+    none, some = documents(spark, []), items_of(spark, QUERIES)
+    assert search(none, some).count() == 0
+    assert search(documents(spark, [(1, None), (2, "..")]), some).count() == 0
+    assert search(documents(spark, corpus[:5]), items_of(spark, [])).collect() == []
+    assert search(documents(spark, corpus[:5]), items_of(spark, [(1, None)])).collect() == []
+
+
+def test_blocks_hold_every_row_and_no_more_than_they_may(spark):
+    df = spark.range(1000).select("id", F.when(F.col("id") == 77, 5000).otherwise(10).alias("cost")).repartition(5)
+    parts = [[r["id"] for r in b.collect()] for b in blocks(df, F.col("cost"), 2000)]
+    assert len(parts) < 12
+    assert sorted(i for p in parts for i in p) == list(range(1000))
+    assert all(sum(5000 if i == 77 else 10 for i in p) <= 2000 or p == [77] for p in parts)
+    assert list(blocks(df.limit(0), F.col("cost"), 200)) == []
+
+
+# ---- MaxScore ----
+
+VECTORS = "vec_id bigint, embedding array<float>, label int, id int, query_id string, vector int, rank int, score int, asks int"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, label, 1, "q", 2, 3, 4, 5) for i, v, label in rows], VECTORS)
+
+
+def usable(v):
+    return v is not None and all(x is not None and math.isfinite(x) for x in v)
+
+
+def whole(v, scale):
+    return [math.floor(float(np.float32(x)) * scale) for x in v]
+
+
+def inner(a, b):
+    return sum(x * y for x, y in zip(a, b))
+
+
+def by_score(found):
+    return sorted(found, key=lambda f: (-f[1], f[0] is None, f[0] or 0))
+
+
+def brute_top(rows, every, k, scale):
+    kept = [(i, whole(v, scale)) for i, v, _ in rows if usable(v)]
+    out = []
+    for q, a in kept:
+        if q is not None and q % every == 0:
+            ranked = by_score([(i, inner(a, b)) for i, b in kept if i != q])
+            out += [(q, rank, i, s) for rank, (i, s) in enumerate(ranked[:k], 1)]
+    return sorted(out, key=repr)
+
+
+ODD = [
+    (1001, None, 1),
+    (1020, [1.0, None] + [0.0] * 14, 1),
+    (1040, [float("nan")] * 16, 2),
+    (1060, [float("inf")] + [0.0] * 15, 2),
+    (1080, [-float("inf")], 2),
+    (None, [0.5] * 16, 3),
+    (None, None, None),
+    (2000, [], 3),
+    (2001, [0.25, -0.5], 1),
+    (2020, [0.25, -0.5], None),
+    (-20, [-0.5] * 16, 2),
+]
+
+
+@pytest.fixture(scope="module")
+def embedded():
+    rng = random.Random(4)
+    centres = [[rng.gauss(0, 0.4) for _ in range(16)] for _ in range(4)]
+    rows = [(i, [c + rng.gauss(0, 0.2) for c in centres[i % 4]], i % 4) for i in range(400)]
+    same = [(5000 + i, rows[20][1], 2) for i in range(40)]
+    return rows + same + [(100, rows[3][1], 3), (100, rows[100][1], 0)] + ODD
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 300])
+def test_top_k_equals_brute_force(spark, embedded, block_bytes, monkeypatch):
+    monkeypatch.setattr(max_score, "CHUNK_BYTES", 8 * 16 * 20)
+    found = top_k(vectors(spark, embedded).repartition(3), F.col("vec_id") % 20 == 0, k=7, block_bytes=block_bytes)
+    assert found.columns == ["query_id", "rank", "vec_id", "score"]
+    assert sorted_rows(found) == brute_top(embedded, 20, 7, 64)
+
+
+def test_top_k_in_two_steps_and_of_few_rows(spark, embedded, monkeypatch):
+    monkeypatch.setattr(shared, "FAN_IN", 2)
+    found = top_k(vectors(spark, embedded).repartition(9), F.col("vec_id") % 100 == 0, k=3)
+    assert sorted_rows(found) == brute_top(embedded, 100, 3, 64)
+    few = embedded[:3]
+    assert sorted_rows(top_k(vectors(spark, few), F.col("vec_id") % 2 == 0)) == brute_top(few, 2, 20, 64)
+
+
+@pytest.mark.parametrize("size", [300.0, 2.0**20, 2.0**24])
+def test_large_components_stay_exact(spark, size):
+    """Sums beyond what float32 and then float64 hold."""
+    rng = random.Random(6)
+    rows = [(i, [rng.uniform(-size, size) for _ in range(6)], i % 3) for i in range(60)]
+    assert sorted_rows(top_k(vectors(spark, rows), F.col("vec_id") % 10 == 0, k=5)) == brute_top(rows, 10, 5, 64)
+
+
+def test_top_k_without_rows(spark):
+    assert top_k(vectors(spark, []), F.col("vec_id") % 20 == 0).count() == 0
+    assert top_k(vectors(spark, ODD[:5]), F.col("vec_id") % 20 == 0).count() == 0
+    assert top_k(vectors(spark, [(20, [0.5], 1)]), F.col("vec_id") % 20 == 0).count() == 0
+    assert top_k(vectors(spark, [(20, [], 1), (21, [], 1)]), F.col("vec_id") % 20 == 0).collect() == [(20, 1, 21, 0)]
+
+
+def test_pruning_probes_fewer_candidates_and_loses_none():
+    """With a known k-th score most candidates are left out before the non-essential terms are probed."""
+    rng = np.random.default_rng(3)
+    postings = rng.integers(-20, 21, (32, 4000)).astype(np.float32)
+    weights = rng.integers(-20, 21, (4, 32)).astype(np.float32)
+    weights[:, 4:] = np.sign(weights[:, 4:])
+    ids, rows = np.array([-1, -2, -3, -4]), np.arange(4000)
+    rankings = [max_score.Ranking(10, np.float32) for _ in ids]
+    for _ in range(2):  # the second time round no candidate is better than those that are in
+        before = [r.scores.copy() for r in rankings]
+        max_score._chunk(ids, weights, rankings, postings, rows + 4000 * _, np.zeros(4000, bool))
+    for weight, ranking, first in zip(weights, rankings, before):
+        exact = np.sort(np.concatenate([weight @ postings] * 2))[::-1][:10]
+        assert (ranking.scores == exact).all() and len(first) == 10
+        bounds = np.abs(weight) * 20
+        assert np.count_nonzero(np.cumsum(np.sort(bounds)) < first[-1]) > 0
+
+
+# ---- hard negatives ----
+
+
+def moved(vec_id, label):
+    return label if label is None or vec_id is None or vec_id % 7 else (label + 1) % 10
+
+
+def brute_negatives(rows, every, positives=5, negatives=10, scale=256):
+    kept = [(i, whole(v, scale), moved(i, label)) for i, v, label in rows if usable(v) and label is not None]
+    out = []
+    for anchor, a, label in kept:
+        if anchor is None or anchor % every:
+            continue
+        scored = [(i, inner(a, b), other) for i, b, other in kept]
+        near = by_score([(i, s) for i, s, other in scored if other == label and i != anchor])[:positives]
+        for positive, p in near:
+            inside = by_score([(i, s) for i, s, o in scored if o != label and 30 * p <= 100 * s <= 90 * p])
+            out += [(anchor, positive, rank, i, p, s) for rank, (i, s) in enumerate(inside[:negatives], 1)]
+    return sorted(out, key=repr)
+
+
+def mined(spark, df, every, **options):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(df, F.col("vec_id") % every == 0, label, **options)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 1500])
+def test_hard_negatives_equal_brute_force(spark, embedded, block_bytes, monkeypatch):
+    monkeypatch.setattr(residues, "ROWS", 17)
+    monkeypatch.setattr(residues, "ANCHORS", 3)
+    found = mined(spark, vectors(spark, embedded).repartition(3), 20, block_bytes=block_bytes)
+    assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    expected = brute_negatives(embedded, 20)
+    assert len({e[1] for e in expected}) > 30
+    assert sorted_rows(found) == expected
+
+
+def test_hard_negatives_in_two_steps_of_few_rows_and_none(spark, embedded, monkeypatch):
+    monkeypatch.setattr(shared, "FAN_IN", 2)
+    assert sorted_rows(mined(spark, vectors(spark, embedded).repartition(9), 100)) == brute_negatives(embedded, 100)
+    few = [(0, [1.0], 1), (1, [1.0], 2), (2, [0.5], 1), (3, [0.4], 3), (4, [-1.0], 3), (5, [0.0], 4)]
+    assert sorted_rows(mined(spark, vectors(spark, few), 3)) == brute_negatives(few, 3)
+    for rows in ([], ODD[:5], [(100, [0.5], None)], [(100, [0.5], 1)], [(100, [], 1), (101, [], 2)]):
+        assert sorted_rows(mined(spark, vectors(spark, rows), 20)) == brute_negatives(rows, 20)
+
+
+def test_zero_scores_are_a_window_of_their_own(spark):
+    rows = [(100, [0.0, 1.0], 1), (101, [1.0, 0.0], 1), (102, [2.0, 0.0], 2), (103, [0.0, 0.5], 2), (104, [0.0, -1.0], 2)]
+    assert sorted_rows(mined(spark, vectors(spark, rows), 100)) == [(100, 101, 1, 102, 0, 0)]
+
+
+@pytest.mark.parametrize("size", [1000, 10**6, 10**9, 2**40])
+def test_scores_come_back_from_residues(size):
+    rng = random.Random(size)
+    dims = 1500  # more than one slab
+    a = np.array([[rng.randint(-size, size) for _ in range(dims)] for _ in range(3)] + [[size] * dims, [-size] * dims])
+    b = np.array([[rng.randint(-size, size) for _ in range(4)] + [size] for _ in range(dims)])
+    primes = residues.primes_beyond(dims * size * size)
+    assert math.prod(primes) > 2 * dims * size * size
+    parts = residues.remainders([residues.balanced(a, p) for p in primes], [residues.balanced(b, p) for p in primes], primes)
+    assert (residues.reconstructed(parts, primes) == a.astype(object) @ b.astype(object)).all()
+
+
+@pytest.mark.parametrize("size", [300.0, 2.0**20])
+def test_hard_negatives_of_large_components(spark, size):
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-size, size) for _ in range(5)], i % 3) for i in range(80)]
+    assert sorted_rows(mined(spark, vectors(spark, rows), 10)) == brute_negatives(rows, 10)
+
+
+def test_a_score_beyond_64_bits_raises(spark):
+    rows = [(20, [1e30], 1), (22, [1e30], 1), (23, [1e30], 2)]
+    with pytest.raises(Exception, match="int too big|too large|OverflowError|out of bounds"):
+        top_k(vectors(spark, rows), F.col("vec_id") % 20 == 0).collect()
+    with pytest.raises(Exception, match="int too big|too large|OverflowError|out of bounds"):
+        mined(spark, vectors(spark, rows), 20).collect()
