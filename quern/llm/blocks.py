@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,14 +50,26 @@ def blocks(df: DataFrame, cost: Column, most: int) -> Iterator[DataFrame]:
 
 
 def per_block(
-    df: DataFrame, parts: Iterator[DataFrame], search: Callable[[DataFrame], DataFrame], schema: str
+    df: DataFrame, parts: Iterator[DataFrame], search: Callable[[DataFrame, Callable], DataFrame], schema: str
 ) -> DataFrame:
-    """The results of ``search`` for all parts, each written before the next part is taken up."""
+    """The results of ``search`` for all parts, each written before the next part is taken up.
+
+    ``search`` gets a part and a function that broadcasts; what it broadcast is released once its results are written.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, "found")
     spark.createDataFrame([], schema).write.parquet(path)
+    columns = spark.createDataFrame([], schema).columns
     for part in parts:
-        search(part).select(*spark.createDataFrame([], schema).columns).write.mode("append").parquet(path)
+        held: list[Broadcast] = []
+
+        def broadcast(value) -> Broadcast:
+            held.append(spark.sparkContext.broadcast(value))
+            return held[-1]
+
+        search(part, broadcast).select(*columns).write.mode("append").parquet(path)
+        for of_part in held:
+            of_part.destroy()
     return spark.read.schema(schema).parquet(path)
 
 

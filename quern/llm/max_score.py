@@ -13,7 +13,7 @@ query of the block, and these shards are merged.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -65,12 +65,12 @@ def top_k(
     return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias(key), "score")
 
 
-def _search_block(rows: DataFrame, how: tuple, part: DataFrame) -> DataFrame:
+def _search_block(rows: DataFrame, how: tuple, part: DataFrame, broadcast: Callable) -> DataFrame:
     dims, scale, kind, k = how
     asked = part.toArrow().combine_chunks()
     ids = asked["id"].to_numpy()
     weights = whole_components(_one(asked["vector"]), dims, scale, kind)
-    shared = rows.sparkSession.sparkContext.broadcast((ids, weights))
+    shared = broadcast((ids, weights))
     found = map_columns(rows, partial(_search, shared, how), "number int, query bigint, id bigint, score bigint")
     return merged(found, ["number"], [F.desc("score"), F.asc_nulls_last("id")], k)
 

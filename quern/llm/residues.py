@@ -11,7 +11,7 @@ best few rows per anchor or window.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -132,19 +132,18 @@ def hard_negatives(
     )
 
 
-def _search_block(rows: DataFrame, how: tuple, wanted: tuple, part: DataFrame) -> DataFrame:
+def _search_block(rows: DataFrame, how: tuple, wanted: tuple, part: DataFrame, broadcast: Callable) -> DataFrame:
     dims, scale, kind, primes = how
     positives, negatives, low, high = wanted
     asked = part.toArrow()
     matrix = np.concatenate([whole_components(c, dims, scale, kind) for c in asked["vector"].chunks])
     anchors = (asked["id"].to_numpy(), asked["label"].to_numpy(), [balanced(matrix, p) for p in primes])
-    context = rows.sparkSession.sparkContext
-    shared = context.broadcast(anchors)
+    shared = broadcast(anchors)
     order = [F.desc("score"), F.asc_nulls_last("id")]
     near = map_columns(rows, partial(_positives, shared, how, positives), "anchor int, id bigint, score bigint")
     # At most ``positives`` rows per anchor of the block.
     chosen = merged(near, ["anchor"], order, positives).orderBy("anchor", "rank").toArrow()
-    windows = context.broadcast(_windows(chosen, len(anchors[0]), low, high))
+    windows = broadcast(_windows(chosen, len(anchors[0]), low, high))
     columns = "place int, anchor bigint, positive bigint, positive_score bigint, id bigint, score bigint"
     found = map_columns(rows, partial(_negatives, shared, windows, how, negatives), columns)
     return merged(found, ["place"], order, negatives)

@@ -14,7 +14,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -112,11 +112,10 @@ def search(
     return found.select(F.col("id").alias(item), "rank", F.col("doc").alias(key), "score")
 
 
-def _search_block(docs: DataFrame, k: int, part: DataFrame) -> DataFrame:
+def _search_block(docs: DataFrame, k: int, part: DataFrame, broadcast: Callable) -> DataFrame:
     rows = part.toArrow()
     index = Index.of(rows["id"].to_pylist(), rows["text"].to_pylist())
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(index)
+    shared = broadcast(index)
     counts = map_columns(docs, partial(_count, shared), "term int, n bigint")
     corpus = _corpus(dict(counts.groupBy("term").agg(F.sum("n")).toLocalIterator()), len(index.numbers))
     found = map_columns(
