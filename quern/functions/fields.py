@@ -14,6 +14,7 @@ from quern.errors import QueryError
 # Keys used in StructField.metadata.
 ANALYZER = "analyzer"
 TOKENS_OF = "tokens_of"
+LENGTH_OF = "length_of"
 
 
 @dataclass(frozen=True, eq=False)
@@ -25,6 +26,7 @@ class Field:
     dtype: T.DataType
     analyzer: str | None = None
     tokens: Column | None = None
+    n_tokens: Column | None = None
 
     @property
     def is_text(self) -> bool:
@@ -71,9 +73,12 @@ class Fields(Mapping[str, Field]):
         unknown = self._text - set(schema.fieldNames())
         if unknown:
             raise QueryError(f"unknown field {sorted(unknown)}")
-        self._token_columns = {
-            f.metadata[TOKENS_OF]: f.name for f in schema.fields if f.metadata and TOKENS_OF in f.metadata
-        }
+        self._token_columns = self._marked(TOKENS_OF)
+        self._length_columns = self._marked(LENGTH_OF)
+
+    def _marked(self, mark: str) -> dict[str, str]:
+        """Field -> the stored column that belongs to it."""
+        return {f.metadata[mark]: f.name for f in self._schema.fields if f.metadata and mark in f.metadata}
 
     def __getitem__(self, name: str) -> Field:
         if name not in self._schema.fieldNames():
@@ -82,13 +87,14 @@ class Fields(Mapping[str, Field]):
         analyzer = (spec.metadata or {}).get(ANALYZER)
         if analyzer is None and name in self._text:
             analyzer = "standard"
-        tokens = self._token_columns.get(name)
+        tokens, n_tokens = self._token_columns.get(name), self._length_columns.get(name)
         return Field(
             name=self._prefix + name,
             col=self._column(name),
             dtype=spec.dataType,
             analyzer=analyzer,
             tokens=self._column(tokens) if tokens else None,
+            n_tokens=self._column(n_tokens) if n_tokens else None,
         )
 
     def __iter__(self) -> Iterator[str]:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.errors import QueryError
-from quern.functions.fields import TOKENS_OF, Field, fields
+from quern.functions.fields import LENGTH_OF, TOKENS_OF, Field, fields
 
 # The characters that join two letters, or two digits, into one word.
 BETWEEN_LETTERS = ".:·'’"
@@ -114,7 +114,7 @@ def tokens(field: Field) -> Column:
 
 
 def analyze(df: DataFrame, names: Iterable[str], text: Iterable[str] = ()) -> DataFrame:
-    """Add a token column per text field, so that a written table is split once and not per query."""
+    """Add tokens and their number per text field, so that a written table is split once and not per query."""
     known = fields(df, text or names)
     added = {}
     for name in names:
@@ -123,6 +123,19 @@ def analyze(df: DataFrame, names: Iterable[str], text: Iterable[str] = ()) -> Da
     df = df.withColumns(added)
     for name in names:
         df = df.withMetadata(f"{name}__tokens", {TOKENS_OF: name})
+    return measure(df, names, text or names)
+
+
+def measure(df: DataFrame, names: Iterable[str], text: Iterable[str] = ()) -> DataFrame:
+    """Add the number of tokens per text field: all that ranking with stored statistics needs beside the text."""
+    known = fields(df, text or names)
+    added = {}
+    for name in names:
+        _check_analyzer(known[name])
+        added[f"{name}__length"] = length(known[name])
+    df = df.withColumns(added)
+    for name in names:
+        df = df.withMetadata(f"{name}__length", {LENGTH_OF: name})
     return df
 
 
@@ -154,7 +167,9 @@ def occurrences(field: Field, words: Sequence[str], open_end: bool = False) -> C
 
 
 def length(field: Field) -> Column:
-    """Number of tokens."""
+    """Number of tokens: the stored one where there is one."""
+    if field.n_tokens is not None:
+        return field.n_tokens
     if field.tokens is not None:
         return F.size(field.tokens)
     return F.regexp_count(field.col, F.lit(_COUNTED))  # lower-casing changes no number of tokens

@@ -90,18 +90,19 @@ def highlighted(
     column: str = "highlights",
     ranked: bool = False,
     score: str = "score",
+    corpus: DataFrame | None = None,
 ) -> DataFrame:
     """Matching rows plus a map from field name to fragments; fields without a hit are absent.
 
     ``ranked``: best score first, ties by ``key``, with the score as a column; ``limit`` then takes the top.
-    A limit needs ``ranked``, a sort or a key, else which rows it takes would be open.
+    ``corpus``: stored statistics for the scores, as in ``rank``. A limit needs ``ranked``, a sort or a key, else which rows it takes would be open.
     """
     if not over:
         raise QueryError("highlighting needs at least one field")
     if ranked:
         if sort or key is None:
             raise QueryError("ranked highlighting takes a key and no sort")
-        found = rank(df, queries, key, condition, limit=limit, score=score)
+        found = rank(df, queries, key, condition, limit=limit, score=score, corpus=corpus)
     elif limit is not None and not sort and key is None:
         raise QueryError("a limit needs a sort, a key or ranked=True")
     else:

@@ -10,6 +10,7 @@ from quern.functions import text as X
 from quern.functions.fields import fields
 from quern.operators.highlighting import highlighted
 from quern.operators.ranking import rank
+from quern.operators.statistics import corpus_statistics, merge_statistics, without_statistics
 from quern.plans.tables import round_to, spread, table
 
 # The token rule in RE2. Characters that are tokens of their own get blanks around them beforehand.
@@ -78,6 +79,48 @@ def ranked(queries, require: str = "any", limit: int | None = 100, text=("text",
     return query
 
 
+def ranked_with_corpus(spark: SparkSession, directory: str) -> DataFrame:
+    """Ranking by statistics that were taken in two batches and added up."""
+    docs, f = documents(spark, directory)
+    even = F.col("doc_id") % 2 == 0
+    parts = [corpus_statistics(spread(docs.where(c)), [f["text"]]) for c in (even, ~even)]
+    found = rank(
+        spread(docs),
+        [X.text_query(f["text"], "thth erst", boost=10.0), X.text_query(f["text"], "thon")],
+        f["doc_id"],
+        limit=100,
+        corpus=parts[0].union(parts[1]),
+    )
+    return found.select("doc_id", round_to("score", 6).alias("score"))
+
+
+def statistics(spark: SparkSession, directory: str) -> DataFrame:
+    """The statistics of all documents' text and language, from two batches of which one was deleted again."""
+    docs = table(spark, directory, "documents")
+    f = fields(docs, text=["text", "lang"])
+    over = [f["text"], f["lang"]]
+    stored, english = corpus_statistics(spread(docs), over), corpus_statistics(spread(docs.where("lang = 'en'")), over)
+    return without_statistics(merge_statistics(stored, english), english)
+
+
+def marked_ranked(spark: SparkSession, directory: str) -> DataFrame:
+    """Fragments of the twenty best documents, with their scores."""
+    docs, f = documents(spark, directory)
+    found = highlighted(
+        spread(docs),
+        [X.text_query(f["text"], "thth"), X.text_query(f["text"], "erst", boost=3.0)],
+        [f["text"]],
+        limit=20,
+        key=f["doc_id"],
+        pre_tag="<b>",
+        post_tag="</b>",
+        ranked=True,
+    )
+    return found.select(
+        "doc_id", round_to("score", 6).alias("score"), F.posexplode(F.col("highlights")["text"]).alias("pos", "fragment")
+    ).withColumn("pos", F.col("pos").cast("bigint"))
+
+
 def _has(*words: str) -> str:
     return "list_has_any(t, [" + ", ".join(f"'{w}'" for w in words) + "])"
 
@@ -205,6 +248,16 @@ QUERIES = {
         ranked(lambda f: [X.text_query(f["text"], "with this from")], limit=None),
         bm25_sql({"with": 1.0, "this": 1.0, "from": 1.0}, limit=None),
     ),
+    "TXT9_rank_with_corpus": (ranked_with_corpus, bm25_sql({"thth": 10.0, "erst": 10.0, "thon": 1.0})),
+    "TXT9_statistics": (
+        statistics,
+        TOKENS
+        + """, pair AS (SELECT doc_id, 'text' AS field, t FROM tokens
+  UNION ALL SELECT doc_id, 'lang' AS field, [lang] AS t FROM documents WHERE lang IS NOT NULL)
+SELECT field, NULL AS term, count(*) AS rows, CAST(sum(len(t)) AS BIGINT) AS tokens FROM pair WHERE len(t) > 0 GROUP BY field
+UNION ALL SELECT field, term, count(*) AS rows, CAST(0 AS BIGINT) AS tokens
+FROM (SELECT field, unnest(list_distinct(t)) AS term FROM pair) GROUP BY field, term""",
+    ),
     "TXT9_rank_all_required": (
         ranked(
             lambda f: [X.text_query(f["text"], "erer"), X.text_query(f["text"], "than thes", operator="and")],
@@ -267,6 +320,11 @@ QUERIES = {
         marked(lambda f: [X.text_query(f["text"], "with from")], 5, "en"),
         marked_sql(["with", "from"], 5, "en"),
     ),
+    "TXT8_highlight_ranked": (
+        marked_ranked,
+        f"""SELECT r.doc_id, r.score, m.pos, m.fragment FROM ({bm25_sql({"thth": 1.0, "erst": 3.0}, limit=20)}) r
+JOIN ({marked_sql(["thth", "erst"], 5)}) m ON m.doc_id = r.doc_id""",
+    ),
     "TXT8_highlight_all_fragments": (
         marked(lambda f: [X.text_query(f["text"], "thth")], None),
         marked_sql(["thth"], None),
