@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import struct
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -27,6 +28,9 @@ LIST_CAP = 1000
 WINDOW = 10000
 # Up to this many ids are sent as literals, which reach the scan; more become a join with the same outcome.
 MAX_LITERAL_IDS = 1000
+# Bits of whole numbers by type name; texts taken as booleans.
+WIDTHS = {"byte": 8, "short": 16, "integer": 32, "long": 64}
+BOOLEANS = {"true": True, "false": False}
 
 
 def check_limit(limit: int | None) -> None:
@@ -92,28 +96,72 @@ def with_ids(df: DataFrame, key: Field, ids: DataFrame | Iterable[Any]) -> DataF
 
 
 def as_keys(key: Field, ids: Iterable[Any]) -> list[Any]:
-    """Ids as values of the key's type, without nulls."""
+    """Ids as values of the key's type, without nulls. One that is no such value raises, however many there are."""
     if key.is_text:
         raise QueryError(f"text field {key.name} cannot be compared as a whole")
     try:
         return [_as_key(key.dtype, i) for i in ids if i is not None]
-    except (ValueError, ArithmeticError) as error:
+    except (ValueError, TypeError, ArithmeticError) as error:
         raise QueryError(f"an id is no {key.dtype.simpleString()}: {error}") from error
 
 
 def _as_key(dtype: T.DataType, value: Any) -> Any:
-    if not isinstance(value, str):
-        return str(value) if isinstance(dtype, T.StringType) else value
-    if isinstance(dtype, T.IntegralType):
-        return int(value)
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return float(value)
-    if isinstance(dtype, T.DecimalType):
-        return decimal.Decimal(value)
+    """The value in the key's type, the same whether it is then sent as a literal or as a row."""
+    if isinstance(dtype, T.StringType):
+        return str(value)
+    if isinstance(dtype, T.BooleanType):
+        return _one_of({True: True, False: False}, value) if isinstance(value, bool) else _one_of(BOOLEANS, value)
+    if isinstance(dtype, T.NumericType):
+        if isinstance(value, bool):
+            raise ValueError(f"{value!r} is a boolean")
+        return _as_number(dtype, value)
     if isinstance(dtype, T.DateType):
-        return datetime.date.fromisoformat(value)
+        if isinstance(value, datetime.datetime):
+            if value.time() != datetime.time():
+                raise ValueError(f"{value} is no whole day")
+            return value.date()
+        return datetime.date.fromisoformat(value) if isinstance(value, str) else _of(datetime.date, value)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return datetime.datetime.fromisoformat(value)
+        if isinstance(value, str):
+            value = datetime.datetime.fromisoformat(value)
+        elif not isinstance(value, datetime.datetime):
+            value = datetime.datetime.combine(_of(datetime.date, value), datetime.time())
+        if value.tzinfo is not None and isinstance(dtype, T.TimestampNTZType):
+            raise ValueError(f"{value} has a time zone")
+        return value
+    return value
+
+
+def _as_number(dtype: T.NumericType, value: Any) -> Any:
+    if isinstance(dtype, T.IntegralType):
+        if isinstance(value, (float, decimal.Decimal)) and value != int(value):
+            raise ValueError(f"{value} is not whole")
+        number = int(value)
+        if not -(1 << WIDTHS[dtype.typeName()] - 1) <= number < 1 << WIDTHS[dtype.typeName()] - 1:
+            raise ValueError(f"{number} is out of range")
+        return number
+    if isinstance(dtype, T.DecimalType):
+        number = decimal.Decimal(str(value) if isinstance(value, float) else value)
+        with decimal.localcontext(prec=76):
+            kept = number.quantize(decimal.Decimal(1).scaleb(-dtype.scale))
+        if kept != number or kept.adjusted() >= dtype.precision - dtype.scale and kept:
+            raise ValueError(f"{value} does not fit")
+        return kept
+    number = float(value)
+    if isinstance(dtype, T.FloatType):
+        number = struct.unpack("f", struct.pack("f", number))[0]
+    return number
+
+
+def _one_of(known: dict, value: Any) -> Any:
+    if not isinstance(value, (str, bool)) or value not in known:
+        raise ValueError(f"{value!r} is neither true nor false")
+    return known[value]
+
+
+def _of(kind: type, value: Any) -> Any:
+    if not isinstance(value, kind):
+        raise ValueError(f"{value!r} is no {kind.__name__}")
     return value
 
 
@@ -203,7 +251,9 @@ def _mark(expr: Column, dtype: T.DataType) -> Column:
 def after(df: DataFrame, order: Sequence[Sort], cursor: Sequence[str | None]) -> Column:
     """Rows that come after ``cursor`` (one value per sort key, as text) in the given order.
 
-    Timestamps are epoch microseconds in a cursor, so that no session zone and no change of clocks matters. Missing values sort last, so after a value come the missing ones, and after a missing one nothing.
+    Timestamps are epoch microseconds in a cursor, so that no session zone and no change of clocks matters. Missing
+    values sort last: after a value come the missing ones, and after a missing one those that are missing as well and
+    come later by the remaining keys.
     """
     if len(cursor) != len(order):
         raise QueryError(f"cursor has {len(cursor)} values for {len(order)} sort keys")
@@ -234,6 +284,10 @@ def select_after(
 
     The cursor is a tuple of texts, so it can be stored or sent. Unlike an offset it does not make
     later batches dearer: the rows before it are filtered out at the scan.
+
+    Only the sort values of the batch, at most WINDOW + 1 rows of them, come to the driver. ``rows`` is a filter from
+    the cursor to the last row's sort values, so that wide documents stay on the cluster. Rows that repeat a key at the
+    end of a batch are all in it.
     """
     if not 1 <= size <= WINDOW:
         raise QueryError(f"batch size must be 1 to {WINDOW}, not {size}")
@@ -241,14 +295,14 @@ def select_after(
     order = _total(sort, key)
     rest = matched if cursor is None else matched.filter(after(df, order, cursor))
     marks = [_mark(s.expr, t).alias(f"__mark{i}") for i, (s, t) in enumerate(zip(order, _types(df, order)))]
-    # One job: the batch, at most WINDOW rows, and the row behind it.
-    found = rest.select("*", *marks).orderBy(*columns(order)).limit(size + 1).toArrow()
-    batch = found.slice(0, size)
-    following = None
-    if found.num_rows > size:
-        following = tuple(batch.column(f"__mark{i}")[-1].as_py() for i in range(len(order)))
-    rows = df.sparkSession.createDataFrame(batch.drop_columns([f"__mark{i}" for i in range(len(order))]), df.schema)
-    return Batch(rows, following, matched.count() if with_total else None)
+    found = rest.orderBy(*columns(order)).select(*marks).limit(size + 1).toArrow().to_pylist()
+    total = matched.count() if with_total else None
+    if not found:
+        return Batch(rest.filter(F.lit(False)), None, total)
+    last = tuple(found[:size][-1].values())
+    beyond = after(df, order, last)
+    rows = rest.filter(~F.coalesce(beyond, F.lit(False))).orderBy(*columns(order))
+    return Batch(rows, last if len(found) > size else None, total)
 
 
 def with_inner_hits(

@@ -254,6 +254,67 @@ def drill_down_parents(spark: SparkSession, directory: str) -> DataFrame:
     return found
 
 
+def cut_first(spark: SparkSession, directory: str) -> DataFrame:
+    """Days of the five customers with most orders, whose rows are read again."""
+    orders = table(spark, directory, "orders")
+    days = A.date_histogram("o_orderdate", "day", A.sum("o_totalprice", name="total"), name="day", min_doc_count=1)
+    tree = A.terms("o_custkey", days, name="customer", size=5, cut_first=True)
+    found = A.aggregate(orders, None, tree).buckets("customer", "day")
+    return found.withColumn("total", round_to("total", 2))
+
+
+def cardinality_in_tree(spark: SparkSession, directory: str) -> DataFrame:
+    """Decimal means and sums, and whether approximate counts are within five percent, on both levels of a tree."""
+    lines = table(spark, directory, "lineitem").withColumn("price", F.col("l_extendedprice").cast("decimal(12,2)"))
+    metrics = [A.cardinality("l_partkey", "parts"), A.avg("price", "mean"), A.sum("price", "total"), A.stats("price", "p")]
+    tree = A.terms("l_returnflag", *metrics, A.terms("l_linestatus", *metrics, name="status"), name="flag")
+    found = A.aggregate(lines, None, tree)
+    upper = found.buckets("flag").withColumn("status", F.lit(None).cast("string"))
+    both = upper.unionByName(found.buckets("flag", "status"))
+    exact = lines.select("l_returnflag", "l_linestatus", "l_partkey").distinct()
+    exact = exact.groupBy(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")).agg(F.count("*").alias("n"))
+    joined = both.join(exact, ["flag", "status"], "left")
+    close = F.coalesce(F.abs(F.col("parts") - F.col("n")) <= 0.05 * F.col("n"), F.lit(True))
+    return joined.select(
+        "flag", "status", "doc_count", close.alias("close"), *[F.col(c).cast("double").alias(c) for c in ("mean", "total", "p_min", "p_max", "p_avg")]
+    )
+
+
+def branches(spark: SparkSession, directory: str) -> DataFrame:
+    """Three buckets side by side below one, with all buckets of the tree in one table."""
+    orders = table(spark, directory, "orders")
+    tree = A.terms(
+        "o_orderstatus",
+        A.max("o_totalprice", name="dearest"),
+        A.terms("o_orderpriority", A.avg("o_totalprice", name="mean"), name="priority", size=3),
+        A.date_histogram("o_orderdate", "year", A.cardinality("o_orderpriority", name="priorities"), name="year"),
+        A.ranges("o_totalprice", ORDER_RANGES, A.sum("o_totalprice", name="total"), name="price"),
+        name="status",
+    )
+    every = A.aggregate(orders, None, tree).all_buckets()
+    value = F.map_values("metrics")[0]
+    return every.select("path", F.array_join("keys", "|").alias("keys"), "doc_count", F.round(value, 2).alias("value"))
+
+
+ORDER_RANGES = [A.Range(None, 100000.0, "low"), A.Range(50000.0, 200000.0, "middle"), A.Range(1e9, None, "none")]
+
+
+def ranges_in_chain(spark: SparkSession, directory: str) -> DataFrame:
+    """Terms above overlapping ranges above terms, with all buckets in one table."""
+    part = table(spark, directory, "part")
+    tree = A.terms(
+        "p_type",
+        A.ranges(
+            "p_retailprice", PRICE_RANGES, A.avg("p_size", name="size"), A.terms("p_brand", A.max("p_size", "most"), name="brand", size=2), name="price"
+        ),
+        name="type",
+        size=4,
+    )
+    every = A.aggregate(part, None, tree).all_buckets()
+    value = F.when(F.size("metrics") > 0, F.map_values("metrics")[0])
+    return every.select("path", F.array_join("keys", "|").alias("keys"), "doc_count", F.round(value, 6).alias("value"))
+
+
 PRICE_CASES = """
 (SELECT '*-950.0' AS price, 0 AS lo, 950 AS hi UNION ALL SELECT 'middle', 940, 1000
  UNION ALL SELECT '1000.0-1050.0', 1000, 1050 UNION ALL SELECT '9999.0-*', 9999, 1e18) r
@@ -364,6 +425,52 @@ WITH n AS (SELECT r.price, p_type AS type, count(*) AS doc_count FROM {PRICE_CAS
            JOIN part ON p_retailprice >= r.lo AND p_retailprice < r.hi GROUP BY 1, 2)
 SELECT price, type, doc_count FROM
 (SELECT *, row_number() OVER (PARTITION BY price ORDER BY doc_count DESC, type) AS k FROM n) WHERE k <= 2""",
+    ),
+    "AGG2_cut_first": (
+        cut_first,
+        """
+WITH top AS (SELECT o_custkey FROM orders GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 5)
+SELECT o_custkey AS customer, epoch_ms(date_trunc('day', o_orderdate)::TIMESTAMP) AS day, count(*) AS doc_count,
+  round(sum(o_totalprice), 2) AS total FROM orders WHERE o_custkey IN (SELECT o_custkey FROM top) GROUP BY 1, 2""",
+    ),
+    "AGG9_cardinality_in_tree": (
+        cardinality_in_tree,
+        """
+WITH l AS (SELECT l_returnflag AS flag, l_linestatus AS status, CAST(l_extendedprice AS DECIMAL(12, 2)) AS price FROM lineitem),
+g AS (SELECT flag, status, count(*) AS doc_count, sum(price) AS s, min(price) AS lo, max(price) AS hi
+  FROM l GROUP BY GROUPING SETS ((flag), (flag, status)))
+SELECT flag, status, doc_count, true AS close, round(s::DOUBLE / doc_count, 6) AS mean, s::DOUBLE AS total, lo::DOUBLE AS p_min,
+  hi::DOUBLE AS p_max, round(s::DOUBLE / doc_count, 6) AS p_avg FROM g""",
+    ),
+    "AGG16_branches": (
+        branches,
+        """
+WITH o AS (SELECT *, epoch_ms(date_trunc('year', o_orderdate)::TIMESTAMP) AS year FROM orders),
+p AS (SELECT o_orderstatus AS s, o_orderpriority AS k, count(*) AS n, avg(o_totalprice) AS v FROM o GROUP BY 1, 2
+  QUALIFY row_number() OVER (PARTITION BY o_orderstatus ORDER BY count(*) DESC, o_orderpriority) <= 3),
+e AS (SELECT o_orderstatus AS s, epoch_ms(unnest(generate_series(min(date_trunc('year', o_orderdate)::TIMESTAMP),
+  max(date_trunc('year', o_orderdate)::TIMESTAMP), INTERVAL '1 year'))) AS y FROM o GROUP BY 1),
+r AS (SELECT * FROM (VALUES ('low', -1.0, 100000.0), ('middle', 50000.0, 200000.0), ('none', 1e9, 1e18)) r(k, lo, hi))
+SELECT 'status' AS path, o_orderstatus AS keys, count(*) AS doc_count, round(max(o_totalprice), 2) AS value FROM o GROUP BY 2
+UNION ALL SELECT 'status/priority', s || '|' || k, n, round(v, 2) FROM p
+UNION ALL SELECT 'status/year', s || '|' || y, count(o.o_orderkey), count(DISTINCT o_orderpriority)::DOUBLE
+  FROM e LEFT JOIN o ON o.o_orderstatus = s AND o.year = y GROUP BY s, y
+UNION ALL SELECT 'status/price', x.s || '|' || k, count(o.o_orderkey), round(coalesce(sum(o_totalprice), 0), 2)
+  FROM (SELECT DISTINCT o_orderstatus AS s FROM o) x CROSS JOIN r
+  LEFT JOIN o ON o.o_orderstatus = x.s AND o_totalprice >= lo AND o_totalprice < hi GROUP BY x.s, k""",
+    ),
+    "AGG13_ranges_in_chain": (
+        ranges_in_chain,
+        f"""
+WITH top AS (SELECT p_type AS t, count(*) AS n FROM part GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 4),
+q AS (SELECT t, price, count(p_partkey) AS n, avg(p_size) AS v FROM (SELECT t, r.* FROM top CROSS JOIN {PRICE_CASES.rstrip().removesuffix(' r')} r) x
+  LEFT JOIN part ON p_type = t AND p_retailprice >= lo AND p_retailprice < hi GROUP BY 1, 2),
+b AS (SELECT t, r.price, p_brand, count(*) AS n, max(p_size) AS v FROM top JOIN part ON p_type = t
+  JOIN {PRICE_CASES} ON p_retailprice >= r.lo AND p_retailprice < r.hi GROUP BY 1, 2, 3
+  QUALIFY row_number() OVER (PARTITION BY t, r.price ORDER BY count(*) DESC, p_brand) <= 2)
+SELECT 'type' AS path, t AS keys, n AS doc_count, NULL::DOUBLE AS value FROM top
+UNION ALL SELECT 'type/price', t || '|' || price, n, round(v, 6) FROM q
+UNION ALL SELECT 'type/price/brand', t || '|' || price || '|' || p_brand, n, v::DOUBLE FROM b""",
     ),
     "AGG14_top_hits": (
         top_hits,

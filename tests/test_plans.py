@@ -165,7 +165,7 @@ def test_large_top_hits_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name, scans", [("AGG10_date_histogram_month", 1), ("AGG10_date_histogram_per_parent", 2)])
+@pytest.mark.parametrize("name, scans", [("AGG10_date_histogram_month", 1), ("AGG10_date_histogram_per_parent", 1)])
 def test_gap_filling_shares_the_buckets(spark, name, scans):
     df = QUERIES[name](spark, TESTDATA)
     df.collect()
@@ -173,6 +173,12 @@ def test_gap_filling_shares_the_buckets(spark, name, scans):
     assert final.count("FileScan") == scans
 
 
+@pytest.mark.parametrize("name", ["AGG2_terms_size_per_parent", "AGG10_date_histogram_per_parent", "AGG16_drill_down"])
+def test_levels_of_trees_are_hash_aggregates(spark, name):
+    shown = plan(QUERIES[name](spark, TESTDATA))
+    assert "SortAggregate" not in shown and "HashAggregate" in shown
+
+
 def test_conditions_on_one_child_field_read_only_it(spark, products, tmp_path):
     from quern.operators.reads import search
     from quern.operators.sorting import by_nested
