@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import math
 import struct
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
@@ -149,7 +150,10 @@ def _as_number(dtype: T.NumericType, value: Any) -> Any:
         return kept
     number = float(value)
     if isinstance(dtype, T.FloatType):
-        number = struct.unpack("f", struct.pack("f", number))[0]
+        kept = struct.unpack("f", struct.pack("f", number))[0]
+        if math.isinf(kept) and not math.isinf(number):
+            raise ValueError(f"{number} is out of range")
+        return kept
     return number
 
 

@@ -1,5 +1,7 @@
 """Reads and predicates against brute force on small inputs."""
 
+import datetime
+import decimal
 import functools
 import itertools
 import random
@@ -12,6 +14,7 @@ from quern.functions import geo
 from quern.functions import predicates as P
 from quern.functions.fields import fields
 from quern.operators import reads as R
+from quern.operators import writes as W
 from quern.operators import topn
 from quern.operators.sorting import Sort, asc, by_distance, desc
 from quern.operators.topn import top_per_group
@@ -207,3 +210,81 @@ def test_id_lists_behave_alike_at_any_size(spark, n):
     with pytest.raises(QueryError):
         R.with_ids(df, text["name"], ["3", *map(str, more)])
     assert R.search(df, None, limit=20_000, key=f["id"]).count() == 5
+
+
+def test_only_sort_values_of_a_batch_reach_the_driver(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    # A thousand documents of a megabyte, whose sort value repeats over the borders of the batches.
+    wide = F.repeat(F.concat(F.lit("x"), F.col("id").cast("string")), 220_000)
+    spark.range(0, 1000, numPartitions=8).select("id", (F.col("id") / 150).cast("int").alias("n"), wide.alias("doc")).write.parquet(f"{tmp_path}/w")
+    stored = spark.read.parquet(f"{tmp_path}/w")
+    plans, plain = [], Frame.toArrow
+    monkeypatch.setattr(Frame, "toArrow", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df))
+    f = fields(stored)
+    cursor, seen = None, []
+    while True:
+        batch = R.select_after(stored, 400, cursor, None, [desc(f["n"])], key=f["id"], with_total=False)
+        seen += [tuple(r) for r in batch.rows.select("id", F.length("doc")).collect()]
+        cursor = batch.next
+        if cursor is None:
+            break
+    assert [i for i, _ in seen] == sorted(range(1000), key=lambda i: (-(i // 150), i))
+    assert all(n == 220_000 * len(f"x{i}") for i, n in seen)
+    assert len(plans) == 3 and all("doc" not in p and "ReadSchema: struct<id:bigint,n:int>" in p for p in plans)
+
+
+def test_batches_lose_no_row_that_repeats_a_key(spark):
+    df = spark.createDataFrame([(i // 4, i) for i in range(40)], "id int, v int")
+    f = fields(df)
+    cursor, seen = None, []
+    for _ in range(40):
+        batch = R.select_after(df, 6, cursor, key=f["id"])
+        found = [r["v"] for r in batch.rows.collect()]
+        assert batch.total == 40 and len(found) in (8, 0)
+        seen += found
+        cursor = batch.next
+        if cursor is None:
+            break
+    assert sorted(seen) == list(range(40))
+    none = R.select_after(df.where("false"), 5, key=f["id"])
+    assert none.rows.collect() == [] and none.next is None and none.total == 0
+
+
+D = decimal.Decimal
+MOMENT = datetime.datetime(2024, 5, 6, 7, 8, 9)
+
+
+@pytest.mark.parametrize("many", [False, True])
+@pytest.mark.parametrize(
+    "dtype, stored, same, wrong",
+    [
+        ("bigint", 2, [2, 2.0, "2", D(2)], [1.5, True, "two", 2**63, D("0.5"), float("nan"), float("inf"), [2]]),
+        ("int", 2, [2, 2.0, "2"], [2**31, -(2**31) - 1, False]),
+        ("tinyint", -128, [-128, "-128"], [128, 200.0]),
+        ("double", 0.1, [0.1, "0.1", D("0.1")], ["x", True]),
+        ("float", 0.1, [0.1, "0.1"], [1e60, True]),
+        ("decimal(6,2)", D("12.30"), [12.3, "12.3", D("12.300")], [D("12.345"), 10000, "a", True]),
+        ("boolean", True, [True, "true"], ["yes", 1, 1.0]),
+        ("string", "3", ["3", 3], []),
+        ("date", MOMENT.date(), [MOMENT.date(), "2024-05-06", datetime.datetime(2024, 5, 6)], [MOMENT, "May", 5]),
+        ("timestamp_ntz", MOMENT, [MOMENT, "2024-05-06T07:08:09"], [5, "x", MOMENT.replace(tzinfo=datetime.timezone.utc)]),
+    ],
+)
+def test_ids_mean_the_same_at_any_number(spark, dtype, stored, same, wrong, many):
+    """As literals and, beyond a thousand, as a join; in reads and in deletes."""
+    df = spark.createDataFrame([(stored, 1), (None, 2)], f"id {dtype}, v int")
+    key = fields(df)["id"]
+
+    def padded(value):
+        return [value, None] + [same[0]] * (1500 if many else 0)
+
+    for value in same:
+        assert [r["v"] for r in R.with_ids(df, key, padded(value)).collect()] == [1], value
+    change = W.delete_by_ids(df, "id", padded(same[-1]))
+    assert [r["v"] for r in change.rows.collect()] == [2] and change.affected() == 1
+    for value in wrong:
+        with pytest.raises(QueryError):
+            R.with_ids(df, key, padded(value))
+        with pytest.raises(QueryError):
+            W.delete_by_ids(df, "id", padded(value))
