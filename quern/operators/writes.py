@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quern.errors import QueryError
@@ -46,14 +46,16 @@ def _with_key(batch: DataFrame, key: str) -> DataFrame:
     return batch.withColumn(key, F.coalesce(F.col(key), missing)).filter(F.col(key).isNotNull())
 
 
-def upsert(current: DataFrame, batch: DataFrame, key: str, ordinal: str | None = None) -> Change:
-    """Whole-row insert or replace by key; columns the batch lacks become null.
-
-    The last row per key by ``ordinal`` counts. Without ``ordinal`` keys must be unique in the batch,
-    and a repeated one raises. A null key raises.
-    """
+def _full_row(current: DataFrame, batch: DataFrame, ordinal: str | None) -> list[Column]:
+    """The table's columns from a row of the batch; those it lacks are null."""
     given = [c for c in batch.columns if c != ordinal]
-    known = _known(current, [key, *given])
+    known = fields(current)
+    return [(F.col(n) if n in given else F.lit(None)).cast(known[n].dtype).alias(n) for n in current.columns]
+
+
+def _last_rows(current: DataFrame, batch: DataFrame, key: str, ordinal: str | None) -> DataFrame:
+    """key and ``__row``: the last row per key of the batch, from groups that all uses share."""
+    _known(current, [key, *(c for c in batch.columns if c != ordinal)])
     batch = _with_key(batch, key)
     if ordinal is not None:
         order = F.struct(F.col(ordinal).isNotNull(), F.col(ordinal))
@@ -65,13 +67,64 @@ def upsert(current: DataFrame, batch: DataFrame, key: str, ordinal: str | None =
         kept = kept.filter(F.when(F.col("__n") == 1, True).otherwise(repeated.cast("boolean")))
     # Rows and keys come from the same shuffled groups, which Spark computes once: the condition, true for
     # every group, keeps their rows in use where only the keys are asked for.
-    kept = kept.filter(F.col("__row").isNotNull())
+    return kept.filter(F.col("__row").isNotNull())
+
+
+# Columns of the row-by-row forms, which say what becomes of a row.
+CREATED, UPDATED, DELETED = "__created", "__updated", "__deleted"
+
+
+def flagged_upsert(current: DataFrame, batch: DataFrame, key: str, ordinal: str | None = None) -> DataFrame:
+    """``upsert`` in one join: the rows after it, each marked as created, updated or neither.
+
+    For writes that count what they write (``counted``). A key must not repeat in the table.
+    """
+    kept = _last_rows(current, batch, key, ordinal)
+    given = kept.select("__row.*").select(F.struct(*_full_row(current, batch, ordinal)).alias("__new"))
+    old = current.select(F.struct(*[F.col(c) for c in current.columns]).alias("__old"))
+    joined = old.join(given, F.col("__old")[key] == F.col("__new")[key], "full")
+    new, had = F.col("__new").isNotNull(), F.col("__old").isNotNull()
+    values = [F.when(new, F.col("__new")[c]).otherwise(F.col("__old")[c]).alias(c) for c in current.columns]
+    return joined.select(*values, (new & ~had).alias(CREATED), (new & had).alias(UPDATED), F.lit(False).alias(DELETED))
+
+
+def patched(current: DataFrame, patches: DataFrame, key: str, ordinal: str | None = None) -> DataFrame:
+    """``update_batch`` in one join, rows marked likewise. Patches for unknown keys change nothing."""
+    given, patch = _patch(current, patches, key, ordinal)
+    known = fields(current)
+    joined = current.join(patch.withColumn("__hit", F.lit(1)), key, "left")
+    merged = {c: F.coalesce(F.col(f"__new_{c}").cast(known[c].dtype), F.col(c)) for c in given}
+    flags = {CREATED: F.lit(False), UPDATED: F.col("__hit").isNotNull(), DELETED: F.lit(False)}
+    return joined.withColumns(merged | flags).select(*current.columns, CREATED, UPDATED, DELETED)
+
+
+def flagged_delete(current: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """All rows, marked as deleted where their key is among ``ids`` (one column)."""
+    field = _known(current, [key])[key]
+    wanted = ids.select(F.col(ids.columns[0]).cast(field.dtype).alias("__id")).filter("__id is not null").distinct()
+    joined = current.join(wanted, field.col == F.col("__id"), "left")
+    return joined.select(*current.columns, F.lit(False).alias(CREATED), F.lit(False).alias(UPDATED), F.col("__id").isNotNull().alias(DELETED))
+
+
+def counted(flagged: DataFrame, seen: Observation, *also: Column) -> DataFrame:
+    """The rows that stay, without marks; the job that writes them leaves rows, created, updated and deleted in ``seen``.
+
+    To be used behind the last shuffle: there a row is seen once, however often a task before it is run again.
+    """
+    stays = F.count_if(~F.col(DELETED)).alias("rows")
+    counts = [F.count_if(name).alias(name.strip("_")) for name in (CREATED, UPDATED, DELETED)]
+    return flagged.observe(seen, stays, *counts, *also).filter(~F.col(DELETED)).drop(CREATED, UPDATED, DELETED)
+
+
+def upsert(current: DataFrame, batch: DataFrame, key: str, ordinal: str | None = None) -> Change:
+    """Whole-row insert or replace by key; columns the batch lacks become null.
+
+    The last row per key by ``ordinal`` counts. Without ``ordinal`` keys must be unique in the batch,
+    and a repeated one raises. A null key raises.
+    """
+    kept = _last_rows(current, batch, key, ordinal)
     keys = kept.select(key)
-    batch = kept.select("__row.*")
-    full = [
-        (F.col(n) if n in given else F.lit(None)).cast(known[n].dtype).alias(n) for n in current.columns
-    ]
-    batch = batch.select(*full)
+    batch = kept.select("__row.*").select(*_full_row(current, batch, ordinal))
     rows = current.join(keys, key, "left_anti").unionByName(batch)
     present = current.select(key).withColumn("__hit", F.lit(1))
     counts = (
@@ -126,15 +179,8 @@ def update_where(current: DataFrame, condition: Column | None, patch: Mapping[st
     return Change(_overlay(current, condition, patch), _count(current.filter(condition)))
 
 
-def update_batch(
-    current: DataFrame, patches: DataFrame, key: str, ordinal: str | None = None, strict: bool = True
-) -> Change:
-    """Overlay many patches, each with its own set of given (non-null) columns.
-
-    Several patches to one key apply in ``ordinal`` order, so per column the last given value wins;
-    without ``ordinal`` a repeated key raises. A null key raises, and so does a key that the table
-    lacks unless ``strict`` is off; that check is a job over the keys alone.
-    """
+def _patch(current: DataFrame, patches: DataFrame, key: str, ordinal: str | None) -> tuple[list[str], DataFrame]:
+    """(patched columns, one row per key with their last given values as ``__new_*``)."""
     given = [c for c in patches.columns if c not in (key, ordinal)]
     known = _known(current, [key, *given])
     patches = _with_key(patches, key)
@@ -147,7 +193,20 @@ def update_batch(
     if ordinal is None:
         grouped = grouped.filter(F.when(F.col("__n") == 1, True).otherwise(repeated.cast("boolean")))
     patch = grouped.select(key, *[F.col(c).alias(f"__new_{c}") for c in given])
+    return given, patch
+
+
+def update_batch(
+    current: DataFrame, patches: DataFrame, key: str, ordinal: str | None = None, strict: bool = True
+) -> Change:
+    """Overlay many patches, each with its own set of given (non-null) columns.
 
+    Several patches to one key apply in ``ordinal`` order, so per column the last given value wins;
+    without ``ordinal`` a repeated key raises. A null key raises, and so does a key that the table
+    lacks unless ``strict`` is off; that check is a job over the keys alone.
+    """
+    given, patch = _patch(current, patches, key, ordinal)
+    known = fields(current)
     present = current.select(key).withColumn("__hit", F.lit(1))
     counts = (
         patch.select(key)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("filters", "reading", "buckets", "children", "places", "fulltext", "changes", "rebuilding")
+MODULES = ("filters", "reading", "buckets", "children", "places", "fulltext", "changes", "rebuilding", "layouts")
 
 
 def registry() -> dict:

@@ -11,12 +11,12 @@ import datetime
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.errors import QueryError
-from quern.operators.writes import upsert
+from quern.operators.writes import counted, flagged_upsert, upsert
 from quern.sources.schema import conform
 
 VERSIONS = "versions"
@@ -68,12 +68,37 @@ def publish(spark: SparkSession, name: str, versions: Sequence[str]) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{VERSIONS}' = '{','.join(versions)}') AS {body}")
 
 
-def write_version(df: DataFrame, name: str) -> str:
+def write_version(df: DataFrame, name: str, key: str | None = None, buckets: int | None = None) -> str:
+    """Write a new version of ``name``, which is not published yet.
+
+    With a ``key`` the rows are dealt into ``buckets`` and sorted by it: reads by key then look into the buckets of
+    their keys, and joins by the key leave the table where it is.
+    """
     version = version_name(name)
-    df.write.format("parquet").saveAsTable(version)
+    if (key is None) != (buckets is None):
+        raise QueryError("a layout by key needs a key and a number of buckets")
+    if key is not None and buckets < 1:
+        raise QueryError("a table needs at least one bucket")
+    try:
+        if key is None:
+            df.write.format("parquet").saveAsTable(version)
+        else:
+            dealt = df.repartition(buckets, F.col(f"`{key}`"))
+            dealt.write.format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(version)
+    except Exception:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {version}")
+        raise
     return version
 
 
+def layout(spark: SparkSession, table: str) -> dict:
+    """The ``key`` and ``buckets`` of a version, to write the next one like it; empty where it has none."""
+    found = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    if "Num Buckets" not in found:
+        return {}
+    return {"key": found["Bucket Columns"].strip("[]`"), "buckets": int(found["Num Buckets"])}
+
+
 def copied(source: DataFrame, target: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Every source row upserted into the target's schema: (rows of the target, one-row report)."""
     change = upsert(target, conform(source, target.schema), key)
@@ -91,10 +116,11 @@ def reindex(spark: SparkSession, source: str, target: str, key: str) -> CopyRepo
         spark.table(source).write.format("parquet").saveAsTable(target)
         total = spark.table(target).count()
         return CopyReport(total, total, 0)
-    rows, report = copied(spark.table(source), spark.table(target), key)
-    old = versions_of(spark, target)
-    done = report.first()
-    version = write_version(rows, target)
+    current, old = spark.table(target), versions_of(spark, target)
+    seen = Observation()
+    flagged = flagged_upsert(current, conform(spark.table(source), current.schema), key).hint("rebalance")
+    version = write_version(counted(flagged, seen), target, **layout(spark, old[0] if old else target))
+    done = seen.get
     if old is None:
         spark.sql(f"DROP TABLE {target}")
         spark.sql(f"ALTER TABLE {version} RENAME TO {target}")
@@ -102,7 +128,7 @@ def reindex(spark: SparkSession, source: str, target: str, key: str) -> CopyRepo
         publish(spark, target, [version])
         for name in old:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return CopyReport(done["total"], done["created"], done["updated"], done["conflicts"])
+    return CopyReport(done["created"] + done["updated"], done["created"], done["updated"])
 
 
 def rebuild(spark: SparkSession, name: str, declared: T.StructType) -> Rebuilt:
@@ -115,15 +141,24 @@ def rebuild(spark: SparkSession, name: str, declared: T.StructType) -> Rebuilt:
     old = versions_of(spark, name) if exists else None
     if old is not None and len(old) > 1:
         raise QueryError(f"{name} reads several versions {old}; rebuild needs one")
-    rows = conform(spark.table(name), declared) if exists else spark.createDataFrame([], declared)
-    version = write_version(rows, name)
-    copied_rows = spark.table(version).count()
     if not exists:
+        version = write_version(spark.createDataFrame([], declared), name)
         publish(spark, name, [version])
         return Rebuilt(version, None, 0)
+    seen = Observation()
+    counted_rows = conform(spark.table(name), declared).observe(seen, F.count(F.lit(1)).alias("rows"))
+    version = write_version(counted_rows, name, **layout(spark, old[0] if old else name))
+    copied_rows = seen.get["rows"]
     if old is None:
-        spark.sql(f"DROP TABLE {name}")
-        publish(spark, name, [version])
+        # The table gives way only when the view that replaces it can be made.
+        aside = f"{version}_before"
+        spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+        try:
+            publish(spark, name, [version])
+        except Exception:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+            raise
+        spark.sql(f"DROP TABLE {aside}")
         return Rebuilt(version, name, copied_rows)
     publish(spark, name, [version])
     spark.sql(f"DROP TABLE {old[0]}")
