@@ -67,14 +67,14 @@ def parse_distance(text: str) -> float:
     return float(found.group(1)) * UNITS[unit]
 
 
-def _check(field: Field) -> None:
+def check_point(field: Field) -> None:
     if not field.is_geo:
         raise QueryError(f"{field.name} is not a point field")
 
 
 def distance(field: Field, origin: Point) -> Column:
     """Great-circle distance in metres (haversine)."""
-    _check(field)
+    check_point(field)
     lat, lon = field.col.getField("lat"), field.col.getField("lon")
     half_lat = F.radians(lat - F.lit(origin.lat)) / 2
     half_lon = F.radians(lon - F.lit(origin.lon)) / 2
@@ -90,7 +90,7 @@ def geo_distance(field: Field, radius: str, origin: Point) -> Column:
     A latitude/longitude box comes first: it is a plain comparison, so it reaches the scan and skips
     row groups; the exact distance then decides.
     """
-    _check(field)
+    check_point(field)
     metres = parse_distance(radius)
     lat, lon = field.col.getField("lat"), field.col.getField("lon")
     # Widened a little so that rounding can never drop a point on the boundary.

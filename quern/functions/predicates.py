@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import operator
+import re
 from collections.abc import Callable, Iterable, Mapping
 from typing import Any
 
@@ -201,12 +202,19 @@ def with_script(df: DataFrame, name: str, source: str, params: Mapping[str, Any]
 
     ``source`` refers to parameters as ``:p``; their values are bound by Spark, never pasted in.
     """
+    return _with_expression(df, name, source, params, T.BooleanType)
+
+
+def _not_blank(source: str) -> None:
     if not source or not source.strip():
         raise QueryError("script source is blank")
-    escaped = source.replace("{", "{{").replace("}", "}}")
-    quoted = "`" + name.replace("`", "``").replace("{", "{{").replace("}", "}}") + "`"
-    out = df.sparkSession.sql(f"SELECT *, ({escaped}\n) AS {quoted} FROM {{df}}", args=dict(params or {}), df=df)
-    if out.columns != [*df.columns, name] or not isinstance(out.schema[name].dataType, T.BooleanType):
+
+
+def _with_expression(df: DataFrame, name: str, source: str, params: Mapping[str, Any] | None, kind: type) -> DataFrame:
+    _not_blank(source)
+    escaped, column = (text.replace("{", "{{").replace("}", "}}") for text in (source, quoted(name)))
+    out = df.sparkSession.sql(f"SELECT *, ({escaped}\n) AS {column} FROM {{df}}", args=dict(params or {}), df=df)
+    if out.columns != [*df.columns, name] or not isinstance(out.schema[name].dataType, kind):
         raise QueryError("script source must be one condition")
     return out
 
@@ -216,6 +224,56 @@ def script(df: DataFrame, source: str, params: Mapping[str, Any] | None = None)
     return with_script(df, "__script", source, params).filter("__script").drop("__script")
 
 
+def with_nested_script(
+    df: DataFrame, name: str, field: Field, source: str, params: Mapping[str, Any] | None = None
+) -> DataFrame:
+    """Add as column ``name`` whether some single child of ``field`` meets the Spark SQL condition ``source``.
+
+    In ``source`` the names of the children's fields are those fields, also where the table has columns of these
+    names; ``<field>.<child field>`` works too, and other names are the table's columns. Without a child: false.
+    """
+    return with_script(df, name, _over_children(field, "exists", source), params)
+
+
+def nested_script(df: DataFrame, field: Field, source: str, params: Mapping[str, Any] | None = None) -> DataFrame:
+    """The rows with a child for which the Spark SQL condition ``source`` is true."""
+    return with_nested_script(df, "__script", field, source, params).filter("__script").drop("__script")
+
+
+def with_script_hits(
+    df: DataFrame, name: str, field: Field, source: str, size: int, params: Mapping[str, Any] | None = None
+) -> DataFrame:
+    """Add as column ``name`` the first ``size`` children that meet ``source``, as an array (empty where none does)."""
+    if size <= 0:
+        raise QueryError("the number of children must be positive")
+    children = f"coalesce(slice({_over_children(field, 'filter', source)}, 1, {int(size)}), array())"
+    return _with_expression(df, name, children, params, T.ArrayType)
+
+
+def _over_children(field: Field, function: str, source: str) -> str:
+    """``function`` (exists, filter) over the children with ``source`` as its condition.
+
+    Spark's own parser binds the names: the condition stands inside one lambda per child field, whose variable has the
+    field's name, and inner variables come before columns.
+    """
+    if not field.is_nested:
+        raise QueryError(f"{field.name} is not a nested field")
+    _not_blank(source)
+    child = quoted(field.name)
+    # Only fields whose name occurs in the text can be meant.
+    used = [n for n in field.dtype.elementType.fieldNames() if re.search(rf"(?<!\w){re.escape(n)}(?!\w)", source, re.IGNORECASE)]
+    inside = f"coalesce(({source}\n), false)"
+    # A child field with the name of the array itself goes innermost, where it hides nothing the others need.
+    for n in sorted(used, key=lambda n: n.lower() != field.name.lower()):
+        inside = f"element_at(transform(array({child}.{quoted(n)}), {quoted(n)} -> {inside}), 1)"
+    found = f"{function}({child}, {child} -> {inside})"
+    return f"coalesce({found}, false)" if function == "exists" else found
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def where(df: DataFrame, condition: Column | None) -> DataFrame:
     """Filter, with ``None`` keeping every row."""
     return df if condition is None else df.filter(condition)

@@ -72,6 +72,22 @@ def no_children(spark: SparkSession, directory: str) -> DataFrame:
     return docs.filter(P.is_null(fields(docs)["long_lines"])).select("doc_id", "lang")
 
 
+def scripted(spark: SparkSession, directory: str) -> DataFrame:
+    """Documents with a line whose length is beyond a share of its number, by a script whose names clash with columns."""
+    docs = documents(spark, directory).withColumns({"n_chars": F.lit(-1), "body": F.lit("none")})
+    source = "n_chars > :share * lines.line_no and body like concat(:start, '%') and lang <> 'de'"
+    return P.nested_script(docs, fields(docs)["lines"], source, {"share": 20, "start": "The"}).select("doc_id", "lang")
+
+
+def scripted_hits(spark: SparkSession, directory: str) -> DataFrame:
+    """The first two lines per document that a script picks."""
+    docs = documents(spark, directory)
+    found = P.with_script_hits(docs, "hits", fields(docs)["lines"], "pmod(n_chars, line_no + :n) = 0", 2, {"n": 3})
+    return found.select("doc_id", F.explode("hits").alias("hit")).select(
+        "doc_id", F.col("hit.line_no").cast("bigint").alias("line_no"), "hit.n_chars"
+    )
+
+
 def inner_hits(spark: SparkSession, directory: str) -> DataFrame:
     """English documents with their first three short lines that hold "tion"."""
     docs = documents(spark, directory)
@@ -142,6 +158,16 @@ def longest_lines(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES = {
+    "P13_nested_script": (
+        scripted,
+        LINES + "SELECT DISTINCT doc_id, lang FROM lines WHERE length(body) > 20 * line_no AND starts_with(body, 'The') AND lang <> 'de'",
+    ),
+    "P13_RD10_script_hits": (
+        scripted_hits,
+        LINES
+        + """SELECT doc_id, line_no, length(body) AS n_chars FROM lines WHERE length(body) % (line_no + 3) = 0
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY line_no) <= 2""",
+    ),
     "P11_nested_same_child": (
         same_child,
         LINES

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quern.functions import geo
 from quern.functions import predicates as P
 from quern.functions.fields import fields
+from quern.operators.nearest import cell_counts, select_nearest
 from quern.operators.reads import search
 from quern.operators.sorting import by_distance
 from quern.plans.tables import table
@@ -67,6 +68,22 @@ def nearest(spark: SparkSession, directory: str) -> DataFrame:
     return found.select("c_custkey", "c_name")
 
 
+def nearest_by_cells(stored: bool):
+    """The same from a box that counts per cell bound, taken now or in two batches before."""
+
+    def query(spark: SparkSession, directory: str) -> DataFrame:
+        c = customers(spark, directory)
+        f = fields(c)
+        rich = P.gt(f["c_acctbal"], 0.0)
+        batches = [cell_counts(c, f["place"], rich & (F.col("c_custkey") % 2 == n)) for n in (0, 1)]
+        found = select_nearest(
+            c, f["place"], geo.Point(39.9, 116.4), 50, f["c_custkey"], rich, batches[0].union(batches[1]) if stored else None
+        )
+        return found.select("c_custkey", "c_name")
+
+    return query
+
+
 def farthest_in_reach(spark: SparkSession, directory: str) -> DataFrame:
     c = customers(spark, directory)
     f = fields(c)
@@ -76,7 +93,11 @@ def farthest_in_reach(spark: SparkSession, directory: str) -> DataFrame:
     return found.select("c_custkey", "c_name")
 
 
+NEAREST = PLACED + f"SELECT c_custkey, c_name FROM placed WHERE c_acctbal > 0 ORDER BY {metres(39.9, 116.4)}, c_custkey LIMIT 50"
+
 QUERIES = {
+    "SRT2_nearest_by_cells": (nearest_by_cells(False), NEAREST),
+    "SRT2_nearest_by_stored_cells": (nearest_by_cells(True), NEAREST),
     "GEO1_distance": (
         distances,
         PLACED + f"SELECT c_custkey, round({metres(22.54, 114.06)}, 1) AS metres FROM placed",
