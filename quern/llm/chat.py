@@ -6,10 +6,9 @@ text lies in its span, by rendering the same prefix with two probe texts and com
 whose output for a longer prefix does not begin with its output for the shorter one rewrites history; the
 turn at which that shows is reported, and no spans are given from there on.
 
-How it runs. Rows are dealt by conversation and sorted inside the partition by Spark, which spills; a task
-then walks over them and holds only the last ``window`` turns, so that a conversation of any length needs the
-same memory. When a window is full, a new one starts with its last turn; both must give the same span for
-the turn after it, else the template needs more context than the window and the job raises.
+How it runs. Rows are dealt by conversation and sorted inside the partition by Spark, which spills; a task then walks
+over them. It holds the turns a template can look back on: all of a conversation's where the template declares nothing,
+none for the built-in template, so that with it a conversation of any length needs the same memory.
 
 Defined results:
 - A null role or text is empty. Turns are ordered by turn number (nulls last), then role, then text;
@@ -64,6 +63,9 @@ def marked(turns: list[Turn]) -> str:
     return "".join(f"{OPEN}{escape(role, ROLE_ESCAPES)}{MIDDLE}{escape(text)}{CLOSE}" for role, text in turns)
 
 
+marked.looks_back = 0
+
+
 def parse(formatted: str) -> list[Turn]:
     """The turns of an output of :func:`marked`."""
     turns = []
@@ -78,10 +80,14 @@ def _common(a: str, b: str) -> int:
 
 
 class Renderer:
-    """Locates the turns of one conversation after the other, one turn at a time."""
+    """Locates the turns of one conversation after the other, one turn at a time.
 
-    def __init__(self, template: Template, window: int):
-        self.template, self.window = template, window
+    ``looks_back``: how many turns before a turn the template's output for it depends on; None: all of them. Then every
+    prefix is rendered whole, and the places of texts are probed for every turn.
+    """
+
+    def __init__(self, template: Template, looks_back: int | None):
+        self.template, self.looks_back = template, looks_back
         self.edges: dict[tuple[str, bool], tuple[str, str]] = {}
         self.begin()
 
@@ -93,20 +99,20 @@ class Renderer:
     def _edges(self, role: str) -> tuple[str, str]:
         """What the template puts before and after a text in this place."""
         place = (role, self.count == 0)
-        if place not in self.edges:
+        if self.looks_back != 0 or place not in self.edges:
             one, other = (self.template([*self.turns, (role, probe)])[len(self.before) :] for probe in ("a", "b"))
-            self.edges[place] = one[: _common(one, other)], one[len(one) - _common(one[::-1], other[::-1]) :]
-            if len(self.edges) > 10_000:  # roles are few; a table where they are not gets no cache
-                return self.edges.pop(place)
+            edges = one[: _common(one, other)], one[len(one) - _common(one[::-1], other[::-1]) :]
+            if self.looks_back != 0 or len(self.edges) > 10_000:  # roles are few; where they are not, none is kept
+                return edges
+            self.edges[place] = edges
         return self.edges[place]
 
     def add(self, turn: Turn) -> tuple[str | None, int | None, int | None, int | None, int | None, bool]:
         """The turn's part of the output, its start and end there, its text's start and end, and whether history changed."""
         after = self.template([*self.turns, turn])
         if self.rewrites or not after.startswith(self.before):
-            self.rewrites = True
-            self.turns, self.count = [*self.turns, turn][-self.window :], self.count + 1
-            self.before = after
+            # Nothing has a place any more in an output that changes behind one's back.
+            self.rewrites, self.count = True, self.count + 1
             return None, None, None, None, None, True
         piece = after[len(self.before) :]
         head, tail = self._edges(turn[0])
@@ -114,14 +120,11 @@ class Renderer:
         text_start = text_end = None
         if piece.startswith(head) and piece.endswith(tail) and len(piece) >= len(head) + len(tail):
             text_start, text_end = start + len(head), start + len(piece) - len(tail)
-        if len(self.turns) >= self.window:
-            last = self.template(self.turns[-1:])
-            again = self.template([self.turns[-1], turn])
-            if not again.startswith(last) or again[len(last) :] != piece:
-                raise ValueError(f"the template needs more than {self.window} turns of context")
-            self.turns, after = self.turns[-1:], again
         self.turns.append(turn)
         self.before, self.count, self.at = after, self.count + 1, start + len(piece)
+        if self.looks_back is not None and len(self.turns) > self.looks_back:
+            self.turns = self.turns[len(self.turns) - self.looks_back :]
+            self.before = self.template(self.turns) if self.turns else ""
         return piece, start, self.at, text_start, text_end, False
 
 
@@ -138,10 +141,16 @@ def format_turns(
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
-    window: int = 16,
+    looks_back: int | None = None,
 ) -> DataFrame:
     """One row per turn: its place in the conversation's output and the place of its text there, in code points.
 
+    ``template`` is any function from turns to text. Unless it says otherwise, every prefix of a conversation is rendered
+    whole and compared with the one before, so that a template that changes what it wrote is found out at
+    whatever turn that happens, at a cost that grows with the square of the number of turns. ``looks_back``, given here
+    or as an attribute of the template, declares that its output for a turn depends on so many turns before it only and
+    that it never rewrites; then so many are rendered per turn.
+
     The rows of a conversation come one after the other in the order of its turns. The output of a
     conversation is the concatenation of its ``formatted`` pieces.
     """
@@ -156,7 +165,8 @@ def format_turns(
     )
 
     def run(batches: Iterator[list]) -> Iterator[list]:
-        renderer, current = Renderer(template, window), None
+        back = looks_back if looks_back is not None else getattr(template, "looks_back", None)
+        renderer, current = Renderer(template, back), None
         for columns in batches:
             ids, roles, texts = (c.to_pylist() for c in columns)
             rows = []

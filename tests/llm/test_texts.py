@@ -265,5 +265,37 @@ def test_templates_that_rewrite_or_look_back(spark):
         return "".join(f"{i}{t}\n" for i, (_, t) in enumerate(given))
 
     assert all(not t["rewrites"] for t in chat.format_turns(turns(spark, rows), template=numbered).collect())
-    with pytest.raises(Exception, match="more than 4 turns of context"):
-        chat.format_turns(turns(spark, rows), template=numbered, window=4).collect()
+
+
+def long_conversation():
+    return [(1, n, ("user", "assistant")[n % 2], f"text {n} <{n % 5}>") for n in range(60)]
+
+
+def test_a_rewrite_is_found_at_any_turn(spark):
+    """A template that keeps the last 32 turns changes what it wrote at the 33rd."""
+
+    def forgetful(given):
+        return "".join(f"[{role}] {text}\n" for role, text in given[-32:])
+
+    told = chat.format_turns(turns(spark, long_conversation()), template=forgetful).orderBy("turn_number").collect()
+    assert [t["rewrites"] for t in told] == [False] * 32 + [True] * 28
+    assert all(t["formatted"] is None and t["text_start"] is None for t in told[32:])
+
+
+@pytest.mark.parametrize("looks_back", [None, 0, 2])
+def test_turns_of_long_conversations_are_located(spark, looks_back):
+    """By whole prefixes with numbered turns, and with templates that declare how far they look back."""
+
+    def numbered(given):
+        return "<s>" + "".join(f"{n}. {role}: {text}\n" for n, (role, text) in enumerate(given))
+
+    def answering(given):
+        return "".join(f"{role} after {given[n - 1][0] if n and looks_back else ''}: {text}\n" for n, (role, text) in enumerate(given))
+
+    template = numbered if looks_back is None else answering
+    rows = long_conversation()
+    told = chat.format_turns(turns(spark, rows), template=template, looks_back=looks_back).orderBy("turn_number").collect()
+    full = template([(role, text) for _, _, role, text in rows])
+    assert "".join(t["formatted"] for t in told) == full
+    assert [full[t["text_start"] : t["text_end"]] for t in told] == [text for *_, text in rows]
+    assert not any(t["rewrites"] for t in told)
