@@ -4,11 +4,13 @@ Every page is parsed into blocks of text and the containers around them. Contain
 they hold that is no link and no boilerplate; each page votes, with these scores, for the generalised path of
 its containers (tags and classes from the root, digits replaced), and Spark sums the votes per host and path.
 Each page is then read again and its text taken from the containers on its host's winning path; a page that
-has none takes its own best container.
+has none takes its own best container. A container that holds most of what is around it, below the body, gives way to
+what is around it: a title and a lead beside the body of an article, or its other parts.
 
 Boilerplate is left out at any depth: navigation, page headers, footers, asides, forms, scripts, styles, hidden
-elements, and elements whose class, id or role names a menu, sidebar, notice, advert or reader comment.
-A container inside an ``article`` stands for that article.
+elements, and elements whose class, id or role names a menu, sidebar, notice, advert or reader comment. A name after
+"has", "no", "with" or "without" says nothing. On a page without an ``article`` or ``main`` part, an element that is only
+named like a sidebar, widget or similar and holds most of the text outside links is none. A container inside an ``article`` stands for it.
 
 How it runs. Two reads of the pages in Python tasks; between them only (host, path, score) rows move, summed
 before the shuffle, so that a host with a third of all pages is no hot group. The table of winners has one row
@@ -28,6 +30,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +40,7 @@ from quern.llm.common import map_columns, whole, written
 
 # Names of elements, by what they mean for the text.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noembed", "noframes"}
-DROPPED = RAW | {"nav", "footer", "aside", "form", "head", "svg", "math", "object", "select", "button", "dialog", "menu"}
+DROPPED = RAW | {"nav", "footer", "aside", "form", "head", "svg", "object", "select", "button", "dialog", "menu"}
 CONTAINERS = {"html", "body", "main", "article", "section", "div", "td", "blockquote", "details", "center"}
 BREAKS = CONTAINERS | DROPPED | {
     "address", "caption", "dd", "dl", "dt", "fieldset", "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6",
@@ -46,12 +49,18 @@ BREAKS = CONTAINERS | DROPPED | {
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 # Words that begin a part of a class, id or role of boilerplate.
 BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adv|advert\w*|adsense|adbox|banner\w*|breadcrumbs?|comments?|comment-?\w*|commentlist|complementary"
+    r"(?:^|[\s_-])(?<!\bhas[_-])(?<!\bno[_-])(?<!\bwith[_-])(?<!\bwithout[_-])(?:ads?|adv|advert\w*|adsense|adbox|banner\w*|breadcrumbs?|comments?|comment-?\w*|commentlist|complementary"
     r"|consent|contentinfo|cookies?|cookie\w*|discussion|disqus\w*|gdpr|menu\w*|modal|nav|navbar|navigation|newsletter"
     r"|notice\w*|notification\w*|outbrain|overlay|pagination|pager|popup|promo\w*|recommend\w*|related\w*|replies|reply"
     r"|respond|search|share|sharing|shares|sidebar\w*|signup|skip|social\w*|sponsor\w*|subscribe|subscription|taboola"
     r"|teasers?|toolbar|trackbacks?|widget\w*|alert)(?=$|[\s_-])"
 )
+# Of those, what is never the article, however much of it there is.
+NEVER = re.compile(
+    r"(?:^|[\s_-])(?<!\bhas[_-])(?<!\bno[_-])(?<!\bwith[_-])(?<!\bwithout[_-])(?:comments?|comment-?\w*|commentlist|discussion"
+    r"|disqus\w*|replies|reply|respond|trackbacks?|ads?|adv|advert\w*|adsense|adbox|sponsor\w*|promo\w*|outbrain|taboola|nav"
+    r"|navbar|navigation|menu\w*|breadcrumbs?|pagination|pager|cookies?|cookie\w*|consent|gdpr|notice\w*|newsletter|popup)(?=$|[\s_-])"
+)
 # These only where nothing beside them says that the element belongs to the article.
 OUTER = re.compile(r"(?:^|[\s_-])(?:header|footer|masthead|copyright|legal)(?=$|[\s_-])")
 INNER = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|content|body|main)(?=$|[\s_-])")
@@ -74,28 +83,53 @@ class Page:
     blocks: list[tuple[str, int, int]]
 
 
-def _boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+NO, NAMED, YES = 0, 1, 2  # boilerplate: not, by its name only, for sure
+
+
+def _boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> int:
     if tag in DROPPED or (tag == "header" and not in_article):
-        return True
+        return YES
     if not attributes:
-        return False
+        return NO
     if "hidden" in attributes or attributes.get("aria-hidden") == "true":
-        return True
+        return YES
     if "none" in attributes.get("style", "") and re.search(r"display\s*:\s*none", attributes["style"]):
-        return True
+        return YES
     if tag in ("html", "body", "article", "main"):
-        return tag == "article" and bool(re.search(r"comment", attributes.get("class", "")))
+        return YES if tag == "article" and re.search(r"comment", attributes.get("class", "")) else NO
+    found = NO
     for name in ("class", "id", "role"):
         value = attributes.get(name)
         if value and (BOILERPLATE.search(value) or (OUTER.search(value) and not INNER.search(value))):
-            return True
-    return False
+            if NEVER.search(value):
+                return YES
+            found = NAMED
+    return found
 
 
 def parse(page: str) -> Page:
+    """The page's containers and blocks; elements that hold most of its text are kept whatever they are named."""
+    out, named, around = _parse(page, frozenset())
+    if not named:
+        return out
+    if any(out.containers[c][2] >= 0 or ">main" in out.containers[c][1] for _, c, _ in out.blocks):
+        return out  # the page says itself where its text is
+    total = sum(named.values()) + sum(max(0, len(b) - links) for b, _, links in out.blocks)
+    for place in sorted(around, reverse=True):  # inner elements begin later
+        named[around[place]] += named[place]
+    spared = frozenset(place for place, amount in named.items() if 2 * amount > total)
+    return _parse(page, spared)[0] if spared else out
+
+
+def _parse(page: str, spared: frozenset[int]) -> tuple[Page, dict[int, int], dict[int, int]]:
+    """What ``parse`` gives with these elements kept, and of the others that are boilerplate by name only, by place:
+    characters outside links that lie in no such element inside, and the place of the one around."""
     out = Page([(-1, "", -1)], [])
-    # Open elements: tag, container, whether text is dropped. The first stands for the page and is never closed.
-    stack: list[tuple[str, int, bool]] = [("", 0, False)]
+    named: dict[int, int] = {}
+    around: dict[int, int] = {}
+    # Open elements: tag, container, whether text is dropped, and the place of the named element that drops it, or -1.
+    # The first stands for the page and is never closed.
+    stack: list[tuple[str, int, bool, int]] = [("", 0, False, -1)]
     text: list[str] = []
     links = depth = 0  # link characters of the block, open links
 
@@ -116,6 +150,8 @@ def parse(page: str) -> Page:
             text.append(piece)
             if depth:
                 links += len(piece)
+        elif piece and stack[-1][3] >= 0 and not depth:
+            named[stack[-1][3]] += len(piece.strip())
         if not match:
             break
         at = match.end()
@@ -150,10 +186,19 @@ def parse(page: str) -> Page:
         if rest and _TELLING.search(rest):
             for name, *values in _ATTRIBUTE.findall(rest):
                 attributes.setdefault(name.lower(), next(filter(None, values), "").lower())
-        _, container, dropped = stack[-1]
+        _, container, dropped, by_name = stack[-1]
         article = out.containers[container][2]
-        drop = dropped or _boilerplate(tag, attributes, article >= 0)
-        if tag in CONTAINERS or (drop and not dropped) or tag in ("header", "table", "ul", "ol", "dl") or tag in DROPPED:
+        drop = dropped
+        if not dropped or by_name >= 0:
+            kind = _boilerplate(tag, attributes, article >= 0)
+            if kind == YES:
+                drop, by_name = True, -1
+            elif kind == NAMED and match.start() not in spared:
+                if by_name >= 0:
+                    around[match.start()] = by_name
+                drop, by_name = True, match.start()
+                named[by_name] = 0
+        if tag in CONTAINERS or (drop, by_name) != (dropped, stack[-1][3]) or tag in ("header", "table", "ul", "ol", "dl") or tag in DROPPED:
             if tag == "li" and stack[-1][0] == "li":
                 stack.pop()
             if tag in CONTAINERS and not drop:
@@ -164,9 +209,9 @@ def parse(page: str) -> Page:
                 container = len(out.containers)
                 inside = article if article >= 0 else container if tag == "article" else -1
                 out.containers.append((stack[-1][1], path, inside))
-            stack.append((tag, container, drop))
+            stack.append((tag, container, drop, by_name))
     end_block()
-    return out
+    return out, named, around
 
 
 def scores(page: Page) -> dict[int, int]:
@@ -186,6 +231,58 @@ def scores(page: Page) -> dict[int, int]:
     return total
 
 
+def _own_text(page: Page) -> list[int]:
+    """Per container: characters outside links of the blocks that lie directly in it."""
+    own = [0] * len(page.containers)
+    for block, container, links in page.blocks:
+        own[container] += max(0, len(block) - links)
+    return own
+
+
+def _around(page: Page, chosen: set[int]) -> set[int]:
+    """Containers of whose text the chosen ones hold most, in place of those.
+
+    Only from inside the body, not out of an article or main part, and only where what comes with it is text that lies
+    beside the container or in other containers of some length, and not in links.
+    """
+    own = _own_text(page)
+    below, links = own[:], [0] * len(own)
+    children: list[list[int]] = [[] for _ in own]
+    for _, container, linked in page.blocks:
+        links[container] += linked
+    for i in range(len(own) - 1, 0, -1):  # parents come first
+        parent = page.containers[i][0]
+        below[parent] += below[i]
+        links[parent] += links[i]
+        children[parent].append(i)
+
+    @cache
+    def gives_way(parent: int, at: int) -> bool:
+        """Whether the parent stands in for ``at`` (-1: for those chosen of its children)."""
+        mine = [i for i in children[parent] if i == at or i in chosen]
+        others = [below[i] for i in children[parent] if i != at and i not in chosen]
+        held = sum(below[i] for i in mine)
+        more, linked = below[parent] - held, links[parent] - sum(links[i] for i in mine)
+        long = sum(n for n in others if 10 * n >= held)
+        return more <= held and 5 * (own[parent] + long) >= 4 * more and 3 * linked <= more
+
+    out = set()
+    for at in chosen:
+        while True:
+            parent, path, _ = page.containers[at]
+            if parent <= 0 or _tag_of(path) in ("article", "main") or _tag_of(page.containers[parent][1]) in ("body", "html", ""):
+                break
+            if not gives_way(parent, -1 if at in chosen else at):
+                break
+            at = parent
+        out.add(at)
+    return out
+
+
+def _tag_of(path: str) -> str:
+    return path.rpartition(">")[2].partition(".")[0]
+
+
 def extract(page: Page, path: str | None) -> str:
     """The blocks inside the containers on this path, or inside the page's best container where it has none."""
     chosen = {i for i, (_, own, _) in enumerate(page.containers) if i and own == path}
@@ -194,6 +291,7 @@ def extract(page: Page, path: str | None) -> str:
         if not found:
             return ""
         chosen = {min(found, key=lambda i: (-found[i], i))}
+    chosen = _around(page, chosen)
     inside = [False] * len(page.containers)
     for i, (parent, _, _) in enumerate(page.containers):  # parents come first
         inside[i] = i in chosen or (parent >= 0 and inside[parent])

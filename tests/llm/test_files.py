@@ -268,6 +268,40 @@ def test_extraction(page):
     assert host_paths.extract(host_paths.parse(page), None) == WANT
 
 
+LONG = "".join(f"<p>Sentence number {i} of the article goes on for some while here.</p>" for i in range(12))
+LONG_TEXT = "\n".join(f"Sentence number {i} of the article goes on for some while here." for i in range(12))
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["site-content has-sidebar", "content no-sidebar", "elementor-widget-text-editor", "elementor-widget-container", "entry no-comments", "wrapper with-sidebar", "widget"],
+)
+def test_wrappers_named_like_boilerplate_keep_their_article(name):
+    page = f"<html><body><nav>menu</nav><div class='{name}'>{LONG}</div><div class='sidebar widget'><p>side</p></div><div class=comments><p>I</p></div></body></html>"
+    assert host_paths.extract(host_paths.parse(page), None) == LONG_TEXT
+
+
+def test_boilerplate_inside_such_wrappers_still_goes():
+    inside = f"<div class='widget box'><div class='sidebar box'><p>no</p></div>{LONG}<div class=comments>{LONG}{LONG}</div></div>"
+    assert host_paths.extract(host_paths.parse(f"<body>{inside}<div class=ad>buy</div></body>"), None) == LONG_TEXT
+    assert host_paths.extract(host_paths.parse("<body>" + "<div class=sidebar>" * 2000 + LONG), None) == LONG_TEXT
+
+
+def test_parts_around_the_best_container_belong_to_it():
+    lead = f"<body><main><h1>Title</h1><p>Lead.</p><div class=body>{LONG}</div></main><div class=promo>x</div></body>"
+    assert host_paths.extract(host_paths.parse(lead), None) == "Title\nLead.\n" + LONG_TEXT
+    parts = f"<body><div id=all><div class=one>{LONG}</div><div class=two>{LONG[:400]}</p></div><div class=three>{LONG[:300]}</p></div></div></body>"
+    whole = host_paths.extract(host_paths.parse(parts), None)
+    assert whole.startswith(LONG_TEXT) and whole.count("Sentence number 0") == 3
+    # A short article stays one beside a longer advert.
+    short = f"<body><div class=ad>{LONG}</div><div class=sidebar>{LONG}</div><article><p>Short.</p></article></body>"
+    assert host_paths.extract(host_paths.parse(short), None) == "Short."
+    # Links beside a container, and what lies directly in the body, are no parts of it.
+    links = f"<body><div><div class=text>{LONG}</div><div><a>{'more ' * 60}</a></div></div><div>site</div></body>"
+    assert host_paths.extract(host_paths.parse(links), None) == LONG_TEXT
+    assert host_paths.extract(host_paths.parse("<article><p>Let <math><mi>x</mi><mo>+</mo><mn>1</mn></math> be.</p></article>"), None) == "Let x+1 be."
+
+
 def test_extraction_of_odd_pages(spark):
     rows = [(1, "http://h/1", None), (2, None, ""), (3, "http://h/3", "just text < 3 &lt;"), (4, "http://h/4", "<div>" * 3000 + "deep"),
             (5, "http://h/5", "<p>" + "long text " * 50_000), (5, "http://h/5", "<a <b <"), (None, "x", "<body><p>one</p><script>no")]
