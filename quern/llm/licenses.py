@@ -14,9 +14,9 @@ template terms, whose size is fixed, and summed per unit before anything is shuf
 directory with a third of all files is one row until the last join; that one is against a written table.
 
 Defined results:
-- A null text is empty and has no licence. A null path is in no directory and inherits nothing.
+- A null text is empty and has no licence. A null path is in no directory: such a file has its own licence only.
 - Ties: the higher score, then the licence that sorts first; of several licence files in a directory, the one
-  with the best score, then the licence that sorts first. Rows that repeat a path share the best licence found in any.
+  with the best score, then the licence that sorts first. Rows that repeat a key and a path share the best licence found in any.
 - An empty table gives an empty result. Other columns are never read, whatever their names.
 """
 
@@ -257,18 +257,24 @@ def unit_licenses(
     text: str = "text",
     templates: tuple[tuple[str, str], ...] = TEMPLATES,
     threshold: float = THRESHOLD,
+    key: str | None = None,
 ) -> DataFrame:
-    """place (the path), unit, name, score: the best template of every unit that reaches the threshold."""
+    """place (the path), unit, name, score: the best template of every unit that reaches the threshold.
+
+    With a ``key`` also its value, as the first column."""
     spark, weights = files.sparkSession, Weights(templates)
     held = r"(?i)(?<![a-z0-9])(?:" + "|".join(map(re.escape, weights.anchors(threshold))) + r")(?![a-z])"
+    of = [] if key is None else [F.col(key).alias("k")]
+    kept = ["row", *(["k"] if of else []), "place", "unit"]
     units = (
-        files.select(F.monotonically_increasing_id().alias("row"), F.col(path).alias("place"), whole(text).alias("t"))
+        files.select(
+            F.monotonically_increasing_id().alias("row"), *of, F.col(path).alias("place"), whole(text).alias("t")
+        )
         .where(F.col("t").rlike(held))
-        .select("row", "place", F.posexplode(_units(F.col("t"))).alias("unit", "line"))
+        .select(*kept[:-1], F.posexplode(_units(F.col("t"))).alias("unit", "line"))
         .where(F.col("line").rlike(held))
     )
     # Exploded from one element each: the optimizer would put the whole array's expression into every step of the next.
-    kept = ["row", "place", "unit"]
     terms = F.expr(f"array_sort(regexp_extract_all(lower(line), r'({TERM})', 1))")
     units = units.select(*kept, F.explode(F.array(terms)).alias("all")).where(F.size("all") > 0)
     # Where the runs of equal terms end in the sorted array; a term's count is the distance to the end before.
@@ -308,7 +314,7 @@ def unit_licenses(
     # All terms of a unit are in one task, so that one row per unit is shuffled.
     summed = (
         counted.join(F.broadcast(table), F.col("term") == F.col("known"))
-        .groupBy("row", "place", "unit")
+        .groupBy(*kept)
         .agg(
             F.sqrt(F.max("rest") + F.sum(weight * weight)).alias("norm"),
             *[F.sum(weight * F.col(f"w{i}")).alias(f"d{i}") for i in width],
@@ -320,7 +326,7 @@ def unit_licenses(
         for i, name in enumerate(weights.names)
     ]
     best = F.least(*scored)
-    return summed.select("place", "unit", best["name"].alias("name"), (-best["least"]).alias("score")).where(
+    return summed.select(*kept[1:], best["name"].alias("name"), (-best["least"]).alias("score")).where(
         F.col("score") >= threshold
     )
 
@@ -339,17 +345,17 @@ def scan(
     ``origin``: ``header`` or ``file`` for a licence of its own, ``inherited`` from directory ``licensed_by``, or null.
     """
     own = (
-        unit_licenses(files, path, text, templates, threshold)
-        .groupBy(F.col("place").alias("own_path"))
+        unit_licenses(files, path, text, templates, threshold, key)
+        .groupBy(F.col("k").alias("own_key"), F.col("place").alias("own_path"))
         .agg(F.min(F.struct((-F.col("score")).alias("least"), "name")).alias("best"))
-        .select("own_path", F.col("best.name").alias("own_license"), (-F.col("best.least")).alias("own_score"))
+        .select("own_key", "own_path", F.col("best.name").alias("own_license"), (-F.col("best.least")).alias("own_score"))
     )
     own = written(own, "license-own")
     directory = F.regexp_replace("place", r"/?[^/]*$", "")
     told = (
         files.select(F.col(key).alias("k"), F.col(path).alias("place"))
-        .join(own, F.col("place") == F.col("own_path"), "left")
-        .drop("own_path")
+        .join(own, F.col("k").eqNullSafe(F.col("own_key")) & F.col("place").eqNullSafe(F.col("own_path")), "left")
+        .drop("own_key", "own_path")
         .withColumn("directory", directory)
         .withColumn("names_directory", F.regexp_extract("place", r"([^/]*)$", 1).rlike(license_file))
     )

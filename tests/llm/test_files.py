@@ -111,7 +111,7 @@ def test_licence_inheritance(spark):
         4: ("Apache-2.0", "inherited", "p/a"),
         5: ("Apache-2.0", "header", None),
         6: (None, None, None),
-        7: (None, None, None),
+        7: ("MIT", "header", None),
         8: (None, None, None),
         9: (None, None, None),
         10: ("Apache-2.0", "inherited", "p/a"),
