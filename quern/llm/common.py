@@ -102,44 +102,36 @@ def may_contain(df: DataFrame, column: str, among: DataFrame, bits: int = 1 << 2
     return with_bit(df, [F.col(column)], bitmaps, bits, "_bit_set").where("_bit_set").drop("_bit_set")
 
 
-def without(df: DataFrame, column: str, dropped: DataFrame, bits: int = 1 << 25) -> DataFrame:
-    """Rows of ``df`` whose value is not in ``dropped`` (one column); nulls equal nulls.
-
-    Only rows whose value may be among the dropped ones are joined; the others stay where they are.
-    """
-    flagged = with_bit(df, [F.col(column)], bitmap(dropped, [F.col(dropped.columns[0])], bits), bits, "_bit_set")
-    gone = dropped.select(F.col(dropped.columns[0]).alias("_dropped"))
-    asked = flagged.where("_bit_set").join(gone, F.col(column).eqNullSafe(F.col("_dropped")), "left_anti")
-    return flagged.where("not _bit_set").union(asked).drop("_bit_set")
-
-
 def one_row_each(
     df: DataFrame,
+    text: str,
     value: Column,
     told: DataFrame,
     with_digest: Callable[[DataFrame], DataFrame],
-    first: list[Column],
     bits: int = 1 << 25,
 ) -> DataFrame:
-    """``df`` without rows that ``told`` (value, digest, stays) says go; of several rows of one pair that stays, the first.
+    """``df`` without rows that ``told`` (value, digest, stays) says go; of several rows of one pair that stays, the one
+    with the longest ``text``.
 
-    Rows are told apart by their value and the digest that ``with_digest`` adds as ``_digest``; nulls equal nulls.
-    Only rows whose value may be in question get a digest and are joined; the others stay where they are.
+    Rows are told apart by their value and the digest that ``with_digest`` adds as ``_digest`` to rows packed into
+    ``_row``, so that columns of ``df`` may have any names; nulls equal nulls. Only rows whose value may be in question
+    get a digest and are joined; the others stay where they are.
     """
+    packed = df.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias("_row"), value.alias("_key"))
     gone = told.where("not stays").select(F.col("value").alias("_value"), F.col("digest").alias("_of"))
     repeats = written(
         told.where("stays").groupBy("value", "digest").agg(F.count("*").alias("rows")).where("rows > 1").select("value", "digest"),
         "rows-repeated",
     ).select(F.col("value").alias("_value"), F.col("digest").alias("_of"))
     asked_for = gone.union(repeats).select("_value")
-    flagged = with_bit(df, [value], bitmap(asked_for, [F.col("_value")], bits), bits, "_bit_set")
-    same = value.eqNullSafe(F.col("_value")) & (F.col("_digest") == F.col("_of"))
-    asked = with_digest(flagged.where("_bit_set").drop("_bit_set"))
-    left = asked.join(gone.union(repeats), same, "left_anti").drop("_digest")
-    left = flagged.where("not _bit_set").drop("_bit_set").union(left)
-    if repeats.isEmpty():
-        return left
-    ranked = asked.join(repeats, same).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_value", "_of").orderBy(*first))
-    )
-    return left.union(ranked.where("_rank = 1").drop("_rank", "_value", "_of", "_digest"))
+    flagged = with_bit(packed, [F.col("_key")], bitmap(asked_for, [F.col("_value")], bits), bits, "_bit_set")
+    same = F.col("_key").eqNullSafe(F.col("_value")) & (F.col("_digest") == F.col("_of"))
+    asked = with_digest(flagged.where("_bit_set").select("_row", "_key"))
+    left = asked.join(gone.union(repeats), same, "left_anti").select("_row")
+    left = flagged.where("not _bit_set").select("_row").union(left)
+    if not repeats.isEmpty():
+        held = F.col("_row")[text]
+        first = Window.partitionBy("_value", "_of").orderBy(F.length(whole(held)).desc(), F.xxhash64(held))
+        ranked = asked.join(repeats, same).withColumn("_rank", F.row_number().over(first))
+        left = left.union(ranked.where("_rank = 1").select("_row"))
+    return left.select("_row.*")

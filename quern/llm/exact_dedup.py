@@ -86,6 +86,5 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         copies.select(F.col(key).alias("value"), F.col("text_sha256").alias("digest"), F.col("kept").alias("stays")),
         "exact-told",
     )
-    digest = F.sha2(without_blanks(whole(text)).cast("binary"), 256)
-    first = [F.length(whole(text)).desc(), F.xxhash64(text)]
-    return one_row_each(docs, F.col(key), told, lambda rows: rows.withColumn("_digest", digest), first)
+    digest = F.sha2(without_blanks(whole(F.col("_row")[text])).cast("binary"), 256)
+    return one_row_each(docs, text, F.col(key), told, lambda rows: rows.withColumn("_digest", digest))

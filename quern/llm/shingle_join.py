@@ -169,13 +169,16 @@ def _add_up(batches: Iterator[list]) -> Iterator[list]:
 
 def _levels(counted: DataFrame) -> np.ndarray:
     """Size classes by counter: 0 for what chance makes of single shingles, then one more for every doubling."""
-    totals = np.zeros(COUNTERS, np.float64)
-    for row in counted.collect():  # COUNTERS / CHUNK rows, 32 MB together
+    totals = np.zeros(COUNTERS, np.uint32)
+    for row in counted.toLocalIterator():  # COUNTERS / CHUNK rows, one after the other
         totals[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["counts"], "<u4")
     # The median is what a counter holds that no common shingle falls on; six deviations are beyond chance.
-    usual = np.median(totals)
-    extra = (totals - usual) / (6 * np.sqrt(usual) + 4)
-    return np.where(extra < 1, 0, np.floor(np.log2(np.maximum(extra, 1))) + 1).astype(np.uint8)
+    usual = float(np.median(totals))
+    levels = np.zeros(COUNTERS, np.uint8)
+    for at in range(0, COUNTERS, CHUNK):
+        extra = (totals[at : at + CHUNK] - usual) / (6 * np.sqrt(usual) + 4)
+        levels[at : at + CHUNK] = np.where(extra < 1, 0, np.floor(np.log2(np.maximum(extra, 1))) + 1)
+    return levels
 
 
 # ---- step 2: shingles of more than one node
@@ -493,7 +496,9 @@ def _parts(docs: DataFrame, key: str, text: str, block: int) -> tuple[DataFrame,
         by_node.join(joined, F.col("node") == F.col("member"), "left")
         .select("node", F.coalesce("component", "node").alias("part"), "doc")
     )
-    return documents, written(named, "shingle-named")
+    named = written(named, "shingle-named")
+    levels.destroy()  # all that used it is written
+    return documents, named
 
 
 def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = 1024) -> DataFrame:
@@ -538,12 +543,11 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         schema = StructType([*rows.schema.fields, StructField("_digest", LongType())])
         return rows.mapInArrow(partial(_rows_with_node, text), schema)
 
-    first = [F.length(whole(text)).desc(), F.xxhash64(text)]
-    return one_row_each(docs, F.col(key).cast("bigint"), told, with_node, first)
+    return one_row_each(docs, text, F.col(key).cast("bigint"), told, with_node)
 
 
 def _rows_with_node(text: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [shingles(t.as_py()) for t in batch.column(text)]
+        found = [shingles(t.as_py()) for t in batch.column("_row").field(text)]
         nodes = pa.array([node_of(f) if len(f) else None for f in found], pa.int64())
         yield pa.RecordBatch.from_arrays([*batch.columns, nodes], [*batch.schema.names, "_digest"])

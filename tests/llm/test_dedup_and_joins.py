@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quern.llm.common import may_contain, without
+from quern.llm.common import may_contain
 from quern.llm.components import components
 from quern.llm.exact_dedup import drop_copies, exact_groups
 from quern.llm.packing import byte_bpe_ids
@@ -162,10 +162,18 @@ def test_filters_lose_nothing(spark):
     rows = spark.range(1000).withColumn("_x", F.lit(1)).union(spark.createDataFrame([(None, 1)], "id bigint, _x int"))
     few = spark.createDataFrame([(3,), (999,), (None,), (5000,)], "v bigint")
     assert {r["id"] for r in may_contain(rows, "id", few, bits=1 << 16).collect()} >= {3, 999, None}
-    for bits in (1 << 15, 1 << 20):
-        left = without(rows, "id", few, bits=bits)
-        assert left.columns == ["id", "_x"]
-        assert sorted(r["id"] for r in left.collect()) == [i for i in range(1000) if i not in (3, 999)]
+
+
+@pytest.mark.parametrize("keep", [drop_copies, one_of_each])
+def test_rows_keep_columns_of_any_name(spark, keep):
+    names = ["_bit_set", "_bit_map", "_bit_bucket", "_value", "_of", "_digest", "_rank", "_row", "_key", "a.b", "value", "digest", "stays"]
+    rows = [(1, LONG, 10), (2, LONG, 20), (2, LONG, 20), (3, "alone here", 30), (None, None, 40), (None, LONG + " ", 50)]
+    df = spark.createDataFrame([(i, t, *[n] * len(names)) for i, t, n in rows], f"doc_id bigint, text string, {', '.join(f'`{n}` int' for n in names)}")
+    left = keep(df)
+    assert left.columns == df.columns
+    found = sorted((tuple(r) for r in left.collect()), key=repr)
+    assert {r[2] for r in found} <= {10, 30, 40, 50} and {30, 40} <= {r[2] for r in found} and len(found) == 3
+    assert all(len(set(r[2:])) == 1 for r in found)
 
 
 MIXED = [
