@@ -6,18 +6,18 @@ similarity of 0.8. Then, under any one order of all shingles, they share one of
 ``n - ceil(0.8 n) + 1`` shingles. A pair must pass that test under all ``ORDERS`` before it is verified.
 
 How it runs.
-1. Every text is read once to fingerprint its set, so that equal sets are one node, and to count shingles in
-   a table of fixed size. The orders put shingles whose counter is beyond what chance explains last, by size
+1. Every text is read once to fingerprint its set, so that equal sets are one node, to draw a profile of it (how many
+   shingles hash to each of about n / 4 to n / 2 buckets), and to count shingles in a table of fixed size. The orders put shingles whose counter is beyond what chance explains last, by size
    class, and are random otherwise, so that common lines and passages hardly ever fall into a prefix.
 2. The prefixes under the first order are dealt by shingle and sorted by Spark; tasks stream over them and keep
    shingles of more than one node. The node that sorts first stands for the shingle, and every other node of
    the shingle is a candidate with that one only: no group is expanded into all its pairs.
-3. Texts of nodes in a candidate pair are read again, through a filter of fixed size, for their prefixes under
-   the second and third order; a pair must share a shingle in each. Only the texts of pairs that pass are
-   moved, and the pairs verified on whole sets.
+3. Two sets share at most the sum of the smaller counts of their profiles. Pairs for which that is too little go
+   before any text is moved. Texts of nodes in the other pairs are read again, through a filter of fixed size; a pair
+   must share a shingle of its prefixes under the second and third order too, and is then verified on whole sets.
 4. Nodes that link are joined to components. Only shingles that still span several components can hide a link,
    between nodes of one pivot: these are compared across components in blocks, by the same filters and
-   verification on matrices of shared shingles, and the components are joined anew. Pairs inside a component need
+   verification, profiles first, and the components are joined anew. Pairs inside a component need
    no look, since they cannot change it.
 
 Every link between different components is found: two sets that link share a shingle of their prefixes, so
@@ -58,6 +58,7 @@ _SHORT = _RANDOM.integers(1, 1 << 63, WORDS, np.uint64)
 _SEEDS = _RANDOM.integers(1, 1 << 63, ORDERS, np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
+MOST_BUCKETS = 13  # as a power of two, of a profile
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -107,6 +108,33 @@ def node_of(found: np.ndarray) -> int:
     return int(_mix(total).view(np.int64)[0])
 
 
+def profile(found: np.ndarray) -> bytes:
+    """How many shingles hash to each bucket, one byte each; a full byte stands for itself and whatever was beyond it."""
+    power = min(MOST_BUCKETS, max(4, len(found).bit_length() - 2))
+    at = (found >> np.uint64(64 - power)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=1 << power), 255).astype(np.uint8).tobytes()
+
+
+def folded(profiles: list[bytes]) -> np.ndarray:
+    """Profiles as rows of as many buckets as the shortest has: buckets of one beginning are added up."""
+    width = min(map(len, profiles))
+    table = np.empty((len(profiles), width), np.int16)
+    for row, counts in zip(table, profiles, strict=True):
+        found = np.frombuffer(counts, np.uint8)
+        # What is cut off here counts as left out of the row.
+        row[:] = found if len(found) == width else np.minimum(found.reshape(width, -1).sum(axis=1, dtype=np.int64), 32767)
+    return table
+
+
+def most_shared(one: np.ndarray, others: np.ndarray, n: int, sizes: np.ndarray) -> np.ndarray:
+    """A bound on how many shingles a set shares with others, by their rows of :func:`folded`.
+
+    What the counts of a row leave out of its set may be shared as well.
+    """
+    left_out = n - one.sum(dtype=np.int64) + sizes - others.sum(axis=1, dtype=np.int64)
+    return np.minimum(one, others).sum(axis=1, dtype=np.int64) + left_out
+
+
 def prefix(found: np.ndarray, order: int, levels: np.ndarray) -> np.ndarray:
     """The shingles of a set that come first under an order, as signed numbers.
 
@@ -122,7 +150,7 @@ def prefix(found: np.ndarray, order: int, levels: np.ndarray) -> np.ndarray:
 
 
 def _survey(batches: Iterator[list]) -> Iterator[list]:
-    """Rows (doc, node, n) of documents with a set, and at the end rows (chunk, counts) of this task's counters."""
+    """Rows (doc, node, n, profile) of documents, and at the end rows (chunk, counts) of this task's counters."""
     counters = np.zeros(COUNTERS, np.uint32)
     waiting: list[np.ndarray] = []
     size = 0
@@ -136,25 +164,26 @@ def _survey(batches: Iterator[list]) -> Iterator[list]:
         size = 0
 
     for docs, texts in batches:
-        ids, nodes, sizes = [], [], []
+        ids, nodes, sizes, profiles = [], [], [], []
         for doc, text in zip(docs.to_pylist(), texts, strict=True):
             found = shingles(text.as_py())
             ids.append(doc)
             nodes.append(node_of(found) if len(found) else None)
             sizes.append(len(found))
+            profiles.append(profile(found) if len(found) else None)
             waiting.append(found)
             size += len(found)
             if size > 2_000_000:
                 count()
         none = [None] * len(ids)
-        yield [ids, nodes, sizes, none, none]
+        yield [ids, nodes, sizes, profiles, none, none]
     count()
     # One byte per counter is enough to tell apart what is common within one task.
     small = np.minimum(counters, 255).astype(np.uint8)
     for chunk in range(COUNTERS // CHUNK):
         part = small[chunk * CHUNK : (chunk + 1) * CHUNK]
         if part.any():
-            yield [[None], [None], [None], [chunk], [part.tobytes()]]
+            yield [[None], [None], [None], [None], [chunk], [part.tobytes()]]
 
 
 def _add_up(batches: Iterator[list]) -> Iterator[list]:
@@ -232,36 +261,40 @@ def _shared(batches: Iterator[list]) -> Iterator[list]:
 # ---- step 3: filters and verification
 
 
-def _other_prefixes(levels: Broadcast, orders: int, batches: Iterator[list]) -> Iterator[list]:
-    """node and its prefixes under the second to the ``orders``-th order, in 32 bits each: equal shingles stay equal."""
-    for (texts,) in batches:
-        nodes, others = [], [[] for _ in range(1, orders)]
-        for text in texts:
-            found = shingles(text.as_py())
-            if len(found):
-                nodes.append(node_of(found))
-                for order, out in enumerate(others, 1):
-                    out.append(prefix(found, order, levels.value).astype(np.int32))
-        yield [nodes, *[pa.array(o, pa.list_(pa.int32())) for o in others]]
-
-
 def _with_node(batches: Iterator[list]) -> Iterator[list]:
     for (texts,) in batches:
         found = [shingles(t.as_py()) for t in texts]
         yield [[node_of(f) if len(f) else None for f in found], texts]
 
 
-def _verify(batches: Iterator[list]) -> Iterator[list]:
-    kept: tuple[str, np.ndarray] = ("", shingles(""))
+def _may_link(batches: Iterator[list]) -> Iterator[list]:
+    """Of pairs (a, b, n of both, profiles of both), those that may share enough."""
+    for a, b, sizes_a, sizes_b, profiles_a, profiles_b in batches:
+        keep = []
+        for n, m, one, other in zip(*(c.to_pylist() for c in (sizes_a, sizes_b, profiles_a, profiles_b)), strict=True):
+            table = folded([one, other])
+            keep.append(bool(9 * most_shared(table[0], table[1:], n, np.array([m]))[0] >= 4 * (n + m)))
+        chosen = pa.array(keep, pa.bool_())
+        yield [a.filter(chosen), b.filter(chosen)]
+
+
+def _verify(levels: Broadcast, batches: Iterator[list]) -> Iterator[list]:
+    """Pairs that share a shingle of their prefixes under the other orders, too, and link on their whole sets."""
+    kept: tuple[str, np.ndarray, list[np.ndarray]] = ("", shingles(""), [])
+    others = range(1, ORDERS)
     for a, b, text_a, text_b in batches:
         links = []
         for one, other in zip(text_a, text_b, strict=True):
             one = one.as_py()
-            if one != kept[0]:
-                kept = one, shingles(one)
+            if one != kept[0] or not kept[2]:
+                found = shingles(one)
+                kept = one, found, [prefix(found, order, levels.value) for order in others]
             left, right = kept[1], shingles(other.as_py())
-            shared = len(np.intersect1d(left, right, assume_unique=True))
-            links.append(100 * shared >= 80 * (len(left) + len(right) - shared))
+            passed = all(
+                np.isin(own, prefix(right, order, levels.value)).any() for order, own in zip(others, kept[2], strict=True)
+            )
+            shared = len(np.intersect1d(left, right, assume_unique=True)) if passed else 0
+            links.append(passed and 100 * shared >= 80 * (len(left) + len(right) - shared))
         keep = pa.array(links, pa.bool_())
         yield [a.filter(keep), b.filter(keep)]
 
@@ -270,42 +303,53 @@ def _sizes_fit(a: str, b: str) -> Column:
     return (5 * F.col(a) >= 4 * F.col(b)) & (5 * F.col(b) >= 4 * F.col(a))
 
 
-def _read_again(nodes: DataFrame, rows: DataFrame, documents: DataFrame, function, columns: str) -> DataFrame:
-    """node and what ``function`` makes of its text, one row for each of these nodes."""
+def _texts(nodes: DataFrame, rows: DataFrame, documents: DataFrame) -> DataFrame:
+    """of, text: one row for each of these nodes, whose texts are read again."""
     # One document stands for each node.
     asked = nodes.select(F.col("node").alias("asked"))
     chosen = documents.join(asked, F.col("node") == F.col("asked"), "left_semi").groupBy("node").agg(
         F.min_by("doc", F.struct(F.col("doc").isNull(), "doc")).alias("doc")
     )
     read = may_contain(rows, "doc", chosen.select("doc")).select("text")
-    return written(map_columns(read, function, f"node bigint, {columns}").dropDuplicates(["node"]), "shingle-read")
+    read = map_columns(read, _with_node, "of bigint, text string")
+    # The filter lets other rows through; their nodes are not asked for.
+    wanted = read.join(asked, F.col("of") == F.col("asked"), "left_semi")
+    return written(wanted.dropDuplicates(["of"]), "shingle-texts")
+
+
+def _profiles(nodes: DataFrame, documents: DataFrame) -> DataFrame:
+    """of, profile: one row for each of these nodes."""
+    asked = nodes.select(F.col("node").alias("asked"))
+    found = documents.join(asked, F.col("node") == F.col("asked"), "left_semi")
+    return written(
+        found.groupBy("node").agg(F.first("profile").alias("profile")).withColumnRenamed("node", "of"), "shingle-profiles"
+    )
 
 
 def _links(pairs: DataFrame, rows: DataFrame, documents: DataFrame, levels: Broadcast) -> DataFrame:
-    """Of candidate pairs (a, b) of nodes under the first order, those that pass the other orders and link.
+    """Of candidate pairs (a, b, n_a, n_b) of nodes under the first order, those that pass the other filters and link.
 
-    Only texts of nodes in a pair are read again for their prefixes, and only those of pairs that pass for
-    verification.
+    Only texts of nodes in a pair whose profiles allow a link are read again.
     """
 
     def nodes(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
-    prefixes = _read_again(
-        nodes(pairs), rows, documents, partial(_other_prefixes, levels, ORDERS), "p1 array<int>, p2 array<int>"
-    )
-    for end in ("a", "b"):
-        own = prefixes.select(F.col("node").alias("of"), *[F.col(f"p{i}").alias(f"{end}{i}") for i in range(1, ORDERS)])
+    profiles = _profiles(nodes(pairs), documents)
+    for end in ("b", "a"):
+        own = profiles.select("of", F.col("profile").alias(f"profile_{end}"))
         pairs = pairs.join(own, F.col(end) == F.col("of")).drop("of")
-    passed = F.lit(True)
-    for i in range(1, ORDERS):
-        passed &= F.arrays_overlap(f"a{i}", f"b{i}")
-    left = written(pairs.where(passed).select("a", "b"), "shingle-candidates")
-    texts = _read_again(nodes(left), rows, documents, _with_node, "text string")
+    left = written(
+        map_columns(
+            pairs.select("a", "b", "n_a", "n_b", "profile_a", "profile_b"), _may_link, "a bigint, b bigint"
+        ),
+        "shingle-candidates",
+    )
+    texts = _texts(nodes(left), rows, documents)
     for end in ("b", "a"):
-        own = texts.select(F.col("node").alias("of"), F.col("text").alias(f"text_{end}"))
+        own = texts.select("of", F.col("text").alias(f"text_{end}"))
         left = left.join(own, F.col(end) == F.col("of")).drop("of")
-    return map_columns(left.select("a", "b", "text_a", "text_b"), _verify, "a bigint, b bigint")
+    return map_columns(left.select("a", "b", "text_a", "text_b"), partial(_verify, levels), "a bigint, b bigint")
 
 
 # ---- step 4: links across components
@@ -352,14 +396,21 @@ def _by_group(batches: Iterator[list]) -> Iterator[list[tuple]]:
 
 
 def _survivors(batches: Iterator[list]) -> Iterator[list]:
-    """Rows of a group that share a shingle with a comparable one under the second order."""
+    """Rows of a group whose profile allows a link with a comparable one."""
     for rows in _by_group(batches):
         candidates = np.triu(_comparable(rows))
-        if candidates.any():
-            candidates &= _overlaps([np.array(r[8], np.int32) for r in rows]) > 0
-        left = np.nonzero(candidates.any(axis=0) | candidates.any(axis=1))[0]
-        if len(left):
-            yield list(zip(*(rows[i][:8] for i in left), strict=True))
+        if not candidates.any():
+            continue
+        table = folded([r[8] for r in rows])
+        n = np.array([r[6] for r in rows])
+        left = np.zeros(len(rows), bool)
+        for i in np.nonzero(candidates.any(axis=1))[0]:
+            others = np.nonzero(candidates[i])[0]
+            near = others[9 * most_shared(table[i], table[others], n[i], n[others]) >= 4 * (n[i] + n[others])]
+            left[near] = True
+            left[i] |= len(near) > 0
+        if left.any():
+            yield list(zip(*(rows[i][:8] for i in np.nonzero(left)[0]), strict=True))
 
 
 def _forest(levels: Broadcast, batches: Iterator[list]) -> Iterator[list]:
@@ -436,21 +487,15 @@ def _links_across(
         "shingle-members",
     )
 
-    def with_columns(members: DataFrame, table: DataFrame) -> DataFrame:
+    def grouped(members: DataFrame, table: DataFrame) -> DataFrame:
         joined = members.join(table, F.col("node") == F.col("of")).drop("of")
         return joined.repartition(*key).sortWithinPartitions(*key)
 
-    nodes = members.select("node").distinct()
-    prefixes = _read_again(nodes, rows, documents, partial(_other_prefixes, levels, 2), "p1 array<int>")
+    profiles = _profiles(members.select("node").distinct(), documents)
     schema = "pivot bigint, band int, one int, other int, node bigint, part bigint, n int, home boolean"
-    left = written(
-        map_columns(with_columns(members, prefixes.withColumnRenamed("node", "of")), _survivors, schema),
-        "shingle-survivors",
-    )
-    texts = _read_again(left.select("node").distinct(), rows, documents, _with_node, "text string")
-    return map_columns(
-        with_columns(left, texts.withColumnRenamed("node", "of")), partial(_forest, levels), "a bigint, b bigint"
-    )
+    left = written(map_columns(grouped(members, profiles), _survivors, schema), "shingle-survivors")
+    texts = _texts(left.select("node").distinct(), rows, documents)
+    return map_columns(grouped(left, texts), partial(_forest, levels), "a bigint, b bigint")
 
 
 def _parts(docs: DataFrame, key: str, text: str, block: int) -> tuple[DataFrame, DataFrame]:
@@ -458,9 +503,9 @@ def _parts(docs: DataFrame, key: str, text: str, block: int) -> tuple[DataFrame,
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("bigint").alias("doc"), whole(text).alias("text"))
     survey = written(
-        map_columns(rows, _survey, "doc bigint, node bigint, n int, chunk int, counts binary"), "shingle-survey"
+        map_columns(rows, _survey, "doc bigint, node bigint, n int, profile binary, chunk int, counts binary"), "shingle-survey"
     )
-    documents = survey.where("chunk is null").select("doc", "node", "n")
+    documents = survey.where("chunk is null").select("doc", "node", "n", "profile")
     counted = map_columns(
         survey.where("chunk is not null").select("chunk", "counts").repartition("chunk"),
         _add_up,
@@ -479,7 +524,7 @@ def _parts(docs: DataFrame, key: str, text: str, block: int) -> tuple[DataFrame,
     )
     first = written(
         shared.where((F.col("node") != F.col("pivot")) & _sizes_fit("n", "pivot_n"))
-        .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+        .select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("pivot_n").alias("n_a"), F.col("n").alias("n_b"))
         .distinct(),
         "shingle-pairs",
     )

@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from quern.llm.common import may_contain
 from quern.llm.components import components
 from quern.llm.exact_dedup import drop_copies, exact_groups
 from quern.llm.packing import byte_bpe_ids
-from quern.llm.shingle_join import linked_components, one_of_each, shingles
+from quern.llm.shingle_join import folded, linked_components, most_shared, one_of_each, profile, shingles
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, k string, bucket int, node int"
 
@@ -147,6 +148,25 @@ def test_shingles_are_distinct_sets():
     assert shingles("Ä b").tolist() != shingles("ä b").tolist()  # only A-Z are lower-cased
 
 
+def test_profiles_never_promise_too_little():
+    """Sets of all sizes, alike and not, and sets whose shingles crowd into few buckets."""
+    rng = np.random.default_rng(4)
+    for n in (1, 3, 31, 32, 200, 1023, 5000, 70_000):
+        for share in (0.0, 0.5, 0.9, 1.0):
+            for crowd in (False, True):
+                both = np.unique(rng.integers(0, 1 << 63, 2 * n, np.uint64) * np.uint64(2))
+                if crowd:
+                    both >>= np.uint64(20)
+                both = rng.permutation(both)
+                one, cut = np.sort(both[:n]), int(n * share)
+                other = np.sort(np.concatenate([one[:cut], both[n : n + max(1, int(n * 1.2) - cut)]]))
+                table = folded([profile(one), profile(other)])
+                bound = most_shared(table[0], table[1:], len(one), np.array([len(other)]))[0]
+                assert bound >= len(np.intersect1d(one, other))
+                if n >= 200 and not share and not crowd:
+                    assert 9 * bound < 4 * (len(one) + len(other))  # sets without a common shingle are told apart
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(1, 60)] + [(500, 500), (None, 3), (70, 69), (69, 70)]
