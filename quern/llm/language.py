@@ -8,7 +8,7 @@ all languages being equally likely beforehand.
 How it runs. The model is counted by Spark from labelled rows and holds at most ``max_words`` words and
 ``max_grams`` n-grams, the most frequent ones; that bounds what is collected and broadcast. Counting may use
 at most about ``max_rows`` rows, those whose id hashes lowest. Prediction reads every text whole and moves no
-rows; scores of unseen words are kept in a table of bounded size per Python worker.
+rows; scores of unseen words are kept in a table per Python worker that is bounded in rows and characters.
 
 Defined results:
 - A null text, an empty one, or one without a letter is ``und`` with score 0; so is any text if there are no
@@ -36,6 +36,7 @@ from quern.llm.common import map_columns, written
 UNDETERMINED = "und"
 LONGEST = 4
 KNOWN_ROWS = 400_000  # rows of a worker's table of scores: model and unseen words
+KNOWN_CHARACTERS = 16_000_000  # of unseen words in that table, beyond those of the words looked up last
 PART = 20_000  # words of a text that are looked up at once
 
 
@@ -128,6 +129,7 @@ class Scorer:
     def forget(self) -> None:
         self.index = dict(self.model.words)
         self.used = len(self.model.scores)
+        self.characters = 0
 
     def unseen(self, word: str) -> np.ndarray:
         padded, grams, found = f"_{word}_", self.model.grams, []
@@ -144,13 +146,15 @@ class Scorer:
         at = list(map(self.index.get, words))
         if None in at:
             missing = {w for w, i in zip(words, at, strict=True) if i is None}
-            if self.used + len(missing) > len(self.rows):
+            characters = sum(map(len, missing))
+            if self.used + len(missing) > len(self.rows) or self.characters + characters > KNOWN_CHARACTERS:
                 self.forget()
                 missing = {w for w in words if w not in self.index}
             for word in missing:
                 self.rows[self.used] = self.unseen(word)
                 self.index[word] = self.used
                 self.used += 1
+                self.characters += len(word)
             at = list(map(self.index.__getitem__, words))
         return self.rows[at].sum(axis=0)
 

@@ -38,6 +38,19 @@ def test_language_held_out_accuracy(spark):
     assert n > 20 and right / n > 0.95
 
 
+def test_language_table_is_bounded_in_characters(monkeypatch):
+    model = language.Model(["a", "b"], {"known": 0}, {"q": 1, "z": 2}, np.array([[0.0, -9.0], [-1.0, -2.0], [-5.0, -3.0]]))
+    free, bounded = language.Scorer(model), language.Scorer(model)
+    texts = ["q" * 400 + " known " + "zq" * n for n in range(1, 300, 7)] + ["z" * 5000, "known q z"]
+    expected = [free.predict(t) for t in texts]
+    monkeypatch.setattr(language, "KNOWN_CHARACTERS", 1000)
+    for text, want in zip(texts * 2, expected * 2, strict=True):
+        assert bounded.predict(text) == want
+        unseen = [w for w in bounded.index if w not in model.words]
+        assert bounded.characters == sum(map(len, unseen))
+        assert sum(map(len, unseen)) <= max(1000, sum(map(len, text.split())))
+
+
 def test_language_odd_rows(spark):
     model = language.train(documents(spark, [(1, "the word the other", "en"), (2, "das Wort und mehr Wörter", "de"), (3, None, "fr"), (4, "x", None)]))
     assert model.languages == ["de", "en"]
