@@ -36,6 +36,8 @@ VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
 
+CLASSES = (4096, 128, 4)  # records to an archive, by class of length; longer ones have archives of their own
+
 INDEX = (
     "url_key string, timestamp string, record bigint, url string, record_type string, refers_to bigint,"
     " payload_bytes bigint, payload_digest string, digest_matches boolean, archive string, offset bigint, length bigint"
@@ -98,8 +100,13 @@ def write_archives(
     timestamp: Column | None = None,
     least: int = 100,
     records_per_archive: int = 4000,
+    archive_bytes: int = 64 << 20,
 ) -> None:
-    """Write one record per row into archives of at most ``records_per_archive`` records below ``path``."""
+    """Write one record per row into archives of at most ``records_per_archive`` records below ``path``.
+
+    Payloads in an archive come to at most ``archive_bytes``, or it holds a single record: records are written by
+    classes of length, each with as many records to an archive as its longest ones allow.
+    """
     when = F.lit(None) if timestamp is None else F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     rows = captures.select(
         F.col(key).cast("bigint").alias("id"),
@@ -110,18 +117,26 @@ def write_archives(
     rows = rows.withColumn("bytes", F.octet_length("payload")).withColumn(
         "digest", F.sha2(F.col("payload").cast("binary"), 256)
     )
-    repeated = written(
-        rows.where(F.col("bytes") >= least)
-        .groupBy("digest")
+    longest = [archive_bytes // n for n in CLASSES]
+    number = sum((F.col("bytes") > most).cast("int") for most in longest)
+    # Repeated digests and, counted in the same pass, the classes that occur; a class is no digest's text.
+    found = written(
+        rows.select("id", F.explode(F.array(F.when(F.col("bytes") >= least, F.col("digest")), number.cast("string"))).alias("of"))
+        .where("of is not null")
+        .groupBy("of")
         .agg(F.count("*").alias("rows"), F.min("id").alias("refers_to"))
-        .where("rows > 1")
-        .select(F.col("digest").alias("of"), "refers_to"),
+        .where("rows > 1 or length(of) = 1")
+        .select("of", "refers_to"),
         "warc-repeated",
     )
+    repeated = found.where("length(of) > 1")
+    classes = {int(r["of"]) for r in found.where("length(of) = 1").collect()}  # four at most
     told = rows.join(repeated, (F.col("digest") == F.col("of")) & (F.col("bytes") >= least), "left")
-    told.select(_records(told).alias("value")).write.option("lineSep", END).option(
-        "maxRecordsPerFile", records_per_archive
-    ).text(path)
+    for i, records in enumerate([*CLASSES, 1]):
+        if i in classes or i == 0:
+            told.where(number == i).select(_records(told).alias("value")).write.mode("append").option("lineSep", END).option(
+                "maxRecordsPerFile", min(records, records_per_archive)
+            ).text(path)
 
 
 def _parse(content: bytes) -> Iterator[tuple[dict[str, str], int, int, int]]:
@@ -261,15 +276,17 @@ class LoserTree:
             self._play(head[1])
 
 
-def merge_index(index: DataFrame, batch: int = 4096) -> DataFrame:
+def merge_index(index: DataFrame, batch: int = 4096, range_rows: int = 200_000) -> DataFrame:
     """The index in global order of (url_key, timestamp, record), with ``position`` ascending in that order.
 
-    Spark brings the pieces of a run together in a range; their rows then stream through the tree. A task
-    holds its range's rows, about the index's size divided by the number of shuffle partitions.
+    Spark brings the pieces of a run together in a range; their rows then stream through the tree. A task holds its
+    range's rows, about ``range_rows`` at most: there are as many ranges as the index asks for, and no fewer than the
+    session's shuffle partitions.
     """
     names = index.columns
+    ranges = max(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-index.count() // range_rows))
     dealt = (
-        index.repartitionByRange(F.col("url_key"), F.col("timestamp"), F.col("record"))
+        index.repartitionByRange(ranges, F.col("url_key"), F.col("timestamp"), F.col("record"))
         .sortWithinPartitions("archive", "url_key", "timestamp", "record")
         .withColumn("range", F.spark_partition_id())
     )

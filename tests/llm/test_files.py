@@ -65,6 +65,27 @@ def test_archives_round_trip(spark):
     assert keys == sorted(keys) and len(keys) == len(PAGES)
 
 
+def test_archives_are_bounded_by_bytes(spark):
+    path = shared_folder(spark, "test-warc")
+    rows = [(i, f"http://a.example/{i}", str(i) * (n // len(str(i)))) for i, n in enumerate([300] * 50 + [3000] * 30 + [20_000] * 7 + [90_000] * 2)]
+    bound = 1 << 18  # classes: up to 64 bytes, 2 KB, 64 KB and beyond
+    warc.write_archives(pages(spark, rows).coalesce(1), path, archive_bytes=bound)
+    index = warc.read_archives(spark, path)
+    archives = index.groupBy("archive").agg(F.count("*").alias("n"), F.sum("payload_bytes").alias("bytes")).collect()
+    assert all(a["n"] == 1 or a["bytes"] <= bound for a in archives) and sum(a["n"] == 1 for a in archives) >= 2
+    assert sorted((r["record"], r["payload_bytes"]) for r in index.collect()) == [(i, len(t)) for i, _, t in rows]
+    assert {r["record"]: r["payload"] for r in warc.payloads(spark, path).collect()} == {i: t for i, _, t in rows}
+
+
+def test_ranges_follow_each_other_at_any_number(spark):
+    path = shared_folder(spark, "test-warc")
+    hot = [(i, "http://hot.example/", f"page {i}") for i in range(60)] + [(100 + i, f"http://b.example/{i % 7}", f"{i}") for i in range(40)]
+    warc.write_archives(pages(spark, hot), path, timestamp=F.timestamp_seconds(F.col("page_id") % 3), records_per_archive=9)
+    merged = warc.merge_index(warc.read_archives(spark, path), batch=4, range_rows=5).orderBy("position").collect()
+    keys = [(r["url_key"], r["timestamp"], r["record"]) for r in merged]
+    assert keys == sorted(keys) and len(set(keys)) == 100
+
+
 def test_archives_of_nothing(spark):
     assert warc.archived(spark, pages(spark, [])).count() == 0
 
