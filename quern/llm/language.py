@@ -6,9 +6,11 @@ their mean. A text scores by the sum over its words; the score given is the post
 all languages being equally likely beforehand.
 
 How it runs. The model is counted by Spark from labelled rows and holds at most ``max_words`` words and
-``max_grams`` n-grams, the most frequent ones; that bounds what is collected and broadcast. Counting may use
-at most about ``max_rows`` rows, those whose id hashes lowest. Prediction reads every text whole and moves no
-rows; scores of unseen words are kept in a table per Python worker that is bounded in rows and characters.
+``max_grams`` n-grams; that bounds what is collected and broadcast. Counting may use at most about ``max_rows`` rows,
+those whose id hashes lowest. All three bounds are dealt out to the languages evenly, and what a small language leaves
+over goes to the others: a rare language keeps all its rows, and its own most frequent words and n-grams, however large
+the others are. Prediction reads every text whole and moves no rows; scores of unseen words are kept in a table per
+Python worker that is bounded in rows and characters.
 
 Defined results:
 - A null text, an empty one, or one without a letter is ``und`` with score 0; so is any text if there are no
@@ -28,7 +30,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.llm.common import map_columns, written
@@ -63,9 +65,12 @@ def train(
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(key, text).alias("h")
     )
-    share = min(1.0, max_rows / max(1, rows.count()))
-    if share < 1:
-        rows = rows.where(F.pmod("h", F.lit(1 << 40)) < int(share * (1 << 40)))
+    # One row per language; languages are few, and each has many rows behind it.
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if sum(sizes.values()) > max_rows:
+        quotas = _quotas(sizes, max_rows)
+        shares = {x: int((1 << 40) * min(1.0, quotas[x] / n)) for x, n in sizes.items()}
+        rows = rows.where(F.pmod("h", F.lit(1 << 40)) < _by_language(shares))
     words = written(
         rows.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
         .where("word <> ''")
@@ -85,35 +90,54 @@ def train(
             ]
         )
     )
-    counted_grams = (
-        words.select("lang", "n", F.explode(grams).alias("word")).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counted_grams = written(
+        words.select("lang", "n", F.explode(grams).alias("word")).groupBy("lang", "word").agg(F.sum("n").alias("n")),
+        "language-grams",
     )
-    # One row per language; languages are few, and each has many rows behind it.
-    languages = sorted(r["lang"] for r in words.select("lang").distinct().collect())
+    known, word_scores, languages = _frequent(words, max_words)
     if not languages:
         return Model([], {}, {}, np.zeros((0, 0)))
-    known, word_scores = _frequent(words, languages, max_words)
-    pieces, gram_scores = _frequent(counted_grams, languages, max_grams)
+    pieces, gram_scores, _ = _frequent(counted_grams, max_grams)
     return Model(
         languages, known, {g: len(known) + i for g, i in pieces.items()}, np.concatenate([word_scores, gram_scores])
     )
 
 
+def _quotas(sizes: dict[str, int], most: int) -> dict[str, int]:
+    """``most`` dealt out evenly; what is beyond a small size goes to the larger ones."""
+    quotas, left = {}, most
+    for place, (lang, size) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        quotas[lang] = min(size, left // (len(sizes) - place))
+        left -= quotas[lang]
+    return quotas
+
+
+def _by_language(values: dict[str, int]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("lang")]
+
+
 def _piece(text, size):
     return lambda i: F.substring(text, i, F.lit(size))
 
 
-def _frequent(counts: DataFrame, languages: list[str], most: int) -> tuple[dict[str, int], np.ndarray]:
-    """The most frequent strings (at most ``most``) and their smoothed log frequencies per language."""
-    pivot = counts.groupBy("word").pivot("lang", languages).agg(F.sum("n"))
-    filled = pivot.select("word", *[F.coalesce(F.col(f"`{x}`"), F.lit(0)).alias(f"n{i}") for i, x in enumerate(languages)])
-    total = sum((F.col(f"n{i}") for i in range(len(languages))), F.lit(0))
-    top = filled.orderBy(total.desc(), "word").limit(most).collect()
-    sums = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+def _frequent(counts: DataFrame, most: int) -> tuple[dict[str, int], np.ndarray, list[str]]:
+    """Every language's most frequent strings (together at most ``most``), their smoothed log frequencies per language,
+    and the languages."""
+    totals = counts.groupBy("lang").agg(F.count("*").alias("strings"), F.sum("n").alias("n")).collect()
+    if not totals:
+        return {}, np.zeros((0, 0)), []
+    languages = sorted(r["lang"] for r in totals)
+    quotas = _quotas({r["lang"]: r["strings"] for r in totals}, most)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    frequent = counts.withColumn("place", place).where(F.col("place") <= _by_language(quotas))
+    chosen = counts.join(frequent.select("word").distinct(), "word", "left_semi")
+    pivot = chosen.groupBy("word").pivot("lang", languages).agg(F.sum("n"))
+    escaped = [F.col("`" + x.replace("`", "``") + "`") for x in languages]
+    top = pivot.select("word", *[F.coalesce(c, F.lit(0)).alias(f"n{i}") for i, c in enumerate(escaped)]).orderBy("word").collect()
+    sums = {r["lang"]: r["n"] for r in totals}
     table = np.array([list(r)[1:] for r in top], float).reshape(len(top), len(languages))
-    totals = np.array([sums[x] for x in languages], float)
-    scores = np.log((table + 0.5) / (totals + 0.5 * (len(top) + 1)))
-    return {r["word"]: i for i, r in enumerate(top)}, scores
+    scores = np.log((table + 0.5) / (np.array([sums[x] for x in languages], float) + 0.5 * (len(top) + 1)))
+    return {r["word"]: i for i, r in enumerate(top)}, scores, languages
 
 
 class Scorer:
@@ -173,6 +197,11 @@ class Scorer:
         best = int(total.argmax())
         return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
+    def keeps(self, text: str | None) -> bool:
+        if not self.model.languages:
+            return any(map(str.isalpha, text or ""))
+        return self.predict(text)[0] != UNDETERMINED
+
 
 _RUNS = re.compile(r"[^\W\d_]+")  # letters and, to be split off, numbers that are no decimal digits
 _SCORERS: dict[str, Scorer] = {}  # of this Python worker: one, for the model used last
@@ -212,6 +241,7 @@ def held_out(key: str = "doc_id"):
 def keep_identified(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows whose text has no identifiable language (``und``), all columns as they are.
 
+    Where no row is labelled nothing can be told apart: then only rows whose text has no letter go.
     Nothing is joined: rows are predicted and dropped where they are read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(train(labelled, text=text, key=key))
@@ -221,5 +251,5 @@ def keep_identified(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", t
 def _keep_batches(name: str, shared: Broadcast, text: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     scorer = _scorer(name, shared)
     for batch in batches:
-        keep = [scorer.predict(t.as_py())[0] != UNDETERMINED for t in batch.column(text)]
+        keep = [scorer.keeps(t.as_py()) for t in batch.column(text)]
         yield batch.filter(pa.array(keep, pa.bool_()))
