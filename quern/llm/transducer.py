@@ -1,12 +1,14 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-Compiled once per model: the normaliser (rewrite rules, spaces to the space mark, the mark that is put in
-front), the pieces (arcs over their characters, with an id and a weight) and byte fallback (a character that
+Compiled once per model, from what its file specifies: the normaliser (rewrite rules, extra spaces, spaces to the space
+mark, the mark that is put in front), the pieces (arcs over their characters, with an id and a weight) and byte fallback (a character that
 is no piece goes to its UTF-8 bytes). A text is composed with it, which gives a lattice of pieces over the text's
 positions, and the shortest path in the tropical semiring (weights add along a path, the least wins) is its
 encoding. Decoding is the inverse transduction.
 
-For a unigram model the weight of a piece is its negative score. A merge (BPE) model is compiled into arcs for
+For a unigram model the weight of a piece is its negative score, and a character that no piece spells alone has an arc
+that weighs ten more than the heaviest piece. Weights are added in single precision, as the library does, so that ties
+go the same way; unknown characters side by side are one id. A merge (BPE) model is compiled into arcs for
 pairs of pieces: a pair has a finite weight only where the merges, applied to the two pieces together, leave
 them apart. A path all of whose pairs are finite is the one the merges give, so that the shortest path is
 exactly the library's encoding.
@@ -19,6 +21,8 @@ Defined results:
 - A null text is empty and has no pieces. Repeated rows are encoded alike.
 - ``decoded`` is the normalised text: a literal space mark comes back as a space.
 - An empty table gives an empty result. Other columns are never read, whatever their names.
+- A model file with what is not compiled (a table of rewritten characters, pieces of the user or out of use, marks behind
+  words, models of words or characters) raises.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -36,11 +41,14 @@ from pyspark.sql import DataFrame
 from quern.llm.common import map_columns
 
 MARK = "▁"
-FALLBACK = 1e6  # the weight of a character's bytes, above that of any piece
+FALLBACK = 10.0  # how much more than the heaviest piece an arc for an unknown character weighs
 KEPT = 1_000_000  # stretches, and beginnings of stretches, whose encoding a worker keeps
 LONGEST_KEPT = 64  # characters of such a stretch
 
 
+_SPACES = re.compile("  +")
+
+
 class Transducer:
     """pieces: text -> (id, score); byte_ids: the ids of the 256 bytes; merges: whether scores rank merges (BPE)."""
 
@@ -52,10 +60,12 @@ class Transducer:
         rules: dict[str, str] | None = None,
         dummy_prefix: bool = True,
         unknown: int = 0,
+        extra_spaces: bool = True,
     ):
         self.pieces, self.byte_ids, self.merges, self.unknown = pieces, byte_ids, merges, unknown
         self.rules = {" ": MARK} | (rules or {})
-        self.dummy_prefix = dummy_prefix
+        self.dummy_prefix, self.extra_spaces = dummy_prefix, extra_spaces
+        self.fallback = float(np.float32(min((s for _, s in pieces.values()), default=0.0) - FALLBACK))
         self._rewrites = re.compile("|".join(re.escape(r) for r in sorted(self.rules, key=len, reverse=True)))
         # The pieces are the transducer's arcs over spans of the text; none is longer than this.
         self.longest = max(map(len, pieces), default=1)
@@ -75,6 +85,8 @@ class Transducer:
         self._splits: dict[str, tuple[str, str] | None] = {}
 
     def normalise(self, text: str) -> str:
+        if not self.extra_spaces:
+            text = _SPACES.sub(" ", text.strip(" "))
         if not text:
             return ""
         return (MARK if self.dummy_prefix else "") + self._rewrites.sub(lambda m: self.rules[m.group()], text)
@@ -139,17 +151,21 @@ class Transducer:
         return [self.byte_ids[b] for b in character.encode()] if self.byte_ids else [self.unknown]
 
     def _least_path(self, text: str) -> list[int]:
-        """Positions are settled from left to right by the arcs that end there."""
-        weight, back = [0.0], [(-1, [])]
+        """Positions are settled from left to right by the arcs that end there; of paths that weigh alike, by the longest arc."""
+        score, back = [0.0], [(-1, [])]  # of a path, the negative of its weight
         for end in range(1, len(text) + 1):
             best = None
             for start in range(max(0, end - self.longest), end):
                 arc = self.pieces.get(text[start:end])
-                if arc is not None and (best is None or weight[start] - arc[1] < best[0]):
-                    best = weight[start] - arc[1], start, [arc[0]]
-            if best is None:
-                best = weight[end - 1] + FALLBACK, end - 1, self._fallback(text[end - 1])
-            weight.append(best[0])
+                if arc is not None:
+                    total = _single(score[start] + arc[1])
+                    if best is None or total > best[0]:
+                        best = total, start, [arc[0]]
+            if text[end - 1] not in self.pieces:
+                total = _single(score[end - 1] + self.fallback)
+                if best is None or total > best[0]:
+                    best = total, end - 1, self._fallback(text[end - 1])
+            score.append(best[0])
             back.append(best[1:])
         out, at = [], len(text)
         while at > 0:
@@ -213,6 +229,18 @@ class Transducer:
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit numbers."""
+        if self.merges:
+            ids = self._by_stretch(text)
+        else:  # sums run on through the whole text
+            ids = np.array(self.shortest_path(self.normalise(text)), "<u4").tobytes()
+        if self.byte_ids:
+            return ids
+        found = np.frombuffer(ids, "<u4")
+        again = np.zeros(len(found), bool)
+        again[1:] = (found[1:] == self.unknown) & (found[:-1] == self.unknown)
+        return found[~again].tobytes()
+
+    def _by_stretch(self, text: str) -> bytes:
         known, out = self._known, []
         for stretch in self._stretch.findall(self.normalise(text)):
             ids = known.get(stretch)
@@ -227,20 +255,91 @@ class Transducer:
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
-@functools.cache
-def compiled(model_path: str, merges: bool = True) -> Transducer:
-    """The transducer of a SentencePiece model file with an identity normaliser."""
-    import sentencepiece
-
-    model = sentencepiece.SentencePieceProcessor(model_file=model_path)
-    numbers = range(model.get_piece_size())
-    plain = [i for i in numbers if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
-    byte_ids = [i for i in numbers if model.is_byte(i)]
+def _single(x: float) -> float:
+    return float(np.float32(x))
+
+
+def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """Numbers and values of the fields of a protocol buffers message."""
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        value, shift = 0, 0
+        while True:
+            byte = message[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < len(message):
+        key = varint()
+        number, kind = key >> 3, key & 7
+        if kind == 0:
+            yield number, varint()
+            continue
+        size = {1: 8, 5: 4}.get(kind) or varint()
+        yield number, message[at : at + size]
+        at += size
+
+
+# Fixed values of the model format: messages, fields and kinds of pieces.
+PIECE, TRAINER, NORMALISER = 1, 2, 3
+PIECE_TEXT, PIECE_SCORE, PIECE_KIND = 1, 2, 3
+MODEL_TYPE, MARK_BEHIND = 3, 24
+CHARACTER_MAP, DUMMY_PREFIX, REMOVE_EXTRA_SPACES, ESCAPE_SPACES = 2, 3, 4, 5
+NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
+UNIGRAM, BPE = 1, 2
+
+
+def parsed(model: bytes) -> Transducer:
+    """The transducer of a SentencePiece model, by its own specification; what cannot be compiled raises."""
+    pieces: dict[str, tuple[int, float]] = {}
+    byte_ids: dict[int, int] = {}
+    trainer, normaliser, unknown, number = {}, {}, 0, 0
+    for field, value in _fields(model):
+        if field == TRAINER:
+            trainer = dict(_fields(value))
+        elif field == NORMALISER:
+            normaliser = dict(_fields(value))
+        elif field == PIECE:
+            piece = dict(_fields(value))
+            text, kind = piece.get(PIECE_TEXT, b"").decode(), piece.get(PIECE_KIND, NORMAL)
+            if kind == NORMAL:
+                pieces[text] = number, struct.unpack("<f", piece.get(PIECE_SCORE, bytes(4)))[0]
+            elif kind == BYTE:
+                byte_ids[int(text[3:5], 16)] = number
+            elif kind == UNKNOWN:
+                unknown = number
+            elif kind != CONTROL:
+                raise ValueError(f"piece {text!r}: pieces of the user and pieces out of use are not compiled")
+            number += 1
+    kind = trainer.get(MODEL_TYPE, UNIGRAM)
+    if kind not in (UNIGRAM, BPE):
+        raise ValueError("only unigram and merge models are compiled")
+    if normaliser.get(CHARACTER_MAP):
+        raise ValueError("the model rewrites characters by a table, which is not compiled")
+    if not normaliser.get(ESCAPE_SPACES, 1) or trainer.get(MARK_BEHIND, 0):
+        raise ValueError("spaces must become marks in front of words")
     return Transducer(
-        {model.id_to_piece(i): (i, model.get_score(i)) for i in plain}, byte_ids or None, merges, unknown=model.unk_id()
+        pieces,
+        [byte_ids[i] for i in range(256)] if byte_ids else None,
+        merges=kind == BPE,
+        dummy_prefix=bool(normaliser.get(DUMMY_PREFIX, 1)),
+        unknown=unknown,
+        extra_spaces=not normaliser.get(REMOVE_EXTRA_SPACES, 1),
     )
 
 
+@functools.cache
+def compiled(model_path: str) -> Transducer:
+    """The transducer of a SentencePiece model file, once per worker."""
+    with open(model_path, "rb") as file:  # on the executor's own disk, like the libraries that read it
+        return parsed(file.read())
+
+
 def public_model() -> str:
     import public_tokenizers
 
@@ -273,7 +372,7 @@ def _digest(model_path: str | None, batches: Iterator[list]) -> Iterator[list]:
 
 
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model_path: str | None = None) -> DataFrame:
-    """key, ids per row. ``model_path``: a merge model; by default the public one of the executor's machine."""
+    """key, ids per row. ``model_path``: a model file; by default the public one of the executor's machine."""
     kind = docs.schema[key].dataType.simpleString()
     return map_columns(docs.select(key, text), partial(_encode, model_path), f"`{key}` {kind}, ids array<int>")
 

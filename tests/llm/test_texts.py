@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import struct
 import zlib
 
 import numpy as np
@@ -65,6 +66,31 @@ def test_language_odd_rows(spark):
     assert kept.columns == documents(spark, []).columns and kept.count() == 5
 
 
+def test_rare_languages_keep_their_rows_and_words(spark):
+    letters = "abcdefghijklmnopqrst"
+    rows = [(i, f"common{letters[i % 20]}{letters[i // 20 % 20]} usual", "big") for i in range(900)]
+    rows += [(1000 + i, f"seldom rareword{letters[i]}", "it's `odd`") for i in range(3)] + [(2000, "unique", "one")]
+    model = language.train(documents(spark, rows), max_rows=60, max_words=30, max_grams=90)
+    assert model.languages == ["big", "it's `odd`", "one"]
+    assert {"seldom", "rareworda", "rarewordb", "rarewordc", "unique", "usual"} <= set(model.words)
+    assert len(model.words) <= 30 and len(model.grams) <= 90
+    asked = [(1, "seldom rarewordb", None), (2, "unique", None), (3, "usual commonab", None)]
+    got = language.identify(documents(spark, asked), model).orderBy("doc_id").collect()
+    assert [r["lang_pred"] for r in got] == ["it's `odd`", "one", "big"]
+
+
+def test_quotas_go_round():
+    assert language._quotas({"a": 900, "b": 3, "c": 40}, 60) == {"b": 3, "c": 28, "a": 29}
+    assert language._quotas({"a": 5, "b": 3}, 60) == {"a": 5, "b": 3}
+    assert language._quotas({}, 60) == {}
+
+
+def test_texts_with_letters_stay_without_a_model(spark):
+    docs = documents(spark, ODD)
+    kept = language.keep_identified(docs, documents(spark, [(1, "some text", None)]))
+    assert sorted(r["text"] for r in kept.collect()) == sorted(t for _, t, _ in ODD if t and any(c.isalpha() for c in t))
+
+
 def test_backoff_goes_to_shorter_grams():
     model = language.Model(["a", "b"], {"known": 0}, {"_ab": 1, "z": 2}, np.array([[0.0, -9.0], [-1.0, -2.0], [-5.0, -3.0]]))
     scorer = language.Scorer(model)
@@ -138,6 +164,67 @@ def test_unigram_takes_the_least_weight():
     assert model.encode("") == b""
 
 
+def varint(n):
+    return bytes([n]) if n < 128 else bytes([n & 127 | 128]) + varint(n >> 7)
+
+
+def entry(number, value):
+    """A field of a protocol buffers message."""
+    if isinstance(value, float):
+        return varint(number << 3 | 5) + struct.pack("<f", value)
+    if isinstance(value, int):
+        return varint(number << 3) + varint(value)
+    return varint(number << 3 | 2) + varint(len(value)) + value
+
+
+def model_of(pieces, kind, with_bytes=False, normaliser=b"", trainer=b""):
+    """A model file of pieces with given scores: kind 1 is unigram, 2 merges."""
+    rows = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)]
+    rows += [(f"<0x{i:02X}>", 0.0, 6) for i in range(256)] * with_bytes
+    rows += [(p, score, 1) for p, score in pieces]
+    out = b"".join(entry(1, entry(1, p.encode()) + entry(2, score) + entry(3, k)) for p, score, k in rows)
+    return out + entry(2, entry(3, kind) + (entry(35, 1) if with_bytes else b"") + trainer) + entry(3, entry(1, b"identity") + normaliser)
+
+
+def made_up_pieces(seed, ties):
+    rng = random.Random(seed)
+    texts = {"▁", "a", "b", "t", "h", "e", "▁a"} | {"".join(rng.choice("abthe▁é") for _ in range(rng.randint(1, 6))) for _ in range(80)}
+    return [(t, -float(rng.randint(1, 6)) if ties else -rng.uniform(0.5, 14)) for t in sorted(texts)]
+
+
+@pytest.mark.parametrize("extra", [0, 1])
+@pytest.mark.parametrize("prefix", [0, 1])
+@pytest.mark.parametrize("with_bytes", [False, True])
+@pytest.mark.parametrize("ties", [False, True])
+def test_unigram_models_are_encoded_as_by_the_library(ties, with_bytes, prefix, extra):
+    import sentencepiece
+
+    rng = random.Random(5)
+    for seed in range(6):
+        model = model_of(made_up_pieces(seed, ties), 1, with_bytes, entry(3, prefix) + entry(4, extra))
+        library, ours = sentencepiece.SentencePieceProcessor(model_proto=model), transducer.parsed(model)
+        assert not ours.merges
+        for size in [0, 1, 2, 3, 5, 8, 13, 21, 34, 400] * 4:
+            text = "".join(rng.choice("abthe  é漢xé\n") for _ in range(size))
+            assert np.frombuffer(ours.encode(text), "<u4").tolist() == library.encode(text), (seed, text)
+
+
+@pytest.mark.parametrize(
+    "model",
+    [
+        model_of([("a", -1.0)], 3),
+        model_of([("a", -1.0)], 1, normaliser=entry(2, b"table")),
+        model_of([("a", -1.0)], 1, normaliser=entry(5, 0)),
+        model_of([("a", -1.0)], 1, trainer=entry(24, 1)),
+        model_of([("a", -1.0)], 1) + entry(1, entry(1, b"own") + entry(3, 4)),
+        model_of([("a", -1.0)], 2) + entry(1, entry(1, b"unused") + entry(3, 5)),
+    ],
+)
+def test_models_that_ask_for_more_raise(model):
+    with pytest.raises(ValueError):
+        transducer.parsed(model)
+
+
 def test_pieces_round_trip_on_tables(spark):
     docs = documents(spark, ODD)
     back = transducer.decode(transducer.encode(docs)).collect()
