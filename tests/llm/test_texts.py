@@ -122,6 +122,42 @@ def test_edited_pairs(spark, parts):
     assert got == want
 
 
+def plain_fingerprint(text):
+    """Byte by byte with Python's integers: every window and chunk is summed anew."""
+    data, word = text.encode(), 1 << 64
+
+    def value(start, stop, factor, first):
+        return sum(int(piecewise.BYTE_VALUES[data[j]]) * pow(factor, abs(j - first), word) for j in range(start, stop)) % word
+
+    ends = []
+    for i in range(len(data)):
+        mixed = value(max(0, i - piecewise.SPAN + 1), i + 1, piecewise.INVERSE, i) * 0xD6E8FEB86659FD93 % word >> 33
+        ends += [(i + 1, mixed)] * (mixed % piecewise.LEAST == 0)
+
+    def borders(size):
+        return [at for at, mixed in ends if mixed % size == 0]
+
+    def characters(size):
+        cuts = [0, *borders(size)[: piecewise.CHUNKS - 1], len(data)]
+        hashes = [value(a, b, piecewise.BASE, a) * 0xA0761D6478BD642F % word for a, b in zip(cuts, cuts[1:]) if a < b]
+        return "".join(chr(piecewise.CHARACTERS[h >> 58]) for h in hashes)
+
+    size = piecewise.LEAST
+    while size * piecewise.CHUNKS < len(data):
+        size *= 2
+    while size > piecewise.LEAST and len(borders(size)) < piecewise.CHUNKS // 2:
+        size //= 2
+    return f"{size}:{characters(size)}:{characters(2 * size)}"
+
+
+@pytest.mark.parametrize("n", [0, 1, 6, 7, 8, 50, 192, 193, 700, 3000])
+def test_fingerprints_equal_plain_python(n):
+    rng = random.Random(n)
+    for alphabet in ("a", "ab ", "abcdefgh ijklé漢\n"):
+        text = "".join(rng.choice(alphabet) for _ in range(n))
+        assert piecewise.fingerprint(text) == plain_fingerprint(text)
+
+
 def test_edited_pairs_of_few(spark):
     assert piecewise.edited_pairs(documents(spark, [])).count() == 0
     (only,) = piecewise.edited_pairs(documents(spark, [(4, "abcdef", "en")])).collect()
