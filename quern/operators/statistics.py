@@ -8,15 +8,15 @@ time: ``rank(..., corpus=)`` adds up what it reads, and looks at the rows of its
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.errors import QueryError
 from quern.functions.fields import Field
-from quern.functions.text import length, tokens
+from quern.functions.text import tokens
 
 SCHEMA = "field string, term string, rows bigint, tokens bigint"
 COLUMNS = ["field", "term", "rows", "tokens"]
@@ -33,25 +33,29 @@ def corpus_statistics(df: DataFrame, over: Sequence[Field]) -> DataFrame:
     names = [field.name for field in over]
     if len(set(names)) < len(names):
         raise QueryError(f"fields repeat: {names}")
-    entries = []
     for field in over:
         if not field.is_text:
             raise QueryError(f"{field.name} is not a text field")
-        found = F.coalesce(tokens(field), F.array().cast("array<string>"))
-        total = F.struct(
-            F.lit(field.name).alias("field"), F.lit(None).cast("string").alias("term"), length(field).cast("bigint").alias("tokens")
-        )
-        terms = F.transform(F.array_distinct(found), _entry(field.name))
-        entries.append(F.when(F.size(found) > 0, F.concat(F.array(total), terms)).otherwise(F.array().cast(_ENTRIES)))
-    counted = df.select(F.explode(F.concat(*entries)).alias("e")).select("e.*")
-    return _added_up(counted.withColumn("rows", F.lit(1).cast("bigint")))
-
-
-_ENTRIES = "array<struct<field:string,term:string,tokens:bigint>>"
-
-
-def _entry(name: str) -> Callable[[Column], Column]:
-    return lambda term: F.struct(F.lit(name).alias("field"), term.alias("term"), F.lit(0).cast("bigint").alias("tokens"))
+    # Columns of their own: a text is split once per row, and its tokens are counted in what that gave.
+    split = df.select(
+        *[F.coalesce(tokens(field), F.array().cast("array<string>")).alias(f"t{i}") for i, field in enumerate(over)],
+        *[field.n_tokens.alias(f"n{i}") for i, field in enumerate(over) if field.n_tokens is not None],
+    )
+    texts = []
+    for i, field in enumerate(over):
+        found = F.col(f"t{i}")
+        number = F.size(found) if field.n_tokens is None else F.col(f"n{i}")
+        texts.append(F.struct(F.lit(field.name).alias("field"), found.alias("found"), number.cast("bigint").alias("n")))
+    held = split.select(F.explode(F.array(*texts)).alias("e")).select("e.*").where(F.size("found") > 0)
+    # First a null, which stands for the text as a whole.
+    entries = F.concat(F.array(F.lit(None).cast("string")), F.array_distinct("found"))
+    counted = held.select("field", "n", F.posexplode(entries).alias("at", "term")).select(
+        "field",
+        "term",
+        F.lit(1).cast("bigint").alias("rows"),
+        F.when(F.col("at") == 0, F.col("n")).otherwise(F.lit(0)).alias("tokens"),
+    )
+    return _added_up(counted)
 
 
 def _added_up(parts: DataFrame) -> DataFrame:

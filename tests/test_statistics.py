@@ -143,3 +143,17 @@ def test_wrong_statistics_raise(spark, docs):
         rank(docs, [X.text_query(body, "red")], fields(docs)["id"], corpus=only_title).collect()
     # Where nothing matches, nothing is missed.
     assert rank(docs, [X.text_query(body, "nowhere")], fields(docs)["id"], corpus=only_title).collect() == []
+
+
+def test_each_text_is_split_once(docs):
+    """Not once more for its length, for whether it has tokens, or per array the tokens are put into."""
+    plan = corpus_statistics(docs, handles(docs))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 2 and "regexp_count" not in plan
+
+
+def test_stored_lengths_and_tokens_are_taken_as_they_are(docs):
+    measured = X.measure(docs, ["body", "title"])
+    plan = corpus_statistics(measured, handles(measured))
+    assert rows(plan) == expected(ROWS)
+    stored = X.analyze(docs, ["body", "title"]).drop("body__length", "title__length")
+    assert rows(corpus_statistics(stored, handles(stored))) == expected(ROWS)
