@@ -237,6 +237,25 @@ class Weights:
         return sorted(out)
 
 
+def _any_of(words: Iterable[str]) -> str:
+    """A pattern for any of these words, as a tree by their letters: one branch is tried per place, not every word."""
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for letter in word:
+            node = node.setdefault(letter, {})
+        node[""] = {}
+
+    def below(node: dict) -> str:
+        branches = [re.escape(letter) + below(rest) for letter, rest in sorted(node.items()) if letter]
+        if not branches or (len(branches) == 1 and "" not in node):
+            return "".join(branches)
+        return f"(?:{'|'.join(branches)})" + ("?" if "" in node else "")
+
+    firsts = "".join(map(re.escape, sorted(set(tree) - {""})))
+    return f"(?=[{firsts}]){below(tree)}" if firsts else "(?!)"
+
+
 def _units(text: Column) -> Column:
     """Lines and paragraphs, each once."""
     return F.array_distinct(F.concat(F.split(text, r"\n"), F.split(text, r"\n[ \t\r]*\n")))
@@ -263,7 +282,7 @@ def unit_licenses(
 
     With a ``key`` also its value, as the first column."""
     spark, weights = files.sparkSession, Weights(templates)
-    held = r"(?i)(?<![a-z0-9])(?:" + "|".join(map(re.escape, weights.anchors(threshold))) + r")(?![a-z])"
+    held = r"(?i)(?<![a-z0-9])" + _any_of(weights.anchors(threshold)) + r"(?![a-z])"
     of = [] if key is None else [F.col(key).alias("k")]
     kept = ["row", *(["k"] if of else []), "place", "unit"]
     units = (
@@ -275,7 +294,7 @@ def unit_licenses(
         .where(F.col("line").rlike(held))
     )
     # Exploded from one element each: the optimizer would put the whole array's expression into every step of the next.
-    terms = F.expr(f"array_sort(regexp_extract_all(lower(line), r'({TERM})', 1))")
+    terms = F.expr(f"sort_array(regexp_extract_all(lower(line), r'{TERM}', 0))")
     units = units.select(*kept, F.explode(F.array(terms)).alias("all")).where(F.size("all") > 0)
     # Where the runs of equal terms end in the sorted array; a term's count is the distance to the end before.
     ends = F.filter(F.sequence(F.lit(1), F.size("all")), lambda i: ~F.get("all", i).eqNullSafe(F.get("all", i - 1)))
@@ -290,11 +309,12 @@ def unit_licenses(
     # Squared lengths: of the terms outside the templates exactly, of the others at most.
     common = sorted(weights.idf.keys() & FUNCTION_WORDS)
     telling = sorted(weights.idf.keys() - FUNCTION_WORDS)
-    units = units.select(
-        *kept,
+    told = F.struct(
         F.filter("runs", _among(weights.idf)).alias("known"),
         (_squares("runs", lambda r: ~_among(weights.idf)(r)) * weights.outside**2).alias("rest"),
     )
+    # Exploded as well: they would be worked out once more in every place of the condition below.
+    units = units.select(*kept, F.explode(F.array(told)).alias("told")).select(*kept, "told.known", "told.rest")
     most = sum(
         (
             _squares("known", _among(terms)) * max(weights.idf[t] for t in terms) ** 2

@@ -185,6 +185,27 @@ def brute_scores(text):
     return found
 
 
+def test_units_are_found_and_counted_once(spark):
+    """By a pattern that finds the same words as a list of them does, and by counts that no condition repeats."""
+    anchors = licenses.Weights(licenses.TEMPLATES).anchors(licenses.THRESHOLD)
+    around = r"(?i)(?<![a-z0-9]){}(?![a-z])"
+    listed = re.compile(around.format("(?:" + "|".join(map(re.escape, anchors)) + ")"))
+    tree, dice = licenses._any_of(anchors), random.Random(5)
+    assert "|".join(map(re.escape, anchors)) not in tree and licenses._any_of([]) == "(?!)"
+    tree = re.compile(around.format(tree))
+    found = 0
+    for _ in range(20_000):
+        word = dice.choice(anchors)
+        text = dice.choice(["", "x", "1", " ", "("]) + word[: dice.randint(1, len(word))] + dice.choice(["", "s", "r", ".0", "9", "-"])
+        text = text.upper() if dice.random() < 0.3 else text
+        found += bool(listed.search(text))
+        assert bool(tree.search(text)) == bool(listed.search(text)), text
+    assert 1000 < found < 19_000
+    files = spark.createDataFrame([("a", "Released under the MIT License.")], "path string, text string")
+    plan = licenses.unit_licenses(files)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("filter(runs") == 2
+
+
 def test_licence_file_of_bsd_is_found(spark):
     """Function words count in the vectors: without them no unit of the usual file reaches the threshold."""
     rows = [(1, "p/LICENSE", BSD3), (2, "p/x.txt", "plain")]
